@@ -12,9 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.operators import gold
+from meterlake.operators import detector, eda, gold, insights
+from meterlake.params import DetectorParams
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
+from meterlake.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +67,227 @@ def q_weather_dim(spark: SparkSession, sf: str) -> DataFrame:
 @register("clean_readings", O.sql("SELECT LCLid, timestamp, consumption FROM readings", "readings"))
 def q_clean_readings(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(layers.readings(spark, sf))
+
+
+# --- exploratory profile of the raw readings ----------------------------------
+
+def _raw(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.readings_raw(spark, sf).select("LCLid", "tstp", "`energy(kWh/hh)`")
+
+
+_MISSING = """count(CASE WHEN "energy(kWh/hh)" IS NULL OR "energy(kWh/hh)" = '' OR contains("energy(kWh/hh)", 'Null')
+                     THEN 1 END) AS missing_energy,
+       count(CASE WHEN tstp IS NULL THEN 1 END) AS missing_timestamp,
+       count(CASE WHEN LCLid IS NULL THEN 1 END) AS missing_lclid"""
+
+
+@register("raw_profile", O.sql(f"""SELECT count(*) AS total_rows, {_MISSING},
+       min(tstp) AS first_tstp, max(tstp) AS last_tstp FROM readings_raw""", "readings_raw"))
+def q_raw_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.raw_profile(_raw(spark, sf))
+
+
+@register("row_count", O.sql("SELECT count(*) AS total_rows FROM readings_raw", "readings_raw"))
+def q_row_count(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.row_count(_raw(spark, sf))
+
+
+@register("quality_profile", O.sql(f"SELECT {_MISSING} FROM readings_raw", "readings_raw"))
+def q_quality_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.quality_profile(_raw(spark, sf))
+
+
+@register("top_values", O.sql("""SELECT "energy(kWh/hh)" AS energy, count(*) AS count FROM readings_raw
+GROUP BY 1 ORDER BY count DESC, energy ASC NULLS FIRST LIMIT 10""", "readings_raw"))
+def q_top_values(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.top_values(_raw(spark, sf))
+
+
+@register("time_extent", O.sql("SELECT min(tstp) AS first_tstp, max(tstp) AS last_tstp FROM readings_raw",
+                               "readings_raw"))
+def q_time_extent(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.time_extent(_raw(spark, sf))
+
+
+@register("ts_format_profile", O.sql("""SELECT CAST(length(tstp) AS INTEGER) AS len_tstp, count(*) AS count
+FROM readings_raw GROUP BY 1""", "readings_raw"))
+def q_ts_format_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.ts_format_profile(_raw(spark, sf))
+
+
+@register("group_distribution", O.sql("""SELECT Acorn_grouped, count(*) AS count FROM households_raw
+GROUP BY 1""", "households_raw"))
+def q_group_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.group_distribution(tables.households_raw(spark, sf))
+
+
+@register("orphan_meters", O.sql("""SELECT count(*) AS orphan_meters FROM (SELECT DISTINCT LCLid FROM readings_raw) r
+WHERE NOT EXISTS (SELECT 1 FROM households_raw h WHERE h.LCLid = r.LCLid)""", "readings_raw", "households_raw"))
+def q_orphan_meters(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.orphan_meters(_raw(spark, sf), tables.households_raw(spark, sf))
+
+
+@register("orphan_meter_ids", O.sql("""SELECT DISTINCT LCLid FROM readings_raw r
+WHERE NOT EXISTS (SELECT 1 FROM households_raw h WHERE h.LCLid = r.LCLid)""", "readings_raw", "households_raw"))
+def q_orphan_meter_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return eda.orphan_meter_ids(_raw(spark, sf), tables.households_raw(spark, sf))
+
+
+# --- detector (batch form) ----------------------------------------------------
+
+# Users of the test tables have 45-99 readings, so the production
+# calibration of 600 never scores one; the per-meter alert layer uses a
+# calibration of 30 and thresholds 3 / 5. The production defaults run keyed
+# by event type (about 2 000 readings per key at sf0.01).
+METER_PARAMS = DetectorParams(calibration=30, z_mild=3.0, z_extreme=5.0, value_scale=layers.VALUE_SCALE)
+DEFAULT_PARAMS = DetectorParams(value_scale=layers.VALUE_SCALE)
+
+
+def alerts_layer(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.alerts(spark, sf, METER_PARAMS)
+
+
+@register("running_baseline", O.sql("""SELECT k AS LCLid, timestamp, consumption, temperature,
+       n AS prior_n, mean AS prior_mean, sd AS prior_sd FROM stats_meter""", "stats_meter"))
+def q_running_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(detector.running_baseline(layers.silver(spark, sf), METER_PARAMS))
+
+
+@register("anomaly_alerts", O.sql("SELECT * FROM alerts", "alerts"))
+def q_anomaly_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(alerts_layer(spark, sf))
+
+
+@register("anomaly_alerts_defaults", O.sql("SELECT * FROM alerts_type", "alerts_type"))
+def q_anomaly_alerts_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(layers.alerts(spark, sf, DEFAULT_PARAMS, key="event_type"))
+
+
+# --- reports: silver ------------------------------------------------------------
+
+def _fx(col: str, scale: int) -> str:
+    return f"CAST(round({col} * CAST({10 ** scale}.0 AS DOUBLE)) AS BIGINT)"
+
+
+def _mean(n: str, s: str, scale: int) -> str:
+    return f"(CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / (CAST({n} AS DOUBLE) * CAST({10 ** scale}.0 AS DOUBLE)) END)"
+
+
+def _cent(n: str, s: str, q: str) -> str:
+    return f"CAST(CAST({n} AS HUGEINT) * {q} - CAST({s} AS HUGEINT) * {s} AS DOUBLE)"
+
+
+def _sd(n: str, s: str, q: str, scale: int) -> str:
+    return (f"(CASE WHEN {n} > 1 THEN sqrt({_cent(n, s, q)} / (CAST({n} * ({n} - 1) AS DOUBLE)"
+            f" * CAST({10 ** (2 * scale)}.0 AS DOUBLE))) END)")
+
+
+_PAIR = "consumption IS NOT NULL AND temperature IS NOT NULL"
+_PX = f"CASE WHEN {_PAIR} THEN {_fx('consumption', 3)} END"
+_PY = f"CASE WHEN {_PAIR} THEN {_fx('temperature', 2)} END"
+
+
+@register("thermal_sensitivity", O.sql(f"""
+SELECT acorn_group,
+       CASE WHEN pn > 1 AND {_cent('pn', 'psx', 'pqx')} > 0 AND {_cent('pn', 'psy', 'pqy')} > 0
+            THEN CAST(CAST(pn AS HUGEINT) * pqxy - CAST(psx AS HUGEINT) * psy AS DOUBLE)
+                 / sqrt({_cent('pn', 'psx', 'pqx')} * {_cent('pn', 'psy', 'pqy')}) END AS pearson_corr,
+       {_sd('nx', 'sx', 'qx', 3)} / {_sd('ny', 'sy', 'qy', 2)} AS thermal_slope
+FROM (SELECT acorn_group,
+             count(CASE WHEN {_PAIR} THEN 1 END) AS pn,
+             sum({_PX}) AS psx, sum({_PY}) AS psy,
+             sum(CAST({_PX} AS HUGEINT) * {_PX}) AS pqx, sum(CAST({_PY} AS HUGEINT) * {_PY}) AS pqy,
+             sum(CAST({_PX} AS HUGEINT) * {_PY}) AS pqxy,
+             count(consumption) AS nx, sum({_fx('consumption', 3)}) AS sx,
+             sum(CAST({_fx('consumption', 3)} AS HUGEINT) * {_fx('consumption', 3)}) AS qx,
+             count(temperature) AS ny, sum({_fx('temperature', 2)}) AS sy,
+             sum(CAST({_fx('temperature', 2)} AS HUGEINT) * {_fx('temperature', 2)}) AS qy
+      FROM silver GROUP BY acorn_group) g""", "silver"))
+def q_thermal_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.thermal_sensitivity(layers.silver(spark, sf))
+
+
+@register("volatility_index", O.sql(f"""
+SELECT acorn_group, {_sd('n', 's', 'q', 3)} / {_mean('n', 's', 3)} AS volatility_index
+FROM (SELECT acorn_group, count(consumption) AS n, sum({_fx('consumption', 3)}) AS s,
+             sum(CAST({_fx('consumption', 3)} AS HUGEINT) * {_fx('consumption', 3)}) AS q
+      FROM silver GROUP BY acorn_group) g""", "silver"))
+def q_volatility_index(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.volatility_index(layers.silver(spark, sf))
+
+
+@register("weekend_shift", O.sql(f"""
+SELECT acorn_group, {_mean('n0', 's0', 3)} AS avg_weekday, {_mean('n1', 's1', 3)} AS avg_weekend,
+       ({_mean('n1', 's1', 3)} - {_mean('n0', 's0', 3)}) / {_mean('n0', 's0', 3)} * CAST(100.0 AS DOUBLE)
+         AS weekend_shift_pct
+FROM (SELECT acorn_group,
+             count(CASE WHEN dayofweek(timestamp) NOT IN (0, 6) THEN consumption END) AS n0,
+             sum(CASE WHEN dayofweek(timestamp) NOT IN (0, 6) THEN {_fx('consumption', 3)} END) AS s0,
+             count(CASE WHEN dayofweek(timestamp) IN (0, 6) THEN consumption END) AS n1,
+             sum(CASE WHEN dayofweek(timestamp) IN (0, 6) THEN {_fx('consumption', 3)} END) AS s1
+      FROM silver GROUP BY acorn_group) g""", "silver"))
+def q_weekend_shift(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.weekend_shift(layers.silver(spark, sf))
+
+
+# --- reports: gold ----------------------------------------------------------------
+
+@register("par_index", O.sql(f"""
+SELECT hour, peak / {_mean('n', 's', 3)} AS PAR_index
+FROM (SELECT hour(window_start) AS hour, max(total_load) AS peak, count(total_load) AS n,
+             sum({_fx('total_load', 3)}) AS s FROM gold GROUP BY 1) g
+ORDER BY PAR_index DESC NULLS LAST, hour LIMIT 5""", "gold"))
+def q_par_index(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.par_index(layers.gold_exact(spark, sf))
+
+
+@register("load_per_meter", O.sql(f"""
+SELECT acorn_group, hour(window_start) AS hour,
+       (CAST(sum({_fx('total_load', 3)}) AS DOUBLE) / CAST(1000.0 AS DOUBLE)) / CAST(sum(active_meters) AS DOUBLE)
+         AS kwh_per_meter
+FROM gold GROUP BY 1, 2
+ORDER BY kwh_per_meter DESC NULLS LAST, acorn_group ASC NULLS FIRST, hour LIMIT 5""", "gold"))
+def q_load_per_meter(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.load_per_meter(layers.gold_exact(spark, sf))
+
+
+@register("gold_outliers", O.sql(f"""
+SELECT window_start, window_end, total_load, avg_temp FROM gold
+WHERE total_load > (SELECT {_mean('n', 's', 3)} + CAST(2.0 AS DOUBLE) * {_sd('n', 's', 'q', 3)}
+                    FROM (SELECT count(total_load) AS n, sum({_fx('total_load', 3)}) AS s,
+                                 sum(CAST({_fx('total_load', 3)} AS HUGEINT) * {_fx('total_load', 3)}) AS q
+                          FROM gold) st)""", "gold"))
+def q_gold_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(insights.gold_outliers(layers.gold_exact(spark, sf)))
+
+
+# --- reports: alerts ----------------------------------------------------------------
+
+@register("alert_severity", O.sql("""
+SELECT LCLid, round(avg(currentValue / expectedAvg), 9) AS avg_severity, count(*) AS alert_count
+FROM alerts GROUP BY LCLid ORDER BY avg_severity DESC NULLS LAST, LCLid ASC NULLS FIRST LIMIT 5""", "alerts"))
+def q_alert_severity(spark: SparkSession, sf: str) -> DataFrame:
+    """Severity means are of arbitrary doubles; they are shown to 9 places."""
+    from pyspark.sql import functions as F
+    out = insights.alert_severity(alerts_layer(spark, sf))
+    return out.select("LCLid", F.round("avg_severity", 9).alias("avg_severity"), "alert_count")
+
+
+@register("alert_temp_bins", O.sql("""
+SELECT round(temperature / CAST(5.0 AS DOUBLE)) * CAST(5.0 AS DOUBLE) AS temp_bin, count(*) AS count
+FROM alerts GROUP BY 1""", "alerts"))
+def q_alert_temp_bins(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.alert_temp_bins(alerts_layer(spark, sf))
+
+
+@register("alert_group_rank", O.sql("""
+SELECT s.acorn_group, count(*) AS count, count(DISTINCT a_id) AS alert_count
+FROM (SELECT *, row_number() OVER () AS a_id FROM alerts) a JOIN silver s ON a.LCLid = s.LCLid
+GROUP BY s.acorn_group""", "alerts", "silver"))
+def q_alert_group_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.alert_group_rank(alerts_layer(spark, sf), layers.silver(spark, sf))
+
+
+@register("critical_alerts", O.sql("SELECT * FROM alerts WHERE currentValue > 10.0", "alerts"))
+def q_critical_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(insights.critical_alerts(alerts_layer(spark, sf)))
