@@ -291,3 +291,7 @@ def q_alert_group_rank(spark: SparkSession, sf: str) -> DataFrame:
 @register("critical_alerts", O.sql("SELECT * FROM alerts WHERE currentValue > 10.0", "alerts"))
 def q_critical_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(insights.critical_alerts(alerts_layer(spark, sf)))
+
+
+# Streaming and replay queries register themselves on import.
+from meterlake.plans import stream_queries  # noqa: E402,F401
