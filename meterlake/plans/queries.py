@@ -295,3 +295,4 @@ def q_critical_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streaming and replay queries register themselves on import.
 from meterlake.plans import stream_queries  # noqa: E402,F401
+from meterlake.plans import table_queries  # noqa: E402,F401
