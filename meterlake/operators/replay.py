@@ -36,5 +36,8 @@ def replay_messages(lines: DataFrame, header: str = HEADER, line_col: str = "val
     rows = (lines.filter(F.col(line_col) != F.lit(header))
             .select(f.alias("f"))
             .filter(F.size("f") == 3))
-    payload = F.struct(F.col("f")[0].alias("LCLid"), F.col("f")[1].alias("tstp"), F.col("f")[2].alias("energy"))
-    return rows.select(F.col("f")[0].alias("key"), F.to_json(payload).alias("value"))
+    # ``get`` tolerates a missing index: the optimizer may evaluate later
+    # predicates on these fields before the size filter.
+    f0, f1, f2 = (F.get(F.col("f"), i) for i in range(3))
+    payload = F.struct(f0.alias("LCLid"), f1.alias("tstp"), f2.alias("energy"))
+    return rows.select(f0.alias("key"), F.to_json(payload).alias("value"))
