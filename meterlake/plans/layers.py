@@ -3,6 +3,12 @@
 ``silver``/``gold``/``alerts`` build the medallion layers from the adapter
 inputs (see :mod:`meterlake.sources.tables`) with the same operators a
 deployment runs over its files and streams.
+
+``*_layer`` functions return the *persisted* layer: built once per session
+and data folder, written as parquet under the shared scratch folder
+(``spark.checkpoint.dir``) and read back, as the reports of a deployment read
+the tables the pipeline wrote. Reading a written table also cuts the lineage,
+so a lost executor costs a re-read of files, not a recomputation of joins.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from pyspark.sql import types as T
 
 from meterlake.operators import cleaning, detector, enrich, gold
 from meterlake.params import DetectorParams
+from meterlake.session import scratch_path
 from meterlake.sources import tables
 
 # Decimal places of a reading (kWh per half hour is reported in Wh steps).
@@ -38,16 +45,49 @@ def silver(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> Data
                                 weather(spark, sf_dir), keep=keep)
 
 
+_written: dict[tuple, str] = {}
+
+
+def materialize(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """The table ``build()`` computes, written once per session under the shared folder."""
+    key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
+    path = _written.get(key)
+    if path is None:
+        path = scratch_path(spark, f"layer-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _written[key] = path
+    return spark.read.parquet(path)
+
+
+def _silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The persisted silver also carries the adapter's event type, used to key
+    # the detector by type; silver readers prune it away.
+    return materialize(spark, "silver", sf_dir, lambda: silver(spark, sf_dir, keep=("event_type",)))
+
+
+def silver_layer(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _silver_typed(spark, sf_dir).select(*enrich.SILVER_COLUMNS, *keep)
+
+
 def gold_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold with exact meter counts and fixed-point sums (order independent)."""
-    return gold.gold_kpis(silver(spark, sf_dir), approx_meters=False, exact_scale=VALUE_SCALE)
+    """Gold over the persisted silver, with exact meter counts and fixed-point sums (order independent)."""
+    return gold.gold_kpis(silver_layer(spark, sf_dir), approx_meters=False, exact_scale=VALUE_SCALE)
+
+
+def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(spark, "gold", sf_dir, lambda: gold_exact(spark, sf_dir))
 
 
 def alerts(spark: SparkSession, sf_dir: str, p: DetectorParams, key: str = "LCLid") -> DataFrame:
-    s = silver(spark, sf_dir, keep=("event_type",) if key == "event_type" else ())
+    s = silver_layer(spark, sf_dir, keep=("event_type",) if key == "event_type" else ())
     return detector.anomaly_alerts(s, p, key=key)
 
 
+def alerts_layer(spark: SparkSession, sf_dir: str, p: DetectorParams) -> DataFrame:
+    tag = f"alerts-{p.calibration}-{p.z_mild}-{p.z_extreme}-{p.min_level}"
+    return materialize(spark, tag, sf_dir, lambda: alerts(spark, sf_dir, p))
+
+
 def to_ntz(df: DataFrame) -> DataFrame:
     """Cast timestamp columns to ``timestamp_ntz`` (UTC wall clock) and flatten window structs.
 

@@ -51,7 +51,7 @@ def q_gold_kpis(spark: SparkSession, sf: str) -> DataFrame:
 @register("gold_active_meters_approx")
 def q_gold_approx(spark: SparkSession, sf: str) -> DataFrame:
     """Gold as the source computes it: HyperLogLog meter counts, plain double sums."""
-    return layers.to_ntz(gold.gold_kpis(layers.silver(spark, sf)))
+    return layers.to_ntz(gold.gold_kpis(layers.silver_layer(spark, sf)))
 
 
 @register("household_dim", O.sql("SELECT * FROM households", "households"))
@@ -144,18 +144,19 @@ DEFAULT_PARAMS = DetectorParams(value_scale=layers.VALUE_SCALE)
 
 
 def alerts_layer(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.alerts(spark, sf, METER_PARAMS)
+    """The persisted alert history the reports read."""
+    return layers.alerts_layer(spark, sf, METER_PARAMS)
 
 
 @register("running_baseline", O.sql("""SELECT k AS LCLid, timestamp, consumption, temperature,
        n AS prior_n, mean AS prior_mean, sd AS prior_sd FROM stats_meter""", "stats_meter"))
 def q_running_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.to_ntz(detector.running_baseline(layers.silver(spark, sf), METER_PARAMS))
+    return layers.to_ntz(detector.running_baseline(layers.silver_layer(spark, sf), METER_PARAMS))
 
 
 @register("anomaly_alerts", O.sql("SELECT * FROM alerts", "alerts"))
 def q_anomaly_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.to_ntz(alerts_layer(spark, sf))
+    return layers.to_ntz(layers.alerts(spark, sf, METER_PARAMS))
 
 
 @register("anomaly_alerts_defaults", O.sql("SELECT * FROM alerts_type", "alerts_type"))
@@ -204,7 +205,7 @@ FROM (SELECT acorn_group,
              sum(CAST({_fx('temperature', 2)} AS HUGEINT) * {_fx('temperature', 2)}) AS qy
       FROM silver GROUP BY acorn_group) g""", "silver"))
 def q_thermal_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.thermal_sensitivity(layers.silver(spark, sf))
+    return insights.thermal_sensitivity(layers.silver_layer(spark, sf))
 
 
 @register("volatility_index", O.sql(f"""
@@ -213,7 +214,7 @@ FROM (SELECT acorn_group, count(consumption) AS n, sum({_fx('consumption', 3)})
              sum(CAST({_fx('consumption', 3)} AS HUGEINT) * {_fx('consumption', 3)}) AS q
       FROM silver GROUP BY acorn_group) g""", "silver"))
 def q_volatility_index(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.volatility_index(layers.silver(spark, sf))
+    return insights.volatility_index(layers.silver_layer(spark, sf))
 
 
 @register("weekend_shift", O.sql(f"""
@@ -227,7 +228,7 @@ FROM (SELECT acorn_group,
              sum(CASE WHEN dayofweek(timestamp) IN (0, 6) THEN {_fx('consumption', 3)} END) AS s1
       FROM silver GROUP BY acorn_group) g""", "silver"))
 def q_weekend_shift(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.weekend_shift(layers.silver(spark, sf))
+    return insights.weekend_shift(layers.silver_layer(spark, sf))
 
 
 # --- reports: gold ----------------------------------------------------------------
@@ -238,7 +239,7 @@ FROM (SELECT hour(window_start) AS hour, max(total_load) AS peak, count(total_lo
              sum({_fx('total_load', 3)}) AS s FROM gold GROUP BY 1) g
 ORDER BY PAR_index DESC NULLS LAST, hour LIMIT 5""", "gold"))
 def q_par_index(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.par_index(layers.gold_exact(spark, sf))
+    return insights.par_index(layers.gold_layer(spark, sf))
 
 
 @register("load_per_meter", O.sql(f"""
@@ -248,7 +249,7 @@ SELECT acorn_group, hour(window_start) AS hour,
 FROM gold GROUP BY 1, 2
 ORDER BY kwh_per_meter DESC NULLS LAST, acorn_group ASC NULLS FIRST, hour LIMIT 5""", "gold"))
 def q_load_per_meter(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.load_per_meter(layers.gold_exact(spark, sf))
+    return insights.load_per_meter(layers.gold_layer(spark, sf))
 
 
 @register("gold_outliers", O.sql(f"""
@@ -258,7 +259,7 @@ WHERE total_load > (SELECT {_mean('n', 's', 3)} + CAST(2.0 AS DOUBLE) * {_sd('n'
                                  sum(CAST({_fx('total_load', 3)} AS HUGEINT) * {_fx('total_load', 3)}) AS q
                           FROM gold) st)""", "gold"))
 def q_gold_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.to_ntz(insights.gold_outliers(layers.gold_exact(spark, sf)))
+    return layers.to_ntz(insights.gold_outliers(layers.gold_layer(spark, sf)))
 
 
 # --- reports: alerts ----------------------------------------------------------------
@@ -285,7 +286,7 @@ SELECT s.acorn_group, count(*) AS count, count(DISTINCT a_id) AS alert_count
 FROM (SELECT *, row_number() OVER () AS a_id FROM alerts) a JOIN silver s ON a.LCLid = s.LCLid
 GROUP BY s.acorn_group""", "alerts", "silver"))
 def q_alert_group_rank(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.alert_group_rank(alerts_layer(spark, sf), layers.silver(spark, sf))
+    return insights.alert_group_rank(alerts_layer(spark, sf), layers.silver_layer(spark, sf))
 
 
 @register("critical_alerts", O.sql("SELECT * FROM alerts WHERE currentValue > 10.0", "alerts"))

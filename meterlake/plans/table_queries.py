@@ -28,14 +28,14 @@ SMALL_FILES = 32
 @register("compact_layer", O.sql("SELECT * FROM silver", "silver"))
 def q_compact_layer(spark: SparkSession, sf: str) -> DataFrame:
     src, dst = scratch_path(spark, "silver-small"), scratch_path(spark, "silver-compact")
-    layers.silver(spark, sf).repartition(SMALL_FILES).write.mode("overwrite").parquet(src)
+    layers.silver_layer(spark, sf).repartition(SMALL_FILES).write.mode("overwrite").parquet(src)
     return layers.to_ntz(maintenance.compact(spark, src, dst))
 
 
 @register("expired_files", O.sql("SELECT * FROM gold", "gold"))
 def q_expired_files(spark: SparkSession, sf: str) -> DataFrame:
     table = scratch_path(spark, "gold-table")
-    g = layers.gold_exact(spark, sf)
+    g = layers.gold_layer(spark, sf)
     g.repartition(4).write.mode("overwrite").parquet(f"{table}/snapshot=1")
     g.coalesce(1).write.mode("overwrite").parquet(f"{table}/snapshot=2")
     expired = maintenance.expired_files(spark, table, retention_hours=0.0, now_ms=int(time.time() * 1000) + 1)

@@ -28,6 +28,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Tasks never wait for a preferred slot; on a cluster, readers of shuffle
+    # output and cached blocks are spread by AQE rather than by locality.
+    "spark.locality.wait": "0s",
 }
 
 

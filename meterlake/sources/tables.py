@@ -27,8 +27,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_tables: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A base table; the (lazy) DataFrame is reused within the session so its
+    file listing and footer schema are read once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _tables.get(key)
+    if df is None:
+        df = _tables[key] = spark.read.parquet(path)
+    return df
 
 
 def meter_id(c) -> F.Column:
