@@ -11,6 +11,7 @@ per hour and stays small.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,12 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES)
     return measure(df)[1] <= max_bytes
 
 
+def _persisted(df: DataFrame) -> DataFrame:
+    # The dimension is computed once: the size check fills the cache and the
+    # join (broadcast or shuffled) reads it. Memory first, spilling to disk.
+    return df if df.is_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
                    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join a fact DataFrame to a dimension, broadcasting the dimension only if it is measured small.
@@ -57,6 +64,8 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
     ``max_broadcast_bytes=None`` skips the check and leaves the choice to the
     planner (used on streaming plans built before the dimension exists).
     """
-    if max_broadcast_bytes is not None and fits_broadcast(dim, max_broadcast_bytes):
-        dim = F.broadcast(dim)
+    if max_broadcast_bytes is not None:
+        dim = _persisted(dim)
+        if fits_broadcast(dim, max_broadcast_bytes):
+            dim = F.broadcast(dim)
     return fact.join(dim, on, how)

@@ -32,13 +32,23 @@ from meterlake.streaming.sources import file_messages
 AWAIT_SECONDS = 600
 
 
-def land_messages(spark: SparkSession, sf: str, files: int | None = None) -> str:
-    """Replay the raw readings into message files; returns their folder."""
-    msgs = replay.replay_messages(tables.csv_lines(tables.readings_raw(spark, sf)))
-    if files:
-        msgs = msgs.repartition(files)
-    path = scratch_path(spark, "messages")
-    msgs.write.mode("overwrite").parquet(path)
+_landed: dict[tuple, str] = {}
+
+
+def land_messages(spark: SparkSession, sf: str) -> str:
+    """Replay the raw readings into message files (the topic); returns their folder.
+
+    Landed once per session and data folder: like the source's three
+    queries on one topic, every streaming query of a session reads the same
+    messages, each from its own checkpoint.
+    """
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    path = _landed.get(key)
+    if path is None:
+        msgs = replay.replay_messages(tables.csv_lines(tables.readings_raw(spark, sf)))
+        path = scratch_path(spark, "messages")
+        msgs.write.mode("overwrite").parquet(path)
+        _landed[key] = path
     return path
 
 
