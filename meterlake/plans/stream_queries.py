@@ -26,7 +26,7 @@ from meterlake.plans import oracle as O
 from meterlake.plans.queries import METER_PARAMS, register
 from meterlake.session import scratch_path
 from meterlake.sources import tables
-from meterlake.streaming import jobs
+from meterlake.streaming import enrich_join, jobs
 from meterlake.streaming.sources import file_messages
 
 AWAIT_SECONDS = 600
@@ -141,3 +141,31 @@ def q_stream_notify(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+
+
+def land_weather(spark: SparkSession, sf: str) -> str:
+    """Hourly weather rows as they would arrive on a weather topic (text fields)."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), "weather")
+    path = _landed.get(key)
+    if path is None:
+        path = scratch_path(spark, "weather-topic")
+        tables.weather_raw(spark, sf).write.mode("overwrite").parquet(path)
+        _landed[key] = path
+    return path
+
+
+@register("stream_stream_enrich", O.sql("SELECT * FROM silver", "silver"))
+def q_stream_stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings joined with the weather *stream* (left outer, watermarked both sides), bounded replay."""
+    msg_dir, w_dir = land_messages(spark, sf), land_weather(spark, sf)
+    end_msg, end_w = enrich_join.end_markers(spark)
+    m_end, w_end = scratch_path(spark, "end-messages"), scratch_path(spark, "end-weather")
+    end_msg.write.parquet(m_end)
+    end_w.write.parquet(w_end)
+    messages = file_messages(spark, msg_dir).unionByName(file_messages(spark, m_end))
+    weather = (spark.readStream.schema(schemas.RAW_WEATHER).parquet(w_dir)
+               .unionByName(spark.readStream.schema(schemas.RAW_WEATHER).parquet(w_end)))
+    out, ck = scratch_path(spark, "silver-ss"), scratch_path(spark, "ck-silver-ss")
+    silver = enrich_join.stream_stream_enrich(messages, weather, layers.households(spark, sf))
+    run_bounded(jobs.start_silver(silver, out, ck, jobs.BOUNDED))
+    return layers.to_ntz(spark.read.schema(schemas.SILVER).parquet(out))
