@@ -21,11 +21,12 @@ parallel scan instead:
 1. per key: row count and time span (partial aggregate, no skew);
 2. each key's history is cut into time chunks whose width is chosen so a
    chunk holds about ``chunk_rows`` readings on average;
-3. one shuffle by (key, chunk): an ordered window gives the prefix inside
-   the chunk and the chunk totals;
-4. chunk totals (one row per chunk) get an exclusive running sum per key,
-   and are joined back on (key, chunk) -- the reading side is already
-   partitioned that way, so only the small chunk table moves.
+3. chunk totals by a partial aggregate (one row per chunk and task is
+   shuffled), then an exclusive running sum over the chunks of each key;
+4. one shuffle of the readings by (key, chunk): an ordered window gives the
+   prefix inside the chunk; the chunk offsets are joined on (key, chunk) --
+   the reading side is already partitioned that way, so only the small
+   chunk table moves.
 """
 
 from __future__ import annotations
@@ -62,32 +63,21 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
                                  F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1))
                                         * F.lit(float(chunk_rows)) / F.col("_cnt")).cast("long")
                                  ).alias("_width")))
-    # One row per key: persisted so that the size check and the join share
-    # one computation; broadcast when measured small, else shuffled (AQE
-    # splits the hot key's partitions of the reading side).
-    span = span.persist()
+    # One row per key: persisted by the join helper so that its size check
+    # and the join share one computation; broadcast when measured small,
+    # else shuffled (AQE splits the hot key's partitions of the reading side).
     df = dimension_join(df, span, key, "inner")
     df = df.withColumn("_chunk", F.floor((F.col("_us") - F.col("_t0")) / F.col("_width")).cast("long"))
 
-    # 3. prefix inside the chunk, and chunk totals, in one window operator.
     xi = F.col("_xi")
     sq = xi.cast(_DEC) * xi.cast(_DEC)
-    w = Window.partitionBy(key, "_chunk").orderBy(*[F.col(c) for c in order])
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    df = df.select(
-        "*",
-        F.count(xi).over(before).alias("_ln"),
-        F.coalesce(F.sum(xi).over(before), F.lit(0).cast("long")).alias("_ls"),
-        F.coalesce(F.sum(sq).over(before), F.lit(0).cast(_DEC)).alias("_lq"),
-        F.count(xi).over(whole).alias("_cn"),
-        F.sum(xi).over(whole).alias("_cs"),
-        F.sum(sq).over(whole).alias("_cq"),
-    )
 
-    # 4. exclusive running totals over the chunks of each key.
-    chunks = df.groupBy(key, "_chunk").agg(F.max("_cn").alias("_cn"), F.max("_cs").alias("_cs"),
-                                           F.max("_cq").alias("_cq"))
+    # 3. chunk totals: a partial aggregate, so only one row per chunk and
+    # task is shuffled (the readings are scanned again, not shuffled again).
+    chunks = df.groupBy(key, "_chunk").agg(F.count(xi).alias("_cn"), F.sum(xi).alias("_cs"),
+                                           F.sum(sq).alias("_cq"))
+
+    # 4. exclusive running totals over the chunks of each key (one row per chunk).
     wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.select(
         F.col(key), F.col("_chunk"),
@@ -95,7 +85,19 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
         F.coalesce(F.sum("_cs").over(wc), F.lit(0).cast("long")).alias("_os"),
         F.coalesce(F.sum("_cq").over(wc), F.lit(0).cast(_DEC)).alias("_oq"),
     )
-    df = df.drop("_cn", "_cs", "_cq").join(offsets, [key, "_chunk"], "inner")
+
+    # 5. the one shuffle of the readings: by (key, chunk), ordered, prefix
+    # inside the chunk. The join below finds this side already partitioned
+    # by (key, chunk) and moves only the chunk offsets.
+    w = Window.partitionBy(key, "_chunk").orderBy(*[F.col(c) for c in order])
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.select(
+        "*",
+        F.count(xi).over(before).alias("_ln"),
+        F.coalesce(F.sum(xi).over(before), F.lit(0).cast("long")).alias("_ls"),
+        F.coalesce(F.sum(sq).over(before), F.lit(0).cast(_DEC)).alias("_lq"),
+    )
+    df = df.join(offsets, [key, "_chunk"], "inner")
     return (df.withColumn("prior_n", F.col("_on") + F.col("_ln"))
               .withColumn("prior_s", F.col("_os") + F.col("_ls"))
               .withColumn("prior_q", (F.col("_oq") + F.col("_lq")).cast(_DEC))
