@@ -41,3 +41,16 @@ def replay_messages(lines: DataFrame, header: str = HEADER, line_col: str = "val
     f0, f1, f2 = (F.get(F.col("f"), i) for i in range(3))
     payload = F.struct(f0.alias("LCLid"), f1.alias("tstp"), f2.alias("energy"))
     return rows.select(f0.alias("key"), F.to_json(payload).alias("value"))
+
+
+def write_messages(messages: DataFrame, path: str | None = None, fmt: str = "parquet",
+                   kafka_bootstrap: str | None = None, topic: str | None = None) -> None:
+    """Publish replayed messages: to a Kafka topic (needs the Kafka connector)
+    or as message files that the streaming jobs read."""
+    if kafka_bootstrap:
+        (messages.write.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap)
+         .option("topic", topic).save())
+    elif path:
+        messages.write.mode("append").format(fmt).save(path)
+    else:
+        raise ValueError("give a path or a Kafka bootstrap server and topic")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from meterlake.operators import cleaning, detector, enrich, gold
 from meterlake.params import DetectorParams
 from meterlake.session import scratch_path
-from meterlake.sources import tables
+from meterlake.sources import files, tables
 
 # Decimal places of a reading (kWh per half hour is reported in Wh steps).
 VALUE_SCALE = 3
@@ -56,7 +56,7 @@ def materialize(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame
         path = scratch_path(spark, f"layer-{name}")
         build().write.mode("overwrite").parquet(path)
         _written[key] = path
-    return spark.read.parquet(path)
+    return files.read_layer(spark, path)
 
 
 def _silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ def land_messages(spark: SparkSession, sf: str) -> str:
     if path is None:
         msgs = replay.replay_messages(tables.csv_lines(tables.readings_raw(spark, sf)))
         path = scratch_path(spark, "messages")
-        msgs.write.mode("overwrite").parquet(path)
+        replay.write_messages(msgs, path)
         _landed[key] = path
     return path
 
