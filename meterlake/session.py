@@ -31,8 +31,35 @@ DEFAULT_CONF = {
     # Tasks never wait for a preferred slot; on a cluster, readers of shuffle
     # output and cached blocks are spread by AQE rather than by locality.
     "spark.locality.wait": "0s",
+    # Streaming state (detector moments per meter, open gold windows, join
+    # buffers) lives in RocksDB off the JVM heap; commits upload changelogs.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+MB = 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * MB,
+                max_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input.
+
+    Scan splits and post-shuffle partitions of about ``target_partition_bytes``
+    keep every task's working set well inside executor memory (sorts and
+    window buffers spill beyond it). The initial shuffle partition count is
+    an upper bound from the input size; AQE coalesces small partitions at run
+    time and splits skewed join partitions above 4x the target.
+    """
+    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "meterlake", extra: dict | None = None) -> SparkSession:
