@@ -40,7 +40,8 @@ def register(name: str, sql: str | None = None):
 
 @register("enrich_silver", O.sql("SELECT * FROM silver", "silver"))
 def q_enrich_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.to_ntz(layers.silver(spark, sf))
+    """The silver job: enrich the readings and persist the layer the reports read."""
+    return layers.to_ntz(layers.silver_layer(spark, sf))
 
 
 @register("gold_kpis", O.sql("SELECT * FROM gold", "gold"))
