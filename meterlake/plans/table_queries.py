@@ -5,9 +5,9 @@ sink leaves it), compacted into a new folder, and read back -- the rows must
 be exactly the silver rows.
 
 ``expired_files``: a gold table gets two snapshots; with zero retention the
-expired files are exactly the files of the older snapshot, so reading them
-back must give the gold rows once (a live file listed, or an old one
-missed, would change the result).
+expired files are exactly the files of the older snapshot, so the rows they
+hold must be the gold rows once (a live file listed, or an old one missed,
+would change the result).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterlake.operators import cleaning, eda, enrich, maintenance
 from meterlake.plans import layers
@@ -40,9 +41,10 @@ def q_expired_files(spark: SparkSession, sf: str) -> DataFrame:
     g.repartition(4).write.mode("overwrite").parquet(f"{table}/snapshot=1")
     g.coalesce(1).write.mode("overwrite").parquet(f"{table}/snapshot=2")
     expired = maintenance.expired_files(spark, table, retention_hours=0.0, now_ms=int(time.time() * 1000) + 1)
-    # File paths only (metadata) come to the driver, to open the files.
-    paths = [r["path"] for r in expired.select("path").collect()]
-    old = spark.read.schema(g.schema).parquet(*paths) if paths else spark.createDataFrame([], g.schema)
+    # Rows of the expired files: every row of the table tagged with its file,
+    # semi-joined with the expired list (no file list goes through the driver).
+    rows = spark.read.schema(g.schema).parquet(table).withColumn("path", F.col("_metadata.file_path"))
+    old = rows.join(expired.select("path"), "path", "left_semi").drop("path", "snapshot")
     return layers.to_ntz(old)
 
 
