@@ -20,13 +20,16 @@ def exact_sum(c, scale: int) -> Column:
 
 
 def gold_kpis(silver: DataFrame, window: str = P.WINDOW, slide: str = P.SLIDE,
-              watermark: str | None = None, approx_meters: bool = True,
+              watermark: str | None = None, approx_meters: bool | str = True,
               exact_scale: int | None = None, rsd: float = 0.05) -> DataFrame:
     """Per (sliding window, acorn_group, precipType): mean and total consumption,
     active meters and mean temperature.
 
     Each reading lands in ``window/slide`` windows. ``approx_meters`` uses
-    HyperLogLog (``approx_count_distinct``); ``False`` counts exactly.
+    HyperLogLog (``approx_count_distinct``); ``False`` counts exactly with a
+    distinct aggregate (batch only); ``"set"`` counts exactly as the size of
+    the set of meters, which streams support (state then holds the meters of
+    each open window and group, so HyperLogLog is the choice for large fleets).
     ``exact_scale`` computes the consumption sum in fixed-point decimal and
     the mean as that sum over the count (order independent). All aggregates
     are partial: each task combines its rows before the shuffle on the keys.
@@ -39,9 +42,13 @@ def gold_kpis(silver: DataFrame, window: str = P.WINDOW, slide: str = P.SLIDE,
         tot = F.sum("consumption")
     else:
         tot = exact_sum("consumption", exact_scale)
-        avg_c = tot / F.count("consumption")
-    meters = (F.approx_count_distinct("LCLid", rsd) if approx_meters
-              else F.count_distinct("LCLid"))
+        avg_c = F.try_divide(tot, F.count("consumption"))
+    if approx_meters == "set":
+        meters = F.size(F.collect_set("LCLid")).cast("long")
+    elif approx_meters:
+        meters = F.approx_count_distinct("LCLid", rsd)
+    else:
+        meters = F.count_distinct("LCLid")
     return (df.groupBy(F.window("timestamp", window, slide).alias("window"), "acorn_group", "precipType")
             .agg(avg_c.alias("avg_consumption"),
                  tot.alias("total_load"),

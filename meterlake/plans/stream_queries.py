@@ -73,11 +73,11 @@ def stream_silver_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schemas.SILVER).parquet(out)
 
 
-def stream_gold_table(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+def stream_gold_table(spark: SparkSession, sf: str, mode: str, meters: str = "approx") -> DataFrame:
     msg_dir = land_messages(spark, sf)
     out, ck = scratch_path(spark, f"gold-{mode}"), scratch_path(spark, f"ck-gold-{mode}")
     run_bounded(jobs.start_gold(enriched(spark, sf, msg_dir), out, ck, mode=mode, trigger=jobs.BOUNDED,
-                                exact_scale=layers.VALUE_SCALE))
+                                exact_scale=layers.VALUE_SCALE, meters=meters))
     return jobs.read_gold(spark, out, mode)
 
 
@@ -120,6 +120,12 @@ def q_stream_gold(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_gold_table(spark, sf, "complete"))
 
 
+@register("stream_gold_exact", O.sql("SELECT * FROM gold", "gold"))
+def q_stream_gold_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete-mode gold with exact meter counts (size of the set of meters)."""
+    return layers.to_ntz(stream_gold_table(spark, sf, "complete", meters="set"))
+
+
 @register("stream_gold_append")
 def q_stream_gold_append(spark: SparkSession, sf: str) -> DataFrame:
     """Append-mode gold: the windows closed by the final watermark."""

@@ -69,9 +69,12 @@ def start_silver(silver: DataFrame, path: str, checkpoint: str, trigger: Trigger
     return trigger.apply(w).start()
 
 
-def gold_stream(silver: DataFrame, watermark: str = P.WATERMARK, exact_scale: int | None = 3) -> DataFrame:
-    # Distinct counts are not supported on streams; meters are counted with HyperLogLog.
-    return gold.gold_kpis(silver, watermark=watermark, approx_meters=True, exact_scale=exact_scale)
+def gold_stream(silver: DataFrame, watermark: str = P.WATERMARK, exact_scale: int | None = 3,
+                meters: str = "approx") -> DataFrame:
+    # Distinct aggregates are not supported on streams: meters are counted
+    # with HyperLogLog, or exactly as the size of their set (``meters="set"``).
+    return gold.gold_kpis(silver, watermark=watermark, approx_meters="set" if meters == "set" else True,
+                          exact_scale=exact_scale)
 
 
 def _snapshot_writer(path: str, fmt: str):
@@ -84,8 +87,8 @@ def _snapshot_writer(path: str, fmt: str):
 
 def start_gold(silver: DataFrame, path: str, checkpoint: str, mode: str = "complete",
                trigger: Trigger = SERVICE_GOLD, watermark: str = P.WATERMARK, fmt: str = "parquet",
-               exact_scale: int | None = 3) -> StreamingQuery:
-    g = gold_stream(silver, watermark, exact_scale)
+               exact_scale: int | None = 3, meters: str = "approx") -> StreamingQuery:
+    g = gold_stream(silver, watermark, exact_scale, meters)
     if mode == "complete":
         w = (g.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
              .foreachBatch(_snapshot_writer(path, fmt)))
