@@ -22,47 +22,72 @@ TEMP_SCALE = 2   # degrees
 
 # --- silver: behaviour --------------------------------------------------------
 
+def silver_group_moments(silver: DataFrame) -> DataFrame:
+    """One aggregate pass over silver with every moment the three silver
+    reports need, per group: consumption and temperature (each on its own
+    known values and on the rows where both are known), their co-moment, and
+    weekday / weekend consumption count and sum. One partial aggregate, one
+    small shuffle; the reports are projections of its one row per group."""
+    x, y = "consumption", "temperature"
+    pair = F.col(x).isNotNull() & F.col(y).isNotNull()
+    px, py = F.when(pair, F.col(x)), F.when(pair, F.col(y))
+    wk = C.is_weekend("timestamp")
+    xd, xe = F.when(wk == 0, F.col(x)), F.when(wk == 1, F.col(x))
+    return silver.groupBy("acorn_group").agg(
+        M.count_both(x, y).alias("pn"),
+        M.sum_fixed(px, CONS_SCALE).alias("psx"), M.sum_fixed(py, TEMP_SCALE).alias("psy"),
+        M.sum_sq_fixed(px, CONS_SCALE).alias("pqx"), M.sum_sq_fixed(py, TEMP_SCALE).alias("pqy"),
+        M.sum_prod_fixed(px, CONS_SCALE, py, TEMP_SCALE).alias("pqxy"),
+        F.count(x).alias("nx"), M.sum_fixed(x, CONS_SCALE).alias("sx"), M.sum_sq_fixed(x, CONS_SCALE).alias("qx"),
+        F.count(y).alias("ny"), M.sum_fixed(y, TEMP_SCALE).alias("sy"), M.sum_sq_fixed(y, TEMP_SCALE).alias("qy"),
+        F.count(xd).alias("n0"), M.sum_fixed(xd, CONS_SCALE).alias("s0"),
+        F.count(xe).alias("n1"), M.sum_fixed(xe, CONS_SCALE).alias("s1"),
+    )
+
+
+def _c(n: str):
+    return F.col(n)
+
+
+def thermal_from(m: DataFrame) -> DataFrame:
+    corr = M.corr_from(_c("pn"), _c("psx"), _c("psy"), _c("pqx"), _c("pqy"), _c("pqxy"))
+    sdx = M.sd_from(_c("nx"), _c("sx"), _c("qx"), CONS_SCALE)
+    sdy = M.sd_from(_c("ny"), _c("sy"), _c("qy"), TEMP_SCALE)
+    out = m.select("acorn_group", corr.alias("pearson_corr"), F.try_divide(sdx, sdy).alias("thermal_slope"))
+    return out.orderBy(F.asc_nulls_first("pearson_corr"), F.asc_nulls_first("acorn_group"))
+
+
+def volatility_from(m: DataFrame) -> DataFrame:
+    cov = F.try_divide(M.sd_from(_c("nx"), _c("sx"), _c("qx"), CONS_SCALE), M.mean_from(_c("nx"), _c("sx"), CONS_SCALE))
+    out = m.select("acorn_group", cov.alias("volatility_index"))
+    return out.orderBy(F.desc_nulls_last("volatility_index"), F.asc_nulls_first("acorn_group"))
+
+
+def weekend_from(m: DataFrame) -> DataFrame:
+    wd = M.mean_from(_c("n0"), _c("s0"), CONS_SCALE)
+    we = M.mean_from(_c("n1"), _c("s1"), CONS_SCALE)
+    return m.select("acorn_group", wd.alias("avg_weekday"), we.alias("avg_weekend"),
+                    (F.try_divide(we - wd, wd) * F.lit(100.0)).alias("weekend_shift_pct"))
+
+
 def thermal_sensitivity(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Per group: Pearson correlation of consumption with temperature, and the
     ratio of their standard deviations (kWh per degree of spread; not a
     regression slope). Ascending by correlation."""
     if exact:
-        x, y = "consumption", "temperature"
-        pair = F.col(x).isNotNull() & F.col(y).isNotNull()
-        px = F.when(pair, F.col(x))
-        py = F.when(pair, F.col(y))
-        g = silver.groupBy("acorn_group").agg(
-            M.count_both(x, y).alias("pn"),
-            M.sum_fixed(px, CONS_SCALE).alias("psx"), M.sum_fixed(py, TEMP_SCALE).alias("psy"),
-            M.sum_sq_fixed(px, CONS_SCALE).alias("pqx"), M.sum_sq_fixed(py, TEMP_SCALE).alias("pqy"),
-            M.sum_prod_fixed(px, CONS_SCALE, py, TEMP_SCALE).alias("pqxy"),
-            F.count(x).alias("nx"), M.sum_fixed(x, CONS_SCALE).alias("sx"), M.sum_sq_fixed(x, CONS_SCALE).alias("qx"),
-            F.count(y).alias("ny"), M.sum_fixed(y, TEMP_SCALE).alias("sy"), M.sum_sq_fixed(y, TEMP_SCALE).alias("qy"),
-        )
-        c = lambda n: F.col(n)
-        corr = M.corr_from(c("pn"), c("psx"), c("psy"), c("pqx"), c("pqy"), c("pqxy"))
-        sdx = M.sd_from(c("nx"), c("sx"), c("qx"), CONS_SCALE)
-        sdy = M.sd_from(c("ny"), c("sy"), c("qy"), TEMP_SCALE)
-        out = g.select("acorn_group", corr.alias("pearson_corr"), F.try_divide(sdx, sdy).alias("thermal_slope"))
-    else:
-        out = silver.groupBy("acorn_group").agg(
-            F.corr("consumption", "temperature").alias("pearson_corr"),
-            F.try_divide(F.stddev("consumption"), F.stddev("temperature")).alias("thermal_slope"))
+        return thermal_from(silver_group_moments(silver))
+    out = silver.groupBy("acorn_group").agg(
+        F.corr("consumption", "temperature").alias("pearson_corr"),
+        F.try_divide(F.stddev("consumption"), F.stddev("temperature")).alias("thermal_slope"))
     return out.orderBy(F.asc_nulls_first("pearson_corr"), F.asc_nulls_first("acorn_group"))
 
 
 def volatility_index(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Coefficient of variation of consumption per group, descending."""
     if exact:
-        g = silver.groupBy("acorn_group").agg(
-            F.count("consumption").alias("n"), M.sum_fixed("consumption", CONS_SCALE).alias("s"),
-            M.sum_sq_fixed("consumption", CONS_SCALE).alias("q"))
-        n, s, q = F.col("n"), F.col("s"), F.col("q")
-        out = g.select("acorn_group", F.try_divide(M.sd_from(n, s, q, CONS_SCALE),
-                                                   M.mean_from(n, s, CONS_SCALE)).alias("volatility_index"))
-    else:
-        out = silver.groupBy("acorn_group").agg(
-            F.try_divide(F.stddev("consumption"), F.avg("consumption")).alias("volatility_index"))
+        return volatility_from(silver_group_moments(silver))
+    out = silver.groupBy("acorn_group").agg(
+        F.try_divide(F.stddev("consumption"), F.avg("consumption")).alias("volatility_index"))
     return out.orderBy(F.desc_nulls_last("volatility_index"), F.asc_nulls_first("acorn_group"))
 
 
@@ -70,18 +95,15 @@ def weekend_shift(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Mean consumption on weekdays and weekends per group, and the weekend
     change in percent ``(weekend - weekday) / weekday * 100``.
 
-    The pivot values are fixed (0 = weekday, 1 = weekend), so a group or a
-    dataset without weekend rows yields NULL instead of a missing column.
+    The weekend flag has fixed values (0 = weekday, 1 = weekend; the pivot
+    lists them explicitly), so a group or a dataset without weekend rows
+    yields NULL instead of a missing column.
     """
-    df = silver.withColumn("is_weekend", C.is_weekend("timestamp"))
     if exact:
-        p = (df.groupBy("acorn_group").pivot("is_weekend", [0, 1])
-             .agg(F.count("consumption").alias("n"), M.sum_fixed("consumption", CONS_SCALE).alias("s")))
-        wd = M.mean_from(F.col("0_n"), F.col("0_s"), CONS_SCALE)
-        we = M.mean_from(F.col("1_n"), F.col("1_s"), CONS_SCALE)
-    else:
-        p = df.groupBy("acorn_group").pivot("is_weekend", [0, 1]).agg(F.avg("consumption"))
-        wd, we = F.col("0"), F.col("1")
+        return weekend_from(silver_group_moments(silver))
+    df = silver.withColumn("is_weekend", C.is_weekend("timestamp"))
+    p = df.groupBy("acorn_group").pivot("is_weekend", [0, 1]).agg(F.avg("consumption"))
+    wd, we = F.col("0"), F.col("1")
     return p.select("acorn_group", wd.alias("avg_weekday"), we.alias("avg_weekend"),
                     (F.try_divide(we - wd, wd) * F.lit(100.0)).alias("weekend_shift_pct"))
 
@@ -176,3 +198,25 @@ def alert_group_rank(alerts: DataFrame, silver: DataFrame,
 def critical_alerts(alerts: DataFrame, min_value: float | None = 10.0) -> DataFrame:
     """Alerts above a reading level (the notifier's optional filter)."""
     return alerts if min_value is None else alerts.filter(F.col("currentValue") > F.lit(min_value))
+
+
+# --- all reports --------------------------------------------------------------
+
+def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: int = 5) -> dict[str, DataFrame]:
+    """The nine reports over the three layers.
+
+    The silver reports share one aggregate pass (persisted: it is one row
+    per group); the others are one aggregate each over gold or alerts.
+    """
+    m = silver_group_moments(silver).persist()
+    return {
+        "thermal_sensitivity": thermal_from(m),
+        "volatility_index": volatility_from(m),
+        "weekend_shift": weekend_from(m),
+        "par_index": par_index(gold, k),
+        "load_per_meter": load_per_meter(gold, k),
+        "gold_outliers": gold_outliers(gold),
+        "alert_severity": alert_severity(alerts, k),
+        "alert_temp_bins": alert_temp_bins(alerts),
+        "alert_group_rank": alert_group_rank(alerts, silver),
+    }

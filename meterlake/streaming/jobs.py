@@ -175,3 +175,21 @@ def read_notifications(spark: SparkSession, path: str, fmt: str = "parquet") ->
     if df is None:
         return spark.createDataFrame([], schemas.NOTIFICATION)
     return df.select(*[f.name for f in schemas.NOTIFICATION])
+
+
+def start_layer_queries(spark: SparkSession, messages: DataFrame, households: DataFrame, weather: DataFrame,
+                        root: str, p: P.DetectorParams = P.DEFAULT_DETECTOR, gold_mode: str = "complete",
+                        triggers: dict[str, Trigger] | None = None) -> dict[str, StreamingQuery]:
+    """Start the silver, gold and alert queries over one message source.
+
+    Each query re-reads the source and keeps its own checkpoint under
+    ``root/checkpoints/<layer>``; outputs go to ``root/<layer>``. Wait with
+    ``spark.streams.awaitAnyTermination()``: one query ending ends the service.
+    """
+    t = {"silver": SERVICE_SILVER, "gold": SERVICE_GOLD, "alerts": SERVICE_ALERTS, **(triggers or {})}
+    silver = enriched_stream(messages, households, weather)
+    return {
+        "silver": start_silver(silver, f"{root}/silver", f"{root}/checkpoints/silver", t["silver"]),
+        "gold": start_gold(silver, f"{root}/gold", f"{root}/checkpoints/gold", gold_mode, t["gold"]),
+        "alerts": start_alerts(silver, f"{root}/alerts", f"{root}/checkpoints/alerts", p, t["alerts"]),
+    }

@@ -56,3 +56,19 @@ def test_approx_meter_counts_within_error_bound(spark):
     assert st["mean"] <= 0.05            # the requested relative standard deviation
     assert (st["big"] or 0.0) <= 0.2     # 4 standard errors where the count is not tiny
     assert st["abs"] <= 3
+
+
+def test_business_reports_equal_single_reports(spark):
+    from meterlake.operators import detector, insights
+    from meterlake.params import DetectorParams
+    s, g = layers.silver_layer(spark, SF), layers.gold_layer(spark, SF)
+    a = detector.anomaly_alerts(s, DetectorParams(calibration=30, z_mild=3.0, z_extreme=5.0))
+    reps = insights.business_reports(s, g, a)
+    assert len(reps) == 9
+    assert reps["thermal_sensitivity"].collect() == insights.thermal_sensitivity(s).collect()
+    assert reps["weekend_shift"].collect() == insights.weekend_shift(s).collect()
+    assert reps["par_index"].collect() == insights.par_index(g).collect()
+    # The built-in (non fixed-point) forms agree to rounding.
+    fast = {r["acorn_group"]: r["volatility_index"] for r in insights.volatility_index(s, exact=False).collect()}
+    for r in reps["volatility_index"].collect():
+        assert abs(r["volatility_index"] - fast[r["acorn_group"]]) < 1e-9

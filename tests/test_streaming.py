@@ -151,3 +151,19 @@ def test_idle_meter_state_expires_and_calibrates_again(spark, tmpdir_path):
 
     assert run(idle=False, tag="busy") == 1
     assert run(idle=True, tag="idle") == 0
+
+
+def test_three_layer_queries_from_one_source(spark, tmpdir_path):
+    inbox, root = f"{tmpdir_path}/in", f"{tmpdir_path}/service"
+    _messages(spark).write.parquet(inbox)
+    h, w = _dims(spark)
+    qs = jobs.start_layer_queries(spark, file_messages(spark, inbox), h, w, root, METER.with_(timeout=None),
+                                  triggers={k: jobs.BOUNDED for k in ("silver", "gold", "alerts")})
+    for q in qs.values():
+        _run(q)
+    silver = layers.silver_layer(spark, SF)
+    assert spark.read.schema(schemas.SILVER).parquet(f"{root}/silver").exceptAll(silver).count() == 0
+    assert spark.read.parquet(f"{root}/silver").count() == silver.count()
+    assert jobs.read_gold(spark, f"{root}/gold").count() == gold.gold_kpis(silver).count()
+    got = sorted(tuple(r) for r in spark.read.schema(schemas.ALERT).parquet(f"{root}/alerts").collect())
+    assert got == sorted(tuple(r) for r in detector.anomaly_alerts(silver, METER).collect())
