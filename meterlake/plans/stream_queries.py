@@ -126,10 +126,12 @@ def q_stream_gold_exact(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_gold_table(spark, sf, "complete", meters="set"))
 
 
-@register("stream_gold_append")
+@register("stream_gold_append", O.sql("""
+SELECT * FROM gold
+WHERE window_end <= (SELECT max(timestamp) FROM silver) - INTERVAL 10 MINUTE""", "gold", "silver"))
 def q_stream_gold_append(spark: SparkSession, sf: str) -> DataFrame:
-    """Append-mode gold: the windows closed by the final watermark."""
-    return layers.to_ntz(stream_gold_table(spark, sf, "append"))
+    """Append-mode gold: exactly the windows the final watermark (latest reading - 10 min) has closed."""
+    return layers.to_ntz(stream_gold_table(spark, sf, "append", meters="set"))
 
 
 @register("stream_alerts", O.sql("SELECT * FROM alerts", "alerts"))
