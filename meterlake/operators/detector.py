@@ -46,15 +46,13 @@ def _fixed(x: Column, scale: int) -> Column:
     return F.round(x * F.lit(float(10 ** scale))).cast("long")
 
 
-def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
-                  order: tuple[str, ...] = ("timestamp", "consumption", "temperature"),
-                  value: str = "consumption", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Add ``prior_n``, ``prior_s``, ``prior_q`` (exclusive prefix moments per key, fixed point)."""
-    ts = order[0]
-    df = readings.withColumn("_xi", _fixed(F.col(value), p.value_scale)) \
-                 .withColumn("_us", F.unix_micros(F.col(ts)))
+def assign_chunks(df: DataFrame, key: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Add ``_chunk``: the time chunk of each row within its key (needs ``_us``, event time in µs).
 
-    # 1-2. per-key chunk width: about chunk_rows readings per chunk.
+    A key's span is cut into equal-width chunks, the width chosen from the
+    key's row count so a chunk holds about ``chunk_rows`` rows when readings
+    arrive at a steady rate. Chunks are numbered in time order.
+    """
     span = (df.groupBy(key)
               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_us").alias("_t0"), F.max("_us").alias("_t1"))
               .select(F.col(key),
@@ -67,7 +65,19 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
     # and the join share one computation; broadcast when measured small,
     # else shuffled (AQE splits the hot key's partitions of the reading side).
     df = dimension_join(df, span, key, "inner")
-    df = df.withColumn("_chunk", F.floor((F.col("_us") - F.col("_t0")) / F.col("_width")).cast("long"))
+    return (df.withColumn("_chunk", F.floor((F.col("_us") - F.col("_t0")) / F.col("_width")).cast("long"))
+              .drop("_t0", "_width"))
+
+
+def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
+                  order: tuple[str, ...] = ("timestamp", "consumption", "temperature"),
+                  value: str = "consumption", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Add ``prior_n``, ``prior_s``, ``prior_q`` (exclusive prefix moments per key, fixed point)."""
+    ts = order[0]
+    df = readings.withColumn("_xi", _fixed(F.col(value), p.value_scale)) \
+                 .withColumn("_us", F.unix_micros(F.col(ts)))
+
+    df = assign_chunks(df, key, chunk_rows)
 
     xi = F.col("_xi")
     sq = xi.cast(_DEC) * xi.cast(_DEC)
@@ -101,7 +111,7 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
     return (df.withColumn("prior_n", F.col("_on") + F.col("_ln"))
               .withColumn("prior_s", F.col("_os") + F.col("_ls"))
               .withColumn("prior_q", (F.col("_oq") + F.col("_lq")).cast(_DEC))
-              .drop("_on", "_os", "_oq", "_ln", "_ls", "_lq", "_chunk", "_t0", "_width", "_us"))
+              .drop("_on", "_os", "_oq", "_ln", "_ls", "_lq", "_chunk", "_us"))
 
 
 def moments_to_stats(n: Column, s: Column, q: Column, scale: int) -> tuple[Column, Column]:

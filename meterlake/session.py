@@ -8,7 +8,6 @@ we create one under the system temp folder and record it in the session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -95,12 +94,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared scratch area."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)

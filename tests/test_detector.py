@@ -185,3 +185,19 @@ def test_null_consumption_or_time_is_not_scored(spark):
     df = spark.createDataFrame(rows, "LCLid string, timestamp timestamp, consumption double, temperature double")
     assert detector.running_baseline(df, P).count() == 5
     assert df.filter(F.col("consumption").isNull()).count() == 1
+
+
+def test_hot_key_is_cut_into_bounded_chunks(spark):
+    # One key holds a third of the rows; each chunk must stay near chunk_rows.
+    n = 30_000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), (F.col("id") % 500).cast("string")))
+        .alias("LCLid"),
+        (F.col("id") * F.lit(1_000_000)).alias("_us")))
+    chunks = detector.assign_chunks(df, "LCLid", chunk_rows=500)
+    st = (chunks.groupBy("LCLid", "_chunk").count()
+          .groupBy("LCLid").agg(F.count("*").alias("chunks"), F.max("count").alias("biggest")))
+    hot = st.filter(F.col("LCLid") == "hot").first()
+    assert hot["chunks"] >= 15 and hot["biggest"] <= 600
+    cold = st.filter(F.col("LCLid") != "hot").agg(F.max("chunks").alias("m")).first()["m"]
+    assert cold == 1
