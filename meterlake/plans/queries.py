@@ -236,7 +236,7 @@ def q_weekend_shift(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("par_index", O.sql(f"""
 SELECT hour, peak / {_mean('n', 's', 3)} AS PAR_index
-FROM (SELECT hour(window_start) AS hour, max(total_load) AS peak, count(total_load) AS n,
+FROM (SELECT CAST(hour(window_start) AS INTEGER) AS hour, max(total_load) AS peak, count(total_load) AS n,
              sum({_fx('total_load', 3)}) AS s FROM gold GROUP BY 1) g
 ORDER BY PAR_index DESC NULLS LAST, hour LIMIT 5""", "gold"))
 def q_par_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,7 +244,7 @@ def q_par_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("load_per_meter", O.sql(f"""
-SELECT acorn_group, hour(window_start) AS hour,
+SELECT acorn_group, CAST(hour(window_start) AS INTEGER) AS hour,
        (CAST(sum({_fx('total_load', 3)}) AS DOUBLE) / CAST(1000.0 AS DOUBLE)) / CAST(sum(active_meters) AS DOUBLE)
          AS kwh_per_meter
 FROM gold GROUP BY 1, 2

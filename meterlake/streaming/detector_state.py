@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import decimal
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,10 @@ import pandas as pd
 
 from meterlake import params as P
 
+# PySpark's Arrow serializer concatenates empty frames for keys without
+# output; pandas warns about a future dtype rule that does not apply here.
+warnings.filterwarnings("ignore", category=FutureWarning, module=r"pyspark\.sql\.pandas\.serializers")
+
 ALERT_COLUMNS = ["LCLid", "timestamp", "currentValue", "expectedAvg", "deviation", "temperature", "message"]
 _DTYPES = {"LCLid": "object", "timestamp": "datetime64[ns]", "currentValue": "float64",
            "expectedAvg": "float64", "deviation": "object", "temperature": "float64", "message": "object"}
