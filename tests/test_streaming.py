@@ -167,3 +167,24 @@ def test_three_layer_queries_from_one_source(spark, tmpdir_path):
     assert jobs.read_gold(spark, f"{root}/gold").count() == gold.gold_kpis(silver).count()
     got = sorted(tuple(r) for r in spark.read.schema(schemas.ALERT).parquet(f"{root}/alerts").collect())
     assert got == sorted(tuple(r) for r in detector.anomaly_alerts(silver, METER).collect())
+
+
+def test_late_reading_still_reaches_the_detector(spark, tmpdir_path):
+    # With a processing-time timeout the watermark does not filter the detector's input (r10).
+    house = spark.createDataFrame([("M1", "Affluent")], "meter_id string, acorn_group string")
+    d = dt.datetime(2024, 1, 1)
+    weather = spark.createDataFrame([(d.replace(hour=h), 20.0, 18.0, 0.5, None) for h in range(24)],
+                                    "weather_hour timestamp, temperature double, apparentTemperature double, "
+                                    "humidity double, precipType string")
+    p = DetectorParams(calibration=3, z_mild=3.0, z_extreme=5.0, min_level=1.0, timeout=None)
+    inbox, out, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/a", f"{tmpdir_path}/ck"
+    batches = [[_msg("M1", d.replace(hour=h), v) for h, v in zip(range(10, 16), ["1.0", "1.1", "0.9"] * 2)],
+               [_msg("M1", d.replace(hour=23), "1.0")],
+               [_msg("M1", d.replace(hour=22), "1.0")],
+               [_msg("M1", d.replace(hour=2), "9.0")]]          # 21 h behind the watermark
+    for b in batches:
+        spark.createDataFrame(b, "key string, value string").write.parquet(inbox, mode="append")
+        _run(jobs.start_alerts(jobs.enriched_stream(file_messages(spark, inbox), house, weather), out, ck, p,
+                               jobs.BOUNDED))
+    got = spark.read.schema(schemas.ALERT).parquet(out).collect()
+    assert len(got) == 1 and got[0]["currentValue"] == 9.0
