@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from meterlake.session import app_key
 from pyspark.sql import types as T
 
 # Broadcast budget of a dimension (serialized payload estimate).
@@ -37,7 +39,7 @@ def _payload_bytes(df: DataFrame) -> Column:
 
 def measure(df: DataFrame) -> tuple[int, int]:
     """(rows, estimated bytes) of a DataFrame; one aggregate job, cached per plan."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    key = (app_key(df.sparkSession), df.semanticHash())
     hit = _size_cache.get(key)
     if hit is not None:
         return hit

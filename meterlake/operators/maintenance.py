@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake import params as P
+from meterlake.session import ship_package
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
@@ -89,4 +90,5 @@ def delete_files(expired: DataFrame) -> DataFrame:
                 except OSError:
                     done.append(False)
             yield pd.DataFrame({"path": pdf["path"], "deleted": done})
+    ship_package(expired.sparkSession)
     return expired.select("path").mapInPandas(rm, "path string, deleted boolean")

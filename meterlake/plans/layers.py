@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from meterlake.operators import cleaning, detector, enrich, gold
 from meterlake.params import DetectorParams
-from meterlake.session import scratch_path
+from meterlake.session import app_key, scratch_path
 from meterlake.sources import files, tables
 
 # Decimal places of a reading (kWh per half hour is reported in Wh steps).
@@ -50,7 +50,7 @@ _written: dict[tuple, str] = {}
 
 def materialize(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     """The table ``build()`` computes, written once per session under the shared folder."""
-    key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
+    key = (app_key(spark), name, sf_dir.rstrip("/"))
     path = _written.get(key)
     if path is None:
         path = scratch_path(spark, f"layer-{name}")

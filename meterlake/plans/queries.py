@@ -16,6 +16,7 @@ from meterlake.operators import detector, eda, gold, insights
 from meterlake.params import DetectorParams
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
+from meterlake.session import ship_package
 from meterlake.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,7 @@ def register(name: str, sql: str | None = None):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql is not None:

@@ -24,7 +24,7 @@ from meterlake.operators import replay
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
 from meterlake.plans.queries import METER_PARAMS, register
-from meterlake.session import scratch_path
+from meterlake.session import app_key, scratch_path
 from meterlake.sources import tables
 from meterlake.streaming import enrich_join, jobs
 from meterlake.streaming.sources import file_messages
@@ -42,7 +42,7 @@ def land_messages(spark: SparkSession, sf: str) -> str:
     queries on one topic, every streaming query of a session reads the same
     messages, each from its own checkpoint.
     """
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    key = (app_key(spark), sf.rstrip("/"))
     path = _landed.get(key)
     if path is None:
         msgs = replay.replay_messages(tables.csv_lines(tables.readings_raw(spark, sf)))
@@ -153,7 +153,7 @@ def q_stream_notify(spark: SparkSession, sf: str) -> DataFrame:
 
 def land_weather(spark: SparkSession, sf: str) -> str:
     """Hourly weather rows as they would arrive on a weather topic (text fields)."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), "weather")
+    key = (app_key(spark), sf.rstrip("/"), "weather")
     path = _landed.get(key)
     if path is None:
         path = scratch_path(spark, "weather-topic")

@@ -94,3 +94,45 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared scratch area."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set[str] = set()
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (memo key for per-session work)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 -- sessions without a local SparkContext
+        return f"session-{id(spark)}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``meterlake`` importable in the executors' Python workers.
+
+    The stateful detector and the file deleter run Python on executors;
+    their functions refer to this package. It is zipped once per
+    application and added with ``addPyFile`` (what ``--py-files`` does at
+    submit time), so workers import it whatever their working folder.
+    """
+    key = app_key(spark)
+    if key in _shipped:
+        return
+    import os
+    import zipfile
+
+    import meterlake
+    pkg = os.path.dirname(os.path.abspath(meterlake.__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="meterlake-pkg-"), "meterlake.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.relpath(full, root))
+    try:
+        spark.sparkContext.addPyFile(zpath)
+    except Exception:  # noqa: BLE001 -- Spark Connect sessions ship artifacts instead
+        spark.addArtifacts(zpath, pyfile=True)
+    _shipped.add(key)

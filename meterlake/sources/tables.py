@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.session import app_key
+
 
 _tables: dict[tuple, DataFrame] = {}
 
@@ -34,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table; the (lazy) DataFrame is reused within the session so its
     file listing and footer schema are read once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    key = (app_key(spark), id(spark), path)
     df = _tables.get(key)
     if df is None:
         df = _tables[key] = spark.read.parquet(path)

@@ -28,6 +28,7 @@ from meterlake import params as P
 from meterlake import schemas
 from meterlake.operators import cleaning, enrich, gold, insights
 from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
+from meterlake.session import ship_package
 from meterlake.streaming.detector_state import make_detector
 
 
@@ -131,6 +132,7 @@ def alert_stream(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR,
                 .select(F.col(key).cast("string").alias("LCLid"), "timestamp", "consumption",
                         F.col("temperature").cast("double").alias("temperature")))
     timeout = "ProcessingTimeTimeout" if p.timeout else "NoTimeout"
+    ship_package(silver.sparkSession)
     return readings.groupBy("LCLid").applyInPandasWithState(
         make_detector(p), schemas.ALERT, schemas.DETECTOR_STATE, "append", timeout)
 
