@@ -7,8 +7,8 @@
   eda       CSV blocks + household file -> profile tables
   maintain  compact a layer into a new folder; list (and optionally delete) expired files
 
-Paths may be local or on any filesystem Spark reads. Checkpoints go under
-``--root/checkpoints``.
+Paths may be local or on any filesystem Spark reads. Stream checkpoints go
+under ``--root/checkpoints``.
 """
 
 from __future__ import annotations
@@ -63,8 +63,9 @@ def run(argv: list[str] | None = None) -> None:
                     help="consume/notify: process what is available, then stop (no state timeout)")
     a = ap.parse_args(argv)
 
-    spark = build_session(a.master, app_name=f"meterlake-{a.job}",
-                          extra={"spark.checkpoint.dir": f"{a.root}/checkpoints"} if a.root else None)
+    # Stream checkpoints go under --root; other scratch data under the
+    # session's spark.checkpoint.dir (a temporary folder only if it is unset).
+    spark = build_session(a.master, app_name=f"meterlake-{a.job}")
     ship_package(spark)
     fmt = a.format
     if a.job == "replay":
