@@ -23,6 +23,8 @@ def enrich_silver(readings: DataFrame, households: DataFrame, weather: DataFrame
     so the reading side is never shuffled for enrichment.
     """
     r = readings.withColumn("join_hour", C.hour_key("timestamp"))
-    r = dimension_join(r, households, r["LCLid"] == households["meter_id"], "inner", max_broadcast_bytes)
-    r = dimension_join(r, weather, r["join_hour"] == weather["weather_hour"], "left", max_broadcast_bytes)
+    r = dimension_join(r, households, r["LCLid"] == households["meter_id"], "inner", max_broadcast_bytes,
+                       dim_key="meter_id")
+    r = dimension_join(r, weather, r["join_hour"] == weather["weather_hour"], "left", max_broadcast_bytes,
+                       dim_key="weather_hour")
     return r.select(*[F.col(c) for c in SILVER_COLUMNS], *[F.col(k) for k in keep])

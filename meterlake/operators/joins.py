@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.session import app_key
+from meterlake.session import app_key, shared_dir
 from pyspark.sql import types as T
 
 # Broadcast budget of a dimension (serialized payload estimate).
@@ -60,14 +60,35 @@ def _persisted(df: DataFrame) -> DataFrame:
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
-                   max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                   max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
+                   dim_key: str | None = None) -> DataFrame:
     """Join a fact DataFrame to a dimension, broadcasting the dimension only if it is measured small.
 
-    ``max_broadcast_bytes=None`` skips the check and leaves the choice to the
-    planner (used on streaming plans built before the dimension exists).
+    A dimension over the budget is joined by shuffle; with ``dim_key`` it is
+    first hash-partitioned by that key and checkpointed in that layout, so
+    repeated joins (every micro-batch of a stream-static join) shuffle only
+    the fact side. ``max_broadcast_bytes=None`` skips the check and leaves
+    the choice to the planner.
     """
     if max_broadcast_bytes is not None:
         dim = _persisted(dim)
         if fits_broadcast(dim, max_broadcast_bytes):
             dim = F.broadcast(dim)
+        elif dim_key is not None:
+            # Written once to the shared checkpoint folder in the join's
+            # partitioning; a checkpointed DataFrame keeps that layout, so
+            # later joins shuffle the fact side only.
+            spark = dim.sparkSession
+            shared_dir(spark)
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # The checkpoint job runs without AQE: an adaptive plan reports no
+            # output partitioning, and the layout is the point of this step.
+            aqe = spark.conf.get("spark.sql.adaptive.enabled")
+            spark.conf.set("spark.sql.adaptive.enabled", "false")
+            try:
+                laid_out = dim.repartition(n, F.col(dim_key)).checkpoint(eager=True)
+            finally:
+                spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            dim.unpersist()
+            dim = laid_out
     return fact.join(dim, on, how)

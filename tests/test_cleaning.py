@@ -92,3 +92,21 @@ def test_dimension_join_broadcasts_only_when_measured_small(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_big_dimension_is_laid_out_by_key_and_not_reshuffled(spark):
+    fact = spark.range(2000).select((F.col("id") % 300).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(300).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = dimension_join(fact, dim, "k", "inner", max_broadcast_bytes=10, dim_key="k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Scan ExistingRDD" in plan or "LogicalRDD" in plan or "ExistingRDD" in plan, plan
+        assert j.count() == 2000
+        # The cached dimension already has the join's partitioning: the only
+        # exchange left is the fact side's.
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

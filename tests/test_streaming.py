@@ -188,3 +188,18 @@ def test_late_reading_still_reaches_the_detector(spark, tmpdir_path):
                                jobs.BOUNDED))
     got = spark.read.schema(schemas.ALERT).parquet(out).collect()
     assert len(got) == 1 and got[0]["currentValue"] == 9.0
+
+
+def test_stream_static_join_with_dimensions_over_the_broadcast_budget(spark, tmpdir_path):
+    inbox, out, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/silver", f"{tmpdir_path}/ck"
+    _messages(spark).write.parquet(inbox)
+    h, w = _dims(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        silver = jobs.enriched_stream(file_messages(spark, inbox), h, w, max_broadcast_bytes=10)
+        _run(jobs.start_silver(silver, out, ck, jobs.BOUNDED))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = spark.read.schema(schemas.SILVER).parquet(out)
+    want = layers.silver_layer(spark, SF)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
