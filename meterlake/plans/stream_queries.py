@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake import schemas
-from meterlake.operators import replay
+from meterlake.operators import maintenance, replay
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
 from meterlake.plans.queries import METER_PARAMS, register
-from meterlake.session import app_key, scratch_path
+from meterlake.session import app_key, conf_scope, scratch_path, state_partitions
 from meterlake.sources import tables
 from meterlake.streaming import enrich_join, jobs
 from meterlake.streaming.sources import file_messages
@@ -52,6 +52,12 @@ def land_messages(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _sized(spark: SparkSession, *paths: str) -> conf_scope:
+    """Start a replay with state partitions sized from its input (see ``state_partitions``)."""
+    size = sum(maintenance.layer_bytes(spark, p) for p in paths)
+    return conf_scope(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark, size))})
+
+
 def run_bounded(q) -> None:
     finished = q.awaitTermination(AWAIT_SECONDS)
     if not finished:
@@ -69,15 +75,19 @@ def enriched(spark: SparkSession, sf: str, msg_dir: str) -> DataFrame:
 def stream_silver_table(spark: SparkSession, sf: str) -> DataFrame:
     msg_dir = land_messages(spark, sf)
     out, ck = scratch_path(spark, "silver"), scratch_path(spark, "ck-silver")
-    run_bounded(jobs.start_silver(enriched(spark, sf, msg_dir), out, ck, jobs.BOUNDED))
+    with _sized(spark, msg_dir):
+        q = jobs.start_silver(enriched(spark, sf, msg_dir), out, ck, jobs.BOUNDED)
+    run_bounded(q)
     return spark.read.schema(schemas.SILVER).parquet(out)
 
 
 def stream_gold_table(spark: SparkSession, sf: str, mode: str, meters: str = "approx") -> DataFrame:
     msg_dir = land_messages(spark, sf)
     out, ck = scratch_path(spark, f"gold-{mode}"), scratch_path(spark, f"ck-gold-{mode}")
-    run_bounded(jobs.start_gold(enriched(spark, sf, msg_dir), out, ck, mode=mode, trigger=jobs.BOUNDED,
-                                exact_scale=layers.VALUE_SCALE, meters=meters))
+    with _sized(spark, msg_dir):
+        q = jobs.start_gold(enriched(spark, sf, msg_dir), out, ck, mode=mode, trigger=jobs.BOUNDED,
+                            exact_scale=layers.VALUE_SCALE, meters=meters)
+    run_bounded(q)
     return jobs.read_gold(spark, out, mode)
 
 
@@ -85,7 +95,9 @@ def stream_alerts_table(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     msg_dir = land_messages(spark, sf)
     out, ck = scratch_path(spark, "alerts"), scratch_path(spark, "ck-alerts")
     p = METER_PARAMS.with_(timeout=None)
-    run_bounded(jobs.start_alerts(enriched(spark, sf, msg_dir), out, ck, p, jobs.BOUNDED))
+    with _sized(spark, msg_dir):
+        q = jobs.start_alerts(enriched(spark, sf, msg_dir), out, ck, p, jobs.BOUNDED)
+    run_bounded(q)
     return spark.read.schema(schemas.ALERT).parquet(out), out
 
 
@@ -144,7 +156,9 @@ def q_stream_notify(spark: SparkSession, sf: str) -> DataFrame:
     """Every alert delivered once by the notifier (delivery columns left out)."""
     _, alerts_dir = stream_alerts_table(spark, sf)
     out, ck = scratch_path(spark, "notify"), scratch_path(spark, "ck-notify")
-    run_bounded(jobs.start_notify(spark, alerts_dir, out, ck, trigger=jobs.BOUNDED))
+    with _sized(spark, alerts_dir):
+        q = jobs.start_notify(spark, alerts_dir, out, ck, trigger=jobs.BOUNDED)
+    run_bounded(q)
     return layers.to_ntz(jobs.read_notifications(spark, out).select("LCLid", "timestamp", "message", "temperature"))
 
 
@@ -175,5 +189,7 @@ def q_stream_stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
                .unionByName(spark.readStream.schema(schemas.RAW_WEATHER).parquet(w_end)))
     out, ck = scratch_path(spark, "silver-ss"), scratch_path(spark, "ck-silver-ss")
     silver = enrich_join.stream_stream_enrich(messages, weather, layers.households(spark, sf))
-    run_bounded(jobs.start_silver(silver, out, ck, jobs.BOUNDED))
+    with _sized(spark, msg_dir, w_dir):
+        q = jobs.start_silver(silver, out, ck, jobs.BOUNDED)
+    run_bounded(q)
     return layers.to_ntz(spark.read.schema(schemas.SILVER).parquet(out))

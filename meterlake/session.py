@@ -136,3 +136,43 @@ def ship_package(spark: SparkSession) -> None:
     except Exception:  # noqa: BLE001 -- Spark Connect sessions ship artifacts instead
         spark.addArtifacts(zpath, pyfile=True)
     _shipped.add(key)
+
+
+class conf_scope:
+    """Set SQL configs for the duration of a block, then restore them.
+
+    Used around ``writeStream.start()``: a query captures the session's
+    configuration when it starts (e.g. its number of state partitions).
+    """
+
+    def __init__(self, spark: SparkSession, conf: dict[str, str]):
+        self.spark, self.conf, self.saved = spark, conf, {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def state_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * MB) -> int:
+    """State / shuffle partitions for a stream over ``input_bytes`` per run.
+
+    About ``target_bytes`` per partition, at least one per core, never more
+    than the session's ``spark.sql.shuffle.partitions``.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        cores = 8
+    want = max(cores, -(-input_bytes // target_bytes))
+    return max(1, min(current, want))
