@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import columns as C
-from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dimension_join
+from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dimension_join, prepare
 
 SILVER_COLUMNS = ["LCLid", "timestamp", "consumption", "acorn_group",
                   "temperature", "apparentTemperature", "humidity", "precipType"]
@@ -23,6 +23,8 @@ def enrich_silver(readings: DataFrame, households: DataFrame, weather: DataFrame
     so the reading side is never shuffled for enrichment.
     """
     r = readings.withColumn("join_hour", C.hour_key("timestamp"))
+    if max_broadcast_bytes is not None:
+        prepare([households, weather])
     r = dimension_join(r, households, r["LCLid"] == households["meter_id"], "inner", max_broadcast_bytes,
                        dim_key="meter_id")
     r = dimension_join(r, weather, r["join_hour"] == weather["weather_hour"], "left", max_broadcast_bytes,

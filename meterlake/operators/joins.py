@@ -59,6 +59,14 @@ def _persisted(df: DataFrame) -> DataFrame:
     return df if df.is_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def prepare(dims: list[DataFrame]) -> None:
+    """Persist and measure several dimensions at once (their size jobs run concurrently)."""
+    from concurrent.futures import ThreadPoolExecutor
+    todo = [_persisted(d) for d in dims]
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        list(pool.map(measure, todo))
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
                    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
                    dim_key: str | None = None) -> DataFrame:
