@@ -10,9 +10,9 @@ stream writes them); the newest snapshot is the live one.
   small files into splits of ``maxPartitionBytes``; ``coalesce`` caps the
   number of output files without a shuffle.
 * :func:`expired_files` lists, as a DataFrame, the files of a table that the
-  live snapshot does not reference and that are older than the retention.
-  The listing reads file metadata only (no content). Deletion is a separate,
-  explicit step (:func:`delete_files`), run on the executors.
+  live (newest) snapshot does not hold and that are older than the
+  retention. One listing of file metadata; no data file is opened. Deletion
+  is a separate, explicit step (:func:`delete_files`), run on the executors.
 """
 
 from __future__ import annotations
@@ -57,23 +57,33 @@ def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = DEFAULT
     return spark.read.format(fmt).load(dst)
 
 
-def live_files(spark: SparkSession, table: str, fmt: str = "parquet") -> DataFrame:
-    """Files referenced by the newest snapshot of ``table``."""
-    df = spark.read.format(fmt).load(table)
-    latest = df.select(F.max("snapshot")).scalar()
-    return (df.filter(F.col("snapshot") == latest)
-            .select(F.col("_metadata.file_path").alias("path")).distinct())
+def snapshot_files(spark: SparkSession, table: str) -> DataFrame:
+    """Data files of a snapshot table with their snapshot number (from the ``snapshot=<n>`` folder)."""
+    snap = F.regexp_extract(F.col("path"), r"/snapshot=(\d+)/", 1)
+    return (list_files(spark, table)
+            .withColumn("snapshot", F.when(snap != "", snap.cast("long"))))
+
+
+def live_files(spark: SparkSession, table: str) -> DataFrame:
+    """Files of the newest snapshot of ``table`` (from the file listing; no file is opened)."""
+    files = snapshot_files(spark, table)
+    latest = files.select(F.max("snapshot")).scalar()
+    return files.filter(F.col("snapshot") == latest).select("path")
 
 
 def expired_files(spark: SparkSession, table: str, retention_hours: float = P.RETENTION_HOURS,
                   now_ms: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Files under ``table`` not in its live snapshot and older than the retention."""
+    """Files of superseded snapshots of ``table`` older than the retention.
+
+    One metadata-only listing: the live snapshot is the highest snapshot
+    number found, so no data file is opened.
+    """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     cutoff = F.timestamp_millis(F.lit(now_ms - int(retention_hours * 3_600_000)))
-    files = list_files(spark, table)
-    live = live_files(spark, table, fmt)
-    return (files.join(live, "path", "left_anti")
-            .filter(F.col("modificationTime") < cutoff))
+    files = snapshot_files(spark, table)
+    latest = files.select(F.max("snapshot")).scalar()
+    return (files.filter((F.col("snapshot") < latest) & (F.col("modificationTime") < cutoff))
+            .select("path", "modificationTime", "length"))
 
 
 def delete_files(expired: DataFrame) -> DataFrame:
