@@ -36,16 +36,13 @@ from pyspark.sql import functions as F
 
 from meterlake import params as P
 from meterlake.functions import columns as C
+from meterlake.functions.moments import fixed
 from meterlake.operators.joins import dimension_join
 
 DEFAULT_CHUNK_ROWS = 200_000
 _DEC = "decimal(38,0)"
 
 
-def _fixed(x: Column, scale: int) -> Column:
-    return F.round(x * F.lit(float(10 ** scale))).cast("long")
-
-
 def assign_chunks(df: DataFrame, key: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``_chunk``: the time chunk of each row within its key (needs ``_us``, event time in µs).
 
@@ -74,7 +71,7 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
                   value: str = "consumption", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``prior_n``, ``prior_s``, ``prior_q`` (exclusive prefix moments per key, fixed point)."""
     ts = order[0]
-    df = readings.withColumn("_xi", _fixed(F.col(value), p.value_scale)) \
+    df = readings.withColumn("_xi", fixed(F.col(value), p.value_scale)) \
                  .withColumn("_us", F.unix_micros(F.col(ts)))
 
     df = assign_chunks(df, key, chunk_rows)
