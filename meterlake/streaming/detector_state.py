@@ -8,9 +8,10 @@ Scores are computed with the same sequence of double operations as the
 batch form, so a stream split into any micro-batches (in time order) yields
 exactly the batch result.
 
-Within a batch the prefix moments are cumulative sums (numpy); only the
-128-bit products ``n*q - s^2`` use Python integers. A meter's rows in one
-micro-batch are bounded by the source's admission cap.
+Within a batch the prefix moments are cumulative sums over numpy arrays;
+only the 128-bit products ``n*q - s^2`` use Python integers, and pandas is
+used only to build the rows that alert. A meter's rows in one micro-batch
+are bounded by the source's admission cap.
 """
 
 from __future__ import annotations
@@ -34,8 +35,12 @@ _DTYPES = {"LCLid": "object", "timestamp": "datetime64[ns]", "currentValue": "fl
            "expectedAvg": "float64", "deviation": "object", "temperature": "float64", "message": "object"}
 
 
+_EMPTY = pd.DataFrame({c: pd.Series(dtype=t) for c, t in _DTYPES.items()})[ALERT_COLUMNS]
+
+
 def _empty() -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series(dtype=_DTYPES[c]) for c in ALERT_COLUMNS})
+    # Built once: constructing a typed empty frame costs far more than scoring.
+    return _EMPTY
 
 
 def _text(z: np.ndarray, places: int) -> list[str]:
@@ -44,10 +49,37 @@ def _text(z: np.ndarray, places: int) -> list[str]:
     return [f"{v // scale}.{v % scale:0{places}d}" for v in q.tolist()]
 
 
-def _prefix(xi: np.ndarray, base: int) -> np.ndarray:
-    """Exclusive running sums of ``xi`` plus ``base`` (object array of Python ints when large)."""
-    c = np.cumsum(xi) - xi
-    return c.astype(object) + base
+def score_arrays(ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: int, q0: int,
+                 p: P.DetectorParams):
+    """Score one key's readings (any order) against moments ``(n0, s0, q0)``.
+
+    Returns ``(order, hit, mean, z, (n, s, q))``: the time order of the
+    inputs, which of the ordered readings alert, their prior mean and score,
+    and the moments after the batch. Plain numpy; only the 128-bit products
+    ``n*q - s^2`` use Python integers.
+    """
+    order = np.lexsort((temp, x, ts))           # by time, then reading, then temperature
+    x, temp = x[order], temp[order]
+    m = len(x)
+    unit = float(10 ** p.value_scale)
+    v = x * unit
+    xi = (np.sign(v) * np.floor(np.abs(v) + 0.5)).astype(np.int64)  # half away from zero, as Spark's round
+    n = n0 + np.arange(m, dtype=np.int64)
+    s = s0 + (np.cumsum(xi) - xi)               # exclusive prefix sums (fit in 64 bits, as the state does)
+    xs = xi.tolist()
+    ns, ss = n.tolist(), s.tolist()
+    q, acc = [], q0
+    for xv in xs:
+        q.append(acc)
+        acc += xv * xv
+    d = np.array([float(a * b - c * c) for a, b, c in zip(ns, q, ss)], dtype=np.float64)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = np.where(n > 0, s.astype(np.float64) / (n.astype(np.float64) * unit), np.nan)
+        var = np.where(n > 1, d / ((n * (n - 1)).astype(np.float64) * (unit * unit)), 0.0)
+    z = np.abs(x - mean) / (np.sqrt(var) + p.sd_floor)
+    thr = np.where((temp < p.cold) | (temp > p.hot), p.z_extreme, p.z_mild)
+    hit = (n > p.calibration) & (z > thr) & (x > p.min_level)
+    return order, hit, mean, z, (n0 + m, s0 + int(xi.sum()), acc)
 
 
 def score_batch(key: str, pdf: pd.DataFrame, n0: int, s0: int, q0: int,
@@ -56,53 +88,25 @@ def score_batch(key: str, pdf: pd.DataFrame, n0: int, s0: int, q0: int,
 
     Returns the alert rows and the moments after the batch.
     """
-    pdf = pdf.sort_values(["timestamp", "consumption", "temperature"], kind="stable")
+    ts = pdf["timestamp"].to_numpy()
     x = pdf["consumption"].to_numpy(dtype=np.float64)
     temp = pdf["temperature"].to_numpy(dtype=np.float64)
-    unit = float(10 ** p.value_scale)
-    v = x * unit
-    xi = (np.sign(v) * np.floor(np.abs(v) + 0.5)).astype(np.int64)  # half away from zero, as Spark's round
-    m = len(xi)
-
-    n = n0 + np.arange(m, dtype=np.int64)
-    sq = xi.astype(object) * xi.astype(object)
-    s = _prefix(xi, s0)
-    q = np.cumsum(np.concatenate([[q0], sq]))[:-1] if m else np.array([], dtype=object)
-
-    n_f = n.astype(np.float64)
-    s_f = np.array([float(v) for v in s], dtype=np.float64)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        mean = np.where(n > 0, s_f / (n_f * unit), np.nan)
-    d = n.astype(object) * q - s * s
-    d_f = np.array([float(v) for v in d], dtype=np.float64)
-    nn1 = (n * (n - 1)).astype(np.float64)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        var = np.where(n > 1, d_f / (nn1 * (unit * unit)), 0.0)
-    sd = np.sqrt(var)
-    z = np.abs(x - mean) / (sd + p.sd_floor)
-
-    extreme = (temp < p.cold) | (temp > p.hot)
-    thr = np.where(extreme, p.z_extreme, p.z_mild)
-    hit = (n > p.calibration) & (z > thr) & (x > p.min_level)
-
-    n_end = n0 + m
-    s_end = s0 + int(xi.sum()) if m else s0
-    q_end = q0 + int(sum(sq)) if m else q0
+    order, hit, mean, z, moments = score_arrays(ts, x, temp, n0, s0, q0, p)
     if not hit.any():
-        return _empty(), (n_end, s_end, q_end)
+        return _empty(), moments
+    x, temp, ts = x[order][hit], temp[order][hit], ts[order][hit]
     zh = z[hit]
-    th = temp[hit]
-    ctx = np.where(th < p.cold, P.CONTEXT_COLD, np.where(th > p.hot, P.CONTEXT_HOT, P.CONTEXT_MILD))
+    ctx = np.where(temp < p.cold, P.CONTEXT_COLD, np.where(temp > p.hot, P.CONTEXT_HOT, P.CONTEXT_MILD))
     out = pd.DataFrame({
-        "LCLid": [str(key)] * int(hit.sum()),
-        "timestamp": pdf["timestamp"].to_numpy()[hit],
-        "currentValue": x[hit],
+        "LCLid": [str(key)] * len(x),
+        "timestamp": ts,
+        "currentValue": x,
         "expectedAvg": mean[hit],
         "deviation": [P.DEVIATION_PREFIX + t for t in _text(zh, 2)],
-        "temperature": th,
+        "temperature": temp,
         "message": [f"{P.MESSAGE_PREFIX}{c} ({t}{P.MESSAGE_SUFFIX}" for c, t in zip(ctx, _text(zh, 1))],
     })
-    return out, (n_end, s_end, q_end)
+    return out, moments
 
 
 def make_detector(p: P.DetectorParams):
@@ -117,15 +121,15 @@ def make_detector(p: P.DetectorParams):
         frames = [f for f in pdfs if len(f)]
         if not frames:
             return
-        pdf = pd.concat(frames, ignore_index=True)
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if state.exists:
             n0, s0, q0, _ = state.get
             n0, s0, q0 = int(n0), int(s0), int(q0)
         else:
             n0 = s0 = q0 = 0
         out, (n1, s1, q1) = score_batch(key[0], pdf, n0, s0, q0, p)
-        last = pd.Timestamp(pdf["timestamp"].max())
-        state.update((n1, s1, decimal.Decimal(q1), int(last.value // 10 ** 6)))
+        last = pdf["timestamp"].to_numpy().max().astype("datetime64[ms]").astype(np.int64)
+        state.update((n1, s1, decimal.Decimal(q1), int(last)))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
         if len(out):
