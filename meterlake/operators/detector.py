@@ -19,8 +19,10 @@ task; a key may hold a third of all rows. The prefix is computed as a
 parallel scan instead:
 
 1. per key: row count and time span (partial aggregate, no skew);
-2. each key's history is cut into time chunks whose width is chosen so a
-   chunk holds about ``chunk_rows`` readings on average;
+2. the history of each key with more than ``chunk_rows`` readings is cut
+   into time chunks holding about ``chunk_rows`` readings each (such keys
+   are few by construction, so their table is broadcast); other keys are
+   one chunk;
 3. chunk totals by a partial aggregate (one row per chunk and task is
    shuffled), then an exclusive running sum over the chunks of each key;
 4. one shuffle of the readings by (key, chunk): an ordered window gives the
@@ -46,24 +48,26 @@ _DEC = "decimal(38,0)"
 def assign_chunks(df: DataFrame, key: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``_chunk``: the time chunk of each row within its key (needs ``_us``, event time in µs).
 
-    A key's span is cut into equal-width chunks, the width chosen from the
-    key's row count so a chunk holds about ``chunk_rows`` rows when readings
-    arrive at a steady rate. Chunks are numbered in time order.
+    Only keys with more than ``chunk_rows`` rows are cut: their span is split
+    into equal-width chunks holding about ``chunk_rows`` rows each when
+    readings arrive at a steady rate; every other key is one chunk (0).
+    There are at most ``rows / chunk_rows`` such hot keys, so their table is
+    small by construction; it is joined (left) with a measured broadcast and
+    the common case -- no hot key -- adds no shuffle of the readings.
     """
-    span = (df.groupBy(key)
-              .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_us").alias("_t0"), F.max("_us").alias("_t1"))
-              .select(F.col(key),
-                      F.col("_t0"),
-                      F.greatest(F.lit(1).cast("long"),
-                                 F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1))
-                                        * F.lit(float(chunk_rows)) / F.col("_cnt")).cast("long")
-                                 ).alias("_width")))
-    # One row per key: persisted by the join helper so that its size check
-    # and the join share one computation; broadcast when measured small,
-    # else shuffled (AQE splits the hot key's partitions of the reading side).
-    df = dimension_join(df, span, key, "inner")
-    return (df.withColumn("_chunk", F.floor((F.col("_us") - F.col("_t0")) / F.col("_width")).cast("long"))
-              .drop("_t0", "_width"))
+    hot = (df.groupBy(key)
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_us").alias("_t0"), F.max("_us").alias("_t1"))
+             .filter(F.col("_cnt") > F.lit(chunk_rows))
+             .select(F.col(key),
+                     F.col("_t0"),
+                     F.greatest(F.lit(1).cast("long"),
+                                F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1))
+                                       * F.lit(float(chunk_rows)) / F.col("_cnt")).cast("long")
+                                ).alias("_width")))
+    df = dimension_join(df, hot, key, "left")
+    chunk = F.coalesce(F.floor((F.col("_us") - F.col("_t0")) / F.col("_width")).cast("long"),
+                       F.lit(0).cast("long"))
+    return df.withColumn("_chunk", chunk).drop("_t0", "_width")
 
 
 def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
