@@ -11,6 +11,8 @@ per hour and stays small.
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,10 +55,23 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES)
     return measure(df)[1] <= max_bytes
 
 
+MAX_PERSISTED = 32
+_persisted_lru: "OrderedDict[int, DataFrame]" = OrderedDict()
+
+
 def _persisted(df: DataFrame) -> DataFrame:
     # The dimension is computed once: the size check fills the cache and the
     # join (broadcast or shuffled) reads it. Memory first, spilling to disk.
-    return df if df.is_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+    # A long-running session keeps the most recent MAX_PERSISTED of them; an
+    # evicted one is recomputed if a plan still refers to it.
+    if not df.is_cached:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    _persisted_lru[id(df)] = df
+    _persisted_lru.move_to_end(id(df))
+    while len(_persisted_lru) > MAX_PERSISTED:
+        _, old = _persisted_lru.popitem(last=False)
+        old.unpersist()
+    return df
 
 
 def prepare(dims: list[DataFrame]) -> None:
