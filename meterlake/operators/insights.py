@@ -139,6 +139,28 @@ def load_per_meter(gold: DataFrame, k: int = 5, exact: bool = True) -> DataFrame
     return out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")).limit(k)
 
 
+def gold_hour_moments(gold: DataFrame) -> DataFrame:
+    """One aggregate pass over gold per (group, hour of day): peak, count and
+    fixed-point sum of the window load, and active meters; the hourly reports
+    are projections of it (exact sums add up across groups)."""
+    return (_with_hour(gold).groupBy("acorn_group", "hour")
+            .agg(F.max("total_load").alias("peak"), F.count("total_load").alias("n"),
+                 M.sum_fixed("total_load", CONS_SCALE).alias("s"), F.sum("active_meters").alias("meters")))
+
+
+def par_from(m: DataFrame, k: int = 5) -> DataFrame:
+    h = m.groupBy("hour").agg(F.max("peak").alias("peak"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    out = h.select("hour", F.try_divide(F.col("peak"), M.mean_from(F.col("n"), F.col("s"), CONS_SCALE))
+                   .alias("PAR_index"))
+    return out.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")).limit(k)
+
+
+def load_from(m: DataFrame, k: int = 5) -> DataFrame:
+    tot = F.col("s").cast("double") / F.lit(float(10 ** CONS_SCALE))
+    out = m.select("acorn_group", "hour", F.try_divide(tot, F.col("meters")).alias("kwh_per_meter"))
+    return out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")).limit(k)
+
+
 def gold_outliers(gold: DataFrame, sigmas: float = 2.0, exact: bool = True) -> DataFrame:
     """Windows whose load exceeds the mean by more than ``sigmas`` standard deviations.
 
@@ -205,16 +227,19 @@ def critical_alerts(alerts: DataFrame, min_value: float | None = 10.0) -> DataFr
 def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: int = 5) -> dict[str, DataFrame]:
     """The nine reports over the three layers.
 
-    The silver reports share one aggregate pass (persisted: it is one row
-    per group); the others are one aggregate each over gold or alerts.
+    The silver reports share one aggregate pass (one row per group), the
+    hourly gold reports another (one row per group and hour); both small
+    aggregates are persisted (``spark.catalog.clearCache()`` releases them).
+    The outlier and alert reports are one aggregate each.
     """
     m = silver_group_moments(silver).persist()
+    gh = gold_hour_moments(gold).persist()
     return {
         "thermal_sensitivity": thermal_from(m),
         "volatility_index": volatility_from(m),
         "weekend_shift": weekend_from(m),
-        "par_index": par_index(gold, k),
-        "load_per_meter": load_per_meter(gold, k),
+        "par_index": par_from(gh, k),
+        "load_per_meter": load_from(gh, k),
         "gold_outliers": gold_outliers(gold),
         "alert_severity": alert_severity(alerts, k),
         "alert_temp_bins": alert_temp_bins(alerts),
