@@ -44,8 +44,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """(keys, texts) slices of at most ``max_bytes`` of text, or one row; a null text becomes an empty one."""
+def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, ...]]:
+    """(keys, texts, further columns) slices of at most ``max_bytes`` of text, or one row; a null text becomes empty."""
     for batch in batches:
         keys, texts = batch.column(0), pc.fill_null(batch.column(1).cast(pa.string()), "")
         size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -53,7 +53,8 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> I
         while first < len(size):
             base = total[first] - size[first]
             end = max(int(np.searchsorted(total, base + max_bytes, side="right")), first + 1)
-            yield keys.slice(first, end - first), texts.slice(first, end - first)
+            yield (keys.slice(first, end - first), texts.slice(first, end - first),
+                   *(c.slice(first, end - first) for c in batch.columns[2:]))
             first = end
 
 
@@ -119,11 +120,6 @@ def shingle_hashes(word_hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[
     return out, np.concatenate([[0], np.cumsum(runs)]).astype(np.int64)
 
 
-def ranges_in(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Number of sorted ``values`` in each [lo, hi)."""
-    return np.searchsorted(values, hi) - np.searchsorted(values, lo)
-
-
 def read_shared_bytes(df: DataFrame) -> int:
     """Bytes of a table's text columns, as one aggregate (for size checks before a broadcast)."""
     row = df.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()

@@ -19,15 +19,18 @@ Sequence ids hold the task in the upper bits, so they differ between tasks.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from meterlake.llm.common import gather_ragged, slices, split_words, two_columns
+from meterlake.llm.common import slices, split_words, two_columns
+from meterlake.llm.rank_count import byte_symbols
 
 SEQUENCE = 4096
 CLOSING_ID = 2
@@ -35,54 +38,82 @@ GROUP_TOKENS = 2 << 20
 GROUP_DOCS = 20_000
 CACHE_WORDS = 400_000
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
+SYMBOLS = byte_symbols()
 
 RESULT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "`offset` long")
 
 
+# A word of Latin letters, then ASCII marks: two pre-tokens of the vocabulary at most, whose letters its normaliser
+# only lower-cases. Digits and apostrophes start pre-tokens of their own and are left to the library.
+PLAIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
+
 class WordEncoder:
-    """Ids of whole texts through the library, which sees each distinct word once.
+    """Ids of whole texts through the library, which sees each distinct word part once.
 
     The vocabulary drops white space and never joins across it, so a text's
-    ids are its words' ids in a row. Many words go to the library in one call,
-    with a special token as separator.
+    ids are its words' ids in a row. Plain words go to the library's model as
+    letters and marks, which their many combinations share; other words go
+    through the whole library, many in one call with a special token between.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         added = self.tokenizer.get_added_tokens_decoder()
         self.separator_id = min(added)
         self.separator = added[self.separator_id].content
-        self.ids: dict[str, np.ndarray] = {}
-
-    def encode_one(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+        self.byte_level = str.maketrans({c: "".join(SYMBOLS[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
+        self.ids: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {"": []}
+
+    def encode_one(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def letters(self, word: str) -> list[int]:
+        known = self.parts.get(word)
+        if known is None:
+            known = self.parts[word] = [t.id for t in self.model.tokenize(
+                word if word.isascii() else word.translate(self.byte_level))]
+        return known
+
+    def marks(self, tail: str) -> list[int]:
+        known = self.parts.get(tail)
+        if known is None:
+            known = self.parts[tail] = self.encode_one(tail)
+        return known
 
     def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.separator not in w]
-        for at in range(0, len(plain), 2000):
-            part = plain[at:at + 2000]
-            ids = self.encode_one(self.separator.join(f" {w} " for w in part))
-            cuts = np.flatnonzero(ids == self.separator_id)
-            bounds = np.concatenate([[-1], cuts, [len(ids)]])
-            for k, w in enumerate(part):
-                self.ids[w] = ids[bounds[k] + 1:bounds[k + 1]]
+        odd = []
         for w in words:
-            if self.separator in w:
+            plain = PLAIN_WORD(w)
+            if plain:
+                self.ids[w] = self.letters(plain[1].lower()) + self.marks(plain[2])
+            elif self.separator in w:
                 self.ids[w] = self.encode_one(w)
+            else:
+                odd.append(w)
+        for at in range(0, len(odd), 2000):
+            part = odd[at:at + 2000]
+            ids = self.encode_one(self.separator.join(f" {w} " for w in part))
+            cuts = [k for k, x in enumerate(ids) if x == self.separator_id]
+            for w, a, b in zip(part, [-1, *cuts], [*cuts, len(ids)]):
+                self.ids[w] = ids[a + 1:b]
 
     def texts(self, texts: pa.Array) -> list[np.ndarray]:
         codes, words, first = split_words(texts, lower=False)
         words = words.to_pylist()
-        if len(self.ids) > CACHE_WORDS:
+        if max(len(self.ids), len(self.parts)) > CACHE_WORDS:
             self.ids.clear()
+            self.parts = {"": []}
         self.learn([w for w in words if w not in self.ids])
         each = [self.ids[w] for w in words]
         length = np.array([len(x) for x in each], np.int64)
-        flat = np.concatenate(each) if each else np.zeros(0, np.int32)
-        start = np.cumsum(length) - length
-        ids = flat[gather_ragged(start[codes], length[codes])]
+        bounds = pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32())
+        flat = pa.array(np.fromiter(chain.from_iterable(each), np.int32, int(length.sum())))
+        ids = pa.ListArray.from_arrays(bounds, flat).take(pa.array(codes)).flatten().to_numpy()
         ends = np.concatenate([[0], np.cumsum(length[codes])])[first]
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
 

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import cost_packing, rank_count
+from meterlake.llm import cost_packing, crf_html, fertility, pii_boost, rank_count
 from meterlake.llm.common import table
 
 
+def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fertility.fertility_rules(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                       "kept", "band", "chars_per_token", "byte_share", "entropy_share")
+
+
 def op4_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.packed_sequences(table(spark, sf_dir, "documents"))
 
@@ -18,7 +24,16 @@ def op5_rank_synchronous_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_count.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_boost.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op8_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_html.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_cost_balanced_packing, op5_rank_synchronous_counts)
+    f.__name__: f for f in (op2_tokeniser_fertility, op4_cost_balanced_packing, op5_rank_synchronous_counts,
+                            op6_candidate_boosting, op8_crf_main_text)
 }
 ORACLE: dict[str, str] = {}
