@@ -25,6 +25,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.labelled_pages import labelled_pages
 
-SAMPLE_PAGES = 300
-SAMPLE_BLOCKS = 200
+SAMPLE_PAGES = 200
+SAMPLE_BLOCKS = 40
 
 # Elements that end a run of text; elements without content; elements whose content is no text.
 BLOCK_TAGS = frozenset(
@@ -171,25 +172,32 @@ def leaf_blocks(page: str) -> list[Block]:
     return out
 
 
+@lru_cache(maxsize=100_000)
+def place_features(tags: tuple[str, ...], names: frozenset[str], masked: bool) -> tuple[str, ...]:
+    """Features of a block's ancestors alone; most blocks of a page share them."""
+    tags = tuple(t for t in tags if t in KEPT_TAGS and not (masked and t in ("article", "main")))
+    names = sorted(n for n in names if not (masked and n == "main"))
+    out = [f"in:{t}" for t in dict.fromkeys(tags)] + [f"name:{x}" for x in names]
+    out.append(f"own:{tags[-1] if tags else 'none'}")
+    if "article" in tags or "main" in tags or "main" in names:
+        odd = [x for x in ("nav", "aside", "footer", "form", "head") if x in tags] + [x for x in names if x != "main"]
+        out.append("main+odd" if odd else "main")
+    return tuple(out)
+
+
 def block_features(b: Block, masked: bool = False) -> list[str]:
     """Names of the block's active features; ``masked`` leaves out what names an article or main element."""
-    tags = [t for t in b.tags if t in KEPT_TAGS and not (masked and t in ("article", "main"))]
-    names = [n for n in b.names if not (masked and n == "main")]
     n = len(b.text)
     share = min(1.0, b.linked / max(n, 1))
-    out = [f"in:{t}" for t in dict.fromkeys(tags)] + [f"name:{x}" for x in names]
-    out.append(f"own:{tags[-1] if tags else 'none'}")
-    out.append(f"size:{min(8, n.bit_length())}")
-    out.append(f"links:{0 if share < 0.1 else 1 if share < 0.5 else 2}")
+    out = [*place_features(b.tags, b.names, masked), f"size:{min(8, n.bit_length())}",
+           f"links:{0 if share < 0.1 else 1 if share < 0.5 else 2}"]
     if b.text[-1] in ".!?…:;\"”»":
         out.append("stop")
-    if "article" in tags or "main" in tags or "main" in names:
-        odd = [x for x in ("nav", "aside", "footer", "form", "head") if x in tags] + [x for x in names if x != "main"]
-        out.append("main+odd" if odd else "main")
-    if LEGAL.search(b.text):
-        out.append("legal")
-    if n < 200 and ACTION.search(b.text):
-        out.append("action")
+    if n < 300:
+        if LEGAL.search(b.text):
+            out.append("legal")
+        if ACTION.search(b.text):
+            out.append("action")
     return out
 
 
@@ -228,7 +236,7 @@ def log_add(a: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(a - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def train(sequences: list[list[tuple[list[str], int]]], rounds: int = 250, step: float = 0.15,
+def train(sequences: list[list[tuple[list[str], int]]], rounds: int = 100, step: float = 0.25,
           decay: float = 2e-3) -> ChainField:
     """Field of highest penalised likelihood, by adaptive gradient ascent over all sequences at once."""
     sequences = [s for s in sequences if s]

@@ -5,9 +5,12 @@ token, share of byte-fallback tokens, and token entropy relative to the most
 that so many tokens could have. Text the vocabulary was not made for (caps,
 symbol noise, broken encodings, loops) lies outside the band that documents of
 its language usually keep. The bands are robust ones, from quartiles over all
-documents that pass the base rules: one pass measures, one aggregate sets the
-bands, one join judges. Bands have a least half-width, so a language of few or
-identical documents does not reject its own.
+documents that pass the base rules: one pass measures, two small aggregates
+set the bands, one join judges. Characters per token are a mean over words, so
+their band is wider for short texts, as the square root of the word count; its
+width comes from the quartiles of the deviations scaled back by that root.
+Bands have a least half-width, so a language of few or identical documents
+does not reject its own.
 
 The distinct words of a slice are tokenised once; per-document figures are
 array sums over word codes.
@@ -49,10 +52,11 @@ METRICS = ("doc_id long, text_hash long, band string, n_words long, word_chars l
 
 @dataclass(frozen=True)
 class Bands:
-    """How far outside the quartiles a figure may lie: ``reach`` times their distance, ``least`` at any rate."""
+    """How far from the middle a figure may lie: ``reach`` times the quartiles' distance, ``least`` at any rate."""
 
     reach: float = 4.0
-    least_chars_per_token: float = 0.45
+    reach_chars_per_token: float = 3.0
+    least_chars_per_token: float = 0.08
     least_byte_share: float = 0.08
     least_entropy_share: float = 0.12
 
@@ -176,27 +180,29 @@ def fertility_metrics(df: DataFrame, vocabulary: str | None = None, key: str = "
 
 def bands_of(metrics: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """Band per language or script, from the quartiles over all documents that pass the base rules."""
-    def quartiles(name: str) -> Column:
-        return F.percentile_approx(name, [0.25, 0.75], 10_000)
+    def quartiles(value: Column) -> Column:
+        return F.percentile_approx(value, [0.25, 0.5, 0.75], 10_000)
 
-    def edge(name: str, side: int, least: float) -> Column:
-        q = F.col(f"q_{name}")
-        reach = F.greatest((q[1] - q[0]) * bands.reach, F.lit(least))
-        return q[0] - reach if side < 0 else q[1] + reach
+    def reach(name: str, least: float) -> Column:
+        return F.greatest((F.col(name)[2] - F.col(name)[0]) * bands.reach, F.lit(least))
 
-    q = metrics.filter(~F.col("base_failed")).groupBy("band").agg(
-        *(quartiles(x).alias(f"q_{x}") for x in ("chars_per_token", "byte_share", "entropy_share")))
-    return q.select("band",
-                    edge("chars_per_token", -1, bands.least_chars_per_token).alias("low_chars"),
-                    edge("chars_per_token", 1, bands.least_chars_per_token).alias("high_chars"),
-                    edge("byte_share", 1, bands.least_byte_share).alias("high_bytes"),
-                    edge("entropy_share", -1, bands.least_entropy_share).alias("low_entropy"))
+    sound = metrics.filter(~F.col("base_failed"))
+    level = sound.groupBy("band").agg(
+        *(quartiles(F.col(x)).alias(f"q_{x}") for x in ("chars_per_token", "byte_share", "entropy_share"))).select(
+        "band", F.col("q_chars_per_token")[1].alias("middle_chars"),
+        (F.col("q_byte_share")[2] + reach("q_byte_share", bands.least_byte_share)).alias("high_bytes"),
+        (F.col("q_entropy_share")[0] - reach("q_entropy_share", bands.least_entropy_share)).alias("low_entropy"))
+    spread = (sound.join(level, "band").groupBy("band").agg(
+        quartiles((F.col("chars_per_token") - F.col("middle_chars")) * F.sqrt("n_words")).alias("q"))
+        .select("band", ((F.col("q")[2] - F.col("q")[0]) * bands.reach_chars_per_token).alias("spread_chars")))
+    return level.join(spread, "band")
 
 
 def fertility_rules(df: DataFrame, bands: Bands = Bands(), **columns) -> DataFrame:
     """The figures of every row with ``kept``: base rules passed and inside the bands of its language or script."""
     metrics = materialise(fertility_metrics(df, **columns), "fertility")
-    inside = (F.col("chars_per_token").between(F.col("low_chars"), F.col("high_chars"))
+    away = F.abs(F.col("chars_per_token") - F.col("middle_chars"))
+    inside = ((away <= F.lit(bands.least_chars_per_token) + F.col("spread_chars") / F.sqrt("n_words"))
               & (F.col("byte_share") <= F.col("high_bytes")) & (F.col("entropy_share") >= F.col("low_entropy")))
     return (metrics.join(bands_of(metrics, bands), "band", "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))))
