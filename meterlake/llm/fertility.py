@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import gather_ragged, materialise, mix, shingle_hashes, slices, split_words
+from meterlake.llm.graph import checked_broadcast
 
 CACHE_WORDS = 300_000
 SYMBOLS = "#*$%&|<>"
@@ -192,6 +193,7 @@ def bands_of(metrics: DataFrame, bands: Bands = Bands()) -> DataFrame:
         "band", F.col("q_chars_per_token")[1].alias("middle_chars"),
         (F.col("q_byte_share")[2] + reach("q_byte_share", bands.least_byte_share)).alias("high_bytes"),
         (F.col("q_entropy_share")[0] - reach("q_entropy_share", bands.least_entropy_share)).alias("low_entropy"))
+    level = checked_broadcast(materialise(level, "band_levels"))
     spread = (sound.join(level, "band").groupBy("band").agg(
         quartiles((F.col("chars_per_token") - F.col("middle_chars")) * F.sqrt("n_words")).alias("q"))
         .select("band", ((F.col("q")[2] - F.col("q")[0]) * bands.reach_chars_per_token).alias("spread_chars")))
@@ -204,7 +206,8 @@ def fertility_rules(df: DataFrame, bands: Bands = Bands(), **columns) -> DataFra
     away = F.abs(F.col("chars_per_token") - F.col("middle_chars"))
     inside = ((away <= F.lit(bands.least_chars_per_token) + F.col("spread_chars") / F.sqrt("n_words"))
               & (F.col("byte_share") <= F.col("high_bytes")) & (F.col("entropy_share") >= F.col("low_entropy")))
-    return (metrics.join(bands_of(metrics, bands), "band", "left")
+    edges = checked_broadcast(materialise(bands_of(metrics, bands), "bands"))
+    return (metrics.join(edges, "band", "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import cost_packing, crf_html, fertility, pii_boost, rank_count
+from meterlake.llm import cost_packing, crf_html, fertility, odd_sketch, pii_boost, rank_count
 from meterlake.llm.common import table
 
 
@@ -32,8 +32,12 @@ def op8_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_html.extracted(table(spark, sf_dir, "pages"))
 
 
+def op9_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=0.85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_tokeniser_fertility, op4_cost_balanced_packing, op5_rank_synchronous_counts,
-                            op6_candidate_boosting, op8_crf_main_text)
+                            op6_candidate_boosting, op8_crf_main_text, op9_odd_sketch_near_dedup)
 }
 ORACLE: dict[str, str] = {}
