@@ -7,8 +7,9 @@ bitmaps' XOR estimates how many samples differ, precisely for similar sets.
 Equal sets are one node from there on, so exact copies cost nothing further.
 
 Nodes that share a band key are a bucket. In a bucket all nodes are compared
-with one hub first, a second time with another hub for the nodes that found no
-link, and at last across what are still different components of the bucket.
+with a hub first, twice, and at last across what are still different
+components of the bucket. Hubs are nodes with many bucket neighbours, the
+middle of a group of copies, and so few and the same in most buckets of it.
 Compared means: sizes allow the similarity, the odd sketches allow it with a
 wide margin, and the full sets confirm it. Pairs of one component are never
 compared again, so a group of thousands of near copies costs about one
@@ -39,8 +40,9 @@ from meterlake.llm.graph import components
 
 ROWS = 4
 MISS = 1e-7
-BITS = 256
-MARGIN = 4.5
+SAMPLES = 400
+BITS = 1024
+MARGIN = 4.0
 
 SKETCH_COLUMNS = [f"odd{k}" for k in range(BITS // 64)]
 SKETCHES = ("doc_id long, n_shingles long, node long, bands array<long>, "
@@ -109,7 +111,7 @@ def sketches(docs: DataFrame, words: int, n_bands: int) -> DataFrame:
             band = np.zeros((len(size), n_bands), np.int64)
             odd = np.zeros((len(size), len(SKETCH_COLUMNS)), np.int64)
             if len(some):
-                sample = samples(h, np.append(first[some], len(h)), n_bands * ROWS)
+                sample = samples(h, np.append(first[some], len(h)), max(SAMPLES, n_bands * ROWS))
                 odd[some] = odd_bitmaps(sample)
                 with np.errstate(over="ignore"):
                     for b in range(n_bands):
@@ -141,7 +143,7 @@ class NearDuplicates:
         self.docs, self.words = docs, words
         self.percent = round(similarity * 100)
         n_bands = bands_for(similarity)
-        n_samples = n_bands * ROWS
+        n_samples = max(SAMPLES, n_bands * ROWS)
         # a sample differs with probability 1 - similarity; the estimate may miss by MARGIN deviations
         self.least = similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / n_samples)
         self.possible = estimate(n_samples) >= F.lit(self.least)
@@ -151,10 +153,11 @@ class NearDuplicates:
             F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("bands").alias("bands"),
             *(F.max(c).alias(c) for c in SKETCH_COLUMNS)), "nodes")
         members = self.nodes.select("node", F.explode("bands").alias("band"))
-        crowd = members.groupBy("band").agg(F.count("*").alias("k")).filter("k > 1").select("band")
+        crowd = members.groupBy("band").agg(F.count("*").alias("k")).filter("k > 1")
         self.crowded = materialise(members.join(crowd, "band"), "buckets")
-        self.light = self.nodes.join(self.crowded.select("node").distinct(), "node", "left_semi")
-        self.light = materialise(self.light.select("node", "rep", "n", *SKETCH_COLUMNS), "bucket_nodes")
+        degree = self.crowded.groupBy("node").agg(F.floor(4 * F.log2(F.sum("k"))).alias("degree"))
+        self.light = materialise(self.nodes.join(degree, "node").select("node", "rep", "n", "degree", *SKETCH_COLUMNS),
+                                 "bucket_nodes")
         self.sets = materialise(self.shingle_sets(), "sets")
 
     def shingle_sets(self) -> DataFrame:
@@ -169,7 +172,7 @@ class NearDuplicates:
                      pa.array([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
                     names=["node", "shingles"])
 
-        wanted = self.light.select("rep").distinct()
+        wanted = self.light.select("rep").distinct().hint("merge")  # grows with the table: shuffled at every size
         texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
         return texts.mapInArrow(run, "node long, shingles binary").filter("node != 0").dropDuplicates(["node"])
 
@@ -206,8 +209,8 @@ class NearDuplicates:
 
     def hub_pairs(self, members: DataFrame, turn: int) -> DataFrame:
         """(hub, node) for all nodes of each bucket that are not in the hub's component yet."""
-        order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")
-        hubs = (members.groupBy("band").agg(F.min(order).alias("h"))
+        order = F.struct("degree", F.xxhash64("node", F.lit(turn)).alias("pick"), "node", "label")
+        hubs = (members.groupBy("band").agg(F.max(order).alias("h"))
                 .select("band", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label")))
         return (members.join(hubs, "band").filter("label != hub_label")
                 .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
@@ -222,16 +225,11 @@ class NearDuplicates:
         """(node, label) of every linked node."""
         spark = self.docs.sparkSession
         none = spark.createDataFrame([], "node long, label long")
-        edges, labels = None, none
-        tried = None
+        edges, labels, tried = None, none, None
         for turn in range(3):
             members = materialise(self.mixed(self.labelled(labels)), "mixed")
             if turn < 2:
-                if turn:
-                    # nodes that are linked already need no second hub; what they may link to meets them at the end
-                    alone = members.join(labels.select("node"), "node", "left_anti")
-                    members = self.mixed(alone)
-                pairs = self.hub_pairs(members, turn)
+                pairs = self.hub_pairs(members.join(self.light.select("node", "degree"), "node"), turn)
             else:
                 data = members.join(self.light, "node")
                 pairs = (data.alias("a").join(data.alias("b"), (F.col("a.band") == F.col("b.band"))
