@@ -49,15 +49,15 @@ class Bits:
 class EliasFano:
     """A non-decreasing sequence of 64-bit values below ``universe``."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.low_bits, self.low = n, low_bits, low
+    def __init__(self, n: int, low_bits: int, top: int, low: np.ndarray, high: np.ndarray):
+        self.n, self.low_bits, self.top, self.low = n, low_bits, top, low
         self.bits = Bits(high)
         self.window = np.ndarray((max(len(low) - 7, 1),), "<u8", buffer=low, strides=(1,))
         self.mask = WORD((1 << low_bits) - 1)
 
     @staticmethod
-    def encode(values: np.ndarray, universe: int) -> tuple[int, int, np.ndarray, np.ndarray]:
-        """(count, low bits, packed low parts, high bitmap) of sorted uint64 values."""
+    def encode(values: np.ndarray, universe: int) -> tuple[int, int, int, np.ndarray, np.ndarray]:
+        """(count, low bits, largest high part, packed low parts, high bitmap) of sorted uint64 values."""
         n = len(values)
         low_bits = min(56, max(0, int(universe // max(n, 1)).bit_length() - 1))
         low = np.zeros((n * low_bits + 7) // 8 + 8, np.uint8)
@@ -69,10 +69,11 @@ class EliasFano:
                 start = a * low_bits // 8
                 low[start:start + len(packed)] = packed
         high_part = (values >> WORD(low_bits)).astype(np.int64)
-        size = n + (int(universe) >> low_bits) + 2
+        top = int(universe) >> low_bits
+        size = n + top + 2
         flags = np.zeros((size + 63) // 64 * 64, np.uint8)
         flags[high_part + np.arange(n)] = 1
-        return n, low_bits, low, np.packbits(flags, bitorder="little").view("<u8")
+        return n, low_bits, top, low, np.packbits(flags, bitorder="little").view("<u8")
 
     def low_part(self, i: np.ndarray) -> np.ndarray:
         bit = i * self.low_bits
@@ -86,6 +87,8 @@ class EliasFano:
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position of the first value >= x, whether it equals x)."""
         high = (x >> WORD(self.low_bits)).astype(np.int64)
+        beyond = high > self.top
+        high = np.minimum(high, self.top)
         end = self.bits.select(high, False) - high
         start = np.where(high > 0, self.bits.select(np.maximum(high - 1, 0), False) - (high - 1), 0)
         want = x & self.mask
@@ -97,17 +100,17 @@ class EliasFano:
             lo = np.where(below, mid + 1, lo)
             hi = np.where(open_ & ~below, mid, hi)
         equal = (lo < end) & (self.low_part(np.minimum(lo, last)) == want) if self.n else np.zeros(len(x), bool)
-        return lo, equal
+        return np.where(beyond, self.n, lo), equal & ~beyond
 
 
-def write_sequence(folder: str, name: str, values: np.ndarray, universe: int) -> tuple[int, int]:
-    n, low_bits, low, high = EliasFano.encode(values, universe)
+def write_sequence(folder: str, name: str, values: np.ndarray, universe: int) -> tuple[int, int, int]:
+    n, low_bits, top, low, high = EliasFano.encode(values, universe)
     low.tofile(os.path.join(folder, f"{name}.low"))
     high.tofile(os.path.join(folder, f"{name}.high"))
-    return n, low_bits
+    return n, low_bits, top
 
 
-def open_sequence(folder: str, name: str, shape: tuple[int, int]) -> EliasFano:
+def open_sequence(folder: str, name: str, shape: tuple[int, int, int]) -> EliasFano:
     low = np.memmap(os.path.join(folder, f"{name}.low"), np.uint8, "r")
     high = np.memmap(os.path.join(folder, f"{name}.high"), "<u8", "r")
     return EliasFano(*shape, low, high)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import gather_ragged, hash_words, materialise, mix, slices, split_words, two_columns
 from meterlake.llm.elias_fano import NgramTrie
 
-MU = 30.0
+MU = 1000.0
 HOT = 256
 TOKENS_PER_SHARD = 1_000_000
 SLICE = 16 << 20

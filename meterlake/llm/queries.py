@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import cost_packing, crf_html, fertility, odd_sketch, pii_boost, rank_count
+from meterlake.llm import cost_packing, crf_html, fertility, lm_trie, odd_sketch, pii_boost, rank_count
 from meterlake.llm.common import table
 
 
+def op1_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_trie.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fertility.fertility_rules(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -37,7 +41,7 @@ def op9_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_tokeniser_fertility, op4_cost_balanced_packing, op5_rank_synchronous_counts,
+    f.__name__: f for f in (op1_elias_fano_lm, op2_tokeniser_fertility, op4_cost_balanced_packing, op5_rank_synchronous_counts,
                             op6_candidate_boosting, op8_crf_main_text, op9_odd_sketch_near_dedup)
 }
 ORACLE: dict[str, str] = {}
