@@ -294,7 +294,6 @@ class RepeatedStrings:
                 data, bounds = buffer_of(texts)
                 lists = found.to_pylist()
                 gone = np.zeros(len(data) + 1, np.int64)
-                hit = pa.array([x is not None for x in lists])
                 if any(x for x in lists):
                     doc, first, count, _, piece = pieces(data, bounds, length)
                     ask = [{w["piece"]: w["spans"] for w in x} if x else None for x in lists]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import cost_packing, crf_html, fertility, lm_trie, odd_sketch, pii_boost, rank_count
+from meterlake.llm import bpr_dedup, cost_packing, crf_html, fertility, lm_trie, odd_sketch, pii_boost, rank_count
 from meterlake.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "kept", "band", "chars_per_token", "byte_share", "entropy_share")
 
 
+def op3_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpr_dedup.without_repeated_strings(table(spark, sf_dir, "documents"))
+
+
 def op4_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.packed_sequences(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op9_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_elias_fano_lm, op2_tokeniser_fertility, op4_cost_balanced_packing, op5_rank_synchronous_counts,
+    f.__name__: f for f in (op1_elias_fano_lm, op2_tokeniser_fertility, op3_bucket_pointer_dedup, op4_cost_balanced_packing, op5_rank_synchronous_counts,
                             op6_candidate_boosting, op8_crf_main_text, op9_odd_sketch_near_dedup)
 }
 ORACLE: dict[str, str] = {}
