@@ -39,7 +39,7 @@ from meterlake.llm.common import gather_ragged, materialise, mix, slices, two_co
 LENGTH = 200
 GRAM = 32
 HOT_PIECES = 2_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -123,29 +123,39 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def run_starts(new: np.ndarray) -> np.ndarray:
+    """For every place the last one up to it where a run begins."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
 def refined_buckets(data: np.ndarray, valid: np.ndarray, length: int) -> np.ndarray:
     """Bucket of every position: positions in ``valid`` share one only if their next ``length`` bytes are equal.
 
-    Depth 8 comes from the bytes; a round at depth h sorts positions by their
-    own bucket and the one h further on (less at the last round), only those
-    whose bucket still has several members.
+    A bucket's pointer is the place of its first member in sorted order, so
+    splitting a bucket moves no other one. Depth 8 comes from the bytes; a
+    round at depth h sorts the positions whose bucket has several members by
+    their own bucket and the one h further on (less at the last round).
     """
-    padded = np.concatenate([data, np.zeros(length + 8, np.uint8)])
-    eight = np.ndarray((len(data) + length,), "<u8", buffer=padded, strides=(1,))
-    _, bucket = np.unique(eight, return_inverse=True)
-    bucket = bucket.astype(np.int64)
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((n,), "<u8", buffer=padded, strides=(1,))
+    order = np.argsort(eight)
+    ordered = eight[order]
+    bucket = np.empty(n, np.int64)
+    bucket[order] = run_starts(np.append(True, ordered[1:] != ordered[:-1]))
     depth = min(8, length)
     while depth < length:
         step = min(depth, length - depth)
-        size = np.bincount(bucket)
-        moving = np.flatnonzero(size[bucket[:-step]] > 1)
-        key = bucket[moving] * np.int64(len(size)) + bucket[moving + step]
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        new = np.append(True, ordered[1:] != ordered[:-1]) if len(order) else np.zeros(0, bool)
-        refined = bucket.copy()
-        refined[moving[order]] = len(size) + np.cumsum(new) - 1
-        _, bucket = np.unique(refined, return_inverse=True)
+        moving = np.flatnonzero(np.bincount(bucket, minlength=n)[bucket] > 1)
+        if not len(moving):
+            break
+        further = moving + step
+        key = bucket[moving] * np.int64(n + 1) + np.where(further < n, bucket[np.minimum(further, n - 1)], n)
+        order = np.argsort(key)
+        key, moving = key[order], moving[order]
+        own = bucket[moving]
+        part = run_starts(np.append(True, key[1:] != key[:-1]))
+        bucket[moving] = own + part - run_starts(np.append(True, own[1:] != own[:-1]))
         depth += step
     return bucket[valid]
 
@@ -233,27 +243,47 @@ class RepeatedStrings:
                 .applyInArrow(run, "piece long, spans array<int>"))
 
     def by_counting(self, texts: DataFrame) -> DataFrame:
-        """(piece, spans) of the windows of very large groups, counted by hash over all tasks."""
+        """(piece, spans) of the windows of very large groups, counted by hash over all tasks.
+
+        The windows travel as arrays, one row for each part of the hash range
+        and 512 pieces; the number of parts follows the bytes, so no part and
+        no task holds a whole group.
+        """
         length = self.length
+        total = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("b")).first()["b"]
+        n_parts = max(1, -(-int(total) // BLOCK_BYTES))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                text = batch.column(1)
-                for k in range(0, len(text), 512):
-                    data, bounds = buffer_of(text.slice(k, 512))
+                for k in range(0, batch.num_rows, 512):
+                    piece, text, n = (batch.column(c).slice(k, 512) for c in range(3))
+                    data, bounds = buffer_of(text)
                     windows = np.diff(bounds) - length + 1
                     at = gather_ragged(bounds[:-1], windows)
-                    place = np.arange(len(at)) - np.repeat(np.cumsum(windows) - windows, windows)
-                    owner = pa.array(np.repeat(np.arange(len(windows)), windows) + k)
+                    place = (np.arange(len(at)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
+                    owner = np.repeat(np.arange(len(windows)), windows)
+                    window = RangeHash(data).of(at, at + length)
+                    part = (window % np.uint64(n_parts)).astype(np.int64)
+                    order = np.argsort(part, kind="stable")
+                    cuts = np.searchsorted(part[order], np.arange(n_parts + 1))
+                    piece, n = (c.to_numpy(zero_copy_only=False) for c in (piece, n))
+                    rows = [(p, order[a:b]) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(owner), batch.column(2).take(owner), pa.array(place.astype(np.int32)),
-                         pa.array(RangeHash(data).of(at, at + length).view(np.int64))],
-                        names=["piece", "n", "place", "window"])
-
-        windows = materialise(texts.select("piece", "text", "n").mapInArrow(
-            run, "piece long, n long, place int, window long"), "windows")
-        twice = windows.groupBy("window").agg(F.sum("n").alias("times")).filter("times > 1").select("window")
-        places = windows.join(twice, "window").groupBy("piece").agg(F.collect_list("place").alias("places"))
+                        [pa.array([p for p, _ in rows], pa.int64()),
+                         *(pa.array([x[o].tobytes() for _, o in rows], pa.binary())
+                           for x in (window, n[owner], piece[owner], place))],
+                        names=["part", "window", "n", "piece", "place"])
+
+        def count(sent: pa.Table) -> pa.Table:
+            window, n, piece, place = (np.concatenate([np.frombuffer(x.as_py(), t) for x in sent[c]]) for c, t in
+                                       (("window", np.uint64), ("n", np.int64), ("piece", np.int64), ("place", np.int32)))
+            _, back = np.unique(window, return_inverse=True)
+            twice = np.flatnonzero(np.bincount(back, weights=n)[back] > 1)
+            twice = twice[np.argsort(piece[twice], kind="stable")]
+            owner, first = np.unique(piece[twice], return_index=True)
+            places = pa.ListArray.from_arrays(pa.array(np.append(first, len(twice)), pa.int32()),
+                                              pa.array(place[twice]))
+            return pa.table({"piece": pa.array(owner, pa.int64()), "places": places})
 
         def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -265,6 +295,10 @@ class RepeatedStrings:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.int32()))],
                                                  names=["piece", "spans"])
 
+        sent = texts.select("piece", "text", "n").mapInArrow(
+            send, "part long, window binary, n binary, piece binary, place binary")
+        places = (sent.groupBy("part").applyInArrow(count, "piece long, places array<int>")
+                  .groupBy("piece").agg(F.flatten(F.collect_list("places")).alias("places")))
         return places.mapInArrow(runs, "piece long, spans array<int>")
 
     def repeated(self) -> DataFrame:

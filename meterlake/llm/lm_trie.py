@@ -41,13 +41,12 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import gather_ragged, hash_words, materialise, mix, slices, split_words, two_columns
 from meterlake.llm.elias_fano import NgramTrie
 
-MU = 1000.0
+MU = 500.0
 HOT = 256
 TOKENS_PER_SHARD = 1_000_000
-SLICE = 16 << 20
+SLICE = 5 << 20
 LEVELS = 1 << 16
 START, END = np.uint64(0), np.uint64(1)
-CONTEXT_BITS = np.uint64((1 << 40) - 1)
 
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")

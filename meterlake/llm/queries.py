@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import bpr_dedup, cost_packing, crf_html, fertility, lm_trie, odd_sketch, pii_boost, rank_count
+from meterlake.llm import (bpr_dedup, compact_windows, cost_packing, crf_html, fertility, lm_trie, odd_sketch, pii_boost,
+                           rank_count, seed_align)
 from meterlake.llm.common import table
 
 
@@ -36,6 +37,10 @@ def op6_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_boost.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_html.extracted(table(spark, sf_dir, "pages"))
 
@@ -44,8 +49,14 @@ def op9_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=0.85)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_elias_fano_lm, op2_tokeniser_fertility, op3_bucket_pointer_dedup, op4_cost_balanced_packing, op5_rank_synchronous_counts,
-                            op6_candidate_boosting, op8_crf_main_text, op9_odd_sketch_near_dedup)
-}
+def op10_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (seed_align.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "item_id", "score", "matched", "first_word", "last_word"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_elias_fano_lm, op2_tokeniser_fertility, op3_bucket_pointer_dedup, op4_cost_balanced_packing,
+    op5_rank_synchronous_counts, op6_candidate_boosting, op7_compact_windows, op8_crf_main_text,
+    op9_odd_sketch_near_dedup, op10_seed_alignment)}
+# Tokenizers, trained models and hash sketches are beyond SQL: tests compare each query with brute force.
 ORACLE: dict[str, str] = {}
