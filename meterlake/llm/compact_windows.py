@@ -133,11 +133,15 @@ def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float)
     while k < len(starts):
         a = int(starts[k])
         inside = np.flatnonzero(known[a:a + width])
-        shift = int(np.median(match[a + inside] - (a + inside)))
-        b = min(max(a + shift, 0), len(q) - width)
-        mine, other = np.unique(p[a:a + width]), np.unique(q[b:b + width])
-        both = len(np.intersect1d(mine, other, assume_unique=True))
-        if both >= similarity * (len(mine) + len(other) - both) - 1e-9:
+        shifts = match[a + inside] - (a + inside)
+        mine, near = np.unique(p[a:a + width]), False
+        # where words repeat, matches point to their first place: the first match tells the partner's stretch then
+        for shift in dict.fromkeys((int(np.median(shifts)), int(shifts[0]))):
+            b = min(max(a + shift, 0), len(q) - width)
+            other = np.unique(q[b:b + width])
+            both = len(np.intersect1d(mine, other, assume_unique=True))
+            near = near or both >= similarity * (len(mine) + len(other) - both) - 1e-9
+        if near:
             flags[a:a + width] = True
             # the furthest start that leaves no gap is next
             k = max(k + 1, int(np.searchsorted(starts, a + width, side="right")) - 1)
