@@ -118,9 +118,3 @@ def shingle_hashes(word_hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[
             out = np.where(k < width, grown, out)
         out = mix(out + width.astype(np.uint64))
     return out, np.concatenate([[0], np.cumsum(runs)]).astype(np.int64)
-
-
-def read_shared_bytes(df: DataFrame) -> int:
-    """Bytes of a table's text columns, as one aggregate (for size checks before a broadcast)."""
-    row = df.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
-    return int(row["b"])

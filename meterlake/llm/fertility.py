@@ -216,5 +216,5 @@ def kept_documents(df: DataFrame, bands: Bands = Bands(), **columns) -> DataFram
     key, text = columns.get("key", "doc_id"), columns.get("text", "text")
     out = (fertility_rules(df, bands, **columns).filter(~F.col("kept"))
            .select(F.col("doc_id").alias("rejected_id"), F.col("text_hash").alias("rejected_hash")).distinct())
-    return df.join(out, F.col(key).cast("long").eqNullSafe(F.col("rejected_id"))
-                   & (F.xxhash64(F.col(text).cast("string")) == F.col("rejected_hash")), "left_anti")
+    return df.join(out, df[key].cast("long").eqNullSafe(out["rejected_id"])
+                   & (F.xxhash64(df[text].cast("string")) == out["rejected_hash"]), "left_anti")

@@ -155,9 +155,10 @@ class NearDuplicates:
         members = self.nodes.select("node", F.explode("bands").alias("band"))
         crowd = members.groupBy("band").agg(F.count("*").alias("k")).filter("k > 1")
         self.crowded = materialise(members.join(crowd, "band"), "buckets")
-        degree = self.crowded.groupBy("node").agg(F.floor(4 * F.log2(F.sum("k"))).alias("degree"))
-        self.light = materialise(self.nodes.join(degree, "node").select("node", "rep", "n", "degree", *SKETCH_COLUMNS),
-                                 "bucket_nodes")
+        degree = self.crowded.groupBy("node").agg(F.floor(4 * F.log2(F.sum("k"))).alias("degree"),
+                                                  F.sort_array(F.collect_set("band")).alias("own_bands"))
+        self.light = materialise(self.nodes.join(degree, "node")
+                                 .select("node", "rep", "n", "degree", "own_bands", *SKETCH_COLUMNS), "bucket_nodes")
         self.sets = materialise(self.shingle_sets(), "sets")
 
     def shingle_sets(self) -> DataFrame:
@@ -232,11 +233,13 @@ class NearDuplicates:
                 pairs = self.hub_pairs(members.join(self.light.select("node", "degree"), "node"), turn)
             else:
                 data = members.join(self.light, "node")
+                # a pair is told by the first bucket it shares only
+                first = F.element_at(F.array_intersect("a.own_bands", "b.own_bands"), 1) == F.col("a.band")
                 pairs = (data.alias("a").join(data.alias("b"), (F.col("a.band") == F.col("b.band"))
                                               & (F.col("a.node") < F.col("b.node"))
                                               & (F.col("a.label") != F.col("b.label")) & self.possible
-                                              & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * self.percent))
-                         .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+                                              & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * self.percent) & first)
+                         .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")))
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = materialise(pairs, "pairs")
@@ -270,4 +273,4 @@ def without_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0
     """The rows of ``df``, all columns, of the documents that stand for their components."""
     out = (near_duplicates(df, words, similarity, key, text).filter(~F.col("kept"))
            .select(F.col("doc_id").alias("dropped_id")).distinct())
-    return df.join(out, F.col(key).cast("long").eqNullSafe(F.col("dropped_id")), "left_anti")
+    return df.join(out, df[key].cast("long").eqNullSafe(out["dropped_id"]), "left_anti")

@@ -201,4 +201,4 @@ def leaks(docs: DataFrame, items: DataFrame, gram: int = GRAM, share: float = SH
 def without_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``df``, all columns, whose document holds no test item."""
     out = leaks(df, items, key=key, text=text, **options).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return df.join(out, F.col(key).cast("long").eqNullSafe(F.col("leaked_id")), "left_anti")
+    return df.join(out, df[key].cast("long").eqNullSafe(out["leaked_id"]), "left_anti")
