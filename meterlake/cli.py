@@ -95,7 +95,7 @@ def run(argv: list[str] | None = None) -> None:
         raw = files.read_readings_csv(spark, a.readings)
         house = files.read_households_csv(spark, a.households)
         _write(eda.raw_profile(raw), f"{a.root}/eda/raw_profile", fmt)
-        _write(eda.top_values(raw), f"{a.root}/eda/top_values", fmt)
+        _write(eda.top_values(raw, None), f"{a.root}/eda/top_values", fmt)
         _write(eda.ts_format_profile(raw), f"{a.root}/eda/ts_format_profile", fmt)
         _write(eda.group_distribution(house), f"{a.root}/eda/group_distribution", fmt)
         _write(eda.orphan_meters(raw, house), f"{a.root}/eda/orphan_meters", fmt)

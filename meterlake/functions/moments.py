@@ -58,7 +58,7 @@ def centered(n: Column, s: Column, q: Column) -> Column:
 def sd_from(n: Column, s: Column, q: Column, scale: int) -> Column:
     """Sample standard deviation; NULL for fewer than two values (as ``stddev_samp``)."""
     unit2 = float(10 ** (2 * scale))
-    var = centered(n, s, q).cast("double") / ((n * (n - F.lit(1))).cast("double") * F.lit(unit2))
+    var = centered(n, s, q).cast("double") / ((n.cast(DEC) * (n.cast(DEC) - F.lit(1))).cast("double") * F.lit(unit2))
     return F.when(n > 1, F.sqrt(var))
 
 

@@ -123,7 +123,7 @@ def moments_to_stats(n: Column, s: Column, q: Column, scale: int) -> tuple[Colum
     unit = float(10 ** scale)
     mean = F.when(n > 0, s.cast("double") / (n.cast("double") * F.lit(unit)))
     d = n.cast(_DEC) * q.cast(_DEC) - s.cast(_DEC) * s.cast(_DEC)
-    var = F.when(n > 1, d.cast("double") / ((n * (n - F.lit(1))).cast("double") * F.lit(unit * unit))) \
+    var = F.when(n > 1, d.cast("double") / ((n.cast(_DEC) * (n.cast(_DEC) - F.lit(1))).cast("double") * F.lit(unit * unit))) \
            .otherwise(F.lit(0.0))
     return mean, F.sqrt(var)
 

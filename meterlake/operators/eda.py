@@ -46,10 +46,11 @@ def time_extent(raw: DataFrame) -> DataFrame:
     return raw_profile(raw).select("first_tstp", "last_tstp")
 
 
-def top_values(raw: DataFrame, k: int = 10) -> DataFrame:
+def top_values(raw: DataFrame, k: int | None = 10) -> DataFrame:
     """The ``k`` most frequent raw energy texts (ties by text, NULL first)."""
-    return (raw.groupBy(F.col(ENERGY).alias("energy")).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.desc("count"), F.asc_nulls_first("energy")).limit(k))
+    ranked = (raw.groupBy(F.col(ENERGY).alias("energy")).agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.desc("count"), F.asc_nulls_first("energy")))
+    return ranked if k is None else ranked.limit(k)
 
 
 def ts_format_profile(raw: DataFrame) -> DataFrame:

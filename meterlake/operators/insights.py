@@ -114,7 +114,12 @@ def _with_hour(gold: DataFrame) -> DataFrame:
     return gold.withColumn("hour", F.hour(F.col("window.start")))
 
 
-def par_index(gold: DataFrame, k: int = 5, exact: bool = True) -> DataFrame:
+def first_rows(ranked: DataFrame, k: int | None) -> DataFrame:
+    """The first k rows of a ranked report, or all of it."""
+    return ranked if k is None else ranked.limit(k)
+
+
+def par_index(gold: DataFrame, k: int | None = 5, exact: bool = True) -> DataFrame:
     """Peak-to-average ratio of window load by hour of day; top ``k``.
 
     Windows overlap (each reading counts in two), as in the gold layer.
@@ -127,16 +132,16 @@ def par_index(gold: DataFrame, k: int = 5, exact: bool = True) -> DataFrame:
                        .alias("PAR_index"))
     else:
         out = g.agg(F.try_divide(F.max("total_load"), F.avg("total_load")).alias("PAR_index"))
-    return out.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")).limit(k)
+    return first_rows(out.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")), k)
 
 
-def load_per_meter(gold: DataFrame, k: int = 5, exact: bool = True) -> DataFrame:
+def load_per_meter(gold: DataFrame, k: int | None = 5, exact: bool = True) -> DataFrame:
     """Load per active meter by (group, hour of day): ``sum(load) / sum(active meters)``; top ``k``."""
     tot = (M.sum_fixed("total_load", CONS_SCALE).cast("double") / F.lit(float(10 ** CONS_SCALE))
            if exact else F.sum("total_load"))
     out = (_with_hour(gold).groupBy("acorn_group", "hour")
            .agg(F.try_divide(tot, F.sum("active_meters")).alias("kwh_per_meter")))
-    return out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")).limit(k)
+    return first_rows(out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")), k)
 
 
 def gold_hour_moments(gold: DataFrame) -> DataFrame:
@@ -148,17 +153,17 @@ def gold_hour_moments(gold: DataFrame) -> DataFrame:
                  M.sum_fixed("total_load", CONS_SCALE).alias("s"), F.sum("active_meters").alias("meters")))
 
 
-def par_from(m: DataFrame, k: int = 5) -> DataFrame:
+def par_from(m: DataFrame, k: int | None = 5) -> DataFrame:
     h = m.groupBy("hour").agg(F.max("peak").alias("peak"), F.sum("n").alias("n"), F.sum("s").alias("s"))
     out = h.select("hour", F.try_divide(F.col("peak"), M.mean_from(F.col("n"), F.col("s"), CONS_SCALE))
                    .alias("PAR_index"))
-    return out.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")).limit(k)
+    return first_rows(out.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")), k)
 
 
-def load_from(m: DataFrame, k: int = 5) -> DataFrame:
+def load_from(m: DataFrame, k: int | None = 5) -> DataFrame:
     tot = F.col("s").cast("double") / F.lit(float(10 ** CONS_SCALE))
     out = m.select("acorn_group", "hour", F.try_divide(tot, F.col("meters")).alias("kwh_per_meter"))
-    return out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")).limit(k)
+    return first_rows(out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")), k)
 
 
 def gold_outliers(gold: DataFrame, sigmas: float = 2.0, exact: bool = True) -> DataFrame:
@@ -182,11 +187,11 @@ def gold_outliers(gold: DataFrame, sigmas: float = 2.0, exact: bool = True) -> D
 
 # --- alerts: operations -------------------------------------------------------
 
-def alert_severity(alerts: DataFrame, k: int = 5) -> DataFrame:
+def alert_severity(alerts: DataFrame, k: int | None = 5) -> DataFrame:
     """Mean ratio of the reading to its expected value, and alert count, per meter; top ``k``."""
     sev = F.try_divide(F.col("currentValue"), F.col("expectedAvg"))
     out = alerts.groupBy("LCLid").agg(F.avg(sev).alias("avg_severity"), F.count(F.lit(1)).alias("alert_count"))
-    return out.orderBy(F.desc_nulls_last("avg_severity"), F.asc_nulls_first("LCLid")).limit(k)
+    return first_rows(out.orderBy(F.desc_nulls_last("avg_severity"), F.asc_nulls_first("LCLid")), k)
 
 
 def alert_temp_bins(alerts: DataFrame, width: float = 5.0) -> DataFrame:
@@ -224,8 +229,8 @@ def critical_alerts(alerts: DataFrame, min_value: float | None = 10.0) -> DataFr
 
 # --- all reports --------------------------------------------------------------
 
-def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: int = 5) -> dict[str, DataFrame]:
-    """The nine reports over the three layers.
+def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: int | None = None) -> dict[str, DataFrame]:
+    """The nine reports over the three layers, whole; ``k`` cuts the ranked ones to their first rows.
 
     The silver reports share one aggregate pass (one row per group), the
     hourly gold reports another (one row per group and hour); both small

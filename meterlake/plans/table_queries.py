@@ -24,13 +24,13 @@ from meterlake.plans.queries import register
 from meterlake.session import scratch_path
 from meterlake.sources import files, tables
 
-SMALL_FILES = 32
+SMALL_FILE_ROWS = 2_000
 
 
 @register("compact_layer", O.sql("SELECT * FROM silver", "silver"))
 def q_compact_layer(spark: SparkSession, sf: str) -> DataFrame:
     src, dst = scratch_path(spark, "silver-small"), scratch_path(spark, "silver-compact")
-    layers.silver_layer(spark, sf).repartition(SMALL_FILES).write.mode("overwrite").parquet(src)
+    layers.silver_layer(spark, sf).write.option("maxRecordsPerFile", SMALL_FILE_ROWS).mode("overwrite").parquet(src)
     return layers.to_ntz(maintenance.compact(spark, src, dst))
 
 
@@ -38,8 +38,8 @@ def q_compact_layer(spark: SparkSession, sf: str) -> DataFrame:
 def q_expired_files(spark: SparkSession, sf: str) -> DataFrame:
     table = scratch_path(spark, "gold-table")
     g = layers.gold_layer(spark, sf)
-    g.repartition(4).write.mode("overwrite").parquet(f"{table}/snapshot=1")
-    g.coalesce(1).write.mode("overwrite").parquet(f"{table}/snapshot=2")
+    g.write.mode("overwrite").parquet(f"{table}/snapshot=1")
+    g.write.mode("overwrite").parquet(f"{table}/snapshot=2")
     expired = maintenance.expired_files(spark, table, retention_hours=0.0, now_ms=int(time.time() * 1000) + 1)
     # Rows of the expired files: every row of the table tagged with its file,
     # semi-joined with the expired list (no file list goes through the driver).
@@ -74,6 +74,6 @@ def q_csv_silver(spark: SparkSession, sf: str) -> DataFrame:
 def q_csv_raw_profile(spark: SparkSession, sf: str) -> DataFrame:
     """The exploratory profile over CSV blocks read by glob (NULL and empty energy both survive the files)."""
     root = scratch_path(spark, "csv-blocks")
-    tables.readings_raw(spark, sf).select("LCLid", "tstp", "`energy(kWh/hh)`").repartition(4) \
+    tables.readings_raw(spark, sf).select("LCLid", "tstp", "`energy(kWh/hh)`") \
         .write.option("header", True).mode("overwrite").csv(root)
     return eda.raw_profile(files.read_readings_csv(spark, f"{root}/*.csv"))

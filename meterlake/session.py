@@ -8,6 +8,7 @@ we create one under the system temp folder and record it in the session.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,8 +41,7 @@ DEFAULT_CONF = {
 MB = 1024 * 1024
 
 
-def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * MB,
-                max_partitions: int = 100_000) -> dict[str, str]:
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of input.
 
     Scan splits and post-shuffle partitions of about ``target_partition_bytes``
@@ -50,7 +50,7 @@ def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * MB,
     an upper bound from the input size; AQE coalesces small partitions at run
     time and splits skewed join partitions above 4x the target.
     """
-    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    parts = max(8, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -80,10 +80,14 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch area (``spark.checkpoint.dir``).
 
     Reads the setting from the session; sets a local one only when it is
-    unset, which happens in tests and single-machine runs.
+    unset on a local master (tests, single-machine runs). On a cluster a
+    machine-local folder would be a different one on each executor.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on master {master!r}")
         d = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if not spark.sparkContext.getCheckpointDir():
@@ -166,13 +170,11 @@ class conf_scope:
 def state_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * MB) -> int:
     """State / shuffle partitions for a stream over ``input_bytes`` per run.
 
-    About ``target_bytes`` per partition, at least one per core, never more
-    than the session's ``spark.sql.shuffle.partitions``.
+    About ``target_bytes`` per partition and at least one per core, so a
+    partition's state does not grow with the input.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001
         cores = 8
-    want = max(cores, -(-input_bytes // target_bytes))
-    return max(1, min(current, want))
+    return max(1, cores, -(-input_bytes // target_bytes))

@@ -1,7 +1,7 @@
 """Batch sources: raw CSV files and persisted layer tables.
 
-All readers pass an explicit schema, so a scan never samples the data to
-infer types and every column arrives as the text the files hold.
+No reader infers types from the data: CSV columns are bound by header name and
+arrive as the text the files hold.
 """
 
 from __future__ import annotations
@@ -12,10 +12,9 @@ from meterlake import schemas
 
 
 def read_readings_csv(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Half-hourly reading blocks (``.../halfhourly_dataset/*.csv``), header row, text columns."""
-    return (spark.read.schema(schemas.RAW_READING)
-            .option("header", True).option("mode", "PERMISSIVE")
-            .csv(path_glob))
+    """Half-hourly reading blocks (``.../halfhourly_dataset/*.csv``), text columns bound by header name."""
+    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path_glob)
+    return df.select(*[df[f"`{f.name}`"].cast("string").alias(f.name) for f in schemas.RAW_READING])
 
 
 def read_households_csv(spark: SparkSession, path: str) -> DataFrame:

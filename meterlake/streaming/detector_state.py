@@ -75,7 +75,7 @@ def score_arrays(ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: i
     d = np.array([float(a * b - c * c) for a, b, c in zip(ns, q, ss)], dtype=np.float64)
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = np.where(n > 0, s.astype(np.float64) / (n.astype(np.float64) * unit), np.nan)
-        var = np.where(n > 1, d / ((n * (n - 1)).astype(np.float64) * (unit * unit)), 0.0)
+        var = np.where(n > 1, d / (n.astype(np.float64) * (n - 1).astype(np.float64) * (unit * unit)), 0.0)
     z = np.abs(x - mean) / (np.sqrt(var) + p.sd_floor)
     thr = np.where((temp < p.cold) | (temp > p.hot), p.z_extreme, p.z_mild)
     hit = (n > p.calibration) & (z > thr) & (x > p.min_level)

@@ -30,16 +30,24 @@ END_TIME = "2999-12-31 00:00:00"
 
 def stream_stream_enrich(messages: DataFrame, weather_rows: DataFrame, households: DataFrame,
                          reading_watermark: str = P.WATERMARK, weather_watermark: str = "1 hour",
-                         how: str = "left",
+                         how: str = "left", salts: int = 32,
                          max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """messages (key, value) x raw weather rows (text columns) -> silver rows."""
+    """messages (key, value) x raw weather rows (text columns) -> silver rows.
+
+    The join's only equality is the hour, and one or two hours are live at a
+    time, so readings are spread over ``salts`` parts by meter and each (small)
+    weather row is repeated for every part.
+    """
     readings = (cleaning.clean_readings(cleaning.parse_messages(messages))
                 .withWatermark("timestamp", reading_watermark))
     readings = dimension_join(readings, households, readings["LCLid"] == households["meter_id"], "inner",
-                              max_broadcast_bytes)
-    r = readings.withColumn("join_hour", C.hour_key("timestamp"))
-    w = cleaning.weather_dim(weather_rows).withWatermark("weather_hour", weather_watermark)
-    cond = ((r["join_hour"] == w["weather_hour"])
+                              max_broadcast_bytes, dim_key="meter_id")
+    r = (readings.withColumn("join_hour", C.hour_key("timestamp"))
+         .withColumn("salt", F.pmod(F.xxhash64("LCLid"), F.lit(salts)).cast("int")))
+    w = (cleaning.weather_dim(weather_rows)
+         .withColumn("weather_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+         .withWatermark("weather_hour", weather_watermark))
+    cond = ((r["join_hour"] == w["weather_hour"]) & (r["salt"] == w["weather_salt"])
             & (w["weather_hour"] >= r["timestamp"] - F.expr("INTERVAL 1 HOUR"))
             & (w["weather_hour"] <= r["timestamp"]))
     j = r.join(w, cond, "leftOuter" if how == "left" else "inner")

@@ -101,26 +101,35 @@ def start_gold(silver: DataFrame, path: str, checkpoint: str, mode: str = "compl
     return trigger.apply(w).start()
 
 
-def _read_or_empty(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame | None:
+def _read_or_empty(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     try:
         return spark.read.format(fmt).load(path)
-    except AnalysisException:  # nothing written yet
-        return None
+    except AnalysisException as e:  # nothing written yet
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _newest_committed(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest snapshot whose write was committed, from a listing of folder names."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [f.getPath().getParent().getName() for f in found]
+    return max(names, key=lambda n: int(n.partition("=")[2])) if names else None
 
 
 def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str = "parquet") -> DataFrame:
     """The live gold table: the newest snapshot (complete mode) or the appended windows.
 
-    Snapshots are partitions ``snapshot=<batch id>``; the newest is chosen by
-    a scalar subquery, which prunes the scan to that one partition.
+    Snapshots are folders ``snapshot=<batch id>``; the newest one with a
+    commit mark is read, so a half-written snapshot is never live and older
+    ones are not opened.
     """
-    df = _read_or_empty(spark, path, fmt, schemas.GOLD)
-    if df is None:
+    newest = _newest_committed(spark, path) if mode == "complete" else None
+    if mode == "complete" and newest is None:
         return spark.createDataFrame([], schemas.GOLD)
-    if mode != "complete":
-        return df
-    latest = df.select(F.max("snapshot")).scalar()
-    return df.filter(F.col("snapshot") == latest).drop("snapshot")
+    df = _read_or_empty(spark, f"{path}/{newest}" if newest else path, fmt)
+    return spark.createDataFrame([], schemas.GOLD) if df is None else df
 
 
 def alert_stream(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR,
@@ -173,7 +182,7 @@ def start_notify(spark: SparkSession, alerts_path: str, out_path: str, checkpoin
 
 
 def read_notifications(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    df = _read_or_empty(spark, path, fmt, schemas.NOTIFICATION)
+    df = _read_or_empty(spark, path, fmt)
     if df is None:
         return spark.createDataFrame([], schemas.NOTIFICATION)
     return df.select(*[f.name for f in schemas.NOTIFICATION])
