@@ -5,7 +5,7 @@
   notify    alert history -> notification table (runs until stopped)
   insights  silver/gold/alerts tables -> the nine report tables
   eda       CSV blocks + household file -> profile tables
-  maintain  compact a layer into a new folder; list (and optionally delete) expired files
+  maintain  compact a layer (a snapshot table into its next snapshot); list (and optionally delete) expired files
 
 Paths may be local or on any filesystem Spark reads. Stream checkpoints go
 under ``--root/checkpoints``.
@@ -100,7 +100,7 @@ def run(argv: list[str] | None = None) -> None:
         _write(eda.group_distribution(house), f"{a.root}/eda/group_distribution", fmt)
         _write(eda.orphan_meters(raw, house), f"{a.root}/eda/orphan_meters", fmt)
     elif a.job == "maintain":
-        if a.layer:
+        if a.layer and maintenance.compact_live(spark, a.layer, fmt=fmt) is None:  # a layer without snapshots
             maintenance.compact(spark, a.layer, f"{a.layer.rstrip('/')}-compacted", fmt=fmt)
         if a.table:
             expired = maintenance.expired_files(spark, a.table, a.retention_hours, fmt=fmt)

@@ -39,6 +39,15 @@ def to_double(c) -> Column:
     return _c(c).try_cast("double")
 
 
+def usable_reading(c, limit: float = P.MAX_READING) -> Column:
+    """True for a number within ``limit`` on either side; false for NaN, infinities and absurd magnitudes.
+
+    Such readings stay in silver but cannot be written in fixed point: the
+    detector, the exact indicators and the fixed-point reports leave them out.
+    """
+    return F.abs(_c(c)) <= F.lit(limit)
+
+
 def hour_key(c) -> Column:
     """Hour the reading falls in; the equi-key of the weather join."""
     return F.date_trunc("hour", _c(c))
@@ -56,14 +65,15 @@ def temperature_bin(c, width: float = 5.0) -> Column:
 
 def z_threshold(temp, p: P.DetectorParams) -> Column:
     temp = _c(temp)
-    extreme = (temp < F.lit(p.cold)) | (temp > F.lit(p.hot))
+    # NaN is above every number in Spark; an unknown temperature counts as mild
+    extreme = (temp < F.lit(p.cold)) | ((temp > F.lit(p.hot)) & ~F.isnan(temp))
     return F.when(extreme, F.lit(p.z_extreme)).otherwise(F.lit(p.z_mild))
 
 
 def weather_context(temp, p: P.DetectorParams) -> Column:
     temp = _c(temp)
     return (F.when(temp < F.lit(p.cold), F.lit(P.CONTEXT_COLD))
-            .when(temp > F.lit(p.hot), F.lit(P.CONTEXT_HOT))
+            .when((temp > F.lit(p.hot)) & ~F.isnan(temp), F.lit(P.CONTEXT_HOT))
             .otherwise(F.lit(P.CONTEXT_MILD)))
 
 

@@ -21,8 +21,9 @@ DEC = "decimal(38,0)"
 
 
 def fixed(x, scale: int) -> Column:
+    """``x`` in units of ``10^-scale``; NULL for a number without a fixed-point form (NaN, infinities, too large)."""
     x = F.col(x) if isinstance(x, str) else x
-    return F.round(x * F.lit(float(10 ** scale))).cast("long")
+    return F.round(x * F.lit(float(10 ** scale))).try_cast("long")
 
 
 def sum_fixed(x, scale: int) -> Column:

@@ -141,8 +141,8 @@ def running_baseline(readings: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECT
 
 def _detector_input(readings: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
     # Readings with unknown temperature never reach the detector; readings
-    # without a time or a number cannot be placed or scored.
-    return readings.filter(F.col("temperature").isNotNull() & F.col("consumption").isNotNull()
+    # without a time or a usable number cannot be placed or scored.
+    return readings.filter(F.col("temperature").isNotNull() & C.usable_reading("consumption")
                            & F.col("timestamp").isNotNull())
 
 

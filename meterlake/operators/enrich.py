@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import columns as C
-from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dimension_join, prepare
+from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dimension_join, settle_all
 
 SILVER_COLUMNS = ["LCLid", "timestamp", "consumption", "acorn_group",
                   "temperature", "apparentTemperature", "humidity", "precipType"]
@@ -23,10 +23,11 @@ def enrich_silver(readings: DataFrame, households: DataFrame, weather: DataFrame
     so the reading side is never shuffled for enrichment.
     """
     r = readings.withColumn("join_hour", C.hour_key("timestamp"))
+    homes, hours = households, weather
     if max_broadcast_bytes is not None:
-        prepare([households, weather])
-    r = dimension_join(r, households, r["LCLid"] == households["meter_id"], "inner", max_broadcast_bytes,
+        homes, hours = settle_all([households, weather])
+    r = dimension_join(r, homes, r["LCLid"] == households["meter_id"], "inner", max_broadcast_bytes,
                        dim_key="meter_id")
-    r = dimension_join(r, weather, r["join_hour"] == weather["weather_hour"], "left", max_broadcast_bytes,
+    r = dimension_join(r, hours, r["join_hour"] == weather["weather_hour"], "left", max_broadcast_bytes,
                        dim_key="weather_hour")
     return r.select(*[F.col(c) for c in SILVER_COLUMNS], *[F.col(k) for k in keep])

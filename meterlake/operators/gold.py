@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import params as P
+from meterlake.functions import columns as C
 
 
 def exact_sum(c, scale: int) -> Column:
@@ -13,10 +14,11 @@ def exact_sum(c, scale: int) -> Column:
 
     A decimal sum does not depend on the order rows are added in, so the
     result is the same for every partitioning and on every engine. Values
-    are taken at ``scale`` decimal places.
+    are taken at ``scale`` decimal places; values without a fixed-point form
+    (NaN, infinities, beyond ``MAX_READING``) are left out.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(F.when(C.usable_reading(col), col.try_cast(f"decimal(18,{scale})"))).cast("double")
 
 
 def gold_kpis(silver: DataFrame, window: str = P.WINDOW, slide: str = P.SLIDE,
@@ -42,7 +44,7 @@ def gold_kpis(silver: DataFrame, window: str = P.WINDOW, slide: str = P.SLIDE,
         tot = F.sum("consumption")
     else:
         tot = exact_sum("consumption", exact_scale)
-        avg_c = F.try_divide(tot, F.count("consumption"))
+        avg_c = F.try_divide(tot, F.count(F.when(C.usable_reading("consumption"), F.lit(1))))
     if approx_meters == "set":
         meters = F.size(F.collect_set("LCLid")).cast("long")
     elif approx_meters:

@@ -27,12 +27,13 @@ def silver_group_moments(silver: DataFrame) -> DataFrame:
     reports need, per group: consumption and temperature (each on its own
     known values and on the rows where both are known), their co-moment, and
     weekday / weekend consumption count and sum. One partial aggregate, one
-    small shuffle; the reports are projections of its one row per group."""
-    x, y = "consumption", "temperature"
-    pair = F.col(x).isNotNull() & F.col(y).isNotNull()
-    px, py = F.when(pair, F.col(x)), F.when(pair, F.col(y))
+    small shuffle; the reports are projections of its one row per group.
+    Values without a fixed-point form count as unknown."""
+    x, y = (F.when(C.usable_reading(c), F.col(c)) for c in ("consumption", "temperature"))
+    pair = x.isNotNull() & y.isNotNull()
+    px, py = F.when(pair, x), F.when(pair, y)
     wk = C.is_weekend("timestamp")
-    xd, xe = F.when(wk == 0, F.col(x)), F.when(wk == 1, F.col(x))
+    xd, xe = F.when(wk == 0, x), F.when(wk == 1, x)
     return silver.groupBy("acorn_group").agg(
         M.count_both(x, y).alias("pn"),
         M.sum_fixed(px, CONS_SCALE).alias("psx"), M.sum_fixed(py, TEMP_SCALE).alias("psy"),
@@ -126,7 +127,7 @@ def par_index(gold: DataFrame, k: int | None = 5, exact: bool = True) -> DataFra
     """
     g = _with_hour(gold).groupBy("hour")
     if exact:
-        g = g.agg(F.max("total_load").alias("peak"), F.count("total_load").alias("n"),
+        g = g.agg(F.max("total_load").alias("peak"), F.count(M.fixed("total_load", CONS_SCALE)).alias("n"),
                   M.sum_fixed("total_load", CONS_SCALE).alias("s"))
         out = g.select("hour", F.try_divide(F.col("peak"), M.mean_from(F.col("n"), F.col("s"), CONS_SCALE))
                        .alias("PAR_index"))
@@ -149,7 +150,7 @@ def gold_hour_moments(gold: DataFrame) -> DataFrame:
     fixed-point sum of the window load, and active meters; the hourly reports
     are projections of it (exact sums add up across groups)."""
     return (_with_hour(gold).groupBy("acorn_group", "hour")
-            .agg(F.max("total_load").alias("peak"), F.count("total_load").alias("n"),
+            .agg(F.max("total_load").alias("peak"), F.count(M.fixed("total_load", CONS_SCALE)).alias("n"),
                  M.sum_fixed("total_load", CONS_SCALE).alias("s"), F.sum("active_meters").alias("meters")))
 
 
@@ -174,7 +175,7 @@ def gold_outliers(gold: DataFrame, sigmas: float = 2.0, exact: bool = True) -> D
     and returns no rows.
     """
     if exact:
-        st = gold.agg(F.count("total_load").alias("n"), M.sum_fixed("total_load", CONS_SCALE).alias("s"),
+        st = gold.agg(F.count(M.fixed("total_load", CONS_SCALE)).alias("n"), M.sum_fixed("total_load", CONS_SCALE).alias("s"),
                       M.sum_sq_fixed("total_load", CONS_SCALE).alias("q"))
         n, s, q = F.col("n"), F.col("s"), F.col("q")
         bound = st.select(M.mean_from(n, s, CONS_SCALE) + F.lit(sigmas) * M.sd_from(n, s, q, CONS_SCALE))

@@ -11,21 +11,18 @@ per hour and stays small.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.session import app_key, shared_dir
+from meterlake.session import shared_dir
 
 # Broadcast budget of a dimension (serialized payload estimate).
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_size_cache: dict[tuple, tuple[int, int]] = {}
-
-
 def _payload_bytes(df: DataFrame) -> Column:
     parts = []
     for f in df.schema.fields:
@@ -39,50 +36,36 @@ def _payload_bytes(df: DataFrame) -> Column:
     return total
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, estimated bytes) of a DataFrame; one aggregate job, cached per plan."""
-    key = (app_key(df.sparkSession), df.semanticHash())
-    hit = _size_cache.get(key)
-    if hit is not None:
-        return hit
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_payload_bytes(df)).alias("b")).first()
-    res = (int(row["n"] or 0), int(row["b"] or 0))
-    _size_cache[key] = res
-    return res
-
+class Settled(NamedTuple):
+    """A dimension written to the checkpoint folder, and what it measures."""
 
-def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    return measure(df)[1] <= max_bytes
+    frame: DataFrame
+    rows: int
+    bytes: int
 
 
-MAX_PERSISTED = 32
-_persisted_lru: "OrderedDict[int, DataFrame]" = OrderedDict()
+def settle(df: DataFrame) -> Settled:
+    """Compute a dimension once: checkpoint it, then count its rows and payload bytes.
 
-
-def _persisted(df: DataFrame) -> DataFrame:
-    # The dimension is computed once: the size check fills the cache and the
-    # join (broadcast or shuffled) reads it. Memory first, spilling to disk.
-    # A long-running session keeps the most recent MAX_PERSISTED of them; an
-    # evicted one is recomputed if a plan still refers to it.
-    if not df.is_cached:
-        df.persist(StorageLevel.MEMORY_AND_DISK)
-    _persisted_lru[id(df)] = df
-    _persisted_lru.move_to_end(id(df))
-    while len(_persisted_lru) > MAX_PERSISTED:
-        _, old = _persisted_lru.popitem(last=False)
-        old.unpersist()
-    return df
+    The checkpoint belongs to this DataFrame alone: a later read of a grown
+    table is written and measured anew, and a lost executor costs a re-read.
+    A running stream keeps the dimension it was started with.
+    """
+    shared_dir(df.sparkSession)
+    frame = df.checkpoint(eager=True)
+    row = frame.agg(F.count(F.lit(1)).alias("n"), F.sum(_payload_bytes(frame)).alias("b")).first()
+    return Settled(frame, int(row["n"] or 0), int(row["b"] or 0))
 
 
-def prepare(dims: list[DataFrame]) -> None:
-    """Persist and measure several dimensions at once (their size jobs run concurrently)."""
-    from concurrent.futures import ThreadPoolExecutor
-    todo = [_persisted(d) for d in dims]
-    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
-        list(pool.map(measure, todo))
+def settle_all(dims: list[DataFrame]) -> list[Settled]:
+    """Settle several dimensions; their jobs run concurrently."""
+    for d in dims[:1]:
+        shared_dir(d.sparkSession)
+    with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
+        return list(pool.map(settle, dims))
 
 
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
+def dimension_join(fact: DataFrame, dim: DataFrame | Settled, on, how: str,
                    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
                    dim_key: str | None = None) -> DataFrame:
     """Join a fact DataFrame to a dimension, broadcasting the dimension only if it is measured small.
@@ -94,8 +77,9 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
     the choice to the planner.
     """
     if max_broadcast_bytes is not None:
-        dim = _persisted(dim)
-        if fits_broadcast(dim, max_broadcast_bytes):
+        settled = dim if isinstance(dim, Settled) else settle(dim)
+        dim = settled.frame
+        if settled.bytes <= max_broadcast_bytes:
             dim = F.broadcast(dim)
         elif dim_key is not None:
             # Written once to the shared checkpoint folder in the join's
@@ -112,6 +96,5 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str,
                 laid_out = dim.repartition(n, F.col(dim_key)).checkpoint(eager=True)
             finally:
                 spark.conf.set("spark.sql.adaptive.enabled", aqe)
-            dim.unpersist()
             dim = laid_out
     return fact.join(dim, on, how)

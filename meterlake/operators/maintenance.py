@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from meterlake import params as P
 from meterlake.session import ship_package
+from meterlake.sources.files import newest_committed
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
@@ -57,6 +58,25 @@ def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = DEFAULT
     return spark.read.format(fmt).load(dst)
 
 
+def compact_live(spark: SparkSession, table: str, target_bytes: int = DEFAULT_TARGET_BYTES,
+                 fmt: str = "parquet") -> DataFrame | None:
+    """Publish the live snapshot of ``table`` again as the next snapshot, in files of about ``target_bytes``.
+
+    Readers see the old snapshot until the new one is committed; superseded
+    ones are left to the retention. Run it while the table's writer is
+    stopped: a snapshot that already exists is never overwritten. None if the
+    table has no committed snapshot.
+    """
+    live = newest_committed(spark, table)
+    if live is None:
+        return None
+    number = int(live.partition("=")[2]) + 1
+    src, dst = f"{table}/{live}", f"{table}/snapshot={number:020d}"
+    n = max(1, math.ceil(layer_bytes(spark, src) / target_bytes))
+    spark.read.format(fmt).load(src).coalesce(n).write.mode("errorifexists").format(fmt).save(dst)
+    return spark.read.format(fmt).load(dst)
+
+
 def snapshot_files(spark: SparkSession, table: str) -> DataFrame:
     """Data files of a snapshot table with their snapshot number (from the ``snapshot=<n>`` folder)."""
     snap = F.regexp_extract(F.col("path"), r"/snapshot=(\d+)/", 1)

@@ -68,3 +68,6 @@ class DetectorParams:
 
 
 DEFAULT_DETECTOR = DetectorParams()
+
+# Readings beyond this magnitude (or not finite) have no fixed-point form; exact operators leave them out.
+MAX_READING = 1e9

@@ -37,3 +37,11 @@ def read_text_lines(spark: SparkSession, path_glob: str) -> DataFrame:
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A persisted layer (silver, gold, alerts). ``fmt="delta"`` when the Delta jar is present."""
     return spark.read.format(fmt).load(path)
+
+
+def newest_committed(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest snapshot whose write was committed, from a listing of folder names."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [f.getPath().getParent().getName() for f in found]
+    return max(names, key=lambda n: int(n.partition("=")[2])) if names else None

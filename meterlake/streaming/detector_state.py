@@ -8,9 +8,9 @@ Scores are computed with the same sequence of double operations as the
 batch form, so a stream split into any micro-batches (in time order) yields
 exactly the batch result.
 
-Within a batch the prefix moments are cumulative sums over numpy arrays;
-only the 128-bit products ``n*q - s^2`` use Python integers, and pandas is
-used only to build the rows that alert. A meter's rows in one micro-batch
+Within a batch the prefix moments are cumulative sums over numpy arrays, in
+64 bits while a bound shows that ``n*q`` and ``s^2`` fit and over Python
+integers beyond; pandas is used only to build the rows that alert. A meter's rows in one micro-batch
 are bounded by the source's admission cap.
 """
 
@@ -55,8 +55,7 @@ def score_arrays(ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: i
 
     Returns ``(order, hit, mean, z, (n, s, q))``: the time order of the
     inputs, which of the ordered readings alert, their prior mean and score,
-    and the moments after the batch. Plain numpy; only the 128-bit products
-    ``n*q - s^2`` use Python integers.
+    and the moments after the batch.
     """
     order = np.lexsort((temp, x, ts))           # by time, then reading, then temperature
     x, temp = x[order], temp[order]
@@ -66,13 +65,14 @@ def score_arrays(ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: i
     xi = (np.sign(v) * np.floor(np.abs(v) + 0.5)).astype(np.int64)  # half away from zero, as Spark's round
     n = n0 + np.arange(m, dtype=np.int64)
     s = s0 + (np.cumsum(xi) - xi)               # exclusive prefix sums (fit in 64 bits, as the state does)
-    xs = xi.tolist()
-    ns, ss = n.tolist(), s.tolist()
-    q, acc = [], q0
-    for xv in xs:
-        q.append(acc)
-        acc += xv * xv
-    d = np.array([float(a * b - c * c) for a, b, c in zip(ns, q, ss)], dtype=np.float64)
+    top = int(np.abs(xi).max(initial=0))
+    narrow = max((n0 + m) * (q0 + m * top * top), (abs(s0) + m * top) ** 2) < 2 ** 63
+    wide = np.int64 if narrow else object        # Python integers where 64 bits may not hold the products
+    xw, sw = xi.astype(wide), s.astype(wide)
+    square = xw * xw
+    q = q0 + (np.cumsum(square) - square)
+    d = (n.astype(wide) * q - sw * sw).astype(np.float64)
+    acc = q0 + int(square.sum())
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = np.where(n > 0, s.astype(np.float64) / (n.astype(np.float64) * unit), np.nan)
         var = np.where(n > 1, d / (n.astype(np.float64) * (n - 1).astype(np.float64) * (unit * unit)), 0.0)

@@ -26,9 +26,11 @@ from pyspark.errors import AnalysisException
 
 from meterlake import params as P
 from meterlake import schemas
+from meterlake.functions import columns as C
 from meterlake.operators import cleaning, enrich, gold, insights
 from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
 from meterlake.session import ship_package
+from meterlake.sources.files import newest_committed
 from meterlake.streaming.detector_state import make_detector
 
 
@@ -110,14 +112,6 @@ def _read_or_empty(spark: SparkSession, path: str, fmt: str) -> DataFrame | None
         raise
 
 
-def _newest_committed(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest snapshot whose write was committed, from a listing of folder names."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    names = [f.getPath().getParent().getName() for f in found]
-    return max(names, key=lambda n: int(n.partition("=")[2])) if names else None
-
-
 def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str = "parquet") -> DataFrame:
     """The live gold table: the newest snapshot (complete mode) or the appended windows.
 
@@ -125,7 +119,7 @@ def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str =
     commit mark is read, so a half-written snapshot is never live and older
     ones are not opened.
     """
-    newest = _newest_committed(spark, path) if mode == "complete" else None
+    newest = newest_committed(spark, path) if mode == "complete" else None
     if mode == "complete" and newest is None:
         return spark.createDataFrame([], schemas.GOLD)
     df = _read_or_empty(spark, f"{path}/{newest}" if newest else path, fmt)
@@ -135,7 +129,7 @@ def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str =
 def alert_stream(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR,
                  watermark: str = P.WATERMARK, key: str = "LCLid") -> DataFrame:
     """Stateful detector over the enriched stream (readings with known temperature)."""
-    readings = (silver.filter(F.col("temperature").isNotNull() & F.col("consumption").isNotNull()
+    readings = (silver.filter(F.col("temperature").isNotNull() & C.usable_reading("consumption")
                               & F.col("timestamp").isNotNull())
                 .withWatermark("timestamp", watermark)
                 .select(F.col(key).cast("string").alias("LCLid"), "timestamp", "consumption",
