@@ -15,14 +15,16 @@ how the history is split, summed or ordered across tasks and micro-batches.
 The streaming form keeps the same integers as its state.
 
 Scale. A plain per-key window would put one key's whole history into one
-task; a key may hold a third of all rows. The prefix is computed as a
-parallel scan instead:
-
-1. per key: row count and time span (partial aggregate, no skew);
-2. the history of each key with more than ``chunk_rows`` readings is cut
-   into time chunks holding about ``chunk_rows`` readings each (such keys
-   are few by construction, so their table is broadcast); other keys are
-   one chunk;
+task; a key may hold a third of all rows. Keys with more than ``chunk_rows``
+readings ("hot") are therefore computed as a parallel scan:
+
+1. per key: row count (partial aggregate, no skew). Without a hot key the
+   plan is one window over one shuffle of the readings, and stops here;
+2. the history of a hot key is cut at quantiles of its reading times, a
+   mergeable sketch per task, so that chunks hold about ``chunk_rows``
+   readings each however the arrivals are spread: a burst, a gap or an early
+   outlier moves the cuts, not the sizes. Readings of one key with the very
+   same time stay in one chunk;
 3. chunk totals by a partial aggregate (one row per chunk and task is
    shuffled), then an exclusive running sum over the chunks of each key;
 4. one shuffle of the readings by (key, chunk): an ordered window gives the
@@ -39,35 +41,40 @@ from pyspark.sql import functions as F
 from meterlake import params as P
 from meterlake.functions import columns as C
 from meterlake.functions.moments import fixed
-from meterlake.operators.joins import dimension_join
+from meterlake.operators.joins import dimension_join, settle
 
 DEFAULT_CHUNK_ROWS = 200_000
 _DEC = "decimal(38,0)"
 
 
-def assign_chunks(df: DataFrame, key: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Add ``_chunk``: the time chunk of each row within its key (needs ``_us``, event time in µs).
+def chunk_cuts(df: DataFrame, key: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
+    """``(key, _cuts)``: ascending times (µs) at which the history of each hot key is cut; None without a hot key.
 
-    Only keys with more than ``chunk_rows`` rows are cut: their span is split
-    into equal-width chunks holding about ``chunk_rows`` rows each when
-    readings arrive at a steady rate; every other key is one chunk (0).
-    There are at most ``rows / chunk_rows`` such hot keys, so their table is
-    small by construction; it is joined (left) with a measured broadcast and
-    the common case -- no hot key -- adds no shuffle of the readings.
+    There are at most ``rows / chunk_rows`` hot keys, and a key has about
+    ``its rows / chunk_rows`` cuts, so all cuts together are as many at most.
     """
-    hot = (df.groupBy(key)
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_us").alias("_t0"), F.max("_us").alias("_t1"))
-             .filter(F.col("_cnt") > F.lit(chunk_rows))
-             .select(F.col(key),
-                     F.col("_t0"),
-                     F.greatest(F.lit(1).cast("long"),
-                                F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1))
-                                       * F.lit(float(chunk_rows)) / F.col("_cnt")).cast("long")
-                                ).alias("_width")))
-    df = dimension_join(df, hot, key, "left")
-    chunk = F.coalesce(F.floor((F.col("_us") - F.col("_t0")) / F.col("_width")).cast("long"),
-                       F.lit(0).cast("long"))
-    return df.withColumn("_chunk", chunk).drop("_t0", "_width")
+    hot = settle(df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > F.lit(chunk_rows)))
+    if hot.rows == 0:
+        return None
+    parts = -(-hot.frame.agg(F.max("_cnt")).first()[0] // chunk_rows)
+    # The rank error of a cut stays below a tenth of a chunk of the largest key.
+    cuts = F.percentile_approx("_us", [k / parts for k in range(1, parts)], max(10_000, 10 * parts))
+    quantiles = dimension_join(df.select(key, "_us"), hot, key, "inner").groupBy(key, "_cnt").agg(cuts.alias("_all"))
+    # The quantiles suit the largest key; a smaller one takes every step-th of them.
+    step = F.greatest(F.lit(1), F.floor(F.lit(parts) * F.lit(chunk_rows) / F.col("_cnt"))).cast("int")
+    return (quantiles.withColumn("_step", step)
+            .select(key, F.filter("_all", lambda c, i: (i + 1) % F.col("_step") == 0).alias("_cuts")))
+
+
+def assign_chunks(df: DataFrame, key: str, cuts: DataFrame) -> DataFrame:
+    """Add ``_chunk``: how many cuts of its key lie at or before each row (needs ``_us``); 0 for other keys.
+
+    The cuts are joined (left) with a measured broadcast, so this adds no
+    shuffle of the readings.
+    """
+    df = dimension_join(df, cuts, key, "left")
+    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
+    return df.withColumn("_chunk", F.when(F.col("_cuts").isNotNull(), passed).otherwise(F.lit(0))).drop("_cuts")
 
 
 def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
@@ -77,41 +84,38 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
     ts = order[0]
     df = readings.withColumn("_xi", fixed(F.col(value), p.value_scale)) \
                  .withColumn("_us", F.unix_micros(F.col(ts)))
-
-    df = assign_chunks(df, key, chunk_rows)
-
     xi = F.col("_xi")
     sq = xi.cast(_DEC) * xi.cast(_DEC)
+    sums = (F.count(xi), F.sum(xi), F.sum(sq))
 
-    # 3. chunk totals: a partial aggregate, so only one row per chunk and
-    # task is shuffled (the readings are scanned again, not shuffled again).
-    chunks = df.groupBy(key, "_chunk").agg(F.count(xi).alias("_cn"), F.sum(xi).alias("_cs"),
-                                           F.sum(sq).alias("_cq"))
-
-    # 4. exclusive running totals over the chunks of each key (one row per chunk).
-    wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunks.select(
-        F.col(key), F.col("_chunk"),
-        F.coalesce(F.sum("_cn").over(wc), F.lit(0).cast("long")).alias("_on"),
-        F.coalesce(F.sum("_cs").over(wc), F.lit(0).cast("long")).alias("_os"),
-        F.coalesce(F.sum("_cq").over(wc), F.lit(0).cast(_DEC)).alias("_oq"),
-    )
+    def prefix(keys: list[str], order_by: list[str]) -> list[Column]:
+        before = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(c.over(before), F.lit(0).cast(t)) for c, t in zip(sums, ("long", "long", _DEC))]
 
-    # 5. the one shuffle of the readings: by (key, chunk), ordered, prefix
+    names = ("prior_n", "prior_s", "prior_q")
+    cuts = chunk_cuts(df, key, chunk_rows)
+    if cuts is None:
+        return df.select("*", *(c.alias(n) for c, n in zip(prefix([key], list(order)), names))).drop("_us")
+
+    df = assign_chunks(df, key, cuts)
+
+    # 3. chunk totals: a partial aggregate, so only one row per chunk and
+    # task is shuffled (the readings are scanned again, not shuffled again);
+    # then exclusive running totals over the chunks of each key.
+    totals = df.groupBy(key, "_chunk").agg(*(c.alias(n) for c, n in zip(sums, ("_cn", "_cs", "_cq"))))
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "_chunk", *(F.sum(c).over(earlier).alias(n)
+                                             for c, n in (("_cn", "_on"), ("_cs", "_os"), ("_cq", "_oq"))))
+
+    # 4. the one shuffle of the readings: by (key, chunk), ordered, prefix
     # inside the chunk. The join below finds this side already partitioned
-    # by (key, chunk) and moves only the chunk offsets.
-    w = Window.partitionBy(key, "_chunk").orderBy(*[F.col(c) for c in order])
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    df = df.select(
-        "*",
-        F.count(xi).over(before).alias("_ln"),
-        F.coalesce(F.sum(xi).over(before), F.lit(0).cast("long")).alias("_ls"),
-        F.coalesce(F.sum(sq).over(before), F.lit(0).cast(_DEC)).alias("_lq"),
-    )
-    df = df.join(offsets, [key, "_chunk"], "inner")
-    return (df.withColumn("prior_n", F.col("_on") + F.col("_ln"))
-              .withColumn("prior_s", F.col("_os") + F.col("_ls"))
-              .withColumn("prior_q", (F.col("_oq") + F.col("_lq")).cast(_DEC))
+    # by (key, chunk) and moves only the chunk offsets. The first chunk of a
+    # key, and rows without a key, have no offset.
+    df = df.select("*", *(c.alias(n) for c, n in zip(prefix([key, "_chunk"], list(order)), ("_ln", "_ls", "_lq"))))
+    df = df.join(offsets, [key, "_chunk"], "left")
+    total = [(F.coalesce(f"_o{c}", F.lit(0).cast(t)) + F.col(f"_l{c}")).cast(t)
+             for c, t in (("n", "long"), ("s", "long"), ("q", _DEC))]
+    return (df.withColumns(dict(zip(names, total)))
               .drop("_on", "_os", "_oq", "_ln", "_ls", "_lq", "_chunk", "_us"))
 
 

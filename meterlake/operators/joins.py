@@ -28,6 +28,8 @@ def _payload_bytes(df: DataFrame) -> Column:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long"))
+        elif isinstance(f.dataType, T.ArrayType):  # of fixed-width values
+            parts.append(F.coalesce(F.size(F.col(f"`{f.name}`")), F.lit(0)).cast("long") * 8)
         else:
             parts.append(F.lit(8).cast("long"))
     total = F.lit(16).cast("long")  # per-row overhead of an unsafe row header

@@ -194,10 +194,35 @@ def test_hot_key_is_cut_into_bounded_chunks(spark):
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), (F.col("id") % 500).cast("string")))
         .alias("LCLid"),
         (F.col("id") * F.lit(1_000_000)).alias("_us")))
-    chunks = detector.assign_chunks(df, "LCLid", chunk_rows=500)
+    chunks = detector.assign_chunks(df, "LCLid", detector.chunk_cuts(df, "LCLid", chunk_rows=500))
     st = (chunks.groupBy("LCLid", "_chunk").count()
           .groupBy("LCLid").agg(F.count("*").alias("chunks"), F.max("count").alias("biggest")))
     hot = st.filter(F.col("LCLid") == "hot").first()
     assert hot["chunks"] >= 15 and hot["biggest"] <= 600
     cold = st.filter(F.col("LCLid") != "hot").agg(F.max("chunks").alias("m")).first()["m"]
     assert cold == 1
+
+
+@pytest.mark.parametrize("at", ["least(id, 1) * 3000000000000000 + id",               # one early outlier
+                                "CASE WHEN id < 4900 THEN id ELSE id * 3600000000 END",  # a burst, then a steady rate
+                                "id * id * id"])                                      # ever rarer readings
+def test_uneven_arrivals_give_bounded_chunks(spark, at):
+    df = spark.range(5_001).selectExpr("'hot' AS LCLid", f"CAST({at} AS LONG) AS _us")
+    chunks = detector.assign_chunks(df, "LCLid", detector.chunk_cuts(df, "LCLid", chunk_rows=500))
+    sizes = [r["count"] for r in chunks.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 5_001 and max(sizes) <= 1_000
+
+
+def test_hot_keys_of_different_sizes_and_rows_without_key(spark):
+    rows = [(k, T0 + dt.timedelta(seconds=i), round(1 + i % 7 * 0.5, 3), 20.0)
+            for k, n in (("big", 400), ("small", 90), (None, 60)) for i in range(n)]
+    df = spark.createDataFrame(rows, "LCLid string, timestamp timestamp, consumption double, temperature double")
+    one = sorted(map(str, detector.running_baseline(df, P, chunk_rows=10 ** 9).collect()))
+    many = sorted(map(str, detector.running_baseline(df, P, chunk_rows=50).collect()))
+    assert one == many and len(one) == len(rows)
+
+
+def test_without_hot_key_there_are_no_cuts(spark):
+    df = spark.range(100).selectExpr("'m' AS LCLid", "id AS _us")
+    assert detector.chunk_cuts(df, "LCLid", chunk_rows=100) is None
+    assert detector.chunk_cuts(df.limit(0), "LCLid", chunk_rows=100) is None
