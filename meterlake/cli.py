@@ -17,7 +17,7 @@ import argparse
 
 from meterlake import params as P
 from meterlake.operators import cleaning, eda, insights, maintenance, replay
-from meterlake.session import build_session, ship_package
+from meterlake.session import build_session, scratch_path, ship_package
 from meterlake.sources import files
 from meterlake.streaming import jobs
 from meterlake.streaming.sources import file_messages, kafka_messages
@@ -53,7 +53,7 @@ def run(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-per-trigger", type=int, default=P.MAX_RECORDS_PER_TRIGGER)
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
     ap.add_argument("--format", default="parquet")
-    ap.add_argument("--gold-mode", default="complete", choices=["complete", "append"])
+    ap.add_argument("--gold-mode", default="complete", choices=["complete", "append", "update"])
     ap.add_argument("--min-value", type=float, default=None, help="notifier: only alerts above this reading")
     ap.add_argument("--layer", help="maintain: layer folder to compact")
     ap.add_argument("--table", help="maintain: snapshot table to clean")
@@ -70,7 +70,8 @@ def run(argv: list[str] | None = None) -> None:
     fmt = a.format
     if a.job == "replay":
         lines = files.read_text_lines(spark, a.readings)
-        replay.write_messages(replay.replay_messages(lines), a.messages, kafka_bootstrap=a.kafka, topic=a.topic)
+        for part in replay.time_slices(replay.replay_messages(lines), scratch_path(spark, "replay")):
+            replay.write_messages(part, a.messages, kafka_bootstrap=a.kafka, topic=a.topic)
     elif a.job == "consume":
         house, weather = _dims(spark, a)
         if a.once:

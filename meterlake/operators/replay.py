@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.functions import columns as C
+
 HEADER = "LCLid,tstp,energy(kWh/hh)"
 _EDGE = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -43,6 +45,25 @@ def replay_messages(lines: DataFrame, header: str = HEADER, line_col: str = "val
     return rows.select(f0.alias("key"), F.to_json(payload).alias("value"))
 
 
+def time_slices(messages: DataFrame, staging: str, slices: int = 8) -> list[DataFrame]:
+    """The messages cut into about equal parts by reading time, oldest first.
+
+    Published one after the other, every meter's messages arrive in time order,
+    as from a producer that reads its files front to back: inside a part a
+    meter's messages are together and sorted. Messages without a readable time
+    come first. ``staging`` is a new shared folder that holds the parts.
+    """
+    spark = messages.sparkSession
+    us = F.unix_micros(C.parse_reading_ts(F.get_json_object("value", "$.tstp")))
+    timed = messages.withColumn("us", us)
+    cuts = timed.agg(F.percentile_approx("us", [k / slices for k in range(1, slices)], 10_000)).first()[0] or []
+    part = sum((F.when(F.col("us") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    timed.withColumn("part", part).write.partitionBy("part").parquet(staging)
+    staged = spark.read.schema("key string, value string, us long, part int").parquet(staging)
+    return [staged.filter(F.col("part") == k).repartition("key").sortWithinPartitions("key", "us")
+            .select("key", "value") for k in range(slices)]
+
+
 def write_messages(messages: DataFrame, path: str | None = None, fmt: str = "parquet",
                    kafka_bootstrap: str | None = None, topic: str | None = None) -> None:
     """Publish replayed messages: to a Kafka topic (needs the Kafka connector)

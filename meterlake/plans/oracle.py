@@ -119,6 +119,7 @@ CTES["alerts"] = (("stats_meter",), alerts_body("stats_meter", 30, 3.0, 5.0))
 CTES["moments_type"] = (("silver_x",), moments_cte("moments_type", "event_type", "silver_x"))
 CTES["stats_type"] = (("moments_type",), STATS.format(src="moments_type"))
 CTES["alerts_type"] = (("stats_type",), alerts_body("stats_type", 600, 8.0, 15.0))
+CTES["alerts_type_low"] = (("stats_type",), alerts_body("stats_type", 600, 2.0, 3.5))
 
 
 def _closure(names: tuple[str, ...]) -> list[str]:

