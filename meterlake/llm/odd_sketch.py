@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
-from meterlake.llm.graph import components
+from meterlake.llm.graph import checked_broadcast, components
 
 ROWS = 4
 MISS = 1e-7
@@ -45,7 +45,7 @@ BITS = 1024
 MARGIN = 4.0
 
 SKETCH_COLUMNS = [f"odd{k}" for k in range(BITS // 64)]
-SKETCHES = ("doc_id long, n_shingles long, node long, bands array<long>, "
+SKETCHES = ("doc_id long, text_hash long, n_shingles long, node long, bands array<long>, "
             + ", ".join(f"{c} long" for c in SKETCH_COLUMNS))
 
 
@@ -104,7 +104,7 @@ def odd_bitmaps(sample: np.ndarray) -> np.ndarray:
 def sketches(docs: DataFrame, words: int, n_bands: int) -> DataFrame:
     """Identity, band keys and odd sketch of every row's shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in slices(batches):
+        for keys, texts, hashes in slices(batches):
             h, first = distinct_shingles(texts, words)
             size = np.diff(first)
             some = np.flatnonzero(size)
@@ -123,10 +123,10 @@ def sketches(docs: DataFrame, words: int, n_bands: int) -> DataFrame:
             bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(used)]), pa.int32()),
                                              pa.array(band[some].ravel()))
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(size), pa.array(identities(h, first)), bands, *(pa.array(c) for c in odd.T)],
-                names=["doc_id", "n_shingles", "node", "bands", *SKETCH_COLUMNS])
+                [keys, hashes, pa.array(size), pa.array(identities(h, first)), bands, *(pa.array(c) for c in odd.T)],
+                names=["doc_id", "text_hash", "n_shingles", "node", "bands", *SKETCH_COLUMNS])
 
-    return docs.mapInArrow(run, SKETCHES)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, SKETCHES)
 
 
 def estimate(n_samples: int) -> Column:
@@ -250,10 +250,14 @@ class NearDuplicates:
                 labels = components(edges)
         return labels
 
+    def linked(self) -> DataFrame:
+        """(node, rep, label) of every node, one without links being its own component."""
+        linked = self.nodes.select("node", "rep").join(self.labels(), "node", "left")
+        return linked.withColumn("label", F.coalesce("label", "node"))
+
     def classes(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) of every row."""
-        linked = self.nodes.select("node", "rep").join(self.labels(), "node", "left")
-        linked = linked.withColumn("label", F.coalesce("label", "node"))
+        linked = self.linked()
         least = linked.groupBy("label").agg(F.min("rep").alias("component_id"))
         of_node = materialise(linked.join(least, "label").select("node", "component_id"), "classes")
         rows = self.rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
@@ -270,7 +274,35 @@ def near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8, key:
 
 def without_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id",
                             text: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, of the documents that stand for their components."""
-    out = (near_duplicates(df, words, similarity, key, text).filter(~F.col("kept"))
-           .select(F.col("doc_id").alias("dropped_id")).distinct())
-    return df.join(out, df[key].cast("long").eqNullSafe(out["dropped_id"]), "left_anti")
+    """The rows of ``df``, all columns, one for each component; rows without words all stay.
+
+    Rows are matched by id and text, nulls included. The row with the least id,
+    one without an id coming last, stands for its component, then the one with
+    the least ``xxhash64`` of its text, then of its whole row as JSON.
+    """
+    found = NearDuplicates(two_columns(df, key, text), words, similarity)
+    rows = found.rows.filter("n_shingles > 0").groupBy("doc_id", "text_hash", "node").agg(F.count("*").alias("n"))
+    rows = materialise(rows.join(found.linked().select("node", "label"), "node"), "component_rows")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n"))
+    best = materialise(rows.groupBy("label").agg(best.alias("best")).select("best.doc_id", "best.text_hash", "best.n"),
+                       "component_bests")
+
+    def same(own: DataFrame) -> Column:
+        return (df[key].cast("long").eqNullSafe(own["own_id"])
+                & (F.xxhash64(df[text].cast("string")) == own["own_hash"]))
+
+    def named(own: DataFrame) -> DataFrame:
+        return own.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"))
+
+    other = rows.join(named(best), F.col("doc_id").eqNullSafe(F.col("own_id"))
+                      & (F.col("text_hash") == F.col("own_hash")), "left_anti")
+    again = materialise(best.filter("n > 1"), "repeated_bests")
+    out = named(other.select("doc_id", "text_hash").union(again.select("doc_id", "text_hash")))
+    kept = df.join(out, same(out), "left_anti")
+    if not again.limit(1).count():
+        return kept
+    own = checked_broadcast(named(again))
+    row = F.struct(*(df[c] for c in df.columns))
+    one = (df.join(own, same(own)).groupBy("own_id", "own_hash")
+           .agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row")))
+    return kept.unionByName(one.select("row.*"))

@@ -42,7 +42,8 @@ SHARE = 0.5
 LEAST = 6
 BITMAP_BITS = 1 << 24
 
-LEAKS = "doc_id long, row long, item_id long, score double, matched long, first_word long, last_word long"
+LEAKS = ("doc_id long, row long, item_id long, score double, matched long, first_word long, last_word long, "
+         "text_hash long")
 
 
 def bitmap_of(rows: DataFrame, column: str) -> bytes:
@@ -107,14 +108,14 @@ def seeds_of(docs: DataFrame, items: DataFrame, gram: int, expected: float, few:
 
 
 def regions(docs: DataFrame, seeds: DataFrame, gram: int, reach: int) -> DataFrame:
-    """(doc_id, row, start, words, grams): stretches of documents around their seed hits."""
+    """(doc_id, row, start, words, grams, text_hash): stretches of documents around their seed hits."""
     bitmap = bitmap_of(seeds, "gram")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         wanted = np.frombuffer(bitmap, np.uint8)
         row = TaskContext.get().partitionId() << 33
-        for keys, texts in slices(batches):
+        for keys, texts, hashes in slices(batches):
             codes, words, first = split_words(texts, lower=True)
             h = hash_words(words)[codes]
             g, bounds = shingle_hashes(h, first, gram)
@@ -130,11 +131,12 @@ def regions(docs: DataFrame, seeds: DataFrame, gram: int, reach: int) -> DataFra
                  pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(end - start)), pa.int32()),
                                           pa.array(h[gather_ragged(start, end - start)].view(np.int64))),
                  pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()),
-                                          pa.array(g[hit].view(np.int64)))],
-                names=["doc_id", "row", "start", "words", "grams"])
+                                          pa.array(g[hit].view(np.int64))), hashes.take(pa.array(doc[head]))],
+                names=["doc_id", "row", "start", "words", "grams", "text_hash"])
             row += len(keys)
 
-    return docs.mapInArrow(run, "doc_id long, row long, start long, words array<long>, grams array<long>")
+    return (docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+            .mapInArrow(run, "doc_id long, row long, start long, words array<long>, grams array<long>, text_hash long"))
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -166,7 +168,7 @@ def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 def leaks(docs: DataFrame, items: DataFrame, gram: int = GRAM, share: float = SHARE, least: int = LEAST,
           expected: float = EXPECTED, few: int = FEW, key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, row, item_id, score, matched, first_word, last_word) of every leaked item in every row."""
+    """(doc_id, row, item_id, score, matched, first_word, last_word, text_hash) of every leaked item in every row."""
     docs = two_columns(docs, key, text)
     items = materialise(word_sequences(two_columns(items, item_key, item_text), gram)
                         .filter(F.size("words") > 0), "benchmark_items")
@@ -181,24 +183,27 @@ def leaks(docs: DataFrame, items: DataFrame, gram: int = GRAM, share: float = SH
         for batch in batches:
             out = []
             doc_ids, rows, starts, item_ids = (batch.column(c).to_pylist() for c in range(4))
+            hashes = batch.column(6).to_pylist()
             for k in range(batch.num_rows):
                 words, item = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in (4, 5))
                 score, a, b = aligned(item, words)
                 if score >= share * len(item) and score >= min(least, len(item)):
                     out.append((doc_ids[k], rows[k], item_ids[k], score / len(item), score, starts[k] + a,
-                                starts[k] + b - 1))
-            columns = list(zip(*out)) or [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                                starts[k] + b - 1, hashes[k]))
+            columns = list(zip(*out)) or [()] * 8
+            kinds = (*[pa.int64()] * 3, pa.float64(), *[pa.int64()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)],
                                              names=[c.split()[0] for c in LEAKS.split(", ")])
 
-    candidates = (pairs.join(found.select("doc_id", "row", "start", "words"), ["row", "start"])
+    candidates = (pairs.join(found.select("doc_id", "row", "start", "words", "text_hash"), ["row", "start"])
                   .join(texts, F.col("item_id").eqNullSafe(F.col("of_item")))
-                  .select("doc_id", "row", "start", "item_id", "words", "item"))
+                  .select("doc_id", "row", "start", "item_id", "words", "item", "text_hash"))
     return candidates.mapInArrow(run, LEAKS)
 
 
 def without_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df``, all columns, whose document holds no test item."""
-    out = leaks(df, items, key=key, text=text, **options).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return df.join(out, df[key].cast("long").eqNullSafe(out["leaked_id"]), "left_anti")
+    """The rows of ``df``, all columns, whose text holds no test item; rows are matched by id and text, nulls included."""
+    out = (leaks(df, items, key=key, text=text, **options)
+           .select(F.col("doc_id").alias("leaked_id"), F.col("text_hash").alias("leaked_hash")).distinct())
+    return df.join(out, df[key].cast("long").eqNullSafe(out["leaked_id"])
+                   & (F.xxhash64(df[text].cast("string")) == out["leaked_hash"]), "left_anti")
