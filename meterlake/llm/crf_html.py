@@ -12,6 +12,9 @@ and decoded by Viterbi. The labelled pages are the layouts written out in
 article; a copy of each sampled page without that markup in its features is
 trained on as well, so that the other features carry weight.
 
+Blocks below a start tag with a hidden attribute, aria-hidden="true" or
+``display:none`` in its style are not shown to a reader and left out.
+
 Defined results: a null or empty page, and one without main blocks, gives an
 empty text of 0 characters; cut-off pages are read as far as they go; equal
 path scores go to the boilerplate label; repeated rows are each extracted;
@@ -55,7 +58,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ANY_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+MAY_HIDE = re.compile(r"hidden|style", re.I)
 NAME_PART = re.compile(r"[a-z]+")
 
 # Parts of class, id and role names, by what they speak of.
@@ -91,6 +95,24 @@ class Block:
     articles: int
 
 
+def hides(attributes: str) -> bool:
+    """Whether a start tag has a hidden attribute, aria-hidden of true, or display none as the last one in its style."""
+    if not MAY_HIDE.search(attributes):
+        return False
+    own: dict[str, str] = {}
+    for m in ANY_ATTRIBUTE.finditer(attributes):
+        if m[1]:
+            own.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    if "hidden" in own or own.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    display = ""
+    for rule in own.get("style", "").lower().split(";"):
+        name, _, value = rule.partition(":")
+        if name.strip() == "display":
+            display = value.replace("!important", "").strip()
+    return display == "none"
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order; broken or cut-off markup is read as browsers do, without an error."""
     out: list[Block] = []
@@ -164,7 +186,7 @@ def leaf_blocks(page: str) -> list[Block]:
             if found:
                 parts = NAME_PART.findall(" ".join("".join(x) for x in found).lower())
                 names = frozenset(NAME_OF[p] for p in parts if p in NAME_OF)
-        stack.append((tag, names, bool(rest and HIDDEN.search(rest))))
+        stack.append((tag, names, bool(rest and hides(rest))))
         articles += tag == "article"
         links = 0
         refresh()
