@@ -1,15 +1,19 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
-Seeds are the word n-grams of the test items that the corpus would rarely hold
-by chance: those whose expected number, from the corpus frequencies of their
-words, is at most ``EXPECTED``, and each item's ``FEW`` least expected ones. Word
-frequencies, unlike n-gram counts, hardly change when a passage leaks into
-many documents, so a leaked passage keeps its seeds.
+Seeds are word bigrams of the test items. An alignment that is told can afford
+``budget`` errors at most (a word left off an end, replaced or dropped, or one
+inserted), and no error breaks more bigrams than it costs in score: a word
+inserted breaks one for 1, a word replaced or dropped two for 2, a word left
+off one for 1. So of any ``budget + 1`` of an item's bigrams one is whole in every such
+alignment, and the least expected ones, by the corpus frequencies of their
+words, are the seeds. Frequencies only choose among sets that are all complete:
+a common item has as many seeds as a rare one, at any size of the corpus.
 
 Documents are read twice, for the word counts and for the seeds. Around each
 hit the document's words are kept as a region of word hashes, as far as an
-item can reach. Regions join items on the seed, and each (region, item) pair
-is aligned locally: a match counts 1, a substitution or a gap -1. The best
+item can reach. Regions join items on the seed. By the same rule a region
+without all but ``budget`` of the item's bigrams in as many words as an alignment
+can span holds no leak; the other (region, item) pairs are aligned locally: a match counts 1, a substitution or a gap -1. The best
 score as a share of the item's words, at least ``SHARE`` with ``LEAST`` matches,
 tells a leak, also with words replaced, dropped or inserted.
 
@@ -25,6 +29,7 @@ passed through by ``without_leaks``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +40,7 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import (gather_ragged, hash_words, materialise, shingle_hashes, slices, split_words,
                                   two_columns)
 
-GRAM = 3
-EXPECTED = 1.0
-FEW = 3
+GRAM = 2
 SHARE = 0.5
 LEAST = 6
 BITMAP_BITS = 1 << 24
@@ -91,20 +94,26 @@ def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def seeds_of(docs: DataFrame, items: DataFrame, gram: int, expected: float, few: int) -> DataFrame:
-    """(item_id, gram) of the items' seeds."""
+def budget_of(words: int, share: float, least: int) -> int:
+    """Largest loss of score that still leaves an item of so many words told."""
+    return math.floor(words - max(share * words, min(least, words)) + 1e-9)
+
+
+def seeds_of(docs: DataFrame, items: DataFrame, gram: int, share: float, least: int) -> DataFrame:
+    """(item, gram) of the items' seeds: of each, so many least expected grams that its budget cannot break all."""
     vocabulary = items.select(F.explode("words").alias("word")).distinct()
     counts = materialise(word_counts(docs, vocabulary), "benchmark_word_counts")
     total = counts.filter("word is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    places = items.select("item_id", "words", F.posexplode("grams").alias("at", "gram"))
-    words = places.select("item_id", "gram", "at", F.explode(F.slice("words", F.col("at") + 1, gram)).alias("word"))
+    size = F.size("words")
+    budget = F.floor(size - F.greatest(F.lit(share) * size, F.least(F.lit(least), size)) + 1e-9)
+    need = budget * max(gram - 1, 1) + 1
+    places = items.select("item", "words", need.alias("need"), F.posexplode("grams").alias("at", "gram"))
+    words = places.select("item", "gram", "at", "need", F.explode(F.slice("words", F.col("at") + 1, gram)).alias("word"))
     known = counts.filter("word is not null")
-    share = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(total + 1)))
-    chance = words.join(known, "word", "left").groupBy("item_id", "at", "gram").agg(F.sum(share).alias("log_share"))
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("log_share", "at"))
-    likely = F.lit(float(total + 1)) * F.pow(F.lit(10.0), F.col("log_share"))
-    return (chance.withColumn("rank", rank).filter((likely <= expected) | (F.col("rank") <= few))
-            .select("item_id", "gram").distinct())
+    part = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(total + 1)))
+    chance = words.join(known, "word", "left").groupBy("item", "at", "gram", "need").agg(F.sum(part).alias("log_share"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("log_share", "at"))
+    return chance.withColumn("rank", rank).filter("rank <= need").select("item", "gram").distinct()
 
 
 def regions(docs: DataFrame, seeds: DataFrame, gram: int, reach: int) -> DataFrame:
@@ -139,6 +148,21 @@ def regions(docs: DataFrame, seeds: DataFrame, gram: int, reach: int) -> DataFra
             .mapInArrow(run, "doc_id long, row long, start long, words array<long>, grams array<long>, text_hash long"))
 
 
+def may_hold(item: np.ndarray, text: np.ndarray, budget: int) -> bool:
+    """Whether some stretch an alignment can span has all but ``budget`` of the item's bigrams: none is told elsewhere."""
+    need = len(item) - 1 - budget
+    if need <= 0 or len(text) < 2:
+        return need <= 0
+    first, second = np.unique(item, return_inverse=True)
+    at = np.searchsorted(first, text)
+    code = np.where(first[np.minimum(at, len(first) - 1)] == text, np.minimum(at, len(first) - 1), -1)
+    pairs = np.unique(second[:-1] * len(first) + second[1:])
+    whole = (code[:-1] >= 0) & (code[1:] >= 0) & np.isin(code[:-1] * len(first) + code[1:], pairs)
+    total = np.concatenate([[0], np.cumsum(whole)])
+    span = min(len(item) + budget - 1, len(whole))
+    return bool((total[span:] - total[:-span]).max() >= need)
+
+
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """(best local score, text position after its end) with match 1, substitution -1, gap -1; the first best one."""
     step = np.arange(len(text) + 1)
@@ -166,18 +190,18 @@ def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 def leaks(docs: DataFrame, items: DataFrame, gram: int = GRAM, share: float = SHARE, least: int = LEAST,
-          expected: float = EXPECTED, few: int = FEW, key: str = "doc_id", text: str = "text",
-          item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+          key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, row, item_id, score, matched, first_word, last_word, text_hash) of every leaked item in every row."""
     docs = two_columns(docs, key, text)
-    items = materialise(word_sequences(two_columns(items, item_key, item_text), gram)
-                        .filter(F.size("words") > 0), "benchmark_items")
-    seeds = materialise(seeds_of(docs, items, gram, expected, few), "seeds")
+    items = materialise(word_sequences(two_columns(items, item_key, item_text), gram).filter(F.size("words") > 0)
+                        .withColumn("item", F.xxhash64("words")), "benchmark_items")
+    one = items.dropDuplicates(["item"])
+    seeds = materialise(seeds_of(docs, one, gram, share, least), "seeds")
     longest = items.agg(F.coalesce(F.max(F.size("words")), F.lit(0)).alias("n")).first()["n"]
-    found = materialise(regions(docs, seeds, gram, longest + longest // 4 + 4), "regions")
+    found = materialise(regions(docs, seeds, gram, longest + budget_of(longest, share, least)), "regions")
     pairs = (found.select("row", "start", F.explode(F.array_distinct("grams")).alias("gram"))
-             .join(seeds, "gram").select("row", "start", "item_id").distinct())
-    texts = items.select(F.col("item_id").alias("of_item"), F.col("words").alias("item")).dropDuplicates()
+             .join(seeds, "gram").select("row", "start", "item").distinct())
+    texts = items.select("item", "item_id", F.col("words").alias("item_words")).dropDuplicates(["item", "item_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,6 +210,8 @@ def leaks(docs: DataFrame, items: DataFrame, gram: int = GRAM, share: float = SH
             hashes = batch.column(6).to_pylist()
             for k in range(batch.num_rows):
                 words, item = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in (4, 5))
+                if not may_hold(item, words, budget_of(len(item), share, least)):
+                    continue
                 score, a, b = aligned(item, words)
                 if score >= share * len(item) and score >= min(least, len(item)):
                     out.append((doc_ids[k], rows[k], item_ids[k], score / len(item), score, starts[k] + a,
@@ -196,8 +222,8 @@ def leaks(docs: DataFrame, items: DataFrame, gram: int = GRAM, share: float = SH
                                              names=[c.split()[0] for c in LEAKS.split(", ")])
 
     candidates = (pairs.join(found.select("doc_id", "row", "start", "words", "text_hash"), ["row", "start"])
-                  .join(texts, F.col("item_id").eqNullSafe(F.col("of_item")))
-                  .select("doc_id", "row", "start", "item_id", "words", "item", "text_hash"))
+                  .join(texts, "item")
+                  .select("doc_id", "row", "start", "item_id", "words", "item_words", "text_hash"))
     return candidates.mapInArrow(run, LEAKS)
 
 
