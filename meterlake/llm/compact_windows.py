@@ -9,16 +9,23 @@ function. Equal texts are one document from there on.
 
 Windows of ``FUNCTIONS`` hash functions are kept where their signature occurs
 again. In a document an interval join finds the stretches that kept windows of
-enough functions cover (``ENOUGH``); these are candidate passages. Each
-candidate is compared with the leading candidates it shares at least
-``SHARED`` signatures with, the leader of a signature being the candidate with
-the most signatures; so a passage in thousands of documents costs a comparison
-or two for each, and no group's pairs are all emitted. Candidates left without
-a confirmed partner are compared a second time among themselves.
+enough functions cover (``ENOUGH``); these are candidate passages. Two stretches
+of the similarity agree in fewer than two of the eight functions with
+probability 0.2^8 + 8 * 0.8 * 0.2^7 = 8.4e-5; only those are never candidates.
+
+Candidates are compared with leaders of their signatures first, the leader
+being the candidate with the most signatures; so a passage in thousands of
+documents costs a few comparisons for each. A signature stays open while its
+candidates lie in several components or one of its places lies in no
+confirmed stretch. Open signatures are joined to pairs that one stretch can
+hold: two windows of different functions that both hold a whole passage with
+both places. Candidates that share such a pair are compared with its leader,
+and at last all with each other where the pair is still open; no two
+candidates are compared twice.
 
 Comparison is exact: shingles are matched, and a stretch of ``PASSAGE`` words
-counts if it and a stretch of equal length at the matched place of the partner
-have the similarity. The result is a row per document with its near-duplicate
+counts if it and any stretch of equal length of the partner have the
+similarity. The result is a row per document with its near-duplicate
 stretches and the least document id linked to it over such passages.
 
 Defined results: a null or empty text, or one shorter than a passage, has no
@@ -37,15 +44,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
+from meterlake.llm.common import gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
 from meterlake.llm.graph import components
 
 SHINGLE = 5
 PASSAGE = 50
 SIMILARITY = 0.8
-FUNCTIONS = 4
+FUNCTIONS = 8
 ENOUGH = 2
 SHARED = 2
+TURNS = 2
 
 RESULT = "doc_id long, n_words long, n_passages long, passage_words long, passages string, class_id long"
 
@@ -116,37 +124,60 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2], edge[1::2]))
 
 
+def places_before(codes: np.ndarray) -> np.ndarray:
+    """The last earlier place of each place's value, -1 for none."""
+    order = np.argsort(codes, kind="stable")
+    out = np.full(len(codes), -1)
+    same = codes[order[1:]] == codes[order[:-1]]
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def distinct_in_windows(before: np.ndarray, flags: np.ndarray, width: int) -> np.ndarray:
+    """Distinct flagged values in each window of ``width`` places; a value counts at its first place in the window."""
+    at, last = np.flatnonzero(flags), len(flags) - width
+    lo, hi = np.maximum(np.maximum(before[at], at - width) + 1, 0), np.minimum(at, last) + 1
+    real = lo < hi
+    step = np.bincount(lo[real], minlength=last + 2) - np.bincount(hi[real], minlength=last + 2)
+    return np.cumsum(step)[:-1]
+
+
 def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float) -> np.ndarray:
-    """Places of p inside a stretch of ``width`` shingles that has the similarity to one of q at the matched place."""
-    order = np.argsort(q, kind="stable")
-    ranked = q[order]
-    at = np.searchsorted(ranked, p)
-    known = (at < len(q)) & (ranked[np.minimum(at, len(q) - 1)] == p)
-    match = np.where(known, order[np.minimum(at, len(q) - 1)], -1)
+    """Places of p inside a stretch of ``width`` shingles that has the similarity to any stretch of that length of q."""
     flags = np.zeros(len(p), bool)
-    if len(p) < width or len(q) < width or known.sum() < similarity * width * 0.5:
+    if len(p) < width or len(q) < width:
         return flags
-    need = int(np.ceil(2 * width * similarity / (1 + similarity) - 1e-9))
-    total = np.concatenate([[0], np.cumsum(known)])
-    starts = np.flatnonzero(total[width:] - total[:-width] >= need)
+    values, codes = np.unique(np.concatenate([p, q]), return_inverse=True)
+    x, y = codes[:len(p)], codes[len(p):]
+    in_q = np.zeros(len(values), bool)
+    in_q[y] = True
+    before_x, before_y = places_before(x), places_before(y)
+    size_x = distinct_in_windows(before_x, np.ones(len(x), bool), width)
+    size_y = distinct_in_windows(before_y, np.ones(len(y), bool), width)
+    known = distinct_in_windows(before_x, in_q[x], width)
+    starts = np.flatnonzero(known >= similarity * size_x - 1e-9)
+    mark, told = np.zeros(len(values), bool), {}
+
+    def near(k: int) -> bool:
+        if k not in told:
+            a = int(starts[k])
+            mark[x[a:a + width]] = True
+            both = distinct_in_windows(before_y, mark[y], width)
+            mark[x[a:a + width]] = False
+            told[k] = bool((both >= similarity * (size_x[a] + size_y - both) - 1e-9).any())
+        return told[k]
+
     k = 0
     while k < len(starts):
+        if not near(k):
+            k += 1
+            continue
         a = int(starts[k])
-        inside = np.flatnonzero(known[a:a + width])
-        shifts = match[a + inside] - (a + inside)
-        mine, near = np.unique(p[a:a + width]), False
-        # where words repeat, matches point to their first place: the first match tells the partner's stretch then
-        for shift in dict.fromkeys((int(np.median(shifts)), int(shifts[0]))):
-            b = min(max(a + shift, 0), len(q) - width)
-            other = np.unique(q[b:b + width])
-            both = len(np.intersect1d(mine, other, assume_unique=True))
-            near = near or both >= similarity * (len(mine) + len(other) - both) - 1e-9
-        if near:
-            flags[a:a + width] = True
-            # the furthest start that leaves no gap is next
-            k = max(k + 1, int(np.searchsorted(starts, a + width, side="right")) - 1)
-        else:
-            k += 1 + width // 16
+        flags[a:a + width] = True
+        # the furthest start that leaves no gap is next
+        last = int(np.searchsorted(starts, a + width, side="right")) - 1
+        after = next((j for j in range(last, k, -1) if near(j)), None)
+        k = last + 1 if after is None else after
     return flags
 
 
@@ -179,7 +210,7 @@ class NearPassages:
         return one.mapInArrow(run, "node long, signature long")
 
     def candidates(self, kept: DataFrame) -> DataFrame:
-        """(passage, node, start, shingles, signatures): stretches covered by kept windows of enough functions."""
+        """(passage, node, start, shingles, signatures, places): stretches covered by kept windows of enough functions."""
         functions, width, words, enough = self.functions, self.width, self.shingle, self.enough
         lists = kept.groupBy("node").agg(F.collect_set("signature").alias("kept"))
         texts = self.docs.select("node", "text").join(lists, "node").dropDuplicates(["node"])
@@ -191,7 +222,7 @@ class NearPassages:
                 doc = np.searchsorted(first, c, side="right") - 1
                 order = np.argsort(doc, kind="stable")
                 cuts = np.searchsorted(doc[order], np.arange(len(texts) + 1))
-                out = {k: [] for k in ("node", "start", "shingles", "signatures")}
+                out = {k: [] for k in ("node", "start", "shingles", "signatures", "places")}
                 for d, (node, known) in enumerate(zip(nodes.to_pylist(), lists)):
                     mine = order[cuts[d]:cuts[d + 1]]
                     mine = mine[np.isin(signature[mine].view(np.int64), known.values.to_numpy())]
@@ -206,22 +237,106 @@ class NearPassages:
                         out["start"].append(s)
                         out["shingles"].append(h[base + s:base + e].tobytes())
                         out["signatures"].append(signature[mine][inside].view(np.int64).tolist())
+                        out["places"].append((c[mine] - base)[inside].tolist())
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                     [("node", pa.int64()), ("start", pa.int64()), ("shingles", pa.binary()),
-                     ("signatures", pa.list_(pa.int64()))]))
+                     ("signatures", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))]))
 
         found = texts.select("node", "text", "kept").mapInArrow(
-            run, "node long, start long, shingles binary, signatures array<long>")
-        return found.select(F.xxhash64("node", "start").alias("passage"), "node", "start", "shingles", "signatures")
-
-    def pairs(self, members: DataFrame) -> DataFrame:
-        """(a, b): passages with the leading passage of another document that shares enough signatures with them."""
-        order = F.struct("rank", "passage", "node")
-        lead = members.groupBy("signature").agg(F.max(order).alias("lead")).select(
-            "signature", F.col("lead.passage").alias("lead"), F.col("lead.node").alias("lead_node"))
-        return (members.join(lead, "signature").filter("node != lead_node")
-                .groupBy(F.col("passage").alias("a"), F.col("lead").alias("b")).count()
-                .filter(F.col("count") >= SHARED).select("a", "b"))
+            run, "node long, start long, shingles binary, signatures array<long>, places array<long>")
+        return found.select(F.xxhash64("node", "start").alias("passage"), "*")
+
+    def members(self, passages: DataFrame, found: DataFrame) -> DataFrame:
+        """(passage, node, label, rank, signature, open): a signature is open with a place in no confirmed stretch."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = {k: [] for k in ("passage", "node", "label", "rank", "signature", "open")}
+                for r in batch.to_pylist():
+                    is_open: dict[int, bool] = {}
+                    spans = sorted((x["start"], x["end"]) for x in r["spans"] or ())
+                    ends = np.maximum.accumulate(np.array([e for _, e in spans], np.int64)) if spans else None
+                    at = np.searchsorted([a for a, _ in spans], r["places"], side="right") - 1
+                    for signature, place, k in zip(r["signatures"], r["places"], at.tolist()):
+                        outside = k < 0 or place >= ends[k]
+                        is_open[signature] = is_open.get(signature, False) or bool(outside)
+                    n = len(is_open)
+                    for name, value in (("passage", r["passage"]), ("node", r["node"]), ("label", r["label"]), ("rank", n)):
+                        out[name] += [value] * n
+                    out["signature"] += is_open.keys()
+                    out["open"] += is_open.values()
+                yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
+                    [(k, pa.int64()) for k in ("passage", "node", "label", "rank", "signature")] + [("open", pa.bool_())]))
+
+        spans = found.groupBy("passage").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        labels = components(links).withColumnRenamed("node", "of_node")
+        return (passages.select("passage", "node", "signatures", "places").join(spans, "passage", "left")
+                .join(labels, F.col("node") == F.col("of_node"), "left")
+                .select("passage", "node", F.coalesce("label", "node").alias("label"), "signatures", "places", "spans")
+                .mapInArrow(run, "passage long, node long, label long, rank long, signature long, open boolean"))
+
+    def unsettled(self, members: DataFrame) -> DataFrame:
+        """Members of the signatures of several documents that hold several components or an open member."""
+        some = (members.groupBy("signature")
+                .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("one"),
+                     F.max("node").alias("two"), F.max("open").alias("any"))
+                .filter("one != two and (lo != hi or any)").select("signature"))
+        return members.join(some, "signature", "left_semi")
+
+    def double(self, members: DataFrame, passages: DataFrame) -> DataFrame:
+        """The members' signatures joined to pairs of different functions that one stretch can hold, as members."""
+        functions, width = self.functions, self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    own = {x["signature"]: x["open"] for x in r["own"]}
+                    h = np.frombuffer(r["shingles"], np.uint64)
+                    f, lo, c, hi, signature = signature_windows(h, np.array([0, len(h)]), functions, width)
+                    mine = np.flatnonzero(np.isin(signature.view(np.int64), np.fromiter(own, np.int64, len(own))))
+                    mine = mine[np.argsort(c[mine], kind="stable")]
+                    f, lo, c, hi, signature = (v[mine] for v in (f, lo, c, hi, signature))
+                    after = np.searchsorted(c, c + width) - np.arange(len(c)) - 1  # places of one stretch, the later ones
+                    x = np.repeat(np.arange(len(c)), after)
+                    y = gather_ragged(np.arange(len(c)) + 1, after)
+                    left, right = np.maximum(lo[x], lo[y]), np.minimum(hi[x], hi[y])
+                    real = (f[x] != f[y]) & (right - left >= width) & (left <= c[x]) & (c[y] < right)
+                    x, y = x[real], y[real]
+                    is_open = np.array([own[k] for k in signature.view(np.int64).tolist()], bool)
+                    is_open = is_open[x] | is_open[y]
+                    low, high = np.minimum(signature[x], signature[y]), np.maximum(signature[x], signature[y])
+                    with np.errstate(over="ignore"):
+                        keys = mix(mix(low) + high).view(np.int64)
+                    keys, at = np.unique(keys, return_inverse=True)
+                    n = len(keys)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array([r[k]] * n, pa.int64()) for k in ("passage", "node", "label", "rank")),
+                         pa.array(keys), pa.array(np.bincount(at, is_open, n) > 0)],
+                        names=["passage", "node", "label", "rank", "signature", "open"])
+
+        own = members.groupBy("passage", "node", "label", "rank").agg(
+            F.collect_list(F.struct("signature", "open")).alias("own"))
+        return own.join(passages.select("passage", "shingles"), "passage").mapInArrow(
+            run, "passage long, node long, label long, rank long, signature long, open boolean")
+
+    def leader_pairs(self, members: DataFrame, turn: int, shared: int) -> DataFrame:
+        """(a, b): passages with a leading passage of another document and enough signatures they share."""
+        rank = F.col("rank") if turn % 2 == 0 else F.xxhash64("passage", F.lit(turn))
+        lead = (members.groupBy("signature")
+                .agg(F.max(F.struct(rank.alias("rank"), "passage", "node", "label", "open")).alias("lead"))
+                .select("signature", "lead.passage", "lead.node", "lead.label", "lead.open")
+                .toDF("signature", "lead", "lead_node", "lead_label", "lead_open"))
+        return (members.join(lead, "signature")
+                .filter("node != lead_node and (label != lead_label or open or lead_open)")
+                .select(F.least("passage", "lead").alias("a"), F.greatest("passage", "lead").alias("b"), "signature")
+                .groupBy("a", "b").count().filter(F.col("count") >= shared).select("a", "b"))
+
+    def all_pairs(self, members: DataFrame) -> DataFrame:
+        """(a, b): passages of different documents that share an open signature, or one of different components."""
+        return (members.alias("x").join(members.alias("y"), (F.col("x.signature") == F.col("y.signature"))
+                                        & (F.col("x.passage") < F.col("y.passage")) & (F.col("x.node") != F.col("y.node"))
+                                        & ((F.col("x.label") != F.col("y.label")) | F.col("x.open") | F.col("y.open")))
+                .select(F.col("x.passage").alias("a"), F.col("y.passage").alias("b")).distinct())
 
     def confirmed(self, passages: DataFrame, pairs: DataFrame) -> DataFrame:
         """(passage, node, other, start, end) of near-duplicate stretches, told for both sides of each pair."""
@@ -254,12 +369,22 @@ class NearPassages:
         again = windows.groupBy("signature").count().filter("count > 1").select("signature")
         kept = windows.join(again, "signature", "left_semi")
         passages = materialise(self.candidates(kept), "passages")
-        members = materialise(passages.select("passage", "node", F.size("signatures").alias("rank"),
-                                              F.explode(F.array_distinct("signatures")).alias("signature")), "members")
-        first = materialise(self.confirmed(passages, self.pairs(members)), "stretches")
-        left = members.join(first.select("passage").distinct(), "passage", "left_anti")
-        second = materialise(self.confirmed(passages, self.pairs(left)), "stretches")
-        return first.union(second)
+        found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
+        tried = None
+        for turn in range(TURNS + 2):
+            members = materialise(self.unsettled(self.members(passages, found)), "members")
+            if turn >= TURNS:
+                members = materialise(self.unsettled(self.double(members, passages)), "doubles")
+            if turn <= TURNS:
+                pairs = self.leader_pairs(members, turn, 1 if turn == TURNS else SHARED)
+            else:
+                pairs = self.all_pairs(members)
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = materialise(pairs, "pairs")
+            found = found.union(materialise(self.confirmed(passages, pairs), "stretches"))
+            tried = pairs if tried is None else tried.union(pairs)
+        return found
 
     def classes(self) -> DataFrame:
         """One row per document: its near-duplicate passages in words, and its class."""
