@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import (bpr_dedup, compact_windows, cost_packing, crf_html, fertility, lm_trie, odd_sketch, pii_boost,
-                           rank_count, seed_align)
+from meterlake.llm import (bpr_dedup, compact_windows, cost_packing, crf_html, fertility, label_shards, lm_trie, odd_sketch,
+                           orchard_codes, pii_boost, prefix_trie, rank_count, seed_align)
 from meterlake.llm.common import table
+from meterlake.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +55,21 @@ def op10_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "item_id", "score", "matched", "first_word", "last_word"))
 
 
+def op11_balanced_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_shards.sharded_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_orchard_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard_codes.product_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collapsed_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
+# Tokenizers, trained models, hash sketches and propagation are beyond SQL: tests compare those queries with brute force.
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_elias_fano_lm, op2_tokeniser_fertility, op3_bucket_pointer_dedup, op4_cost_balanced_packing,
     op5_rank_synchronous_counts, op6_candidate_boosting, op7_compact_windows, op8_crf_main_text,
-    op9_odd_sketch_near_dedup, op10_seed_alignment)}
-# Tokenizers, trained models and hash sketches are beyond SQL: tests compare each query with brute force.
-ORACLE: dict[str, str] = {}
+    op9_odd_sketch_near_dedup, op10_seed_alignment, op11_balanced_label_shards, op12_orchard_product_codes,
+    op13_collapsed_prefix_trie)}
