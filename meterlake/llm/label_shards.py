@@ -11,8 +11,8 @@ Quotas: the wished bytes between any two shards are granted in full, then taken
 shards that would end above the capacity (the mean size of a shard) until none
 does. Between two shards the documents with the strongest pull go first. The
 first rounds only admit strong pulls, so small groups gather before large ones
-fill whole shards; a shard that is full is no longer wished for, so a group that is larger than
-a shard fills one after another.
+fill whole shards; a shard that had to refuse wishes later on counts as full and is no longer wished for, so a
+group that is larger than a shard fills one after another.
 
 Documents without links carry no cut edge: they are held back and dealt last, large
 ones first, so that every shard's bytes come out near the mean. Documents of shards that
@@ -41,8 +41,9 @@ from meterlake.llm.skew import hot_keys, spread_join
 SHARDS = 8
 # least share of a document's links that its target must hold, by round; the last goes on until nothing moves
 PULLS = (0.5, 0.25, 0.0)
-ROUNDS = 12
-FULL = 0.999
+ROUNDS = 16
+# room above the capacity while small groups gather; what is left above it in the end is dealt anew
+SLACK = 0.1
 UNIT = 1 << 20
 CLASSES, CELLS = 16, 64
 BUCKETS = 4096
@@ -67,7 +68,10 @@ def propagate(linked: DataFrame, shards: int, capacity: float) -> DataFrame:
     spark = linked.sparkSession
     links = materialise(linked.withColumn("shard", F.pmod(F.shiftright("mix", 8), F.lit(shards)).cast("int")), "labels")
     hot = hot_keys(links, ["link"])
+    full = np.zeros(shards, bool)
     for number in range(ROUNDS):
+        last = number >= len(PULLS) - 1
+        room = capacity if last else capacity * (1 + SLACK)
         once = links.groupBy("row").agg(F.first("size").alias("size"), F.first("shard").alias("shard"))
         loads = np.zeros(shards)
         for r in once.groupBy("shard").agg(F.sum("size").alias("n")).collect():  # one row a shard
@@ -75,7 +79,7 @@ def propagate(linked: DataFrame, shards: int, capacity: float) -> DataFrame:
         members = materialise(links.groupBy("link").agg(
             F.count("*").alias("degree"),
             F.array(*(F.count(F.when(F.col("shard") == s, 1)) for s in range(shards))).alias("members")), "members")
-        open_to = F.array(*(F.lit(bool(loads[s] < FULL * capacity)) for s in range(shards)))
+        open_to = F.array(*(F.lit(bool(loads[s] < room and not full[s])) for s in range(shards)))
         # a link's pull towards a shard is the share of its members there, as an integer
         pulls = (spread_join(links, members, ["link"], hot=hot)
                  .select("row", "size", "mix", "shard", "link",
@@ -97,10 +101,11 @@ def propagate(linked: DataFrame, shards: int, capacity: float) -> DataFrame:
         asked = np.zeros((shards, shards))
         for r in wishes.groupBy("shard", "to").agg(F.sum("size").alias("n")).collect():  # one row a pair of shards
             asked[r["shard"], r["to"]] = r["n"]
-        grant = granted(loads, asked, capacity)
+        if last and not asked.any():
+            break
+        grant = granted(loads, asked, room)
+        full |= last & (grant < asked).any(axis=0)
         if not grant.any():
-            if number >= len(PULLS) - 1:
-                break
             continue
         if (grant < asked).any():
             quota = spark.createDataFrame([(i, j, int(grant[i, j])) for i in range(shards) for j in range(shards)],
@@ -142,27 +147,31 @@ def dealt(loose: DataFrame, loads: np.ndarray, capacity: float) -> DataFrame:
 
 
 def loosened(links: DataFrame, shards: int, capacity: float) -> DataFrame:
-    """(row, size, mix, shard) once per linked row; null shards where a shard was above the capacity, whole groups at a time."""
+    """(row, size, mix, shard) once per linked row; the shard is null for what had to leave a shard above the capacity.
+
+    The smallest groups leave first and whole; of a group larger than what is left to go, rows enough leave.
+    """
     once = materialise(links.groupBy("row").agg(F.first("size").alias("size"), F.first("mix").alias("mix"),
                                                 F.first("shard").alias("shard"), F.min("link").alias("link")), "placed")
-    bucket = F.pmod(F.xxhash64("link", F.lit(3)), F.lit(BUCKETS)).cast("int")
+    once = once.withColumn("bucket", F.pmod(F.xxhash64("link", F.lit(3)), F.lit(BUCKETS)).cast("int"))
     held = np.zeros((shards, BUCKETS))
-    once = once.withColumn("bucket", bucket)
     for r in once.groupBy("shard", "bucket").agg(F.sum("size").alias("n")).collect():  # shards x buckets rows
         held[r["shard"], r["bucket"]] = r["n"]
-    # the smallest buckets leave first, so a group that fills a shard alone stays
     out = []
     for s in range(shards):
         excess, order = held[s].sum() - capacity, np.argsort(held[s], kind="stable")
         for b in order[held[s][order] > 0]:
             if excess <= 0:
                 break
-            out.append((s, int(b)))
-            excess -= held[s][b]
-    out = once.sparkSession.createDataFrame(out, "shard int, bucket int").withColumn("leaves", F.lit(True))
-    return once.join(F.broadcast(out), ["shard", "bucket"], "left").select(
-        "row", "size", F.when(F.col("leaves"), F.xxhash64("link", F.lit(4))).otherwise(F.col("mix")).alias("mix"),
-        F.when(F.col("leaves").isNull(), F.col("shard")).alias("shard"))
+            part = float(min(1.0, excess / held[s][b]))
+            out.append((s, int(b), part))
+            excess -= part * held[s][b]
+    out = once.sparkSession.createDataFrame(out, "shard int, bucket int, part double")
+    leaves = F.col("part").isNotNull() & (F.pmod(F.shiftright("mix", 8), F.lit(UNIT)) < F.col("part") * UNIT)
+    together = F.when(F.col("part") == 1.0, F.xxhash64("link", F.lit(4))).otherwise(F.col("mix"))
+    return once.join(F.broadcast(out), ["shard", "bucket"], "left").withColumn("leaves", leaves).select(
+        "row", "size", F.when(F.col("leaves"), together).otherwise(F.col("mix")).alias("mix"),
+        F.when(~F.col("leaves"), F.col("shard")).alias("shard"))
 
 
 def balanced_labels(nodes: DataFrame, links: DataFrame, shards: int = SHARDS) -> DataFrame:

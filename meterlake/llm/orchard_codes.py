@@ -142,7 +142,7 @@ def entry_sums(rows: DataFrame, books: np.ndarray) -> dict[tuple[int, int], tupl
         search = [Orchard(book) for book in books]
         counts, sums = np.zeros((parts, entries), np.int64), np.zeros((parts, entries, length), np.int64)
         for batch in batches_of(batches):
-            points = points_of(batch.column(0), parts * length).reshape(-1, parts, length)
+            points = points_of(batch.column(0), parts * length).reshape(batch.num_rows, parts, length)
             for part in range(parts):
                 own = np.ascontiguousarray(points[:, part])
                 entry, _ = search[part].nearest(own)
@@ -183,7 +183,7 @@ def coded(rows: DataFrame, books: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = [Orchard(book) for book in books]
         for batch in batches_of(batches):
-            points = points_of(batch.column(2), parts * length).reshape(-1, parts, length)
+            points = points_of(batch.column(2), parts * length).reshape(batch.num_rows, parts, length)
             found = [search[part].nearest(np.ascontiguousarray(points[:, part])) for part in range(parts)]
             codes = np.stack([entry for entry, _ in found], axis=1).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
