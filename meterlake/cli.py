@@ -53,7 +53,7 @@ def run(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-per-trigger", type=int, default=P.MAX_RECORDS_PER_TRIGGER)
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
     ap.add_argument("--format", default="parquet")
-    ap.add_argument("--gold-mode", default="complete", choices=["complete", "append", "update"])
+    ap.add_argument("--gold-mode", default="update", choices=["complete", "append", "update"])
     ap.add_argument("--min-value", type=float, default=None, help="notifier: only alerts above this reading")
     ap.add_argument("--layer", help="maintain: layer folder to compact")
     ap.add_argument("--table", help="maintain: snapshot table to clean")

@@ -84,25 +84,28 @@ def snapshot_files(spark: SparkSession, table: str) -> DataFrame:
             .withColumn("snapshot", F.when(snap != "", snap.cast("long"))))
 
 
+def live_number(spark: SparkSession, table: str) -> int | None:
+    """Number of the live snapshot: the newest one whose write was committed, as readers take it."""
+    live = newest_committed(spark, table)
+    return None if live is None else int(live.partition("=")[2])
+
+
 def live_files(spark: SparkSession, table: str) -> DataFrame:
-    """Files of the newest snapshot of ``table`` (from the file listing; no file is opened)."""
-    files = snapshot_files(spark, table)
-    latest = files.select(F.max("snapshot")).scalar()
-    return files.filter(F.col("snapshot") == latest).select("path")
+    """Files of the live snapshot of ``table`` (from the file listing; no file is opened); none without a snapshot."""
+    return snapshot_files(spark, table).filter(F.col("snapshot") == F.lit(live_number(spark, table))).select("path")
 
 
 def expired_files(spark: SparkSession, table: str, retention_hours: float = P.RETENTION_HOURS,
                   now_ms: int | None = None, fmt: str = "parquet") -> DataFrame:
     """Files of superseded snapshots of ``table`` older than the retention.
 
-    One metadata-only listing: the live snapshot is the highest snapshot
-    number found, so no data file is opened.
+    Superseded are the snapshots below the live one; a snapshot above it is still being written, or
+    was left half written, and is never listed. One metadata-only listing, no data file is opened.
     """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     cutoff = F.timestamp_millis(F.lit(now_ms - int(retention_hours * 3_600_000)))
-    files = snapshot_files(spark, table)
-    latest = files.select(F.max("snapshot")).scalar()
-    return (files.filter((F.col("snapshot") < latest) & (F.col("modificationTime") < cutoff))
+    older = F.col("snapshot") < F.lit(live_number(spark, table))
+    return (snapshot_files(spark, table).filter(older & (F.col("modificationTime") < cutoff))
             .select("path", "modificationTime", "length"))
 
 

@@ -67,9 +67,48 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM silver s CROSS JOIN (VALUES (0), (1)) AS o(i)
         WHERE timestamp IS NOT NULL) g
   GROUP BY ws, acorn_group, precipType"""),
+    # readings in sevenths (no finite number of decimals), cut into whole part and 24-bit fraction pieces
+    "pieces": (("silver",), """
+  SELECT ws, acorn_group, precipType, LCLid, temperature, p0, p1, p2, p3,
+         CAST(trunc((r3 - p3) * CAST(16777216.0 AS DOUBLE)) AS BIGINT) AS p4
+  FROM (SELECT *, CAST(trunc(r3) AS BIGINT) AS p3 FROM (
+        SELECT *, (r2 - p2) * CAST(16777216.0 AS DOUBLE) AS r3 FROM (SELECT *, CAST(trunc(r2) AS BIGINT) AS p2 FROM (
+        SELECT *, (r1 - p1) * CAST(16777216.0 AS DOUBLE) AS r2 FROM (SELECT *, CAST(trunc(r1) AS BIGINT) AS p1 FROM (
+        SELECT *, (x - p0) * CAST(16777216.0 AS DOUBLE) AS r1 FROM (SELECT *, CAST(trunc(x) AS BIGINT) AS p0 FROM (
+        SELECT s.*, consumption / CAST(7.0 AS DOUBLE) AS x,
+               time_bucket(INTERVAL 30 MINUTE, timestamp) - o.i * INTERVAL 30 MINUTE AS ws
+        FROM silver s CROSS JOIN (VALUES (0), (1)) AS o(i) WHERE timestamp IS NOT NULL) a) b) c) d) e) f) g) h"""),
 }
 
 
+def exact_total(prefix: str, limbs: int = 4) -> str:
+    """Summed pieces of doubles (24 fraction bits each, columns ``<prefix>0`` ...) as one double; see functions/exact.py."""
+    def carried(parts: list[str]) -> list[str]:
+        out, carry = [], "0"
+        for c in reversed(parts[1:]):
+            c = f"({c} + {carry})"
+            out.append(f"({c} & 16777215)")
+            carry = f"(({c} - ({c} & 16777215)) // 16777216)"
+        return [f"({parts[0]} + {carry})", *reversed(out)]
+
+    parts = [f"{prefix}{i}" for i in range(limbs + 1)]
+    sign = f"(CASE WHEN {carried(parts)[0]} < 0 THEN -1 ELSE 1 END)"
+    parts = carried([f"({c} * {sign})" for c in parts])
+    p0, p1, p2, p3, p4 = parts
+
+    def pair(high: str, low: str, power: int) -> str:
+        return f"CAST({high} * 16777216 + {low} AS DOUBLE) * CAST(power(CAST(2.0 AS DOUBLE), {power}) AS DOUBLE)"
+
+    def sticky(low: str, rest: str) -> str:
+        return f"({low} | (CASE WHEN {rest} <> 0 THEN 1 ELSE 0 END))"
+
+    large = f"(CAST({p0} AS DOUBLE) + {pair(p1, sticky(p2, f'({p3} | {p4})'), -48)})"
+    medium = f"({pair(p0, p1, -24)} + {pair(p2, sticky(p3, p4), -72)})"
+    small = f"({pair(p2, p3, -72)} + CAST({p4} AS DOUBLE) * CAST(power(CAST(2.0 AS DOUBLE), -96) AS DOUBLE))"
+    return (f"((CASE WHEN {p0} >= 536870912 THEN {large} WHEN {p0} <> 0 OR {p1} <> 0 THEN {medium} ELSE {small} END)"
+            f" * CAST({sign} AS DOUBLE))")
+
+
 def moments_cte(name: str, key: str, source: str) -> str:
     """Exclusive prefix moments per key in thousandths (see the detector docs)."""
     return f"""

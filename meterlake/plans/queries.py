@@ -51,6 +51,20 @@ def q_gold_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(layers.gold_exact(spark, sf))
 
 
+@register("gold_any_decimals", O.sql(f"""
+SELECT window_start, window_end, acorn_group, precipType, {O.exact_total("p")} / n AS avg_consumption,
+       {O.exact_total("p")} AS total_load, active_meters, avg_temp
+FROM (SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, acorn_group, precipType, COUNT(p0) AS n,
+             {", ".join(f"CAST(SUM(p{i}) AS BIGINT) AS p{i}" for i in range(5))},
+             COUNT(DISTINCT LCLid) AS active_meters, AVG(temperature) AS avg_temp
+      FROM pieces GROUP BY ws, acorn_group, precipType) g""", "pieces"))
+def q_gold_any_decimals(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold of readings that no number of decimals holds (sevenths of a kWh), with exact sums of doubles."""
+    from pyspark.sql import functions as F
+    silver = layers.silver_layer(spark, sf).withColumn("consumption", F.col("consumption") / F.lit(7.0))
+    return layers.to_ntz(gold.gold_kpis(silver, approx_meters=False, exact_scale="exact"))
+
+
 HLL_RSD = 0.05
 
 
@@ -61,25 +75,28 @@ def meters_close(approx: str, exact: str):
 
 
 @register("gold_active_meters_approx", O.sql("""
-SELECT window_start, window_end, acorn_group, precipType, TRUE AS meters_close, TRUE AS load_close FROM gold""", "gold"))
+SELECT window_start, window_end, acorn_group, precipType, TRUE AS meters_close, TRUE AS load_close, TRUE AS avg_close, avg_temp FROM gold""", "gold"))
 def q_gold_approx(spark: SparkSession, sf: str) -> DataFrame:
     """Gold as the source computes it (HyperLogLog meter counts, plain double sums), held against the exact gold."""
     from pyspark.sql import functions as F
     approx = layers.to_ntz(gold.gold_kpis(layers.silver_layer(spark, sf), rsd=HLL_RSD))
     both = join_gold(approx, layers.to_ntz(layers.gold_layer(spark, sf)))
-    load = F.abs(F.col("total_load") - F.col("exact_load")) <= F.lit(1e-9) * (F.abs("exact_load") + F.lit(1.0))
+    def close(c: str):
+        return F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.lit(1e-9) * (F.abs(f"exact_{c}") + F.lit(1.0))
+    load, avg = close("total_load"), close("avg_consumption")
     return both.select(*GOLD_KEYS, meters_close("active_meters", "exact_meters").alias("meters_close"),
-                       load.alias("load_close"))
+                       load.alias("load_close"), avg.alias("avg_close"), "avg_temp")
 
 
 GOLD_KEYS = ("window_start", "window_end", "acorn_group", "precipType")
 
 
 def join_gold(approx: DataFrame, exact: DataFrame) -> DataFrame:
-    """``approx`` with the exact meter count and load of each row; rows on one side only keep NULLs on the other."""
+    """``approx`` with the exact meter count, load and mean of each row; rows on one side only keep NULLs on the other."""
     from pyspark.sql import functions as F
     known = exact.select(*(F.col(k).alias(f"x_{k}") for k in GOLD_KEYS), F.col("active_meters").alias("exact_meters"),
-                         F.col("total_load").alias("exact_load"))
+                         F.col("total_load").alias("exact_total_load"),
+                         F.col("avg_consumption").alias("exact_avg_consumption"))
     same = [F.col(k).eqNullSafe(F.col(f"x_{k}")) for k in GOLD_KEYS]
     return approx.join(known, same, "full")
 

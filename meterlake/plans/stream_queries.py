@@ -159,8 +159,8 @@ def q_stream_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("stream_gold_exact", O.sql("SELECT * FROM gold", "gold"))
 def q_stream_gold_exact(spark: SparkSession, sf: str) -> DataFrame:
-    """Complete-mode gold with exact meter counts (size of the set of meters)."""
-    return layers.to_ntz(stream_gold_table(spark, sf, "complete", meters="set"))
+    """Complete-mode gold with exact meter counts (pane rows per meter)."""
+    return layers.to_ntz(stream_gold_table(spark, sf, "complete", meters="exact"))
 
 
 @register("stream_gold_append", O.sql("""
@@ -168,13 +168,13 @@ SELECT * FROM gold
 WHERE window_end <= (SELECT max(timestamp) FROM silver) - INTERVAL 10 MINUTE""", "gold", "silver"))
 def q_stream_gold_append(spark: SparkSession, sf: str) -> DataFrame:
     """Append-mode gold: exactly the windows the final watermark (latest reading - 10 min) has closed."""
-    return layers.to_ntz(stream_gold_table(spark, sf, "append", meters="set"))
+    return layers.to_ntz(stream_gold_table(spark, sf, "append", meters="exact"))
 
 
 @register("stream_gold_update", O.sql("SELECT * FROM gold", "gold"))
 def q_stream_gold_update(spark: SparkSession, sf: str) -> DataFrame:
-    """Update-mode gold: the newest row of every window."""
-    return layers.to_ntz(stream_gold_table(spark, sf, "update", meters="set"))
+    """Update-mode gold: changed panes merged by day, windows rolled up on reading."""
+    return layers.to_ntz(stream_gold_table(spark, sf, "update", meters="exact"))
 
 
 @register("stream_alerts_resumed", O.sql("SELECT * FROM alerts", "alerts"))
@@ -199,9 +199,6 @@ def q_stream_notify(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(jobs.read_notifications(spark, out).select("LCLid", "timestamp", "message", "temperature"))
 
 
-
-
-
 def land_weather(spark: SparkSession, sf: str) -> str:
     """Hourly weather rows as they would arrive on a weather topic (text fields)."""
     key = (app_key(spark), sf.rstrip("/"), "weather")

@@ -4,10 +4,10 @@
 sink leaves it), compacted into a new folder, and read back -- the rows must
 be exactly the silver rows.
 
-``expired_files``: a gold table gets two snapshots; with zero retention the
-expired files are exactly the files of the older snapshot, so the rows they
-hold must be the gold rows once (a live file listed, or an old one missed,
-would change the result).
+``expired_files``: a gold table gets two snapshots and a third one without its
+commit mark; with zero retention the expired files are exactly the files of the
+oldest, so the rows they hold must be the gold rows once (a live file listed, or an old one
+missed, would change the result).
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ def q_expired_files(spark: SparkSession, sf: str) -> DataFrame:
     g = layers.gold_layer(spark, sf)
     g.write.mode("overwrite").parquet(f"{table}/snapshot=1")
     g.write.mode("overwrite").parquet(f"{table}/snapshot=2")
+    g.write.mode("overwrite").parquet(f"{table}/snapshot=3")
+    files.remove(spark, f"{table}/snapshot=3/_SUCCESS")
     expired = maintenance.expired_files(spark, table, retention_hours=0.0, now_ms=int(time.time() * 1000) + 1)
     # Rows of the expired files: every row of the table tagged with its file,
     # semi-joined with the expired list (no file list goes through the driver).

@@ -39,9 +39,30 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def _path(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files or folders that match a glob, from a listing."""
+    path, fs = _path(spark, pattern)
+    return [f.getPath().getName() for f in fs.globStatus(path) or []]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    path, fs = _path(spark, path)
+    return fs.exists(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job of ours wrote and has replaced."""
+    path, fs = _path(spark, path)
+    fs.delete(path, True)
+
+
 def newest_committed(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest snapshot whose write was committed, from a listing of folder names."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    names = [f.getPath().getParent().getName() for f in found]
+    path, fs = _path(spark, f"{path}/snapshot=*/_SUCCESS")
+    names = [f.getPath().getParent().getName() for f in fs.globStatus(path) or []]
     return max(names, key=lambda n: int(n.partition("=")[2])) if names else None

@@ -7,14 +7,15 @@ measured small.
 
 Output modes:
   * silver: append to a parquet table;
+  * gold keeps mergeable panes in its state (:mod:`meterlake.operators.gold`), never a set of meters in one row;
+  * gold, ``mode="update"`` (the service default): every trigger merges only the panes it changed into a pane
+    table partitioned by day, and readers roll the panes up into windows; state and storage stay bounded;
+  * gold, ``mode="append"``: a window is written once, when the watermark
+    passes its end; state stays bounded;
   * gold, ``mode="complete"``: every trigger rewrites the whole aggregate
     (the watermark then frees no state); it is written as a snapshot folder
     per batch id (idempotent on replay) and readers take the newest;
-  * gold, ``mode="append"``: a window is written once, when the watermark
-    passes its end; state stays bounded;
-  * gold, ``mode="update"``: every trigger writes only the windows it changed,
-    and readers take the newest row of each; state stays bounded as well;
-  * alerts: append, from ``applyInPandasWithState`` keyed by meter.
+  * alerts: append, from the keyed stateful detector.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from meterlake.functions import columns as C
 from meterlake.operators import cleaning, enrich, gold, insights
 from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
 from meterlake.session import ship_package
-from meterlake.sources.files import newest_committed
+from meterlake.sources.files import exists, folders, newest_committed, remove
 from meterlake.streaming.detector_state import make_detector
 
 
@@ -74,42 +75,75 @@ def start_silver(silver: DataFrame, path: str, checkpoint: str, trigger: Trigger
     return trigger.apply(w).start()
 
 
-def gold_stream(silver: DataFrame, watermark: str = P.WATERMARK, exact_scale: int | None = 3,
-                meters: str = "approx") -> DataFrame:
-    # Distinct aggregates are not supported on streams: meters are counted
-    # with HyperLogLog, or exactly as the size of their set (``meters="set"``).
-    return gold.gold_kpis(silver, watermark=watermark, approx_meters="set" if meters == "set" else True,
-                          exact_scale=exact_scale)
-
-
-def _snapshot_writer(path: str, fmt: str):
+def _snapshot_writer(path: str, fmt: str, rolled):
     def write(batch: DataFrame, batch_id: int) -> None:
         # The complete result of this batch; overwriting the batch's own
         # folder makes a replayed batch idempotent.
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/snapshot={batch_id:020d}")
+        rolled(batch).write.mode("overwrite").format(fmt).save(f"{path}/snapshot={batch_id:020d}")
     return write
 
 
-def _change_writer(path: str, fmt: str):
+PANE_KEYS = ("pane", *gold.KEYS, "LCLid")
+
+
+def merge_panes(spark: SparkSession, changes: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Put the panes a batch changed (whole rows) in place of their older rows in the pane table at ``path``.
+
+    The days that hold changes are staged whole, old rows and new, and then
+    replace those days' partitions; other days are not read. A batch that is replayed
+    after its staging was committed only publishes it again, so a run that died
+    while replacing days loses nothing. Older staged batches are dropped once this one
+    is published, so storage is the table, one batch's days and its changes. While days are being
+    replaced a reader may see some new and some old ones.
+    """
+    staged, table = f"{path}/staged/batch={batch_id:020d}", f"{path}/panes"
+    if not exists(spark, f"{staged}/_SUCCESS"):
+        given = f"{path}/changes/batch={batch_id:020d}"
+        day = F.date_from_unix_date(F.floor(F.unix_seconds("pane.start") / 86_400).cast("int"))
+        changes.withColumn("day", day).write.mode("overwrite").format(fmt).save(given)
+        new = spark.read.format(fmt).load(given)
+        days = [r["day"] for r in new.select("day").distinct().collect()]  # one row a day
+        if not days:
+            return
+        rows = new
+        if exists(spark, table):
+            old = spark.read.format(fmt).load(table).filter(F.col("day").isin(days)).select(*new.columns)
+            keys = [k for k in PANE_KEYS if k in new.columns]
+            known = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            rows = new.unionByName(old.join(known, same, "left_anti"))
+        rows.write.mode("overwrite").format(fmt).save(staged)
+    (spark.read.format(fmt).load(staged).repartition("day", *gold.KEYS).write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").save(table))
+    for kind in ("staged", "changes"):
+        for name in folders(spark, f"{path}/{kind}/batch=*"):
+            if name != f"batch={batch_id:020d}" or kind == "changes":
+                remove(spark, f"{path}/{kind}/{name}")
+
+
+def _merge_writer(path: str, fmt: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The windows this batch changed, whole; a replayed batch overwrites its own folder.
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/change={batch_id}")
+        merge_panes(batch.sparkSession, batch, path, batch_id, fmt)
     return write
 
 
-def start_gold(silver: DataFrame, path: str, checkpoint: str, mode: str = "complete",
+def start_gold(silver: DataFrame, path: str, checkpoint: str, mode: str = "update",
                trigger: Trigger = SERVICE_GOLD, watermark: str = P.WATERMARK, fmt: str = "parquet",
-               exact_scale: int | None = 3, meters: str = "approx") -> StreamingQuery:
-    g = gold_stream(silver, watermark, exact_scale, meters)
+               exact_scale: int | str | None = None, meters: str = "approx",
+               window: str = P.WINDOW, slide: str = P.SLIDE) -> StreamingQuery:
+    """``exact_scale`` as in :func:`gold.gold_kpis`; ``meters="exact"`` keeps pane rows per meter and counts them."""
+    by_meter, sums = meters == "exact", gold.sums_of(exact_scale)
+    panes = gold.gold_panes(silver.withWatermark("timestamp", watermark), f"{gold.pane_seconds(window, slide)} seconds",
+                            by_meter, sums)
     if mode == "complete":
-        w = (g.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-             .foreachBatch(_snapshot_writer(path, fmt)))
+        w = (panes.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(
+            _snapshot_writer(path, fmt, lambda batch: gold.roll_windows(batch, window, slide, by_meter, sums))))
     elif mode == "append":
-        w = (g.writeStream.outputMode("append").format(fmt)
+        w = (gold.window_stream(panes, window, slide, by_meter, sums).writeStream.outputMode("append").format(fmt)
              .option("checkpointLocation", checkpoint).option("path", path))
     elif mode == "update":
-        w = (g.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-             .foreachBatch(_change_writer(path, fmt)))
+        w = (panes.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .foreachBatch(_merge_writer(path, fmt)))
     else:
         raise ValueError(f"gold mode must be complete, append or update, not {mode!r}")
     return trigger.apply(w).start()
@@ -124,9 +158,10 @@ def _read_or_empty(spark: SparkSession, path: str, fmt: str) -> DataFrame | None
         raise
 
 
-def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str = "parquet") -> DataFrame:
-    """The live gold table: the newest snapshot (complete mode), the appended windows, or the newest row of
-    each window (update mode).
+def read_gold(spark: SparkSession, path: str, mode: str = "update", fmt: str = "parquet",
+              window: str = P.WINDOW, slide: str = P.SLIDE) -> DataFrame:
+    """The live gold table: the windows rolled up from the pane table (update mode), the appended windows, or
+    the newest snapshot (complete mode).
 
     Snapshots are folders ``snapshot=<batch id>``; the newest one with a
     commit mark is read, so a half-written snapshot is never live and older
@@ -135,15 +170,13 @@ def read_gold(spark: SparkSession, path: str, mode: str = "complete", fmt: str =
     newest = newest_committed(spark, path) if mode == "complete" else None
     if mode == "complete" and newest is None:
         return spark.createDataFrame([], schemas.GOLD)
-    df = _read_or_empty(spark, f"{path}/{newest}" if newest else path, fmt)
+    df = _read_or_empty(spark, f"{path}/{newest}" if newest else f"{path}/panes" if mode == "update" else path, fmt)
     if df is None:
         return spark.createDataFrame([], schemas.GOLD)
     if mode != "update":
         return df
-    keys = ("window", "acorn_group", "precipType")
-    values = [c for c in schemas.GOLD.fieldNames() if c not in keys]
-    newest = F.max_by(F.struct(*values), F.col("change").cast("long")).alias("v")
-    return df.groupBy(*keys).agg(newest).select(*keys, "v.*")
+    return gold.roll_windows(df.drop("day"), window, slide, "LCLid" in df.columns,
+                             "exact" if "load0" in df.columns else "plain")
 
 
 def alert_stream(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR,
@@ -203,7 +236,7 @@ def read_notifications(spark: SparkSession, path: str, fmt: str = "parquet") ->
 
 
 def start_layer_queries(spark: SparkSession, messages: DataFrame, households: DataFrame, weather: DataFrame,
-                        root: str, p: P.DetectorParams = P.DEFAULT_DETECTOR, gold_mode: str = "complete",
+                        root: str, p: P.DetectorParams = P.DEFAULT_DETECTOR, gold_mode: str = "update",
                         triggers: dict[str, Trigger] | None = None) -> dict[str, StreamingQuery]:
     """Start the silver, gold and alert queries over one message source.
 

@@ -21,11 +21,11 @@ def test_csv_columns_are_bound_by_name(spark, tmp_path):
 def test_half_written_snapshot_is_not_live(spark, tmp_path):
     from meterlake.streaming.jobs import read_gold
     path = str(tmp_path / "gold")
-    assert read_gold(spark, path).count() == 0
+    assert read_gold(spark, path, "complete").count() == 0
     spark.range(40).write.parquet(f"{path}/snapshot={1:020d}")
     spark.range(10).write.parquet(f"{path}/snapshot={2:020d}")
     (tmp_path / "gold" / f"snapshot={2:020d}" / "_SUCCESS").unlink()
-    assert read_gold(spark, path).count() == 40
+    assert read_gold(spark, path, "complete").count() == 40
 
 
 def test_compaction_publishes_the_live_snapshot(spark, tmp_path):
@@ -36,7 +36,7 @@ def test_compaction_publishes_the_live_snapshot(spark, tmp_path):
     spark.range(40).write.parquet(f"{path}/snapshot={3:020d}")
     spark.range(50).repartition(4).write.parquet(f"{path}/snapshot={7:020d}")
     assert compact_live(spark, path).count() == 50
-    live = read_gold(spark, path)
+    live = read_gold(spark, path, "complete")
     assert live.columns == ["id"] and live.count() == 50
     assert all(f"snapshot={8:020d}" in f for f in live.inputFiles()) and len(live.inputFiles()) == 1
 

@@ -42,6 +42,20 @@ def test_expired_files_and_delete(spark, tmpdir_path):
     assert spark.read.parquet(f"{table}/snapshot=2").count() == g.count()
 
 
+def test_half_written_snapshot_expires_nothing_live(spark, tmpdir_path):
+    table = f"{tmpdir_path}/gold"
+    for n in (1, 2, 3):
+        spark.range(10 * n).repartition(2).write.parquet(f"{table}/snapshot={n}")
+    os.remove(f"{table}/snapshot=3/_SUCCESS")
+    expired = maintenance.expired_files(spark, table, 0.0, int(time.time() * 1000) + 1).collect()
+    assert len(expired) == 2 and all("/snapshot=1/" in r["path"] for r in expired)
+    assert all("/snapshot=2/" in r["path"] for r in maintenance.live_files(spark, table).collect())
+    os.remove(f"{table}/snapshot=2/_SUCCESS")
+    os.remove(f"{table}/snapshot=1/_SUCCESS")
+    assert maintenance.expired_files(spark, table, 0.0, int(time.time() * 1000) + 1).count() == 0
+    assert maintenance.live_files(spark, table).count() == 0
+
+
 def test_approx_meter_counts_within_error_bound(spark):
     s = layers.silver_layer(spark, "/root/testdata/sf0.01")
     a = gold.gold_kpis(s, approx_meters=True, exact_scale=3).withColumnRenamed("active_meters", "approx")

@@ -33,14 +33,16 @@ def test_chunked_detector_shuffles_readings_once(spark):
     assert got["broadcasts"] >= 1                                # the cuts of the hot keys
 
 
-def test_approximate_gold_shuffles_once(spark):
+def test_gold_copies_panes_not_readings(spark):
     from meterlake.operators import gold
     from meterlake.plans import layers
-    assert summary(drop_initial_plans(plan_text(gold.gold_kpis(layers.silver_layer(spark, SF)))))["shuffles"] == 1
+    for approx, shuffles in ((True, 2), (False, 4)):             # pane rows, then windows; exact meters: two more
+        plan = drop_initial_plans(plan_text(gold.gold_kpis(layers.silver_layer(spark, SF), approx_meters=approx)))
+        assert summary(plan)["shuffles"] == shuffles
+        assert "Expand" not in plan and "collect_set" not in plan
 
 
 def test_aggregates_shuffle_once_per_grouping(plans):
-    assert plans["gold_kpis"]["shuffles"] == 2                   # exact distinct meters: one more
     assert plans["weekend_shift"]["shuffles"] == 1
     for n in ("thermal_sensitivity", "volatility_index"):
         assert plans[n]["shuffles"] <= 2                         # group aggregate + ordering of a few rows

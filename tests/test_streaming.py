@@ -54,8 +54,8 @@ def test_gold_complete_stream_equals_batch(spark, tmpdir_path):
     _messages(spark).repartition(3).write.parquet(inbox)
     h, w = _dims(spark)
     _run(jobs.start_gold(jobs.enriched_stream(file_messages(spark, inbox, max_files_per_trigger=1), h, w),
-                         out, ck, "complete", jobs.BOUNDED))
-    got = layers.to_ntz(jobs.read_gold(spark, out)).collect()
+                         out, ck, "complete", jobs.BOUNDED, exact_scale=3))
+    got = layers.to_ntz(jobs.read_gold(spark, out, "complete")).collect()
     want = layers.to_ntz(gold.gold_kpis(layers.silver(spark, SF), exact_scale=3)).collect()
     key = lambda r: (r["window_start"], r["acorn_group"] or "", r["precipType"] or "")
     assert sorted(got, key=key) == sorted(want, key=key)
