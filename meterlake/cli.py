@@ -54,6 +54,7 @@ def run(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--gold-mode", default="update", choices=["complete", "append", "update"])
+    ap.add_argument("--exact", action="store_true", help="insights: fixed-point moments of readings at 3 decimals")
     ap.add_argument("--min-value", type=float, default=None, help="notifier: only alerts above this reading")
     ap.add_argument("--layer", help="maintain: layer folder to compact")
     ap.add_argument("--table", help="maintain: snapshot table to clean")
@@ -90,7 +91,7 @@ def run(argv: list[str] | None = None) -> None:
         silver = files.read_layer(spark, f"{a.root}/silver", fmt)
         gold = jobs.read_gold(spark, f"{a.root}/gold", a.gold_mode, fmt)
         alerts = files.read_layer(spark, f"{a.root}/alerts", fmt)
-        for name, df in insights.business_reports(silver, gold, alerts).items():
+        for name, df in insights.business_reports(silver, gold, alerts, exact=a.exact).items():
             _write(df, f"{a.root}/reports/{name}", fmt)
     elif a.job == "eda":
         raw = files.read_readings_csv(spark, a.readings)

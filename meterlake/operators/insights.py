@@ -1,10 +1,10 @@
 """Business reports over the silver, gold and alert layers.
 
-Statistics take an ``exact`` switch: with it, means, standard deviations and
-correlations come from fixed-point moments (:mod:`meterlake.functions.moments`)
-and are identical for every partitioning; without it the built-in
-``avg``/``stddev``/``corr`` aggregates are used. Both forms aggregate
-partially, map-side.
+Statistics are the built-in ``avg``/``stddev``/``corr`` of doubles by default. With ``exact=True``
+they come from fixed-point moments (:mod:`meterlake.functions.moments`, which take readings at
+``CONS_SCALE`` decimals) and are identical for every partitioning; with ``exact="any"`` the
+reports of sums and means use exact sums of doubles (:mod:`meterlake.functions.exact`), which round
+nothing and are as independent of the order. All forms aggregate partially, map-side.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import columns as C
+from meterlake.functions import exact as X
 from meterlake.functions import moments as M
 from meterlake.operators.joins import dimension_join
 
@@ -71,7 +72,7 @@ def weekend_from(m: DataFrame) -> DataFrame:
                     (F.try_divide(we - wd, wd) * F.lit(100.0)).alias("weekend_shift_pct"))
 
 
-def thermal_sensitivity(silver: DataFrame, exact: bool = True) -> DataFrame:
+def thermal_sensitivity(silver: DataFrame, exact: bool = False) -> DataFrame:
     """Per group: Pearson correlation of consumption with temperature, and the
     ratio of their standard deviations (kWh per degree of spread; not a
     regression slope). Ascending by correlation."""
@@ -83,7 +84,7 @@ def thermal_sensitivity(silver: DataFrame, exact: bool = True) -> DataFrame:
     return out.orderBy(F.asc_nulls_first("pearson_corr"), F.asc_nulls_first("acorn_group"))
 
 
-def volatility_index(silver: DataFrame, exact: bool = True) -> DataFrame:
+def volatility_index(silver: DataFrame, exact: bool = False) -> DataFrame:
     """Coefficient of variation of consumption per group, descending."""
     if exact:
         return volatility_from(silver_group_moments(silver))
@@ -92,7 +93,7 @@ def volatility_index(silver: DataFrame, exact: bool = True) -> DataFrame:
     return out.orderBy(F.desc_nulls_last("volatility_index"), F.asc_nulls_first("acorn_group"))
 
 
-def weekend_shift(silver: DataFrame, exact: bool = True) -> DataFrame:
+def weekend_shift(silver: DataFrame, exact: bool | str = False) -> DataFrame:
     """Mean consumption on weekdays and weekends per group, and the weekend
     change in percent ``(weekend - weekday) / weekday * 100``.
 
@@ -100,6 +101,15 @@ def weekend_shift(silver: DataFrame, exact: bool = True) -> DataFrame:
     lists them explicitly), so a group or a dataset without weekend rows
     yields NULL instead of a missing column.
     """
+    if exact == "any":
+        known, wk = F.when(C.usable_reading("consumption"), F.col("consumption")), C.is_weekend("timestamp")
+        day, end = F.when(wk == 0, known), F.when(wk == 1, known)
+        m = silver.groupBy("acorn_group").agg(F.count(day).alias("n0"), *X.limb_sums(day, "d"),
+                                              F.count(end).alias("n1"), *X.limb_sums(end, "e"))
+        m = m.select("acorn_group", F.try_divide(X.limb_total("d"), "n0").alias("avg_weekday"),
+                     F.try_divide(X.limb_total("e"), "n1").alias("avg_weekend"))
+        wd, we = F.col("avg_weekday"), F.col("avg_weekend")
+        return m.withColumn("weekend_shift_pct", F.try_divide(we - wd, wd) * F.lit(100.0))
     if exact:
         return weekend_from(silver_group_moments(silver))
     df = silver.withColumn("is_weekend", C.is_weekend("timestamp"))
@@ -120,13 +130,17 @@ def first_rows(ranked: DataFrame, k: int | None) -> DataFrame:
     return ranked if k is None else ranked.limit(k)
 
 
-def par_index(gold: DataFrame, k: int | None = 5, exact: bool = True) -> DataFrame:
+def par_index(gold: DataFrame, k: int | None = 5, exact: bool | str = False) -> DataFrame:
     """Peak-to-average ratio of window load by hour of day; top ``k``.
 
     Windows overlap (each reading counts in two), as in the gold layer.
     """
     g = _with_hour(gold).groupBy("hour")
-    if exact:
+    if exact == "any":
+        g = g.agg(F.max("total_load").alias("peak"), F.count(F.when(C.usable_reading("total_load"), 1)).alias("n"),
+                  *X.limb_sums("total_load", "s"))
+        out = g.select("hour", F.try_divide("peak", F.try_divide(X.limb_total("s"), "n")).alias("PAR_index"))
+    elif exact:
         g = g.agg(F.max("total_load").alias("peak"), F.count(M.fixed("total_load", CONS_SCALE)).alias("n"),
                   M.sum_fixed("total_load", CONS_SCALE).alias("s"))
         out = g.select("hour", F.try_divide(F.col("peak"), M.mean_from(F.col("n"), F.col("s"), CONS_SCALE))
@@ -136,12 +150,16 @@ def par_index(gold: DataFrame, k: int | None = 5, exact: bool = True) -> DataFra
     return first_rows(out.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")), k)
 
 
-def load_per_meter(gold: DataFrame, k: int | None = 5, exact: bool = True) -> DataFrame:
+def load_per_meter(gold: DataFrame, k: int | None = 5, exact: bool | str = False) -> DataFrame:
     """Load per active meter by (group, hour of day): ``sum(load) / sum(active meters)``; top ``k``."""
-    tot = (M.sum_fixed("total_load", CONS_SCALE).cast("double") / F.lit(float(10 ** CONS_SCALE))
-           if exact else F.sum("total_load"))
-    out = (_with_hour(gold).groupBy("acorn_group", "hour")
-           .agg(F.try_divide(tot, F.sum("active_meters")).alias("kwh_per_meter")))
+    groups = _with_hour(gold).groupBy("acorn_group", "hour")
+    if exact == "any":
+        out = (groups.agg(*X.limb_sums("total_load", "s"), F.sum("active_meters").alias("m"))
+               .select("acorn_group", "hour", F.try_divide(X.limb_total("s"), "m").alias("kwh_per_meter")))
+    else:
+        tot = (M.sum_fixed("total_load", CONS_SCALE).cast("double") / F.lit(float(10 ** CONS_SCALE))
+               if exact else F.sum("total_load"))
+        out = groups.agg(F.try_divide(tot, F.sum("active_meters")).alias("kwh_per_meter"))
     return first_rows(out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")), k)
 
 
@@ -167,7 +185,7 @@ def load_from(m: DataFrame, k: int | None = 5) -> DataFrame:
     return first_rows(out.orderBy(F.desc_nulls_last("kwh_per_meter"), F.asc_nulls_first("acorn_group"), F.asc("hour")), k)
 
 
-def gold_outliers(gold: DataFrame, sigmas: float = 2.0, exact: bool = True) -> DataFrame:
+def gold_outliers(gold: DataFrame, sigmas: float = 2.0, exact: bool = False) -> DataFrame:
     """Windows whose load exceeds the mean by more than ``sigmas`` standard deviations.
 
     The bound is a scalar subquery planned with the main query (no round
@@ -230,7 +248,52 @@ def critical_alerts(alerts: DataFrame, min_value: float | None = 10.0) -> DataFr
 
 # --- all reports --------------------------------------------------------------
 
-def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: int | None = None) -> dict[str, DataFrame]:
+def silver_group_stats(silver: DataFrame) -> DataFrame:
+    """What the three silver reports need per group, as built-in statistics of doubles, in one aggregate pass."""
+    x, wk = F.col("consumption"), C.is_weekend("timestamp")
+    return silver.groupBy("acorn_group").agg(
+        F.corr("consumption", "temperature").alias("pearson_corr"), F.stddev(x).alias("sd"), F.avg(x).alias("mean"),
+        F.stddev("temperature").alias("sd_temp"), F.avg(F.when(wk == 0, x)).alias("avg_weekday"),
+        F.avg(F.when(wk == 1, x)).alias("avg_weekend"))
+
+
+def silver_reports(silver: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
+    """The three silver reports from one aggregate pass (one row per group, persisted)."""
+    if exact:
+        m = silver_group_moments(silver).persist()
+        return {"thermal_sensitivity": thermal_from(m), "volatility_index": volatility_from(m),
+                "weekend_shift": weekend_from(m)}
+    m = silver_group_stats(silver).persist()
+    wd, we = F.col("avg_weekday"), F.col("avg_weekend")
+    return {
+        "thermal_sensitivity": m.select("acorn_group", "pearson_corr", F.try_divide("sd", "sd_temp").alias("thermal_slope"))
+        .orderBy(F.asc_nulls_first("pearson_corr"), F.asc_nulls_first("acorn_group")),
+        "volatility_index": m.select("acorn_group", F.try_divide("sd", "mean").alias("volatility_index"))
+        .orderBy(F.desc_nulls_last("volatility_index"), F.asc_nulls_first("acorn_group")),
+        "weekend_shift": m.select("acorn_group", wd, we, (F.try_divide(we - wd, wd) * F.lit(100.0)).alias("weekend_shift_pct")),
+    }
+
+
+def gold_reports(gold: DataFrame, k: int | None = None, exact: bool = False) -> dict[str, DataFrame]:
+    """The two hourly gold reports from one aggregate pass (one row per group and hour, persisted), and the outliers."""
+    if exact:
+        m = gold_hour_moments(gold).persist()
+        hourly = {"par_index": par_from(m, k), "load_per_meter": load_from(m, k)}
+    else:
+        m = (_with_hour(gold).groupBy("acorn_group", "hour")
+             .agg(F.max("total_load").alias("peak"), F.count("total_load").alias("n"), F.sum("total_load").alias("s"),
+                  F.sum("active_meters").alias("meters")).persist())
+        h = m.groupBy("hour").agg(F.max("peak").alias("peak"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+        par = h.select("hour", F.try_divide("peak", F.try_divide("s", "n")).alias("PAR_index"))
+        load = m.select("acorn_group", "hour", F.try_divide("s", "meters").alias("kwh_per_meter"))
+        hourly = {"par_index": first_rows(par.orderBy(F.desc_nulls_last("PAR_index"), F.asc("hour")), k),
+                  "load_per_meter": first_rows(load.orderBy(F.desc_nulls_last("kwh_per_meter"),
+                                                            F.asc_nulls_first("acorn_group"), F.asc("hour")), k)}
+    return hourly | {"gold_outliers": gold_outliers(gold, exact=exact)}
+
+
+def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: int | None = None,
+                     exact: bool = False) -> dict[str, DataFrame]:
     """The nine reports over the three layers, whole; ``k`` cuts the ranked ones to their first rows.
 
     The silver reports share one aggregate pass (one row per group), the
@@ -238,15 +301,9 @@ def business_reports(silver: DataFrame, gold: DataFrame, alerts: DataFrame, k: i
     aggregates are persisted (``spark.catalog.clearCache()`` releases them).
     The outlier and alert reports are one aggregate each.
     """
-    m = silver_group_moments(silver).persist()
-    gh = gold_hour_moments(gold).persist()
     return {
-        "thermal_sensitivity": thermal_from(m),
-        "volatility_index": volatility_from(m),
-        "weekend_shift": weekend_from(m),
-        "par_index": par_from(gh, k),
-        "load_per_meter": load_from(gh, k),
-        "gold_outliers": gold_outliers(gold),
+        **silver_reports(silver, exact),
+        **gold_reports(gold, k, exact),
         "alert_severity": alert_severity(alerts, k),
         "alert_temp_bins": alert_temp_bins(alerts),
         "alert_group_rank": alert_group_rank(alerts, silver),

@@ -261,7 +261,7 @@ FROM (SELECT acorn_group,
              sum(CAST({_fx('temperature', 2)} AS HUGEINT) * {_fx('temperature', 2)}) AS qy
       FROM silver GROUP BY acorn_group) g""", "silver"))
 def q_thermal_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.thermal_sensitivity(layers.silver_layer(spark, sf))
+    return insights.thermal_sensitivity(layers.silver_layer(spark, sf), exact=True)
 
 
 @register("volatility_index", O.sql(f"""
@@ -270,7 +270,7 @@ FROM (SELECT acorn_group, count(consumption) AS n, sum({_fx('consumption', 3)})
              sum(CAST({_fx('consumption', 3)} AS HUGEINT) * {_fx('consumption', 3)}) AS q
       FROM silver GROUP BY acorn_group) g""", "silver"))
 def q_volatility_index(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.volatility_index(layers.silver_layer(spark, sf))
+    return insights.volatility_index(layers.silver_layer(spark, sf), exact=True)
 
 
 @register("weekend_shift", O.sql(f"""
@@ -284,7 +284,7 @@ FROM (SELECT acorn_group,
              sum(CASE WHEN dayofweek(timestamp) IN (0, 6) THEN {_fx('consumption', 3)} END) AS s1
       FROM silver GROUP BY acorn_group) g""", "silver"))
 def q_weekend_shift(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.weekend_shift(layers.silver_layer(spark, sf))
+    return insights.weekend_shift(layers.silver_layer(spark, sf), exact=True)
 
 
 # --- reports: gold ----------------------------------------------------------------
@@ -295,7 +295,7 @@ FROM (SELECT CAST(hour(window_start) AS INTEGER) AS hour, max(total_load) AS pea
              sum({_fx('total_load', 3)}) AS s FROM gold GROUP BY 1) g
 ORDER BY PAR_index DESC NULLS LAST, hour LIMIT 5""", "gold"))
 def q_par_index(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.par_index(layers.gold_layer(spark, sf))
+    return insights.par_index(layers.gold_layer(spark, sf), exact=True)
 
 
 @register("load_per_meter", O.sql(f"""
@@ -305,7 +305,7 @@ SELECT acorn_group, CAST(hour(window_start) AS INTEGER) AS hour,
 FROM gold GROUP BY 1, 2
 ORDER BY kwh_per_meter DESC NULLS LAST, acorn_group ASC NULLS FIRST, hour LIMIT 5""", "gold"))
 def q_load_per_meter(spark: SparkSession, sf: str) -> DataFrame:
-    return insights.load_per_meter(layers.gold_layer(spark, sf))
+    return insights.load_per_meter(layers.gold_layer(spark, sf), exact=True)
 
 
 @register("gold_outliers", O.sql(f"""
@@ -315,7 +315,7 @@ WHERE total_load > (SELECT {_mean('n', 's', 3)} + CAST(2.0 AS DOUBLE) * {_sd('n'
                                  sum(CAST({_fx('total_load', 3)} AS HUGEINT) * {_fx('total_load', 3)}) AS q
                           FROM gold) st)""", "gold"))
 def q_gold_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.to_ntz(insights.gold_outliers(layers.gold_layer(spark, sf)))
+    return layers.to_ntz(insights.gold_outliers(layers.gold_layer(spark, sf), exact=True))
 
 
 # --- reports: alerts ----------------------------------------------------------------

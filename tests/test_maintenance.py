@@ -77,13 +77,46 @@ def test_business_reports_equal_single_reports(spark):
     from meterlake.params import DetectorParams
     s, g = layers.silver_layer(spark, SF), layers.gold_layer(spark, SF)
     a = detector.anomaly_alerts(s, DetectorParams(calibration=30, z_mild=3.0, z_extreme=5.0))
-    reps = insights.business_reports(s, g, a)
-    assert len(reps) == 9
-    assert reps["thermal_sensitivity"].collect() == insights.thermal_sensitivity(s).collect()
-    assert reps["weekend_shift"].collect() == insights.weekend_shift(s).collect()
-    assert reps["par_index"].collect() == insights.par_index(g, k=None).collect()
-    assert reps["load_per_meter"].collect() == insights.load_per_meter(g, k=None).collect()
-    # The built-in (non fixed-point) forms agree to rounding.
-    fast = {r["acorn_group"]: r["volatility_index"] for r in insights.volatility_index(s, exact=False).collect()}
-    for r in reps["volatility_index"].collect():
-        assert abs(r["volatility_index"] - fast[r["acorn_group"]]) < 1e-9
+    for exact in (True, False):
+        reps = insights.business_reports(s, g, a, exact=exact)
+        assert len(reps) == 9
+        single = {"thermal_sensitivity": insights.thermal_sensitivity(s, exact), "volatility_index": insights.volatility_index(s, exact),
+                  "weekend_shift": insights.weekend_shift(s, exact), "par_index": insights.par_index(g, None, exact),
+                  "load_per_meter": insights.load_per_meter(g, None, exact), "gold_outliers": insights.gold_outliers(g, exact=exact)}
+        for name, want in single.items():
+            assert_close(reps[name], want)
+    # The forms agree to rounding.
+    for report, df, key in ((insights.weekend_shift, s, {}), (insights.par_index, g, {"k": None}), (insights.load_per_meter, g, {"k": None})):
+        assert_close(report(df, exact="any", **key), report(df, exact=True, **key))
+        assert_close(report(df, **key), report(df, exact=True, **key))
+
+
+def assert_close(got, want):
+    got, want = (sorted(map(tuple, df.collect()), key=lambda r: [repr(x)[:12] for x in r]) for df in (got, want))
+    assert len(got) == len(want) > 0
+    for g, w in zip(got, want):
+        for x, y in zip(g, w):
+            assert x == y or abs(x - y) <= 1e-9 * max(1.0, abs(y))
+
+
+def test_reports_do_not_round_readings(spark):
+    """Seven decimals: means equal the exact ones, bit for bit and on any partitioning."""
+    import math
+    import random
+
+    from meterlake.operators import insights
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), f"2024-01-{rng.randint(1, 28):02d}", round(rng.random() * 3, 7)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "acorn_group string, d string, consumption double").withColumn(
+        "timestamp", F.col("d").cast("timestamp"))
+    want = {}
+    for g in "ab":
+        import datetime as dt
+        end = [x for k, d, x in rows if k == g and dt.date.fromisoformat(d).weekday() >= 5]
+        day = [x for k, d, x in rows if k == g and dt.date.fromisoformat(d).weekday() < 5]
+        want[g] = (math.fsum(day) / len(day), math.fsum(end) / len(end))
+    for parts in (1, 9):
+        got = insights.weekend_shift(df.repartition(parts), exact="any").collect()
+        assert {r["acorn_group"]: (r["avg_weekday"], r["avg_weekend"]) for r in got} == want
+    for r in insights.weekend_shift(df).collect():
+        assert math.isclose(r["avg_weekday"], want[r["acorn_group"]][0], rel_tol=1e-13)
