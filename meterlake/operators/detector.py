@@ -15,66 +15,57 @@ how the history is split, summed or ordered across tasks and micro-batches.
 The streaming form keeps the same integers as its state.
 
 Scale. A plain per-key window would put one key's whole history into one
-task; a key may hold a third of all rows. Keys with more than ``chunk_rows``
-readings ("hot") are therefore computed as a parallel scan:
-
-1. per key: row count (partial aggregate, no skew). Without a hot key the
-   plan is one window over one shuffle of the readings, and stops here;
-2. the history of a hot key is cut at quantiles of its reading times, a
-   mergeable sketch per task, so that chunks hold about ``chunk_rows``
-   readings each however the arrivals are spread: a burst, a gap or an early
-   outlier moves the cuts, not the sizes. Readings of one key with the very
-   same time stay in one chunk;
-3. chunk totals by a partial aggregate (one row per chunk and task is
-   shuffled), then an exclusive running sum over the chunks of each key;
-4. one shuffle of the readings by (key, chunk): an ordered window gives the
-   prefix inside the chunk; the chunk offsets are joined on (key, chunk) --
-   the reading side is already partitioned that way, so only the small
-   chunk table moves.
+task; a key may hold a third of all rows. Where a key has more than ``chunk_rows``
+readings ("hot", told by a count that combines before its shuffle) the history is
+computed as a parallel scan; without a hot key the plan is one window over
+one shuffle of the readings, and stops here. The scan:
+
+1. the readings are range-partitioned by (key, time) and written with the number of their
+   range. Spark samples the readings to find the borders, so ranges hold about
+   as many readings each however keys and arrivals are spread; only readings of one key with
+   the very same time stay together. Writing fixes the borders: a task that
+   is repeated finds the same ranges;
+2. an ordered window gives the prefix inside each (range, key);
+3. totals per (range, key) by a partial aggregate. Only keys that lie in several ranges need
+   an offset, the running total of their earlier ranges: at most two
+   rows per range border, which are broadcast and added.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake import params as P
 from meterlake.functions import columns as C
 from meterlake.functions.moments import fixed
-from meterlake.operators.joins import dimension_join, settle
+from meterlake.session import scratch_path
 
 DEFAULT_CHUNK_ROWS = 200_000
 _DEC = "decimal(38,0)"
 
 
-def chunk_cuts(df: DataFrame, key: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
-    """``(key, _cuts)``: ascending times (µs) at which the history of each hot key is cut; None without a hot key.
-
-    There are at most ``rows / chunk_rows`` hot keys, and a key has about
-    ``its rows / chunk_rows`` cuts, so all cuts together are as many at most.
-    """
-    hot = settle(df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > F.lit(chunk_rows)))
-    if hot.rows == 0:
+def time_ranges(df: DataFrame, key: str, time: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
+    """``df`` written in ranges of (key, time) of about ``chunk_rows`` rows, with the range in ``_range``; None without a hot key."""
+    spark = df.sparkSession
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if (counts["most"] or 0) <= chunk_rows:
         return None
-    parts = -(-hot.frame.agg(F.max("_cnt")).first()[0] // chunk_rows)
-    # The rank error of a cut stays below a tenth of a chunk of the largest key.
-    cuts = F.percentile_approx("_us", [k / parts for k in range(1, parts)], max(10_000, 10 * parts))
-    quantiles = dimension_join(df.select(key, "_us"), hot, key, "inner").groupBy(key, "_cnt").agg(cuts.alias("_all"))
-    # The quantiles suit the largest key; a smaller one takes every step-th of them.
-    step = F.greatest(F.lit(1), F.floor(F.lit(parts) * F.lit(chunk_rows) / F.col("_cnt"))).cast("int")
-    return (quantiles.withColumn("_step", step)
-            .select(key, F.filter("_all", lambda c, i: (i + 1) % F.col("_step") == 0).alias("_cuts")))
+    ranges = max(-(-counts["rows"] // chunk_rows), spark.sparkContext.defaultParallelism)
+    path = scratch_path(spark, "time-ranges")
+    (df.repartitionByRange(ranges, F.col(key), F.col(time)).withColumn("_range", F.spark_partition_id())
+     .write.parquet(path))
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])).parquet(path)
 
 
-def assign_chunks(df: DataFrame, key: str, cuts: DataFrame) -> DataFrame:
-    """Add ``_chunk``: how many cuts of its key lie at or before each row (needs ``_us``); 0 for other keys.
-
-    The cuts are joined (left) with a measured broadcast, so this adds no
-    shuffle of the readings.
-    """
-    df = dimension_join(df, cuts, key, "left")
-    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
-    return df.withColumn("_chunk", F.when(F.col("_cuts").isNotNull(), passed).otherwise(F.lit(0))).drop("_cuts")
+def range_offsets(ranges: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
+    """(``_range``, key, sums over the key's earlier ranges) for keys that lie in several: at most two rows a range border."""
+    totals = ranges.groupBy("_range", key).agg(*(c.alias(n) for n, c in sums.items()))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    running = totals.select("_range", key, F.row_number().over(Window.partitionBy(key).orderBy("_range")).alias("_nth"),
+                            *(F.sum(n).over(earlier).alias(n) for n in sums))
+    return running.filter("_nth > 1").drop("_nth")
 
 
 def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
@@ -93,30 +84,20 @@ def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
         return [F.coalesce(c.over(before), F.lit(0).cast(t)) for c, t in zip(sums, ("long", "long", _DEC))]
 
     names = ("prior_n", "prior_s", "prior_q")
-    cuts = chunk_cuts(df, key, chunk_rows)
-    if cuts is None:
+    ranges = time_ranges(df, key, ts, chunk_rows)
+    if ranges is None:
         return df.select("*", *(c.alias(n) for c, n in zip(prefix([key], list(order)), names))).drop("_us")
 
-    df = assign_chunks(df, key, cuts)
-
-    # 3. chunk totals: a partial aggregate, so only one row per chunk and
-    # task is shuffled (the readings are scanned again, not shuffled again);
-    # then exclusive running totals over the chunks of each key.
-    totals = df.groupBy(key, "_chunk").agg(*(c.alias(n) for c, n in zip(sums, ("_cn", "_cs", "_cq"))))
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_chunk", *(F.sum(c).over(earlier).alias(n)
-                                             for c, n in (("_cn", "_on"), ("_cs", "_os"), ("_cq", "_oq"))))
-
-    # 4. the one shuffle of the readings: by (key, chunk), ordered, prefix
-    # inside the chunk. The join below finds this side already partitioned
-    # by (key, chunk) and moves only the chunk offsets. The first chunk of a
-    # key, and rows without a key, have no offset.
-    df = df.select("*", *(c.alias(n) for c, n in zip(prefix([key, "_chunk"], list(order)), ("_ln", "_ls", "_lq"))))
-    df = df.join(offsets, [key, "_chunk"], "left")
+    own = ranges.select("*", *(c.alias(n) for c, n in zip(prefix(["_range", key], list(order)), ("_ln", "_ls", "_lq"))))
+    offsets = range_offsets(ranges, key, dict(zip(("_on", "_os", "_oq"), sums)))
+    offsets = offsets.withColumnsRenamed({"_range": "_o_range", key: "_o_key"})
+    # rows without a key are a history of their own, as in the window
+    same = (F.col("_range") == F.col("_o_range")) & F.col(key).eqNullSafe(F.col("_o_key"))
+    joined = own.join(F.broadcast(offsets), same, "left")
     total = [(F.coalesce(f"_o{c}", F.lit(0).cast(t)) + F.col(f"_l{c}")).cast(t)
              for c, t in (("n", "long"), ("s", "long"), ("q", _DEC))]
-    return (df.withColumns(dict(zip(names, total)))
-              .drop("_on", "_os", "_oq", "_ln", "_ls", "_lq", "_chunk", "_us"))
+    return (joined.withColumns(dict(zip(names, total)))
+            .drop("_on", "_os", "_oq", "_ln", "_ls", "_lq", "_range", "_o_range", "_o_key", "_us"))
 
 
 def moments_to_stats(n: Column, s: Column, q: Column, scale: int) -> tuple[Column, Column]:

@@ -187,30 +187,32 @@ def test_null_consumption_or_time_is_not_scored(spark):
     assert df.filter(F.col("consumption").isNull()).count() == 1
 
 
-def test_hot_key_is_cut_into_bounded_chunks(spark):
-    # One key holds a third of the rows; each chunk must stay near chunk_rows.
+def test_hot_key_is_spread_over_even_ranges(spark):
+    # One key holds a third of the rows; each range must stay near chunk_rows, and cold keys lie in one or two.
     n = 30_000
     df = (spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), (F.col("id") % 500).cast("string")))
         .alias("LCLid"),
         (F.col("id") * F.lit(1_000_000)).alias("_us")))
-    chunks = detector.assign_chunks(df, "LCLid", detector.chunk_cuts(df, "LCLid", chunk_rows=500))
-    st = (chunks.groupBy("LCLid", "_chunk").count()
-          .groupBy("LCLid").agg(F.count("*").alias("chunks"), F.max("count").alias("biggest")))
-    hot = st.filter(F.col("LCLid") == "hot").first()
-    assert hot["chunks"] >= 15 and hot["biggest"] <= 600
-    cold = st.filter(F.col("LCLid") != "hot").agg(F.max("chunks").alias("m")).first()["m"]
-    assert cold == 1
+    ranges = detector.time_ranges(df, "LCLid", "_us", chunk_rows=500)
+    assert ranges.count() == n and ranges.drop("_range").exceptAll(df).count() == 0
+    assert ranges.groupBy("_range").count().agg(F.max("count")).first()[0] <= 1_000
+    held = ranges.groupBy("LCLid").agg(F.count_distinct("_range").alias("ranges"))
+    assert held.filter("LCLid = 'hot'").first()["ranges"] >= 15
+    assert held.filter("LCLid <> 'hot'").agg(F.max("ranges")).first()[0] <= 2
+    # one offset for each range border inside a key, whatever the number of keys
+    offsets = detector.range_offsets(ranges, "LCLid", {"n": F.count("_us")})
+    assert offsets.count() <= 2 * ranges.select("_range").distinct().count()
+    assert offsets.filter("LCLid = 'hot'").agg(F.max("n")).first()[0] < 10_000
 
 
 @pytest.mark.parametrize("at", ["least(id, 1) * 3000000000000000 + id",               # one early outlier
                                 "CASE WHEN id < 4900 THEN id ELSE id * 3600000000 END",  # a burst, then a steady rate
                                 "id * id * id"])                                      # ever rarer readings
-def test_uneven_arrivals_give_bounded_chunks(spark, at):
+def test_one_key_with_all_rows_splits_evenly(spark, at):
     df = spark.range(5_001).selectExpr("'hot' AS LCLid", f"CAST({at} AS LONG) AS _us")
-    chunks = detector.assign_chunks(df, "LCLid", detector.chunk_cuts(df, "LCLid", chunk_rows=500))
-    sizes = [r["count"] for r in chunks.groupBy("_chunk").count().collect()]
-    assert sum(sizes) == 5_001 and max(sizes) <= 1_000
+    sizes = [r["count"] for r in detector.time_ranges(df, "LCLid", "_us", chunk_rows=500).groupBy("_range").count().collect()]
+    assert sum(sizes) == 5_001 and max(sizes) <= 1_000 and len(sizes) >= 8
 
 
 def test_hot_keys_of_different_sizes_and_rows_without_key(spark):
@@ -222,7 +224,7 @@ def test_hot_keys_of_different_sizes_and_rows_without_key(spark):
     assert one == many and len(one) == len(rows)
 
 
-def test_without_hot_key_there_are_no_cuts(spark):
+def test_without_hot_key_nothing_is_written(spark):
     df = spark.range(100).selectExpr("'m' AS LCLid", "id AS _us")
-    assert detector.chunk_cuts(df, "LCLid", chunk_rows=100) is None
-    assert detector.chunk_cuts(df.limit(0), "LCLid", chunk_rows=100) is None
+    assert detector.time_ranges(df, "LCLid", "_us", chunk_rows=100) is None
+    assert detector.time_ranges(df.limit(0), "LCLid", "_us", chunk_rows=100) is None
