@@ -161,6 +161,19 @@ CTES["alerts_type"] = (("stats_type",), alerts_body("stats_type", 600, 8.0, 15.0
 CTES["alerts_type_low"] = (("stats_type",), alerts_body("stats_type", 600, 2.0, 3.5))
 
 
+# Each half of the history on its own (a pause beyond the idle timeout lies between them): calibration 12, z 3 / 5.
+CTES["silver_half"] = (("silver", "readings"), """
+  SELECT *, LCLid || CASE WHEN timestamp < (
+           SELECT date_trunc('day', make_timestamp((epoch_us(min(timestamp)) + epoch_us(max(timestamp))) // 2)) FROM readings)
+         THEN ' 1' ELSE ' 2' END AS meter_half
+  FROM silver""")
+CTES["moments_half"] = (("silver_half",), moments_cte("moments_half", "meter_half", "silver_half"))
+CTES["stats_half"] = (("moments_half",), STATS.format(src="moments_half"))
+CTES["alerts_half_long"] = (("stats_half",), alerts_body("stats_half", 12, 3.0, 5.0))
+CTES["alerts_half"] = (("alerts_half_long",), """
+  SELECT * REPLACE (left(LCLid, length(LCLid) - 2) AS LCLid) FROM alerts_half_long""")
+
+
 def _closure(names: tuple[str, ...]) -> list[str]:
     out: list[str] = []
 

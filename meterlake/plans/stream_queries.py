@@ -10,16 +10,20 @@ twin as the batch form.
 
 Bounded replays run the detector without the processing-time timeout: with
 that timeout Spark keeps scheduling empty batches to look for expired
-state, so an ``availableNow`` run would never end. The timeout path is
-exercised by the streaming tests.
+state, so an ``availableNow`` run would never end. ``stream_alerts_expired`` has the
+timeout: it runs by trigger and is stopped once its input is committed.
 """
 
 from __future__ import annotations
 
+import re
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake import schemas
+from meterlake.functions import columns as C
 from meterlake.operators import maintenance, replay
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
@@ -121,6 +125,45 @@ def stream_alerts_resumed_table(spark: SparkSession, sf: str, slices: int = 4) -
     return spark.read.schema(schemas.ALERT).parquet(out)
 
 
+IDLE_PARAMS = METER_PARAMS.with_(calibration=12, timeout="3 seconds")
+
+
+def run_to_offset(q, offset: int) -> None:
+    """Wait until a micro-batch has committed the file source's log ``offset``, then stop the query.
+
+    A query with state that expires by the clock schedules batches for ever, so it never ends by itself.
+    """
+    while q.isActive:
+        done = q.lastProgress
+        end = re.search(r"logOffset\W+(\d+)", str(done["sources"][0]["endOffset"])) if done else None
+        if end and int(end[1]) >= offset:
+            break
+        time.sleep(0.2)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    q.stop()
+
+
+def stream_alerts_expired_table(spark: SparkSession, sf: str, host: str = "value_state") -> DataFrame:
+    """The detector over two halves of history, with a pause beyond the idle timeout and a restart between them."""
+    msgs = replay.replay_messages(tables.csv_lines(tables.readings_raw(spark, sf)))
+    whole = scratch_path(spark, "messages-whole")
+    replay.write_messages(msgs, whole)
+    msgs = spark.read.schema(schemas.MESSAGE).parquet(whole)
+    times = C.parse_reading_ts(F.from_json("value", schemas.PAYLOAD)["tstp"])
+    span = layers.readings(spark, sf).agg(F.unix_micros(F.min("timestamp")).alias("a"), F.unix_micros(F.max("timestamp")).alias("b"))
+    cut = span.select(F.date_trunc("day", F.timestamp_micros(F.floor((F.col("a") + F.col("b")) / 2)))).scalar()
+    early = F.coalesce(times < cut, F.lit(True))
+    msg_dir, out, ck = (scratch_path(spark, n) for n in ("messages-halves", "alerts-expired", "ck-alerts-expired"))
+    for number, half in enumerate((msgs.filter(early), msgs.filter(~early))):
+        replay.write_messages(half, msg_dir)
+        with _sized(spark, msg_dir):
+            q = jobs.start_alerts(enriched(spark, sf, msg_dir), out, ck, IDLE_PARAMS, jobs.Trigger("200 milliseconds"), host=host)
+        run_to_offset(q, number)
+        time.sleep(5.0)  # longer than the idle timeout
+    return spark.read.schema(schemas.ALERT).parquet(out)
+
+
 @register("replay_to_json", O.sql("""
 SELECT trim(f[1]) AS key,
        json_object('LCLid', trim(f[1]), 'tstp', trim(f[2]), 'energy', trim(f[3]))::VARCHAR AS value
@@ -183,6 +226,12 @@ def q_stream_alerts_resumed(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_alerts_resumed_table(spark, sf))
 
 
+@register("stream_alerts_expired", O.sql("SELECT * FROM alerts_half", "alerts_half"))
+def q_stream_alerts_expired(spark: SparkSession, sf: str) -> DataFrame:
+    """Meters idle past the timeout calibrate again: each half of the history is scored on its own."""
+    return layers.to_ntz(stream_alerts_expired_table(spark, sf))
+
+
 @register("stream_alerts", O.sql("SELECT * FROM alerts", "alerts"))
 def q_stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(stream_alerts_table(spark, sf)[0])

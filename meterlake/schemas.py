@@ -75,12 +75,14 @@ ALERT = T.StructType([
 # Per-meter running state of the streaming detector. The moments are kept as
 # exact fixed-point integers (count, sum, sum of squares) so that any split of
 # the history into micro-batches gives the same scores as the batch form.
-# ``q`` exceeds 64 bits on long histories, hence the decimal.
+# ``q`` exceeds 64 bits on long histories, hence the decimal. ``seen_ms`` is the
+# processing time of the last change.
 DETECTOR_STATE = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("s", T.LongType()),
     T.StructField("q", T.DecimalType(38, 0)),
     T.StructField("last_ts", T.LongType()),
+    T.StructField("seen_ms", T.LongType()),
 ])
 
 NOTIFICATION = T.StructType([

@@ -16,6 +16,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings that matter for the plans built here. AQE re-plans joins and
 # shuffle partition counts from runtime sizes and splits skewed join
 # partitions; timestamps are interpreted in UTC so that hour and window
@@ -33,8 +36,7 @@ DEFAULT_CONF = {
     "spark.locality.wait": "0s",
     # Streaming state (detector moments per meter, open gold windows, join
     # buffers) lives in RocksDB off the JVM heap; commits upload changelogs.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 

@@ -1,4 +1,4 @@
-"""Keyed stateful detector for Structured Streaming (``applyInPandasWithState``).
+"""Keyed stateful detector for Structured Streaming.
 
 State per meter: exact fixed-point moments ``n, s, q`` (see
 :mod:`meterlake.operators.detector`) and the last reading time. Each
@@ -8,10 +8,17 @@ Scores are computed with the same sequence of double operations as the
 batch form, so a stream split into any micro-batches (in time order) yields
 exactly the batch result.
 
-Within a batch the prefix moments are cumulative sums over numpy arrays, in
+A meter's readings of one micro-batch are gathered as three compact arrays (24 bytes a
+reading; the admission cap bounds them), never as one pandas frame. Prefix
+moments are cumulative sums over numpy arrays, in
 64 bits while a bound shows that ``n*q`` and ``s^2`` fit and over Python
-integers beyond; pandas is used only to build the rows that alert. A meter's rows in one micro-batch
-are bounded by the source's admission cap.
+integers beyond; a sum of readings beyond 64 bits fails the query, as it does in batch.
+pandas is used only to build the rows that alert.
+
+Two hosts of the same step: :class:`Detector` keeps the moments in a value state whose time to live is
+the idle timeout (``transformWithStateInPandas``); :func:`make_detector` gets
+the state with its rows (``applyInPandasWithState``) and compares the timeout with the clock itself, so that a
+meter that comes back after the timeout calibrates again even if no batch ran in between.
 """
 
 from __future__ import annotations
@@ -23,8 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from meterlake import params as P
+from meterlake import schemas
 
 # PySpark's Arrow serializer concatenates empty frames for keys without
 # output; pandas warns about a future dtype rule that does not apply here.
@@ -64,8 +73,10 @@ def score_arrays(ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: i
     v = x * unit
     xi = (np.sign(v) * np.floor(np.abs(v) + 0.5)).astype(np.int64)  # half away from zero, as Spark's round
     n = n0 + np.arange(m, dtype=np.int64)
-    s = s0 + (np.cumsum(xi) - xi)               # exclusive prefix sums (fit in 64 bits, as the state does)
     top = int(np.abs(xi).max(initial=0))
+    if abs(s0) + m * top >= 2 ** 63 and abs(s0 + sum(xi.tolist())) >= 2 ** 63:
+        raise OverflowError("sum of a meter's readings beyond 64 bits")
+    s = s0 + (np.cumsum(xi) - xi)               # exclusive prefix sums
     narrow = max((n0 + m) * (q0 + m * top * top), (abs(s0) + m * top) ** 2) < 2 ** 63
     wide = np.int64 if narrow else object        # Python integers where 64 bits may not hold the products
     xw, sw = xi.astype(wide), s.astype(wide)
@@ -82,15 +93,9 @@ def score_arrays(ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: i
     return order, hit, mean, z, (n0 + m, s0 + int(xi.sum()), acc)
 
 
-def score_batch(key: str, pdf: pd.DataFrame, n0: int, s0: int, q0: int,
-                p: P.DetectorParams) -> tuple[pd.DataFrame, tuple[int, int, int]]:
-    """Score one key's batch (any order) against moments ``(n0, s0, q0)``.
-
-    Returns the alert rows and the moments after the batch.
-    """
-    ts = pdf["timestamp"].to_numpy()
-    x = pdf["consumption"].to_numpy(dtype=np.float64)
-    temp = pdf["temperature"].to_numpy(dtype=np.float64)
+def alert_rows(key: str, ts: np.ndarray, x: np.ndarray, temp: np.ndarray, n0: int, s0: int, q0: int,
+               p: P.DetectorParams) -> tuple[pd.DataFrame, tuple[int, int, int]]:
+    """The alert rows of one key's readings (any order) against moments ``(n0, s0, q0)``, and the moments after them."""
     order, hit, mean, z, moments = score_arrays(ts, x, temp, n0, s0, q0, p)
     if not hit.any():
         return _empty(), moments
@@ -109,6 +114,54 @@ def score_batch(key: str, pdf: pd.DataFrame, n0: int, s0: int, q0: int,
     return out, moments
 
 
+def gathered(frames: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(time, reading, temperature) arrays of all frames; each frame is let go before the next is taken."""
+    parts = [(f["timestamp"].to_numpy(), f["consumption"].to_numpy(dtype=np.float64),
+              f["temperature"].to_numpy(dtype=np.float64)) for f in frames if len(f)]
+    if not parts:
+        return np.zeros(0, "datetime64[ns]"), np.zeros(0), np.zeros(0)
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def score_batch(key: str, pdf: pd.DataFrame, n0: int, s0: int, q0: int,
+                p: P.DetectorParams) -> tuple[pd.DataFrame, tuple[int, int, int]]:
+    """:func:`alert_rows` of one frame."""
+    return alert_rows(key, *gathered(iter([pdf])), n0, s0, q0, p)
+
+
+def step(key: str, frames: Iterator[pd.DataFrame], value: tuple | None, p: P.DetectorParams,
+         now_ms: int = 0) -> tuple[pd.DataFrame, tuple | None]:
+    """Alert rows and new state value of one key's micro-batch; ``value`` is None for a meter that (re)starts."""
+    ts, x, temp = gathered(frames)
+    if not len(ts):
+        return _empty(), None
+    n0, s0, q0 = (int(v) for v in value[:3]) if value is not None else (0, 0, 0)
+    out, (n1, s1, q1) = alert_rows(key, ts, x, temp, n0, s0, q0, p)
+    last = ts.max().astype("datetime64[ms]").astype(np.int64)
+    return out, (n1, s1, decimal.Decimal(q1), int(last), now_ms)
+
+
+class Detector(StatefulProcessor):
+    """The detector on ``transformWithStateInPandas``: a value state that expires when a meter has been idle."""
+
+    def __init__(self, p: P.DetectorParams):
+        self.p = p
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        ttl = _duration_ms(self.p.timeout) if self.p.timeout else None
+        self.moments = handle.getValueState("moments", schemas.DETECTOR_STATE, ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        out, value = step(key[0], rows, self.moments.get(), self.p)  # None once it has expired
+        if value is not None:
+            self.moments.update(value)
+        if len(out):
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
 def make_detector(p: P.DetectorParams):
     """The ``applyInPandasWithState`` function for parameters ``p``."""
     timeout_ms = _duration_ms(p.timeout) if p.timeout else None
@@ -118,18 +171,15 @@ def make_detector(p: P.DetectorParams):
             # Idle past the timeout: forget the meter; it calibrates again.
             state.remove()
             return
-        frames = [f for f in pdfs if len(f)]
-        if not frames:
+        value = state.get if state.exists else None
+        # A key with rows in this batch is not timed out by Spark, even if the timeout passed while the query was down.
+        now = state.getCurrentProcessingTimeMs() if timeout_ms else 0
+        if value is not None and timeout_ms and now - value[4] >= timeout_ms:
+            value = None
+        out, value = step(key[0], pdfs, value, p, now)
+        if value is None:
             return
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        if state.exists:
-            n0, s0, q0, _ = state.get
-            n0, s0, q0 = int(n0), int(s0), int(q0)
-        else:
-            n0 = s0 = q0 = 0
-        out, (n1, s1, q1) = score_batch(key[0], pdf, n0, s0, q0, p)
-        last = pdf["timestamp"].to_numpy().max().astype("datetime64[ms]").astype(np.int64)
-        state.update((n1, s1, decimal.Decimal(q1), int(last)))
+        state.update(value)
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
         if len(out):

@@ -32,9 +32,9 @@ from meterlake import schemas
 from meterlake.functions import columns as C
 from meterlake.operators import cleaning, enrich, gold, insights
 from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
-from meterlake.session import ship_package
+from meterlake.session import ROCKSDB, STATE_STORE, conf_scope, ship_package
 from meterlake.sources.files import exists, folders, newest_committed, remove
-from meterlake.streaming.detector_state import make_detector
+from meterlake.streaming.detector_state import Detector, make_detector
 
 
 @dataclass
@@ -180,25 +180,37 @@ def read_gold(spark: SparkSession, path: str, mode: str = "update", fmt: str = "
 
 
 def alert_stream(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR,
-                 watermark: str = P.WATERMARK, key: str = "LCLid") -> DataFrame:
-    """Stateful detector over the enriched stream (readings with known temperature)."""
+                 watermark: str = P.WATERMARK, key: str = "LCLid", host: str = "group_state") -> DataFrame:
+    """Stateful detector over the enriched stream (readings with known temperature).
+
+    ``host``: ``group_state`` (``applyInPandasWithState``, the state travels with the rows) or
+    ``value_state`` (``transformWithStateInPandas``, needs the RocksDB state store).
+    """
     readings = (silver.filter(F.col("temperature").isNotNull() & C.usable_reading("consumption")
                               & F.col("timestamp").isNotNull())
                 .withWatermark("timestamp", watermark)
                 .select(F.col(key).cast("string").alias("LCLid"), "timestamp", "consumption",
                         F.col("temperature").cast("double").alias("temperature")))
-    timeout = "ProcessingTimeTimeout" if p.timeout else "NoTimeout"
     ship_package(silver.sparkSession)
+    if host == "value_state":
+        return readings.groupBy("LCLid").transformWithStateInPandas(
+            Detector(p), schemas.ALERT, "append", "ProcessingTime" if p.timeout else "None")
+    if host != "group_state":
+        raise ValueError(f"host must be group_state or value_state, not {host!r}")
     return readings.groupBy("LCLid").applyInPandasWithState(
-        make_detector(p), schemas.ALERT, schemas.DETECTOR_STATE, "append", timeout)
+        make_detector(p), schemas.ALERT, schemas.DETECTOR_STATE, "append",
+        "ProcessingTimeTimeout" if p.timeout else "NoTimeout")
 
 
 def start_alerts(silver: DataFrame, path: str, checkpoint: str, p: P.DetectorParams = P.DEFAULT_DETECTOR,
-                 trigger: Trigger = SERVICE_ALERTS, fmt: str = "parquet", key: str = "LCLid") -> StreamingQuery:
-    a = alert_stream(silver, p, key=key)
+                 trigger: Trigger = SERVICE_ALERTS, fmt: str = "parquet", key: str = "LCLid",
+                 host: str = "group_state") -> StreamingQuery:
+    a = alert_stream(silver, p, key=key, host=host)
     w = (a.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", path))
-    return trigger.apply(w).start()
+    store = {STATE_STORE: ROCKSDB} if host == "value_state" else {}
+    with conf_scope(silver.sparkSession, store):
+        return trigger.apply(w).start()
 
 
 def notifications(alerts: DataFrame, min_value: float | None = None) -> DataFrame:

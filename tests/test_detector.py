@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import detector
 from meterlake.params import DetectorParams
-from meterlake.streaming.detector_state import make_detector, score_batch
+from meterlake.streaming.detector_state import Detector, make_detector, score_batch
 
 P = DetectorParams()
 UNIT = 1000
@@ -95,8 +95,12 @@ def test_unsorted_micro_batch_is_scored_in_time_order():
 
 
 class FakeState:
-    def __init__(self, value=None, timed_out=False):
+    def __init__(self, value=None, timed_out=False, now=0):
         self.value, self.hasTimedOut, self.removed, self.timeout = value, timed_out, False, None
+        self.now = now
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
 
     @property
     def exists(self):
@@ -117,7 +121,7 @@ class FakeState:
 
 
 def test_expired_state_is_removed_without_output():
-    st = FakeState((1000, 1_000_000, 1_010_000_000, 0), timed_out=True)
+    st = FakeState((1000, 1_000_000, 1_010_000_000, 0, 0), timed_out=True)
     out = list(make_detector(P)(("M",), iter([]), st))
     assert out == [] and st.removed
 
@@ -128,6 +132,54 @@ def test_state_update_sets_two_hour_timeout():
     assert st.value[0] == 1 and st.timeout == 2 * 3600 * 1000
 
 
+def test_meter_that_comes_back_after_the_timeout_starts_again():
+    # No batch ran when the timeout passed (the query was down): the state is there but out of date.
+    for now, count in ((7_199_999 + 5, 1001), (7_200_000 + 5, 1)):
+        st = FakeState((*moments(1.0, 10.0, 1000), 0, 5), now=now)
+        out = list(make_detector(P)(("M",), iter([batch([(T0, 12.0, 20.0)])]), st))
+        assert st.value[0] == count and len(out) == (count == 1001)
+
+
+class FakeValue:
+    def __init__(self):
+        self.value, self.ttl = None, None
+
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+    def getValueState(self, name, schema, ttl):
+        self.ttl = ttl
+        return self
+
+
+def test_value_state_detector_equals_the_group_state_one():
+    rows = [(T0 + dt.timedelta(minutes=i), float(i % 5), 20.0) for i in range(40)] + [(T0 + dt.timedelta(days=1), 50.0, 20.0)]
+    p = P.with_(calibration=10)  # the clock stands still
+    state, st, host = FakeValue(), FakeState(), Detector(p)
+    host.init(state)
+    assert state.ttl == 2 * 3600 * 1000
+    for part in (rows[:13], rows[13:20], rows[20:]):
+        frames = [batch(part[:4]), batch([]).astype({"consumption": float}), batch(part[4:])]
+        a = pd.concat([*host.handleInputRows(("M",), iter(frames), None), batch([])])
+        b = pd.concat([*make_detector(p)(("M",), iter(frames), st), batch([])])
+        assert a.equals(b) and state.value == st.value
+    assert state.value[0] == 41 and len(a) == 1
+    state.value = None  # expired
+    assert list(host.handleInputRows(("M",), iter([batch(rows[-1:])]), None)) == [] and state.value[0] == 1
+
+
+def test_sum_of_readings_beyond_64_bits_fails_instead_of_wrapping():
+    ts, x, temp = T0, 9e8, 20.0
+    frame = pd.DataFrame([(ts, x, temp)] * 3, columns=["timestamp", "consumption", "temperature"])
+    with pytest.raises(OverflowError):
+        score_batch("M", frame, 10 ** 7, 2 ** 63 - 10, 10 ** 30, P)
+    _, (_, s, _) = score_batch("M", frame, 10 ** 7, 2 ** 62, 10 ** 30, P)
+    assert s == 2 ** 62 + 3 * 9 * 10 ** 11
+
+
 def _history(meter, values, temp=20.0, start=T0):
     return [(meter, start + dt.timedelta(minutes=30 * i), float(v), temp) for i, v in enumerate(values)]
 

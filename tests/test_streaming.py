@@ -4,6 +4,8 @@ import datetime as dt
 import json
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from meterlake import schemas
@@ -49,6 +51,20 @@ def test_alerts_stream_in_two_runs_equals_batch(spark, tmpdir_path):
     assert got == want and len(want) > 0
 
 
+@pytest.mark.parametrize("host", ["group_state", "value_state"])
+def test_pause_beyond_the_timeout_restarts_calibration(spark, host):
+    import duckdb
+
+    from meterlake.plans import queries, stream_queries
+    con = duckdb.connect()
+    for t in ("events", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    want = sorted(map(repr, con.execute(queries.ORACLE["stream_alerts_expired"]).fetchall()))
+    df = layers.to_ntz(stream_queries.stream_alerts_expired_table(spark, "/root/testdata/sf0.01", host))
+    got = sorted(repr(tuple(r)) for r in df.collect())
+    assert got == want and len(want) > 5
+
+
 def test_gold_complete_stream_equals_batch(spark, tmpdir_path):
     inbox, out, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/gold", f"{tmpdir_path}/ck"
     _messages(spark).repartition(3).write.parquet(inbox)
@@ -169,7 +185,8 @@ def test_three_layer_queries_from_one_source(spark, tmpdir_path):
     assert got == sorted(tuple(r) for r in detector.anomaly_alerts(silver, METER).collect())
 
 
-def test_late_reading_still_reaches_the_detector(spark, tmpdir_path):
+@pytest.mark.parametrize("host", ["group_state", "value_state"])
+def test_late_reading_still_reaches_the_detector(spark, tmpdir_path, host):
     # With a processing-time timeout the watermark does not filter the detector's input (r10).
     house = spark.createDataFrame([("M1", "Affluent")], "meter_id string, acorn_group string")
     d = dt.datetime(2024, 1, 1)
@@ -185,7 +202,7 @@ def test_late_reading_still_reaches_the_detector(spark, tmpdir_path):
     for b in batches:
         spark.createDataFrame(b, "key string, value string").write.parquet(inbox, mode="append")
         _run(jobs.start_alerts(jobs.enriched_stream(file_messages(spark, inbox), house, weather), out, ck, p,
-                               jobs.BOUNDED))
+                               jobs.BOUNDED, host=host))
     got = spark.read.schema(schemas.ALERT).parquet(out).collect()
     assert len(got) == 1 and got[0]["currentValue"] == 9.0
 
