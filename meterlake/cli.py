@@ -17,7 +17,7 @@ import argparse
 
 from meterlake import params as P
 from meterlake.operators import cleaning, eda, insights, maintenance, replay
-from meterlake.session import build_session, scratch_path, ship_package
+from meterlake.session import build_session, scratch_path, ship_package, sizing_conf
 from meterlake.sources import files
 from meterlake.streaming import jobs
 from meterlake.streaming.sources import file_messages, kafka_messages
@@ -35,6 +35,13 @@ def _messages(spark, a):
     return file_messages(spark, a.messages, max_files_per_trigger=a.max_files_per_trigger)
 
 
+def _input_bytes(spark, a) -> int:
+    """Bytes of the files a job reads: they size its partitions (a stream, its state partitions)."""
+    inputs = {"replay": [a.readings], "consume": [a.messages], "notify": [f"{a.root}/alerts"], "eda": [a.readings],
+              "insights": [f"{a.root}/silver", f"{a.root}/gold"], "maintain": [a.layer, a.table]}[a.job]
+    return sum(files.size_of(spark, path) for path in inputs if path)
+
+
 def _write(df, path, fmt):
     df.write.mode("overwrite").format(fmt).save(path)
 
@@ -51,9 +58,11 @@ def run(argv: list[str] | None = None) -> None:
     ap.add_argument("--kafka", help="bootstrap servers")
     ap.add_argument("--topic", default="energy-readings")
     ap.add_argument("--max-per-trigger", type=int, default=P.MAX_RECORDS_PER_TRIGGER)
-    ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--max-files-per-trigger", type=int, default=P.MAX_FILES_PER_TRIGGER)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--gold-mode", default="update", choices=["complete", "append", "update"])
+    ap.add_argument("--since", help="insights: first day of readings (yyyy-mm-dd)")
+    ap.add_argument("--until", help="insights: last day of readings")
     ap.add_argument("--exact", action="store_true", help="insights: fixed-point moments of readings at 3 decimals")
     ap.add_argument("--min-value", type=float, default=None, help="notifier: only alerts above this reading")
     ap.add_argument("--layer", help="maintain: layer folder to compact")
@@ -68,6 +77,8 @@ def run(argv: list[str] | None = None) -> None:
     # session's spark.checkpoint.dir (a temporary folder only if it is unset).
     spark = build_session(a.master, app_name=f"meterlake-{a.job}")
     ship_package(spark)
+    for setting, value in sizing_conf(_input_bytes(spark, a)).items():
+        spark.conf.set(setting, value)
     fmt = a.format
     if a.job == "replay":
         lines = files.read_text_lines(spark, a.readings)
@@ -88,7 +99,7 @@ def run(argv: list[str] | None = None) -> None:
         jobs.start_notify(spark, f"{a.root}/alerts", f"{a.root}/notifications", f"{a.root}/checkpoints/notify",
                           a.min_value, jobs.BOUNDED if a.once else jobs.SERVICE_NOTIFY).awaitTermination()
     elif a.job == "insights":
-        silver = files.read_layer(spark, f"{a.root}/silver", fmt)
+        silver = files.read_layer(spark, f"{a.root}/silver", fmt, a.since, a.until)
         gold = jobs.read_gold(spark, f"{a.root}/gold", a.gold_mode, fmt)
         alerts = files.read_layer(spark, f"{a.root}/alerts", fmt)
         for name, df in insights.business_reports(silver, gold, alerts, exact=a.exact).items():

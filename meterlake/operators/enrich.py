@@ -26,8 +26,8 @@ def enrich_silver(readings: DataFrame, households: DataFrame, weather: DataFrame
     homes, hours = households, weather
     if max_broadcast_bytes is not None:
         homes, hours = settle_all([households, weather])
-    r = dimension_join(r, homes, r["LCLid"] == households["meter_id"], "inner", max_broadcast_bytes,
+    r = dimension_join(r, homes, F.col("LCLid") == F.col("meter_id"), "inner", max_broadcast_bytes,
                        dim_key="meter_id")
-    r = dimension_join(r, hours, r["join_hour"] == weather["weather_hour"], "left", max_broadcast_bytes,
+    r = dimension_join(r, hours, F.col("join_hour") == F.col("weather_hour"), "left", max_broadcast_bytes,
                        dim_key="weather_hour")
     return r.select(*[F.col(c) for c in SILVER_COLUMNS], *[F.col(k) for k in keep])

@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.session import shared_dir
+from meterlake.session import scratch_path, shared_dir
 
 # Broadcast budget of a dimension (serialized payload estimate).
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+
 def _payload_bytes(df: DataFrame) -> Column:
     parts = []
     for f in df.schema.fields:
@@ -39,30 +40,44 @@ def _payload_bytes(df: DataFrame) -> Column:
 
 
 class Settled(NamedTuple):
-    """A dimension written to the checkpoint folder, and what it measures."""
+    """A dimension written to the shared scratch folder, and what it measures."""
 
     frame: DataFrame
     rows: int
     bytes: int
+    path: str
 
 
 def settle(df: DataFrame) -> Settled:
-    """Compute a dimension once: checkpoint it, then count its rows and payload bytes.
+    """Compute a dimension once: write it as parquet, read it back, and count its rows and payload bytes.
 
-    The checkpoint belongs to this DataFrame alone: a later read of a grown
-    table is written and measured anew, and a lost executor costs a re-read.
+    The copy belongs to this DataFrame alone: a later read of a grown
+    table is written and measured anew, and a lost executor costs a re-read of files.
     A running stream keeps the dimension it was started with.
     """
-    shared_dir(df.sparkSession)
-    frame = df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "dimension")
+    df.write.parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
     row = frame.agg(F.count(F.lit(1)).alias("n"), F.sum(_payload_bytes(frame)).alias("b")).first()
-    return Settled(frame, int(row["n"] or 0), int(row["b"] or 0))
+    return Settled(frame, int(row["n"] or 0), int(row["b"] or 0), path)
+
+
+def laid_out(settled: Settled, key: str) -> DataFrame:
+    """The dimension hash-partitioned by ``key`` and checkpointed in that layout, which later joins find.
+
+    An adaptive plan reports no output partitioning, so this one job is planned without
+    it -- in a session of its own, whose settings no other query sees.
+    """
+    spark = settled.frame.sparkSession
+    shared_dir(spark)
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return own.read.schema(settled.frame.schema).parquet(settled.path).repartition(n, F.col(key)).checkpoint(eager=True)
 
 
 def settle_all(dims: list[DataFrame]) -> list[Settled]:
     """Settle several dimensions; their jobs run concurrently."""
-    for d in dims[:1]:
-        shared_dir(d.sparkSession)
     with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
         return list(pool.map(settle, dims))
 
@@ -84,19 +99,5 @@ def dimension_join(fact: DataFrame, dim: DataFrame | Settled, on, how: str,
         if settled.bytes <= max_broadcast_bytes:
             dim = F.broadcast(dim)
         elif dim_key is not None:
-            # Written once to the shared checkpoint folder in the join's
-            # partitioning; a checkpointed DataFrame keeps that layout, so
-            # later joins shuffle the fact side only.
-            spark = dim.sparkSession
-            shared_dir(spark)
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            # The checkpoint job runs without AQE: an adaptive plan reports no
-            # output partitioning, and the layout is the point of this step.
-            aqe = spark.conf.get("spark.sql.adaptive.enabled")
-            spark.conf.set("spark.sql.adaptive.enabled", "false")
-            try:
-                laid_out = dim.repartition(n, F.col(dim_key)).checkpoint(eager=True)
-            finally:
-                spark.conf.set("spark.sql.adaptive.enabled", aqe)
-            dim = laid_out
+            dim = laid_out(settled, dim_key)
     return fact.join(dim, on, how)

@@ -45,23 +45,33 @@ def replay_messages(lines: DataFrame, header: str = HEADER, line_col: str = "val
     return rows.select(f0.alias("key"), F.to_json(payload).alias("value"))
 
 
-def time_slices(messages: DataFrame, staging: str, slices: int = 8) -> list[DataFrame]:
-    """The messages cut into about equal parts by reading time, oldest first.
+SLICE_BYTES = 1 << 30
+FILES_PER_SLICE = 8
+
+
+def time_slices(messages: DataFrame, staging: str, slices: int | None = None,
+                slice_bytes: int = SLICE_BYTES) -> list[DataFrame]:
+    """The messages cut into about equal parts by reading time, oldest first; as many as their bytes ask for.
 
     Published one after the other, every meter's messages arrive in time order,
-    as from a producer that reads its files front to back: inside a part a
-    meter's messages are together and sorted. Messages without a readable time
+    as from a producer that reads its files front to back. The messages are range-partitioned
+    by (time, meter), so a part and every file of it is an interval of time and all are of about
+    one size: a meter with a third of all messages is spread over the files like any other.
+    Files of one part have no order among themselves, so a cap on files per
+    micro-batch should take whole parts. Messages without a readable time
     come first. ``staging`` is a new shared folder that holds the parts.
     """
     spark = messages.sparkSession
     us = F.unix_micros(C.parse_reading_ts(F.get_json_object("value", "$.tstp")))
     timed = messages.withColumn("us", us)
-    cuts = timed.agg(F.percentile_approx("us", [k / slices for k in range(1, slices)], 10_000)).first()[0] or []
-    part = sum((F.when(F.col("us") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
-    timed.withColumn("part", part).write.partitionBy("part").parquet(staging)
+    if slices is None:
+        held = timed.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+        slices = max(1, -(-held // slice_bytes))
+    spread = timed.repartitionByRange(slices * FILES_PER_SLICE, F.col("us").asc_nulls_first(), F.col("key"))
+    part = F.floor(F.spark_partition_id() / F.lit(FILES_PER_SLICE)).cast("int")
+    spread.withColumn("part", part).sortWithinPartitions("part", "us", "key").write.partitionBy("part").parquet(staging)
     staged = spark.read.schema("key string, value string, us long, part int").parquet(staging)
-    return [staged.filter(F.col("part") == k).repartition("key").sortWithinPartitions("key", "us")
-            .select("key", "value") for k in range(slices)]
+    return [staged.filter(F.col("part") == k).sortWithinPartitions("us", "key").select("key", "value") for k in range(slices)]
 
 
 def write_messages(messages: DataFrame, path: str | None = None, fmt: str = "parquet",

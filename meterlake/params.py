@@ -34,6 +34,9 @@ WINDOW = "1 hour"
 SLIDE = "30 minutes"
 RETENTION_HOURS = 168.0
 MAX_RECORDS_PER_TRIGGER = 500_000
+# Files per micro-batch of a file stream: 8 MB message files of some 100 bytes a message make 500 000 records about six
+# files; whole published time slices (FILES_PER_SLICE files) are admitted together.
+MAX_FILES_PER_TRIGGER = 8
 
 CONTEXT_COLD = "FREDDO"
 CONTEXT_HOT = "CALDO"

@@ -69,6 +69,17 @@ def silver_layer(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
     return _silver_typed(spark, sf_dir).select(*enrich.SILVER_COLUMNS, *keep)
 
 
+def silver_days(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the silver layer partitioned by day, as the streaming job writes it, each file sorted by meter."""
+    key = (app_key(spark), "silver-days", sf_dir.rstrip("/"))
+    if key not in _written:
+        path = scratch_path(spark, "layer-silver-days")
+        (silver_layer(spark, sf_dir).withColumn("day", files.utc_day("timestamp"))
+         .repartition("day").sortWithinPartitions("day", "LCLid", "timestamp").write.partitionBy("day").parquet(path))
+        _written[key] = path
+    return _written[key]
+
+
 def gold_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold over the persisted silver, with exact meter counts and fixed-point sums (order independent)."""
     return gold.gold_kpis(silver_layer(spark, sf_dir), approx_meters=False, exact_scale=VALUE_SCALE)

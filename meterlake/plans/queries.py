@@ -17,7 +17,7 @@ from meterlake.params import DetectorParams
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
 from meterlake.session import ship_package
-from meterlake.sources import tables
+from meterlake.sources import files, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -287,6 +287,21 @@ def q_weekend_shift(spark: SparkSession, sf: str) -> DataFrame:
     return insights.weekend_shift(layers.silver_layer(spark, sf), exact=True)
 
 
+RANGE = ("2024-01-08", "2024-01-21")  # two whole weeks inside the month of the test tables
+
+
+@register("volatility_index_in_range", O.sql(f"""
+SELECT acorn_group, {_sd('n', 's', 'q', 3)} / {_mean('n', 's', 3)} AS volatility_index
+FROM (SELECT acorn_group, count(consumption) AS n, sum({_fx('consumption', 3)}) AS s,
+             sum(CAST({_fx('consumption', 3)} AS HUGEINT) * {_fx('consumption', 3)}) AS q
+      FROM silver WHERE CAST(timestamp AS DATE) BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'
+      GROUP BY acorn_group) g""", "silver"))
+def q_volatility_index_in_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A report over a range of dates: only those days' partitions of silver are read."""
+    silver = files.read_layer(spark, layers.silver_days(spark, sf), since=RANGE[0], until=RANGE[1])
+    return insights.volatility_index(silver, exact=True)
+
+
 # --- reports: gold ----------------------------------------------------------------
 
 @register("par_index", O.sql(f"""

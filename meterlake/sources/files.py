@@ -6,7 +6,8 @@ arrive as the text the files hold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterlake import schemas
 
@@ -34,9 +35,28 @@ def read_text_lines(spark: SparkSession, path_glob: str) -> DataFrame:
     return spark.read.text(path_glob)
 
 
-def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A persisted layer (silver, gold, alerts). ``fmt="delta"`` when the Delta jar is present."""
-    return spark.read.format(fmt).load(path)
+def read_layer(spark: SparkSession, path: str, fmt: str = "parquet", since: str | None = None,
+               until: str | None = None) -> DataFrame:
+    """A persisted layer (silver, gold, alerts). ``fmt="delta"`` when the Delta jar is present.
+
+    ``since`` and ``until`` (dates, both included) read only those days of a layer that is
+    partitioned by ``day``; the partition column is left out of the result.
+    """
+    df = spark.read.format(fmt).load(path)
+    if "day" not in df.columns:
+        if since or until:
+            raise ValueError(f"{path} is not partitioned by day")
+        return df
+    if since:
+        df = df.filter(F.col("day") >= F.lit(since).cast("date"))
+    if until:
+        df = df.filter(F.col("day") <= F.lit(until).cast("date"))
+    return df.drop("day")
+
+
+def utc_day(time) -> Column:
+    """The UTC date of a time, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86_400).cast("int"))
 
 
 def _path(spark: SparkSession, path: str):
@@ -55,6 +75,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(path)
 
 
+def size_of(spark: SparkSession, pattern: str) -> int:
+    """Bytes of the files or folders that match a glob."""
+    path, fs = _path(spark, pattern)
+    return sum(fs.getContentSummary(f.getPath()).getLength() for f in fs.globStatus(path) or [])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that a job of ours wrote and has replaced."""
     path, fs = _path(spark, path)

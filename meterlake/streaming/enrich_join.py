@@ -40,7 +40,7 @@ def stream_stream_enrich(messages: DataFrame, weather_rows: DataFrame, household
     """
     readings = (cleaning.clean_readings(cleaning.parse_messages(messages))
                 .withWatermark("timestamp", reading_watermark))
-    readings = dimension_join(readings, households, readings["LCLid"] == households["meter_id"], "inner",
+    readings = dimension_join(readings, households, F.col("LCLid") == F.col("meter_id"), "inner",
                               max_broadcast_bytes, dim_key="meter_id")
     r = (readings.withColumn("join_hour", C.hour_key("timestamp"))
          .withColumn("salt", F.pmod(F.xxhash64("LCLid"), F.lit(salts)).cast("int")))

@@ -33,7 +33,7 @@ from meterlake.functions import columns as C
 from meterlake.operators import cleaning, enrich, gold, insights
 from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
 from meterlake.session import ROCKSDB, STATE_STORE, conf_scope, ship_package
-from meterlake.sources.files import exists, folders, newest_committed, remove
+from meterlake.sources.files import exists, folders, newest_committed, remove, utc_day
 from meterlake.streaming.detector_state import Detector, make_detector
 
 
@@ -67,9 +67,15 @@ def enriched_stream(messages: DataFrame, households: DataFrame, weather: DataFra
 
 
 def start_silver(silver: DataFrame, path: str, checkpoint: str, trigger: Trigger = SERVICE_SILVER,
-                 fmt: str = "parquet", name: str | None = None) -> StreamingQuery:
+                 fmt: str = "parquet", name: str | None = None, by_day: bool = False) -> StreamingQuery:
+    """Append to the silver table; ``by_day`` partitions it by the UTC day of the reading, so that reports over a
+    range of dates read only those days."""
+    if by_day:
+        silver = silver.withColumn("day", utc_day("timestamp"))
     w = (silver.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", path))
+    if by_day:
+        w = w.partitionBy("day")
     if name:
         w = w.queryName(name)
     return trigger.apply(w).start()
@@ -99,8 +105,7 @@ def merge_panes(spark: SparkSession, changes: DataFrame, path: str, batch_id: in
     staged, table = f"{path}/staged/batch={batch_id:020d}", f"{path}/panes"
     if not exists(spark, f"{staged}/_SUCCESS"):
         given = f"{path}/changes/batch={batch_id:020d}"
-        day = F.date_from_unix_date(F.floor(F.unix_seconds("pane.start") / 86_400).cast("int"))
-        changes.withColumn("day", day).write.mode("overwrite").format(fmt).save(given)
+        changes.withColumn("day", utc_day("pane.start")).write.mode("overwrite").format(fmt).save(given)
         new = spark.read.format(fmt).load(given)
         days = [r["day"] for r in new.select("day").distinct().collect()]  # one row a day
         if not days:
@@ -259,7 +264,7 @@ def start_layer_queries(spark: SparkSession, messages: DataFrame, households: Da
     t = {"silver": SERVICE_SILVER, "gold": SERVICE_GOLD, "alerts": SERVICE_ALERTS, **(triggers or {})}
     silver = enriched_stream(messages, households, weather)
     return {
-        "silver": start_silver(silver, f"{root}/silver", f"{root}/checkpoints/silver", t["silver"]),
+        "silver": start_silver(silver, f"{root}/silver", f"{root}/checkpoints/silver", t["silver"], by_day=True),
         "gold": start_gold(silver, f"{root}/gold", f"{root}/checkpoints/gold", gold_mode, t["gold"]),
         "alerts": start_alerts(silver, f"{root}/alerts", f"{root}/checkpoints/alerts", p, t["alerts"]),
     }

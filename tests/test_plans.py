@@ -1,6 +1,7 @@
 """Plan shape guards: the scale properties the README claims, checked on the physical plans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from scripts.plans import drop_initial_plans, plan_text, summary
 
@@ -32,6 +33,25 @@ def test_ranged_detector_shuffles_written_ranges_once(spark):
     assert got["broadcasts"] == 1                                # the offsets at the range borders
 
 
+def test_date_range_reads_only_its_partitions(spark):
+    from __spark_entry__ import queries
+    plan = plan_text(queries()["volatility_index_in_range"](spark, SF))
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-08" in plan
+
+
+def test_large_dimension_leaves_the_session_settings_alone(spark):
+    from meterlake.operators import joins
+    dim = joins.settle(spark.range(1000).selectExpr("id AS k", "id * 2 AS v"))
+    seen = []
+    own, spark.conf.set = spark.conf.set, lambda *a: seen.append(a)
+    try:
+        parts = joins.laid_out(dim, "k")
+    finally:
+        spark.conf.set = own
+    assert seen == [] and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert parts.count() == 1000 and spark.range(50).join(parts, F.col("id") == F.col("k")).count() == 50
+
+
 def test_gold_copies_panes_not_readings(spark):
     from meterlake.operators import gold
     from meterlake.plans import layers
