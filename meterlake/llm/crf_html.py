@@ -13,7 +13,10 @@ article; a copy of each sampled page without that markup in its features is
 trained on as well, so that the other features carry weight.
 
 Blocks below a start tag with a hidden attribute, aria-hidden="true" or
-``display:none`` in its style are not shown to a reader and left out.
+``display:none`` in its style are not shown to a reader and left out, and so is what stands in a
+script, style, template, textarea, svg or iframe element; other elements, math, noscript, object and canvas among
+them, are read like any text. A character reference beyond Unicode is the replacement character.
+Reading takes time in proportion to the page, however deep it is nested.
 
 Defined results: a null or empty page, and one without main blocks, gives an
 empty text of 0 characters; cut-off pages are read as far as they go; equal
@@ -26,6 +29,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -46,7 +50,7 @@ BLOCK_TAGS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav noscript "
     "ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style template textarea svg math iframe noscript canvas object".split())
+RAW_TAGS = frozenset("script style template textarea svg iframe".split())
 # Open elements that a start tag of the same group closes, and where the search for them ends.
 CLOSES = {t: frozenset(v.split()) for t, v in {
     "p": "p", "li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th",
@@ -78,6 +82,8 @@ NAME_OF = {w: g for g, words in NAME_GROUPS.items() for w in words.split()}
 KEPT_TAGS = frozenset(
     "article aside blockquote button dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
     "label legend li main nav ol option p pre section select table td th title ul".split())
+MANY_ZEROS = re.compile(r"&#([xX]?)0{8,}")
+BEYOND = re.compile(r"&#(?:0*[1-9][0-9]{7,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{6,});?")
 LEGAL = re.compile(r"©|copyright|all rights reserved|cookies?\b|privacy|terms of", re.I)
 ACTION = re.compile(r"\b(?:subscribe|sign ?up|log ?in|share|click here|read more|newsletter|reply|leave a comment)\b", re.I)
 
@@ -95,6 +101,13 @@ class Block:
     articles: int
 
 
+def decoded(text: str) -> str:
+    """Text with its character references decoded; numbers of any length are read."""
+    if "&#" in text:
+        text = BEYOND.sub("\ufffd", MANY_ZEROS.sub(r"&#\g<1>0", text))
+    return html.unescape(text)
+
+
 def hides(attributes: str) -> bool:
     """Whether a start tag has a hidden attribute, aria-hidden of true, or display none as the last one in its style."""
     if not MAY_HIDE.search(attributes):
@@ -102,7 +115,7 @@ def hides(attributes: str) -> bool:
     own: dict[str, str] = {}
     for m in ANY_ATTRIBUTE.finditer(attributes):
         if m[1]:
-            own.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+            own.setdefault(m[1].lower(), decoded(m[2] or m[3] or m[4] or ""))
     if "hidden" in own or own.get("aria-hidden", "").strip().lower() == "true":
         return True
     display = ""
@@ -116,24 +129,26 @@ def hides(attributes: str) -> bool:
 def leaf_blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order; broken or cut-off markup is read as browsers do, without an error."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str], bool]] = []
-    words: list[tuple[str, bool]] = []
     none: frozenset[str] = frozenset()
-    state = {"tags": (), "names": none, "hidden": False, "articles": 0}
+    # per open element: its tag, the different tags down to it (inner ones last), the name groups, whether hidden
+    stack: list[tuple[str, tuple[str, ...], frozenset[str], bool]] = [("", (), none, False)]
+    held: Counter[str] = Counter()
+    words: list[tuple[str, bool]] = []
     articles = 0
 
-    def refresh() -> None:
-        state["tags"] = tuple(t for t, _, _ in stack)
-        state["names"] = frozenset().union(*(n for _, n, _ in stack))
-        state["hidden"] = any(h for _, _, h in stack)
+    def close(depth: int) -> None:
+        for tag, *_ in stack[depth:]:
+            held[tag] -= 1
+        del stack[depth:]
 
     def end_block() -> None:
         if not words:
             return
-        text = " ".join(html.unescape("".join(w for w, _ in words)).split())
-        if text and not state["hidden"]:
+        text = " ".join(decoded("".join(w for w, _ in words)).split())
+        _, tags, names, hidden = stack[-1]
+        if text and not hidden:
             linked = sum(len(" ".join(w.split())) for w, inside in words if inside)
-            out.append(Block(text, state["tags"], state["names"], linked, articles if "article" in state["tags"] else 0))
+            out.append(Block(text, tags, names, linked, articles if "article" in tags else 0))
         words.clear()
 
     at, links = 0, 0
@@ -154,13 +169,11 @@ def leaf_blocks(page: str) -> list[Block]:
                 links = max(0, links - 1)
             if tag in BLOCK_TAGS:
                 end_block()
-                depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
-                if depth >= 0:
-                    del stack[depth:]
-                    refresh()
+                if held[tag] > 0:
+                    close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
             continue
         if tag in RAW_TAGS:
-            if not rest.endswith("/"):
+            if not (tag == "svg" and rest.endswith("/")):  # only foreign elements can close themselves
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
@@ -174,9 +187,9 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag in VOID_TAGS:
             continue
         ends = CLOSES.get(tag, none) | (frozenset(("p",)) if tag in P_ENDS else none)
-        for k in range(len(stack) - 1, -1, -1):
+        for k in range(len(stack) - 1, 0, -1) if any(held[e] > 0 for e in ends) else ():
             if stack[k][0] in ends:
-                del stack[k:]
+                close(k)
                 break
             if stack[k][0] in SCOPES:
                 break
@@ -186,10 +199,12 @@ def leaf_blocks(page: str) -> list[Block]:
             if found:
                 parts = NAME_PART.findall(" ".join("".join(x) for x in found).lower())
                 names = frozenset(NAME_OF[p] for p in parts if p in NAME_OF)
-        stack.append((tag, names, bool(rest and hides(rest))))
+        _, tags, outer, hidden = stack[-1]
+        tags = tags if tags and tags[-1] == tag else (*(t for t in tags if t != tag), tag)
+        stack.append((tag, tags, outer if names <= outer else outer | names, hidden or bool(rest and hides(rest))))
+        held[tag] += 1
         articles += tag == "article"
         links = 0
-        refresh()
     end_block()
     return out
 
