@@ -370,19 +370,25 @@ class NearPassages:
         kept = windows.join(again, "signature", "left_semi")
         passages = materialise(self.candidates(kept), "passages")
         found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
-        tried = None
+        tried = members = doubles = None
         for turn in range(TURNS + 2):
-            members = materialise(self.unsettled(self.members(passages, found)), "members")
-            if turn >= TURNS:
-                members = materialise(self.unsettled(self.double(members, passages)), "doubles")
+            if members is None:  # each is written before it is used twice, and again only after new stretches
+                members = materialise(self.members(passages, found), "members")
+                members = materialise(self.unsettled(members), "open-members")
+                doubles = None
+            if turn >= TURNS and doubles is None:
+                doubles = materialise(self.double(members, passages), "doubles")
+                doubles = materialise(self.unsettled(doubles), "open-doubles")
             if turn <= TURNS:
-                pairs = self.leader_pairs(members, turn, 1 if turn == TURNS else SHARED)
+                pairs = self.leader_pairs(members if turn < TURNS else doubles, turn, 1 if turn == TURNS else SHARED)
             else:
-                pairs = self.all_pairs(members)
+                pairs = self.all_pairs(doubles)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = materialise(pairs, "pairs")
-            found = found.union(materialise(self.confirmed(passages, pairs), "stretches"))
+            new = materialise(self.confirmed(passages, pairs), "stretches")
+            if new.limit(1).count():
+                found, members = found.union(new), None
             tried = pairs if tried is None else tried.union(pairs)
         return found
 
