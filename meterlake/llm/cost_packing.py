@@ -36,7 +36,7 @@ SEQUENCE = 4096
 CLOSING_ID = 2
 GROUP_TOKENS = 2 << 20
 GROUP_DOCS = 20_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 350_000
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 SYMBOLS = byte_symbols()
 
@@ -66,14 +66,19 @@ class WordEncoder:
         self.separator_id = min(added)
         self.separator = added[self.separator_id].content
         self.byte_level = str.maketrans({c: "".join(SYMBOLS[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
+        # two generations each: when the younger is full it becomes the older, and words seen again come back from it
         self.ids: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.parts: dict[str, list[int]] = {"": []}
+        self.older_parts: dict[str, list[int]] = {}
 
     def encode_one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def letters(self, word: str) -> list[int]:
         known = self.parts.get(word)
+        if known is None and (known := self.older_parts.get(word)) is not None:
+            self.parts[word] = known
         if known is None:
             known = self.parts[word] = [t.id for t in self.model.tokenize(
                 word if word.isascii() else word.translate(self.byte_level))]
@@ -105,10 +110,16 @@ class WordEncoder:
     def texts(self, texts: pa.Array) -> list[np.ndarray]:
         codes, words, first = split_words(texts, lower=False)
         words = words.to_pylist()
-        if max(len(self.ids), len(self.parts)) > CACHE_WORDS:
-            self.ids.clear()
-            self.parts = {"": []}
-        self.learn([w for w in words if w not in self.ids])
+        if len(self.ids) > CACHE_WORDS:
+            self.older, self.ids = self.ids, {}
+        if len(self.parts) > CACHE_WORDS:
+            self.older_parts, self.parts = self.parts, {"": []}
+        unseen = [w for w in words if w not in self.ids]
+        if self.older:
+            again = [w for w in unseen if w in self.older]
+            self.ids.update((w, self.older[w]) for w in again)
+            unseen = [w for w in unseen if w not in self.older] if again else unseen
+        self.learn(unseen)
         each = [self.ids[w] for w in words]
         length = np.array([len(x) for x in each], np.int64)
         bounds = pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32())
