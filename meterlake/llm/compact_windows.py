@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.common import gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
 from meterlake.llm.graph import components
+from meterlake.sources.files import remove
 
 SHINGLE = 5
 PASSAGE = 50
@@ -181,6 +182,12 @@ def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float)
     return flags
 
 
+def discard(written: DataFrame) -> None:
+    """Delete a table of ``materialise`` that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in written.inputFiles()}:
+        remove(written.sparkSession, folder)
+
+
 class NearPassages:
     """Near-duplicate passages of a document table."""
 
@@ -369,16 +376,23 @@ class NearPassages:
         again = windows.groupBy("signature").count().filter("count > 1").select("signature")
         kept = windows.join(again, "signature", "left_semi")
         passages = materialise(self.candidates(kept), "passages")
+        discard(windows)
         found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
         tried = members = doubles = None
         for turn in range(TURNS + 2):
+            if members is None and turn == 0:  # nothing is confirmed: every signature is open
+                members = passages.select("passage", "node", F.col("node").alias("label"),
+                                          F.explode(F.array_distinct("signatures")).alias("signature"),
+                                          F.size(F.array_distinct("signatures")).cast("long").alias("rank"),
+                                          F.lit(True).alias("open"))
             if members is None:  # each is written before it is used twice, and again only after new stretches
-                members = materialise(self.members(passages, found), "members")
-                members = materialise(self.unsettled(members), "open-members")
-                doubles = None
+                whole = materialise(self.members(passages, found), "members")
+                members, doubles = materialise(self.unsettled(whole), "open-members"), None
+                discard(whole)
             if turn >= TURNS and doubles is None:
-                doubles = materialise(self.double(members, passages), "doubles")
-                doubles = materialise(self.unsettled(doubles), "open-doubles")
+                whole = materialise(self.double(members, passages), "doubles")
+                doubles = materialise(self.unsettled(whole), "open-doubles")
+                discard(whole)
             if turn <= TURNS:
                 pairs = self.leader_pairs(members if turn < TURNS else doubles, turn, 1 if turn == TURNS else SHARED)
             else:
