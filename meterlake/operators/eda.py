@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import params as P
-from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dimension_join
+from meterlake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dimension_join, settle
 
 ENERGY = "`energy(kWh/hh)`"
 
+# Cells of the frequency sketch: one count each, a few bytes a task and cell.
+SKETCH_CELLS = 1 << 16
+
 
 def _missing_energy():
     e = F.col(ENERGY)
@@ -46,10 +49,38 @@ def time_extent(raw: DataFrame) -> DataFrame:
     return raw_profile(raw).select("first_tstp", "last_tstp")
 
 
+def heavy_hitters(rows: DataFrame, column: str, k: int, cells: int = SKETCH_CELLS) -> DataFrame:
+    """The rows whose value of a text column can be among its ``k`` most frequent ones, ties included.
+
+    A frequency sketch (rows per hash cell) bounds every value's count from
+    above. The values of the ``k`` fullest cells are counted exactly; the
+    k-th of these counts bounds the k-th largest of all from below, so only
+    cells that hold as many rows can hold a value of the top. Nothing is
+    approximate: every row of every candidate stays, whatever the data; values
+    that are all equally rare are all candidates.
+
+    The sketch is written once, at most ``cells`` rows whatever the input, and
+    passes as a checked broadcast. The other passes read one column and
+    shuffle candidates only.
+    """
+    hashed = rows.withColumn("_cell", F.pmod(F.xxhash64(column), F.lit(cells)).cast("int"))
+    sketch = settle(hashed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows")))
+    fullest = sketch._replace(frame=sketch.frame.orderBy(F.desc("_rows"), "_cell").limit(k).select("_cell"))
+    counted = (dimension_join(hashed, fullest, "_cell", "left_semi").groupBy(column)
+               .agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n")).limit(k))
+    # fewer values than k: all of them belong to the top
+    least = counted.agg(F.when(F.count(F.lit(1)) == k, F.min("_n")).otherwise(F.lit(0)))
+    candidates = sketch._replace(frame=sketch.frame.filter(F.col("_rows") >= least.scalar()).select("_cell"))
+    return dimension_join(hashed, candidates, "_cell", "left_semi").drop("_cell")
+
+
 def top_values(raw: DataFrame, k: int | None = 10) -> DataFrame:
-    """The ``k`` most frequent raw energy texts (ties by text, NULL first)."""
-    ranked = (raw.groupBy(F.col(ENERGY).alias("energy")).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.desc("count"), F.asc_nulls_first("energy")))
+    """The ``k`` most frequent raw energy texts (ties by text, NULL first); all of them without ``k``."""
+    values = raw.select(F.col(ENERGY).alias("energy"))
+    if k is not None:
+        values = heavy_hitters(values, "energy", k)
+    ranked = (values.groupBy("energy").agg(F.count(F.lit(1)).alias("count"))
+              .orderBy(F.desc("count"), F.asc_nulls_first("energy")))
     return ranked if k is None else ranked.limit(k)
 
 
