@@ -46,8 +46,13 @@ DEFAULT_CHUNK_ROWS = 200_000
 _DEC = "decimal(38,0)"
 
 
-def time_ranges(df: DataFrame, key: str, time: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
-    """``df`` written in ranges of (key, time) of about ``chunk_rows`` rows, with the range in ``_range``; None without a hot key."""
+def time_ranges(df: DataFrame, key: str, time: str, chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
+    """``df`` written in ranges of (key, time) of about ``chunk_rows`` rows, with the range in ``_range``; None without a hot key.
+
+    ``chunk_rows=None`` says that no key is hot, as in the cold part of a layer laid out by key.
+    """
+    if chunk_rows is None:
+        return None
     spark = df.sparkSession
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
     if (counts["most"] or 0) <= chunk_rows:
@@ -70,7 +75,7 @@ def range_offsets(ranges: DataFrame, key: str, sums: dict[str, Column]) -> DataF
 
 def prior_moments(readings: DataFrame, key: str, p: P.DetectorParams,
                   order: tuple[str, ...] = ("timestamp", "consumption", "temperature"),
-                  value: str = "consumption", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                  value: str = "consumption", chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``prior_n``, ``prior_s``, ``prior_q`` (exclusive prefix moments per key, fixed point)."""
     ts = order[0]
     df = readings.withColumn("_xi", fixed(F.col(value), p.value_scale)) \
@@ -115,7 +120,7 @@ def moments_to_stats(n: Column, s: Column, q: Column, scale: int) -> tuple[Colum
 
 def running_baseline(readings: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR, key: str = "LCLid",
                      order: tuple[str, ...] = ("timestamp", "consumption", "temperature"),
-                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                     chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Each scored reading with its prior count, mean and standard deviation."""
     df = _detector_input(readings, key, order)
     df = prior_moments(df, key, p, order, chunk_rows=chunk_rows)
@@ -155,7 +160,7 @@ def score(df: DataFrame, p: P.DetectorParams, key: str) -> DataFrame:
 
 def anomaly_alerts(silver: DataFrame, p: P.DetectorParams = P.DEFAULT_DETECTOR, key: str = "LCLid",
                    order: tuple[str, ...] = ("timestamp", "consumption", "temperature"),
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Alerts over a whole silver history (batch twin of the streaming detector).
 
     Equal to the streaming detector when each micro-batch holds later

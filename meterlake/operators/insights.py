@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from meterlake.functions import columns as C
 from meterlake.functions import exact as X
 from meterlake.functions import moments as M
+from meterlake.operators.bucketed import ByKey, over_parts
 from meterlake.operators.joins import dimension_join
 
 CONS_SCALE = 3   # kWh per half hour, Wh steps
@@ -219,7 +220,7 @@ def alert_temp_bins(alerts: DataFrame, width: float = 5.0) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")).orderBy(F.asc_nulls_first("temp_bin")))
 
 
-def alert_group_rank(alerts: DataFrame, silver: DataFrame,
+def alert_group_rank(alerts: DataFrame, silver: DataFrame | ByKey,
                      max_broadcast_bytes: int | None = None) -> DataFrame:
     """Per social group: the number of (alert, silver reading) pairs of the
     same meter -- what joining alerts with silver on the meter and counting
@@ -230,11 +231,16 @@ def alert_group_rank(alerts: DataFrame, silver: DataFrame,
     without materialising the pairs; no hot meter can blow up a task. Both
     reduced sides are keyed by meter; by default the planner (and AQE, from
     runtime sizes) picks the join, since measuring the alert side would run
-    the detector twice.
+    the detector twice. Silver laid out by meter is counted and joined in its
+    buckets, without an exchange.
     """
     a = alerts.groupBy("LCLid").agg(F.count(F.lit(1)).alias("a"))
-    s = silver.groupBy("LCLid", "acorn_group").agg(F.count(F.lit(1)).alias("r"))
-    j = dimension_join(s, a, "LCLid", "inner", max_broadcast_bytes)
+
+    def alerted(part: DataFrame) -> DataFrame:
+        s = part.groupBy("LCLid", "acorn_group").agg(F.count(F.lit(1)).alias("r"))
+        return dimension_join(s, a, "LCLid", "inner", max_broadcast_bytes)
+
+    j = over_parts(silver, alerted) if isinstance(silver, ByKey) else alerted(silver)
     return (j.groupBy("acorn_group")
             .agg(F.sum(F.col("a") * F.col("r")).alias("count"),
                  F.sum("a").alias("alert_count"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.session import scratch_path, shared_dir
+from meterlake.session import scratch_path
 
 # Broadcast budget of a dimension (serialized payload estimate).
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -62,18 +62,24 @@ def settle(df: DataFrame) -> Settled:
     return Settled(frame, int(row["n"] or 0), int(row["b"] or 0), path)
 
 
-def laid_out(settled: Settled, key: str) -> DataFrame:
-    """The dimension hash-partitioned by ``key`` and checkpointed in that layout, which later joins find.
+def bucketed_table(df: DataFrame, key: str, buckets: int, sort: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written as parquet in ``buckets`` buckets of ``key``, one file each, and read back as a table.
 
-    An adaptive plan reports no output partitioning, so this one job is planned without
-    it -- in a session of its own, whose settings no other query sees.
+    Aggregates, windows and joins on the key find the layout and do not shuffle it again. The files
+    lie in the shared scratch folder; the table's name belongs to this session's catalog.
     """
-    spark = settled.frame.sparkSession
-    shared_dir(spark)
-    own = spark.newSession()
-    own.conf.set("spark.sql.adaptive.enabled", "false")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return own.read.schema(settled.frame.schema).parquet(settled.path).repartition(n, F.col(key)).checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "buckets")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    (df.repartition(buckets, F.col(key)).write.bucketBy(buckets, key).sortBy(key, *sort)
+     .option("path", path).format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def laid_out(settled: Settled, key: str) -> DataFrame:
+    """The dimension in as many buckets of ``key`` as the session has shuffle partitions."""
+    n = int(settled.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed_table(settled.frame, key, n)
 
 
 def settle_all(dims: list[DataFrame]) -> list[Settled]:
@@ -88,7 +94,7 @@ def dimension_join(fact: DataFrame, dim: DataFrame | Settled, on, how: str,
     """Join a fact DataFrame to a dimension, broadcasting the dimension only if it is measured small.
 
     A dimension over the budget is joined by shuffle; with ``dim_key`` it is
-    first hash-partitioned by that key and checkpointed in that layout, so
+    first written in buckets of that key, so
     repeated joins (every micro-batch of a stream-static join) shuffle only
     the fact side. ``max_broadcast_bytes=None`` skips the check and leaves
     the choice to the planner.

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators import cleaning, detector, enrich, gold
+from meterlake.operators import bucketed, cleaning, detector, enrich, gold
 from meterlake.params import DetectorParams
 from meterlake.session import app_key, scratch_path
 from meterlake.sources import files, tables
@@ -80,6 +80,17 @@ def silver_days(spark: SparkSession, sf_dir: str) -> str:
     return _written[key]
 
 
+_laid_out: dict[tuple, bucketed.ByKey] = {}
+
+
+def silver_by_meter(spark: SparkSession, sf_dir: str) -> bucketed.ByKey:
+    """The silver layer laid out by meter, written once per session."""
+    key = (app_key(spark), sf_dir.rstrip("/"))
+    if key not in _laid_out:
+        _laid_out[key] = bucketed.by_key(silver_layer(spark, sf_dir), "LCLid", ("timestamp",))
+    return _laid_out[key]
+
+
 def gold_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold over the persisted silver, with exact meter counts and fixed-point sums (order independent)."""
     return gold.gold_kpis(silver_layer(spark, sf_dir), approx_meters=False, exact_scale=VALUE_SCALE)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.operators import detector, eda, gold, insights
+from meterlake.operators import bucketed, detector, eda, gold, insights
 from meterlake.params import DetectorParams
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
@@ -211,6 +211,23 @@ def q_anomaly_alerts_defaults(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_ntz(layers.alerts(spark, sf, DEFAULT_PARAMS, key="event_type"))
 
 
+def _by_meter(spark: SparkSession, sf: str, job) -> DataFrame:
+    """A detector job over silver laid out by meter: its buckets need no exchange, its hot meters are scanned in ranges."""
+    def run(part: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+        return job(part, METER_PARAMS, chunk_rows=chunk_rows)
+    return bucketed.over_parts(layers.silver_by_meter(spark, sf), run, chunk_rows=detector.DEFAULT_CHUNK_ROWS)
+
+
+@register("running_baseline_by_meter", ORACLE["running_baseline"])
+def q_running_baseline_by_meter(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(_by_meter(spark, sf, detector.running_baseline))
+
+
+@register("anomaly_alerts_by_meter", ORACLE["anomaly_alerts"])
+def q_anomaly_alerts_by_meter(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.to_ntz(_by_meter(spark, sf, detector.anomaly_alerts))
+
+
 TYPE_PARAMS = DEFAULT_PARAMS.with_(z_mild=2.0, z_extreme=3.5)
 
 
@@ -360,6 +377,12 @@ def q_alert_group_rank(spark: SparkSession, sf: str) -> DataFrame:
     return insights.alert_group_rank(alerts_layer(spark, sf), layers.silver_layer(spark, sf))
 
 
+@register("alert_group_rank_by_meter", ORACLE["alert_group_rank"])
+def q_alert_group_rank_by_meter(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking over silver laid out by meter: only the alerts are shuffled."""
+    return insights.alert_group_rank(alerts_layer(spark, sf), layers.silver_by_meter(spark, sf))
+
+
 CRITICAL_LEVEL = 222.0  # about the median alert of the test tables, so that the filter splits them
 
 
