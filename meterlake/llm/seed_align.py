@@ -50,16 +50,24 @@ LEAKS = ("doc_id long, row long, item_id long, score double, matched long, first
 
 
 def bitmap_of(rows: DataFrame, column: str) -> bytes:
-    """Bitmap of fixed size with the bit of every value (modulo its bits) set, merged from the tasks' places."""
-    places = rows.select(F.pmod(F.col(column), F.lit(BITMAP_BITS)).alias("p")).distinct()
-    bits = np.zeros(BITMAP_BITS, np.uint8)
-    bits[[r["p"] for r in places.collect()]] = 1  # BITMAP_BITS places at most
-    return np.packbits(bits).tobytes()
+    """Bitmap of fixed size with the bit of every value (modulo its bits) set.
+
+    The tasks fold their values into pieces of the bitmap, so the driver gets at most
+    ``BITMAP_BITS`` / 32768 rows of 4 KB, however many values there are.
+    """
+    place = F.pmod(F.col(column), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps count from 1
+    pieces = (rows.select(F.bitmap_bucket_number(place).alias("piece"), F.bitmap_bit_position(place).alias("bit"))
+              .groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    out = np.zeros(BITMAP_BITS >> 3, np.uint8)
+    for r in pieces.collect():
+        bits = np.frombuffer(r["bits"], np.uint8)
+        out[(r["piece"] - 1) * len(bits):][:len(bits)] = bits
+    return out.tobytes()
 
 
 def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = (values.view(np.int64) & (BITMAP_BITS - 1)).astype(np.int64)
-    return (bitmap[at >> 3] >> (7 - (at & 7))) & 1 > 0
+    return (bitmap[at >> 3] >> (at & 7)) & 1 > 0
 
 
 def word_sequences(items: DataFrame, gram: int) -> DataFrame:

@@ -7,7 +7,7 @@ import time
 import numpy as np
 import pytest
 
-from meterlake.llm import cost_packing, crf_html, pii_boost
+from meterlake.llm import cost_packing, crf_html, pii_boost, rank_count, seed_align
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -91,3 +91,44 @@ def test_word_ids_with_a_small_cache(monkeypatch):
         for text, ids in zip(batch, enc.texts(pa.array(batch))):
             assert np.array_equal(ids, enc.tokenizer.encode(text, add_special_tokens=False).ids)
         assert len(enc.ids) <= 50 + 4 * 60
+
+
+@pytest.fixture(scope="module")
+def merger():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return rank_count.merger(path, public_tokenizers.PATTERN), Tokenizer.from_file(path)
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefghijklmnopqrstuvwxyz", "etaoin shrdlu", "é日本 aA1.", "the  an\n"])
+@pytest.mark.parametrize("block", [1, 3, rank_count.BLOCK])
+def test_counts_equal_the_library(merger, monkeypatch, letters, block):
+    monkeypatch.setattr(rank_count, "BLOCK", block)
+    counts, library = merger
+    rng = random.Random(len(letters))
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(400)]
+    texts.append("".join(rng.choice(letters) for _ in range(4000)))
+    counts.counts.clear()
+    assert counts.count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("letters", ["a", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJabcdefghij"])
+def test_counts_of_one_long_pre_token(merger, letters):
+    counts, library = merger
+    text = "".join(random.Random(5).choices(letters, k=MB))
+    begin = time.time()
+    got = counts.count([text])
+    assert time.time() - begin < 10
+    assert got == [len(library.encode(text, add_special_tokens=False).ids)]
+
+
+def test_bitmap_holds_every_value(spark):
+    values = [0, 1, -1, 32767, 32768, 2 ** 24 - 1, 2 ** 24, 2 ** 63 - 1, -2 ** 63, *range(70_000, 70_050)]
+    bits = seed_align.bitmap_of(spark.createDataFrame([(v,) for v in values * 3], "v long"), "v")
+    bitmap = np.frombuffer(bits, np.uint8)
+    assert len(bits) == seed_align.BITMAP_BITS >> 3
+    assert seed_align.in_bitmap(bitmap, np.array(values, np.int64).view(np.uint64)).all()
+    assert int(np.unpackbits(bitmap).sum()) == len({v % seed_align.BITMAP_BITS for v in values})
+    empty = np.frombuffer(seed_align.bitmap_of(spark.createDataFrame([], "v long"), "v"), np.uint8)
+    assert not empty.any()
