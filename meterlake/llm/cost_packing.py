@@ -21,9 +21,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ SEQUENCE = 4096
 CLOSING_ID = 2
 GROUP_TOKENS = 2 << 20
 GROUP_DOCS = 20_000
-CACHE_WORDS = 350_000
+CACHE_WORDS = 250_000
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 SYMBOLS = byte_symbols()
 
@@ -49,6 +49,11 @@ RESULT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 PLAIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers: a quarter of the memory of a list in the caches."""
+    return array("i", ids).tobytes()
+
+
 class WordEncoder:
     """Ids of whole texts through the library, which sees each distinct word part once.
 
@@ -67,27 +72,27 @@ class WordEncoder:
         self.separator = added[self.separator_id].content
         self.byte_level = str.maketrans({c: "".join(SYMBOLS[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
         # two generations each: when the younger is full it becomes the older, and words seen again come back from it
-        self.ids: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {"": []}
-        self.older_parts: dict[str, list[int]] = {}
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.older_parts: dict[str, bytes] = {}
 
     def encode_one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def letters(self, word: str) -> list[int]:
+    def letters(self, word: str) -> bytes:
         known = self.parts.get(word)
         if known is None and (known := self.older_parts.get(word)) is not None:
             self.parts[word] = known
         if known is None:
-            known = self.parts[word] = [t.id for t in self.model.tokenize(
-                word if word.isascii() else word.translate(self.byte_level))]
+            known = self.parts[word] = packed([t.id for t in self.model.tokenize(
+                word if word.isascii() else word.translate(self.byte_level))])
         return known
 
-    def marks(self, tail: str) -> list[int]:
+    def marks(self, tail: str) -> bytes:
         known = self.parts.get(tail)
         if known is None:
-            known = self.parts[tail] = self.encode_one(tail)
+            known = self.parts[tail] = packed(self.encode_one(tail))
         return known
 
     def learn(self, words: list[str]) -> None:
@@ -97,15 +102,16 @@ class WordEncoder:
             if plain:
                 self.ids[w] = self.letters(plain[1].lower()) + self.marks(plain[2])
             elif self.separator in w:
-                self.ids[w] = self.encode_one(w)
+                self.ids[w] = packed(self.encode_one(w))
             else:
                 odd.append(w)
         for at in range(0, len(odd), 2000):
             part = odd[at:at + 2000]
             ids = self.encode_one(self.separator.join(f" {w} " for w in part))
             cuts = [k for k, x in enumerate(ids) if x == self.separator_id]
+            flat = packed(ids)
             for w, a, b in zip(part, [-1, *cuts], [*cuts, len(ids)]):
-                self.ids[w] = ids[a + 1:b]
+                self.ids[w] = flat[4 * a + 4:4 * b]
 
     def texts(self, texts: pa.Array) -> list[np.ndarray]:
         codes, words, first = split_words(texts, lower=False)
@@ -113,7 +119,7 @@ class WordEncoder:
         if len(self.ids) > CACHE_WORDS:
             self.older, self.ids = self.ids, {}
         if len(self.parts) > CACHE_WORDS:
-            self.older_parts, self.parts = self.parts, {"": []}
+            self.older_parts, self.parts = self.parts, {"": b""}
         unseen = [w for w in words if w not in self.ids]
         if self.older:
             again = [w for w in unseen if w in self.older]
@@ -121,9 +127,9 @@ class WordEncoder:
             unseen = [w for w in unseen if w not in self.older] if again else unseen
         self.learn(unseen)
         each = [self.ids[w] for w in words]
-        length = np.array([len(x) for x in each], np.int64)
+        length = np.array([len(x) for x in each], np.int64) // 4
         bounds = pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32())
-        flat = pa.array(np.fromiter(chain.from_iterable(each), np.int32, int(length.sum())))
+        flat = pa.array(np.frombuffer(b"".join(each), np.int32))
         ids = pa.ListArray.from_arrays(bounds, flat).take(pa.array(codes)).flatten().to_numpy()
         ends = np.concatenate([[0], np.cumsum(length[codes])])[first]
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
