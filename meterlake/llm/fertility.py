@@ -23,6 +23,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -70,7 +71,7 @@ class PieceTable:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = self.model.get_piece_size()
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
-        self.ids: dict[str, np.ndarray] = {}
+        self.ids: dict[str, bytes] = {}  # 32-bit ids
 
     def ragged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, start, length) of each word."""
@@ -79,10 +80,10 @@ class PieceTable:
         new = [w for w in words if w not in self.ids]
         if new:
             for w, x in zip(new, self.model.encode(new, num_threads=1)):
-                self.ids[w] = np.array(x, np.int32)
+                self.ids[w] = array("i", x).tobytes()
         each = [self.ids[w] for w in words]
-        length = np.array([len(x) for x in each], np.int64)
-        return (np.concatenate(each) if each else np.zeros(0, np.int32)), np.cumsum(length) - length, length
+        length = np.array([len(x) for x in each], np.int64) // 4
+        return np.frombuffer(b"".join(each), np.int32), np.cumsum(length) - length, length
 
 
 @lru_cache(maxsize=2)
