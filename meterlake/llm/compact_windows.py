@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
@@ -196,9 +196,13 @@ class NearPassages:
         self.similarity, self.functions, self.enough, self.shingle = similarity, functions, enough, shingle
         self.width = max(1, passage - shingle + 1)
         self.docs = docs.withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
+        self.texts = self.docs.select("node", "text").dropDuplicates(["node"])
 
     def signatures(self) -> DataFrame:
-        """(node, signature) of every compact window."""
+        """(node, signature, known) of every compact window; known: another text of the slice has the signature.
+
+        For each signature a slice knows, one row without a node tells the rest of the table.
+        """
         functions, width, words = self.functions, self.width, self.shingle
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,21 +210,40 @@ class NearPassages:
                 h, first, _ = shingles(texts, words)
                 _, _, c, _, signature = signature_windows(h, first, functions, width)
                 doc = np.searchsorted(first, c, side="right") - 1
-                order = np.lexsort((signature, doc))
+                order = np.lexsort((doc, signature))
                 doc, signature = doc[order], signature[order]
-                new = np.append(True, (doc[1:] != doc[:-1]) | (signature[1:] != signature[:-1]))[:len(doc)]
+                other = np.append(True, signature[1:] != signature[:-1])[:len(doc)]
+                new = other | np.append(True, doc[1:] != doc[:-1])[:len(doc)]
+                doc, signature, other = doc[new], signature[new], other[new]
+                heads = np.flatnonzero(other)
+                again = np.diff(np.append(heads, len(doc))) > 1
+                known = np.repeat(again, np.diff(np.append(heads, len(doc))))
+                told = signature[heads[again]]
                 yield pa.RecordBatch.from_arrays(
-                    [nodes.take(pa.array(doc[new])), pa.array(signature[new].view(np.int64))],
-                    names=["node", "signature"])
+                    [pa.concat_arrays([nodes.take(pa.array(doc)), pa.nulls(len(told), pa.int64())]),
+                     pa.array(np.concatenate([signature, told]).view(np.int64)),
+                     pa.array(np.concatenate([known, np.ones(len(told), bool)]))],
+                    names=["node", "signature", "known"])
+
+        return self.texts.mapInArrow(run, "node long, signature long, known boolean")
+
+    def recurring(self, windows: DataFrame) -> DataFrame:
+        """(node, signature) of the signatures that several texts have.
 
-        one = self.docs.select("node", "text").dropDuplicates(["node"])
-        return one.mapInArrow(run, "node long, signature long")
+        One exchange: a window known to recur goes anywhere, so a signature's
+        group holds at most one row of each slice that has it once, or twice
+        and more.
+        """
+        home = F.when(F.col("known") & F.col("node").isNotNull(), F.xxhash64("node", "signature")).otherwise(F.col("signature"))
+        rows = F.sum(F.when(F.col("known"), 2).otherwise(1)).over(Window.partitionBy("home", "signature"))
+        return (windows.withColumn("home", home).withColumn("rows", rows)
+                .filter("rows > 1 and node is not null").select("node", "signature"))
 
     def candidates(self, kept: DataFrame) -> DataFrame:
         """(passage, node, start, shingles, signatures, places): stretches covered by kept windows of enough functions."""
         functions, width, words, enough = self.functions, self.width, self.shingle, self.enough
         lists = kept.groupBy("node").agg(F.collect_set("signature").alias("kept"))
-        texts = self.docs.select("node", "text").join(lists, "node").dropDuplicates(["node"])
+        texts = self.texts.join(lists, "node")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for nodes, texts, lists in slices(batches):
@@ -329,14 +352,19 @@ class NearPassages:
     def leader_pairs(self, members: DataFrame, turn: int, shared: int) -> DataFrame:
         """(a, b): passages with a leading passage of another document and enough signatures they share."""
         rank = F.col("rank") if turn % 2 == 0 else F.xxhash64("passage", F.lit(turn))
-        lead = (members.groupBy("signature")
-                .agg(F.max(F.struct(rank.alias("rank"), "passage", "node", "label", "open")).alias("lead"))
-                .select("signature", "lead.passage", "lead.node", "lead.label", "lead.open")
-                .toDF("signature", "lead", "lead_node", "lead_label", "lead_open"))
-        return (members.join(lead, "signature")
-                .filter("node != lead_node and (label != lead_label or open or lead_open)")
-                .select(F.least("passage", "lead").alias("a"), F.greatest("passage", "lead").alias("b"), "signature")
-                .groupBy("a", "b").count().filter(F.col("count") >= shared).select("a", "b"))
+        lead = (members.groupBy("signature").agg(F.max(F.struct(rank.alias("rank"), "passage", "open")).alias("lead"))
+                .select("signature", F.col("lead.passage").alias("lead"), F.col("lead.open").alias("lead_open")))
+        pairs = (members.select("signature", "passage", "open").join(lead, "signature").filter("passage != lead")
+                 .select(F.least("passage", "lead").alias("a"), F.greatest("passage", "lead").alias("b"),
+                         (F.col("open") | F.col("lead_open")).cast("int").alias("open"))
+                 .groupBy("a", "b").agg(F.count("*").alias("all"), F.sum("open").alias("open"))
+                 .filter(F.col("all") >= shared))
+        # documents and components are the passages', so the rows by signature need not carry them
+        who = members.select("passage", "node", "label").distinct()
+        return (pairs.join(who.toDF("a", "node_a", "label_a"), "a").join(who.toDF("b", "node_b", "label_b"), "b")
+                .filter((F.col("node_a") != F.col("node_b"))
+                        & ((F.col("label_a") != F.col("label_b")) | (F.col("open") >= shared)))
+                .select("a", "b"))
 
     def all_pairs(self, members: DataFrame) -> DataFrame:
         """(a, b): passages of different documents that share an open signature, or one of different components."""
@@ -372,11 +400,7 @@ class NearPassages:
 
     def stretches(self) -> DataFrame:
         """(node, other, start, end) of all confirmed near-duplicate stretches."""
-        windows = materialise(self.signatures(), "signatures")
-        again = windows.groupBy("signature").count().filter("count > 1").select("signature")
-        kept = windows.join(again, "signature", "left_semi")
-        passages = materialise(self.candidates(kept), "passages")
-        discard(windows)
+        passages = materialise(self.candidates(self.recurring(self.signatures())), "passages")
         found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
         tried = members = doubles = None
         for turn in range(TURNS + 2):
