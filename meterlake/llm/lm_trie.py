@@ -15,11 +15,12 @@ token count. A shard sums the counts, builds its trie (words, then contexts
 before them) in memory-mapped levels with quantised log numerators, and
 answers its slices' pairs by successor search. The logarithm splits into the
 numerator, known in w's shard, and the denominator, known in v's, so each shard
-returns sums per document. At most ``HOT`` words with at least 1/HOT of all
-tokens each would make their shards large; their counts, and those of the
-pairs among them, are small tables that every task gets: such pairs are
-scored where the text is, and pairs of a hot word after another word are
-spread over the shards by the pair.
+returns sums per document. A common word would make its shard large. The
+counts of words of over 1/``SPREAD`` of a shard's tokens are a table that every
+task gets (at most ``COMMON`` words, as the least count is 1/COMMON of all tokens
+where that is more), and pairs of such a word after another are spread over the
+shards by the pair. Of at most ``HOT`` words with at least 1/HOT of all tokens
+each the pairs among them are a table too, and are scored where the text is.
 
 Defined results: a null or empty text is the end token alone; a row without an
 id belongs to the training part; repeated rows are scored each; no training
@@ -43,6 +44,8 @@ from meterlake.llm.elias_fano import NgramTrie
 
 MU = 500.0
 HOT = 256
+SPREAD = 16
+COMMON = 1 << 20
 TOKENS_PER_SHARD = 1_000_000
 SLICE = 5 << 20
 LEVELS = 1 << 16
@@ -58,13 +61,14 @@ ANSWER = ("slice long, place binary, known binary, base binary, score binary, do
 
 @dataclass
 class Corpus:
-    """Sizes of the training part and the small tables of its hot words."""
+    """Sizes of the training part and the small tables of its common and hot words."""
 
     tokens: int
     types: int
     docs: int
-    hot: np.ndarray          # sorted keys, start and end marks included
-    hot_counts: np.ndarray
+    common: np.ndarray       # sorted keys, start and end marks included
+    common_counts: np.ndarray
+    hot: np.ndarray          # number of each common key among the hot ones, or -1; a last -1 for other words
     pairs: np.ndarray        # counts of (v, w) among the hot keys
     mu: float
 
@@ -80,10 +84,10 @@ class Corpus:
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10(self.unigram(count))
 
-    def hot_index(self, keys: np.ndarray) -> np.ndarray:
-        """Place in the hot table, or -1."""
-        at = np.minimum(np.searchsorted(self.hot, keys), len(self.hot) - 1)
-        return np.where(self.hot[at] == keys, at, -1)
+    def common_index(self, keys: np.ndarray) -> np.ndarray:
+        """Place in the common table, or -1."""
+        at = np.minimum(np.searchsorted(self.common, keys), len(self.common) - 1)
+        return np.where(self.common[at] == keys, at, -1)
 
 
 def word_keys(words: pa.Array) -> np.ndarray:
@@ -114,7 +118,7 @@ def marked(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", held.alias("held"))
 
 
-def measure(docs: DataFrame, mu: float) -> Corpus:
+def measure(docs: DataFrame, mu: float, tokens_per_shard: int) -> Corpus:
     """Counts of the training part that every task needs."""
     train = docs.filter(~F.col("held"))
 
@@ -130,17 +134,23 @@ def measure(docs: DataFrame, mu: float) -> Corpus:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_docs = train.count()
     tokens, types = int(total["n"]) + n_docs, int(total["v"]) + (n_docs > 0)
-    hot = [(int(r["word"]) & (1 << 64) - 1, int(r["n"]))
-           for r in counts.filter(F.col("n") * HOT >= tokens).collect()] if tokens else []  # HOT rows at most
-    table = sorted([*hot, (int(START), n_docs), (int(END), n_docs)])
-    corpus = Corpus(tokens, types, n_docs, np.array([k for k, _ in table], np.uint64),
-                    np.array([c for _, c in table], np.int64), np.zeros((len(table), len(table)), np.int64), mu)
+    least = max(tokens_per_shard // SPREAD, -(-tokens // COMMON), 1)
+    hot_least = max(-(-tokens // HOT), 1)
+    found = counts.filter(F.col("n") >= min(least, hot_least)).toArrow()  # COMMON rows at most
+    keys = np.append(found["word"].to_numpy().astype(np.uint64), [START, END])
+    n = np.append(found["n"].to_numpy(), [n_docs, n_docs])
+    is_hot = np.append(n[:-2] >= hot_least, [True, True])
+    order = np.argsort(keys)
+    keys, n, is_hot = keys[order], n[order], is_hot[order]
+    hot = np.append(np.where(is_hot, np.cumsum(is_hot) - 1, -1), -1)
+    n_hot = int(is_hot.sum())
+    corpus = Corpus(tokens, types, n_docs, keys, n, hot, np.zeros((n_hot, n_hot), np.int64), mu)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(corpus.hot)
+        n = len(corpus.pairs)
         for _, texts, _ in slices(batches, SLICE):
             codes, words, first = split_words(texts, lower=True)
-            index = corpus.hot_index(np.append(word_keys(words), [START, END]))
+            index = corpus.hot[corpus.common_index(np.append(word_keys(words), [START, END]))]
             w, v, _ = chains(codes, first, len(words))
             both = (index[w] >= 0) & (index[v] >= 0)
             found = np.bincount(index[v[both]] * n + index[w[both]], minlength=n * n)
@@ -168,16 +178,17 @@ def send_slice(corpus: Corpus, n_shards: int, number: int, keys: pa.Array, texts
     codes, words, first = split_words(texts, lower=True)
     w, v, doc = chains(codes, first, len(words))
     key = np.append(word_keys(words), [START, END])
-    n_docs, hot = len(texts), corpus.hot_index(key)
+    n_docs, common = len(texts), corpus.common_index(key)
     is_held = held.to_numpy(zero_copy_only=False)
-    # what the small tables answer: hot words' own counts, pairs of two hot words, the start mark's denominator
-    hw, hv = hot[w], hot[v]
-    own = np.where(hw >= 0, corpus.hot_counts[hw], 0)
-    known = np.bincount(doc, (hw >= 0) & (own > 0), n_docs)
-    base = np.bincount(doc, np.where(hw >= 0, corpus.base(own), 0.0), n_docs)
+    # what the small tables answer: common words' own counts, pairs of two hot words, the start mark's denominator
+    cw, cv = common[w], common[v]
+    own = np.where(cw >= 0, corpus.common_counts[cw], 0)
+    known = np.bincount(doc, (cw >= 0) & (own > 0), n_docs)
+    base = np.bincount(doc, np.where(cw >= 0, corpus.base(own), 0.0), n_docs)
+    hw, hv = corpus.hot[cw], corpus.hot[cv]
     both = (hw >= 0) & (hv >= 0)
     score = np.bincount(doc[both], corpus.numerator(corpus.pairs[hv[both], hw[both]], own[both]), n_docs)
-    score -= np.bincount(doc, np.where(hv >= 0, corpus.denominator(corpus.hot_counts[hv]), 0.0), n_docs)
+    score -= np.bincount(doc, np.where(cv >= 0, corpus.denominator(corpus.common_counts[cv]), 0.0), n_docs)
     out = {c: [] for c in ("shard", "slice", "words", "children", "contexts", "trained", "occurs", "place", "doc_id",
                            "held", "known", "base", "score", "tokens")}
 
@@ -201,7 +212,7 @@ def send_slice(corpus: Corpus, n_shards: int, number: int, keys: pa.Array, texts
     trained = np.add.reduceat((~is_held[place]).astype(np.int64), new) if len(new) else new
     word, context = key[order[pair[new] // len(key)]], key[order[pair[new] % len(key)]]
     with np.errstate(over="ignore"):
-        spread = np.where(corpus.hot_index(word) >= 0, mix(word + mix(context)), mix(word))
+        spread = np.where(corpus.common_index(word) >= 0, mix(word + mix(context)), mix(word))
     shard = (spread % np.uint64(n_shards)).astype(np.int64)
     by_shard = np.argsort(shard, kind="stable")
     bounds = np.searchsorted(shard[by_shard], np.arange(n_shards + 1))
@@ -250,9 +261,9 @@ def answer_shard(corpus: Corpus, sent: pa.Table) -> dict:
     heads = np.flatnonzero(np.append(True, pair_word[1:] != pair_word[:-1])) if len(pair_word) else np.zeros(0, np.int64)
     words = pair_word[heads]
     starts = np.append(heads, len(pair_word))
-    hot = corpus.hot_index(words)
+    common = corpus.common_index(words)
     word_count = np.add.reduceat(pair_count, heads) if len(heads) else np.zeros(0, np.int64)
-    word_count = np.where(hot >= 0, corpus.hot_counts[hot], word_count)
+    word_count = np.where(common >= 0, corpus.common_counts[common], word_count)
     counts_book, word_codes = np.unique(word_count, return_inverse=True)
     pair_codes, book = quantised(corpus.numerator(pair_count, np.repeat(word_count, np.diff(starts))))
     with tempfile.TemporaryDirectory(prefix="trie-") as folder:
@@ -262,14 +273,14 @@ def answer_shard(corpus: Corpus, sent: pa.Table) -> dict:
         at, known = trie.find_words(distinct)
         own = np.zeros(len(distinct), np.int64)
         own[known] = counts_book[trie.word_codes[at[known]]]
-        is_hot = corpus.hot_index(distinct)
-        own = np.where(is_hot >= 0, corpus.hot_counts[is_hot], own)
+        is_common = corpus.common_index(distinct)
+        own = np.where(is_common >= 0, corpus.common_counts[is_common], own)
         value = corpus.numerator(np.zeros(len(back)), own[back])
         there = np.flatnonzero(known[back])
         place, found = trie.find_contexts(at[back[there]], asked_context[there])
         value[there[found]] = book[trie.pair_codes[place[found]]]
-    # a word that is not hot answers for its own count too: base score and its denominator as the next word's context
-    cold = is_hot[back] < 0
+    # a word that is not common answers for its own count too: base score and its denominator as the next word's context
+    cold = is_common[back] < 0
     value -= np.where(cold, corpus.denominator(own[back]), 0.0)
     base = np.where(cold, corpus.base(own[back]), 0.0)
     known_token = cold & (own[back] > 0)
@@ -313,7 +324,7 @@ def language_model_scores(df: DataFrame, mu: float = MU, tokens_per_shard: int =
                           key: str = "doc_id", text: str = "text") -> DataFrame:
     """Log10 probability of every whole text under the model of the training part, and under its unigrams."""
     docs = marked(two_columns(df, key, text))
-    corpus = measure(docs, mu)
+    corpus = measure(docs, mu, tokens_per_shard)
     n_shards = max(1, -(-corpus.tokens // tokens_per_shard))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
