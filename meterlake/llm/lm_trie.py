@@ -47,6 +47,7 @@ HOT = 256
 SPREAD = 16
 COMMON = 1 << 20
 TOKENS_PER_SHARD = 1_000_000
+TASKS = 20_000
 SLICE = 5 << 20
 LEVELS = 1 << 16
 START, END = np.uint64(0), np.uint64(1)
@@ -343,5 +344,8 @@ def language_model_scores(df: DataFrame, mu: float = MU, tokens_per_shard: int =
              "array<boolean>": pa.list_(pa.bool_())}
     sent_schema, answer_schema = (pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in s.split(", ")])
                                   for s in (SENT, ANSWER))
-    answers = docs.mapInArrow(send, SENT).groupBy("shard").applyInArrow(answer, ANSWER)
+    # one shard a task up to TASKS; beyond, a task takes its shards one after another
+    tasks = min(n_shards, TASKS)
+    sent = docs.mapInArrow(send, SENT).withColumn("task", F.col("shard") % tasks).repartitionById(tasks, F.col("task"))
+    answers = sent.groupBy("task", "shard").applyInArrow(answer, ANSWER).repartition(tasks, "slice")
     return answers.groupBy("slice").applyInArrow(lambda t: sum_slice(train_tokens, t), RESULT)
