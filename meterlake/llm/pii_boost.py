@@ -11,9 +11,13 @@ documents held out of the training: the lowest score at which the share of
 right selections reaches the target. Selected candidates that overlap no base
 span and no better candidate are added to the base spans.
 
-The trees are fitted on a bounded sample: at most ``SAMPLE_DOCS`` documents
-picked by a hash of their text and at most ``SAMPLE_CANDIDATES`` candidates of
-these; a sample without both labels adds nothing. Every text is scanned whole.
+Trees and threshold come from every candidate of every different text. Tasks
+label the candidates and put their features into bins whose edges are
+quantiles over all training candidates; equal binned rows are counted. Each
+level of a tree takes the sums of gradients by node, feature and bin from all
+these rows, added up by Spark as whole numbers, so the trees do not depend on
+how rows are dealt; only the sums, the edges and the counts by score reach the
+driver. A corpus without both labels on both sides adds nothing.
 
 Defined results: a null or empty text has no spans and the hash of the empty
 string; equal scores go by start, then length; repeated rows get equal
@@ -27,20 +31,22 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import slices, two_columns
+from meterlake.llm.common import materialise, slices, two_columns
 
-SAMPLE_DOCS = 6_000
-SAMPLE_CANDIDATES = 20_000
 PRECISION = 0.98
+ROWS_PER_TASK = 1 << 18
+GRID = 1 << 10  # edges of bins are multiples of 1 / GRID, so a feature has a bounded number of values to count
+STEPS = 1 << 16  # scores are told apart in so many steps for the threshold
+UNIT = 1 << 24  # gradients are summed as whole multiples of 1 / UNIT
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("secret", "account", "number", "address")
@@ -193,62 +199,78 @@ class BoostedTrees:
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         inner = np.linspace(0, 1, self.bins + 1)[1:-1]
         self.edges = [np.unique(np.quantile(x[:, k], inner)) for k in range(x.shape[1])]
-        binned = self.bin(x)
-        rate = np.clip(y.mean(), 1e-4, 1 - 1e-4)
-        self.base = float(np.log(rate / (1 - rate)))
+        binned, once = self.bin(x), np.ones(len(y))
+        self.boost(float(y.mean()), lambda tree, nodes: self.sums(tree, nodes, binned, once, y))
+        return self
+
+    def boost(self, share: float, sums: Callable[[list, list[int]], np.ndarray]) -> None:
+        """All trees, level by level; ``sums`` gives ``self.sums`` over all training rows, ``share`` is that of true labels."""
+        share = np.clip(share, 1e-4, 1 - 1e-4)
+        self.base = float(np.log(share / (1 - share)))
         self.trees: list[list[tuple[int, int, float]]] = []
-        score = np.full(len(y), self.base)
         for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-score))
-            self.trees.append(self.grow(binned, p - y, p * (1 - p)))
-            score += self.leaves(self.trees[-1], binned)
-        return self
+            tree = [(-1, 0, 0.0)] * (2 ** (self.depth + 1) - 1)
+            nodes = [0]
+            for _ in range(self.depth):
+                if nodes:
+                    nodes = self.split(tree, nodes, sums(tree, nodes) / UNIT)
+            self.trees.append(tree)
 
     def bin(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, k], side="right") for k, e in enumerate(self.edges)], axis=1)
 
-    def grow(self, binned: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> list[tuple[int, int, float]]:
-        """Nodes (feature, highest bin to the left, value) of a full tree; feature -1 is a leaf."""
-        nodes: list[tuple[int, int, float]] = [(-1, 0, 0.0)] * (2 ** (self.depth + 1) - 1)
-        rows = {0: np.arange(len(grad))}
-        for node in range(len(nodes)):
-            own = rows.pop(node, None)
-            if own is None:
+    def sums(self, tree: list[tuple[int, int, float]], nodes: list[int], binned: np.ndarray, n: np.ndarray,
+             positive: np.ndarray) -> np.ndarray:
+        """Gradient and hessian in UNITs by node, feature and bin, of rows found ``n`` times, ``positive`` of them true."""
+        p = self.chance(binned)
+        g = n * np.rint(p * UNIT) - positive * UNIT
+        h = n * np.rint(p * (1 - p) * UNIT)
+        at = self.place(tree, binned)
+        out = np.zeros((2, len(nodes), binned.shape[1], self.bins))
+        for i, node in enumerate(nodes):
+            own = np.flatnonzero(at == node)
+            for k in range(binned.shape[1]):
+                out[0, i, k] = np.bincount(binned[own, k], g[own], self.bins)
+                out[1, i, k] = np.bincount(binned[own, k], h[own], self.bins)
+        return out
+
+    def split(self, tree: list[tuple[int, int, float]], nodes: list[int], sums: np.ndarray) -> list[int]:
+        """Splits the nodes of ``tree`` (feature, highest bin to the left, value; feature -1 is a leaf) where that gains; their children."""
+        children = []
+        for node, g, h in zip(nodes, *sums):
+            whole_g, whole_h = g[0].sum(), h[0].sum()
+            gl, hl = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+            gr, hr = whole_g - gl, whole_h - hl
+            gain = gl ** 2 / (hl + self.smooth) + gr ** 2 / (hr + self.smooth) - whole_g ** 2 / (whole_h + self.smooth)
+            k, at = np.unravel_index(gain.argmax(), gain.shape)
+            if gain[k, at] <= 1e-6:
+                tree[node] = (-1, 0, float(-self.rate * whole_g / (whole_h + self.smooth)))
                 continue
-            g, h = grad[own], hess[own]
-            best, whole = (1e-6, -1, 0), g.sum() ** 2 / (h.sum() + self.smooth)
-            if 2 * node + 2 < len(nodes) and len(own) > 1:
-                for k in range(binned.shape[1]):
-                    gl = np.cumsum(np.bincount(binned[own, k], g, self.bins))[:-1]
-                    hl = np.cumsum(np.bincount(binned[own, k], h, self.bins))[:-1]
-                    gain = (gl ** 2 / (hl + self.smooth) + (g.sum() - gl) ** 2 / (h.sum() - hl + self.smooth)) - whole
-                    at = int(gain.argmax())
-                    if gain[at] > best[0]:
-                        best = (float(gain[at]), k, at)
-            if best[1] < 0:
-                nodes[node] = (-1, 0, float(-self.rate * g.sum() / (h.sum() + self.smooth)))
-                continue
-            nodes[node] = (best[1], best[2], 0.0)
-            left = binned[own, best[1]] <= best[2]
-            rows[2 * node + 1], rows[2 * node + 2] = own[left], own[~left]
-        return nodes
-
-    def leaves(self, tree: list[tuple[int, int, float]], binned: np.ndarray) -> np.ndarray:
-        feature, split, value = (np.array(v) for v in zip(*tree))
-        at = np.zeros(len(binned), np.int64)
+            tree[node] = (int(k), int(at), 0.0)
+            for child, cg, ch in ((2 * node + 1, gl[k, at], hl[k, at]), (2 * node + 2, gr[k, at], hr[k, at])):
+                tree[child] = (-1, 0, float(-self.rate * cg / (ch + self.smooth)))
+                children.append(child)
+        return children
+
+    def place(self, tree: list[tuple[int, int, float]], binned: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
+        feature, split, _ = (np.array(v) for v in zip(*tree))
+        at, rows = np.zeros(len(binned), np.int64), np.arange(len(binned))
         for _ in range(self.depth):
             inner = feature[at] >= 0
-            right = binned[np.arange(len(at)), np.maximum(feature[at], 0)] > split[at]
+            right = binned[rows, np.maximum(feature[at], 0)] > split[at]
             at = np.where(inner, 2 * at + 1 + right, at)
-        return value[at]
+        return at
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
-        binned = self.bin(x)
-        score = np.full(len(x), self.base)
+    def chance(self, binned: np.ndarray) -> np.ndarray:
+        score = np.full(len(binned), self.base)
         for tree in self.trees:
-            score += self.leaves(tree, binned)
+            score += np.array([v for _, _, v in tree])[self.place(tree, binned)]
         return 1 / (1 + np.exp(-score))
 
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        return self.chance(self.bin(x))
+
 
 @dataclass
 class Selector:
@@ -258,29 +280,21 @@ class Selector:
     threshold: float
 
 
-def calibrated_threshold(p: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> float:
-    """Lowest score from which on the selection's precision is at least ``precision``; above 1 if there is none."""
+def calibrated_threshold(p: np.ndarray, y: np.ndarray, precision: float = PRECISION,
+                         n: np.ndarray | None = None) -> float:
+    """Lowest score from which on the selection's precision is at least ``precision``; above 1 if there is none.
+
+    With ``n``, each score stands for so many candidates, ``y`` of them right.
+    """
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+    right = np.cumsum(y[order]) / np.cumsum(np.ones(len(y)) if n is None else n[order])
     last = np.append(p[order][1:] != p[order][:-1], True)
     good = np.flatnonzero((right >= precision) & last)
     return float(p[order][good[-1]]) if len(good) else 2.0
 
 
-def fit_selector(rows: list[tuple[bool, bool, list[float]]], precision: float = PRECISION) -> Selector | None:
-    """Selector from (held out, label, features) rows; None without both labels on both sides."""
-    if not rows:
-        return None
-    held, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
-    x = np.array([r[2] for r in rows], float)
-    if any(len(set(y[side])) < 2 for side in (held, ~held)):
-        return None
-    trees = BoostedTrees().fit(x[~held], y[~held])
-    return Selector(trees, calibrated_threshold(trees.probability(x[held]), y[held], precision))
-
-
-def training_rows(df: DataFrame) -> list[tuple[bool, bool, list[float]]]:
-    """Labelled candidates of the sampled documents, at most SAMPLE_CANDIDATES of them."""
+def training_rows(df: DataFrame) -> DataFrame:
+    """(held, label, x): every candidate of every different text, with its weak label and features."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches):
             keys, held, label, values = [], [], [], []
@@ -299,12 +313,92 @@ def training_rows(df: DataFrame) -> list[tuple[bool, bool, list[float]]]:
                 [pa.array(keys, pa.string()), pa.array(held, pa.bool_()), pa.array(label, pa.bool_()),
                  pa.array(values, pa.list_(pa.float64()))], names=["key", "held", "label", "x"])
 
-    docs = two_columns(df, "doc_id", "text").filter(F.length("text") > 0)
-    every = max(1, -(-docs.count() // SAMPLE_DOCS))
-    sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    found = sample.mapInArrow(run, "key string, held boolean, label boolean, x array<double>")
-    return [(r["held"], r["label"], list(r["x"]))
-            for r in found.dropDuplicates(["key"]).orderBy("key").limit(SAMPLE_CANDIDATES).collect()]
+    found = two_columns(df, "doc_id", "text").mapInArrow(run, "key string, held boolean, label boolean, x array<double>")
+    return found.dropDuplicates(["key"]).select("held", "label", "x")
+
+
+def quantile_edges(rows: DataFrame, bins: int) -> list[np.ndarray]:
+    """Per feature, the values (rounded down to the grid) at the ``bins`` - 1 inner quantiles of all rows."""
+    values = rows.select(F.posexplode("x").alias("k", "x")).select("k", F.floor(F.col("x") * GRID).alias("v"))
+    up_to = Window.partitionBy("k").orderBy("v")
+    ranked = values.groupBy("k", "v").agg(F.count("*").alias("n")).select(
+        "k", "v", "n", F.sum("n").over(up_to).alias("upto"), F.sum("n").over(Window.partitionBy("k")).alias("total"))
+    found = ranked.filter(f"least(upto * {bins} div total, {bins - 1}) > (upto - n) * {bins} div total").select("k", "v").toArrow()
+    k, v = (found[c].to_numpy() for c in ("k", "v"))
+    return [np.sort(v[k == i]) / GRID for i in range(len(FEATURES))]
+
+
+def binned_rows(rows: DataFrame, trees: BoostedTrees, n_rows: int) -> DataFrame:
+    """(held, bins, n, positive): how often each different row of bins is found, and how often with a true label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(2).flatten().to_numpy().reshape(-1, len(FEATURES))
+            bins = [r.tobytes() for r in trees.bin(x).astype(np.uint8)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bins, pa.binary())],
+                                             names=["held", "label", "bins"])
+
+    return (rows.select("held", "label", "x").mapInArrow(run, "held boolean, label boolean, bins binary")
+            .groupBy("held", "bins").agg(F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("positive"))
+            .coalesce(max(1, -(-n_rows // ROWS_PER_TASK))))
+
+
+def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, n and positive of a batch of binned rows."""
+    bins = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, len(FEATURES))
+    return bins, batch.column(1).to_numpy(), batch.column(2).to_numpy()
+
+
+def boosted(train: DataFrame, trees: BoostedTrees, share: float, n_rows: int) -> None:
+    """Grows the trees over all rows (bins, n, positive): one job a level, whose tasks send sums alone."""
+    adders = -(-n_rows // (16 * ROWS_PER_TASK))
+
+    def sums(tree: list, nodes: list[int]) -> np.ndarray:
+        shape = (2, len(nodes), len(FEATURES), trees.bins)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape)
+            for batch in batches:
+                total += trees.sums(tree, nodes, *unpacked(batch))
+            flat = total.astype(np.int64).ravel()
+            at = np.flatnonzero(flat)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], names=["at", "v"])
+
+        parts = train.mapInArrow(run, "at long, v long")
+        parts = parts.repartition(adders, "at") if n_rows > ROWS_PER_TASK else parts.coalesce(1)
+        told = parts.groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(shape)
+        out.flat[told["at"].to_numpy()] = told["v"].to_numpy()
+        return out
+
+    trees.boost(share, sums)
+
+
+def score_counts(rows: DataFrame, trees: BoostedTrees) -> pa.Table:
+    """(step, n, positive) of all rows (bins, n, positive), by the step of their score."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins, n, positive = unpacked(batch)
+            step = np.floor(trees.chance(bins) * STEPS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (step, n, positive)], names=["step", "n", "positive"])
+
+    return (rows.mapInArrow(run, "step long, n long, positive long").groupBy("step")
+            .agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")).toArrow())
+
+
+def fit_selector(docs: DataFrame, precision: float = PRECISION) -> Selector | None:
+    """Selector from all candidates of all texts (doc_id, text); None without both labels on both sides."""
+    rows = materialise(training_rows(docs), "pii_candidates")
+    counts = {(r["held"], r["label"]): r["n"] for r in rows.groupBy("held", "label").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 4:
+        return None
+    n_train = counts[False, True] + counts[False, False]
+    trees = BoostedTrees()
+    trees.edges = quantile_edges(rows.filter("not held"), trees.bins)
+    binned = materialise(binned_rows(rows, trees, sum(counts.values())), "pii_binned")
+    boosted(binned.filter("not held").select("bins", "n", "positive"), trees, counts[False, True] / n_train, n_train)
+    told = score_counts(binned.filter("held").select("bins", "n", "positive"), trees)
+    step, n, positive = (told[c].to_numpy() for c in ("step", "n", "positive"))
+    return Selector(trees, calibrated_threshold(step / STEPS, positive, precision, n))
 
 
 def selected_spans(texts: list[str], selector: Selector | None) -> list[dict[str, list[tuple[int, int]]]]:
@@ -337,7 +431,7 @@ def joined(spans: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> s
 def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every whole text."""
     docs = two_columns(df, key, text)
-    selector = fit_selector(training_rows(docs))
+    selector = fit_selector(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in slices(batches):
@@ -367,7 +461,7 @@ def without_spans(t: str, spans: dict[str, list[tuple[int, int]]]) -> str:
 
 def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """``df`` with personal data replaced in the text column (a null text stays null) and the length column renewed."""
-    selector = fit_selector(training_rows(two_columns(df, key, text)))
+    selector = fit_selector(two_columns(df, key, text))
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
