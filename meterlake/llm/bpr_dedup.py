@@ -40,6 +40,7 @@ LENGTH = 200
 GRAM = 32
 HOT_PIECES = 2_000
 BLOCK_BYTES = 1 << 20
+SLICE = 1 << 19  # text bytes cut into pieces at once: each takes about a hundred bytes of arrays
 BASE = 0x9E3779B97F4A7C15 | 1
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -193,7 +194,7 @@ class RepeatedStrings:
         length = self.length
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows, texts in slices(batches):
+            for rows, texts in slices(batches, SLICE):
                 data, bounds = buffer_of(texts)
                 doc, _, _, gram, piece = pieces(data, bounds, length)
                 order = np.lexsort((piece, doc))
@@ -213,7 +214,7 @@ class RepeatedStrings:
         lists = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "piece", "n", "hot")).alias("wanted"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, texts, wanted_lists in slices(batches):
+            for _, texts, wanted_lists in slices(batches, SLICE):
                 data, bounds = buffer_of(texts)
                 doc, first, count, _, piece = pieces(data, bounds, length)
                 ask = [{w["piece"]: w for w in x} for x in wanted_lists.to_pylist()]
@@ -324,7 +325,7 @@ class RepeatedStrings:
         length = self.length
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for keys, texts, found in slices(batches):
+            for keys, texts, found in slices(batches, SLICE):
                 data, bounds = buffer_of(texts)
                 lists = found.to_pylist()
                 gone = np.zeros(len(data) + 1, np.int64)

@@ -43,6 +43,7 @@ MISS = 1e-7
 SAMPLES = 400
 BITS = 1024
 MARGIN = 4.0
+SLICE = 1 << 20  # text bytes made into shingles at once
 
 SKETCH_COLUMNS = [f"odd{k}" for k in range(BITS // 64)]
 SKETCHES = ("doc_id long, text_hash long, n_shingles long, node long, bands array<long>, "
@@ -104,7 +105,7 @@ def odd_bitmaps(sample: np.ndarray) -> np.ndarray:
 def sketches(docs: DataFrame, words: int, n_bands: int) -> DataFrame:
     """Identity, band keys and odd sketch of every row's shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts, hashes in slices(batches):
+        for keys, texts, hashes in slices(batches, SLICE):
             h, first = distinct_shingles(texts, words)
             size = np.diff(first)
             some = np.flatnonzero(size)
@@ -166,7 +167,7 @@ class NearDuplicates:
         words = self.words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, texts in slices(batches):
+            for _, texts in slices(batches, SLICE):
                 h, first = distinct_shingles(texts, words)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(identities(h, first)),
