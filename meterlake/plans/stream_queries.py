@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from meterlake import schemas
 from meterlake.functions import columns as C
 from meterlake.operators import maintenance, replay
+from meterlake.operators.joins import settle_all
 from meterlake.plans import layers
 from meterlake.plans import oracle as O
 from meterlake.plans.queries import GOLD_KEYS, METER_PARAMS, join_gold, meters_close, register
@@ -111,6 +112,8 @@ def stream_alerts_resumed_table(spark: SparkSession, sf: str, slices: int = 4) -
     parts = replay.time_slices(msgs, scratch_path(spark, "slices"), slices)
     msg_dir, out, ck = (scratch_path(spark, n) for n in ("messages-ordered", "alerts-resumed", "ck-alerts-resumed"))
     p = METER_PARAMS.with_(timeout=None)
+    # both starts read dimensions written once: each is an aggregate over a whole base table
+    homes, hours = (s.frame for s in settle_all([layers.households(spark, sf), layers.weather(spark, sf)]))
     published = 0
     for half in (parts[:slices // 2], parts[slices // 2:]):
         sizes = []
@@ -120,7 +123,8 @@ def stream_alerts_resumed_table(spark: SparkSession, sf: str, slices: int = 4) -
             sizes.append(total - published)
             published = total
         with _sized(spark, msg_dir):
-            q = jobs.start_alerts(enriched(spark, sf, msg_dir, max(1, min(sizes))), out, ck, p, jobs.BOUNDED)
+            messages = file_messages(spark, msg_dir, max_files_per_trigger=max(1, min(sizes)))
+            q = jobs.start_alerts(jobs.enriched_stream(messages, homes, hours), out, ck, p, jobs.BOUNDED)
         run_bounded(q)
     return spark.read.schema(schemas.ALERT).parquet(out)
 
