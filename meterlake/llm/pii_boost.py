@@ -44,7 +44,6 @@ from meterlake.llm.common import materialise, slices, two_columns
 
 PRECISION = 0.98
 ROWS_PER_TASK = 1 << 18
-GRID = 1 << 10  # edges of bins are multiples of 1 / GRID, so a feature has a bounded number of values to count
 STEPS = 1 << 16  # scores are told apart in so many steps for the threshold
 UNIT = 1 << 24  # gradients are summed as whole multiples of 1 / UNIT
 
@@ -317,15 +316,23 @@ def training_rows(df: DataFrame) -> DataFrame:
     return found.dropDuplicates(["key"]).select("held", "label", "x")
 
 
-def quantile_edges(rows: DataFrame, bins: int) -> list[np.ndarray]:
-    """Per feature, the values (rounded down to the grid) at the ``bins`` - 1 inner quantiles of all rows."""
-    values = rows.select(F.posexplode("x").alias("k", "x")).select("k", F.floor(F.col("x") * GRID).alias("v"))
-    up_to = Window.partitionBy("k").orderBy("v")
-    ranked = values.groupBy("k", "v").agg(F.count("*").alias("n")).select(
-        "k", "v", "n", F.sum("n").over(up_to).alias("upto"), F.sum("n").over(Window.partitionBy("k")).alias("total"))
-    found = ranked.filter(f"least(upto * {bins} div total, {bins - 1}) > (upto - n) * {bins} div total").select("k", "v").toArrow()
-    k, v = (found[c].to_numpy() for c in ("k", "v"))
-    return [np.sort(v[k == i]) / GRID for i in range(len(FEATURES))]
+def quantile_edges(rows: DataFrame, bins: int, n_rows: int) -> list[np.ndarray]:
+    """Per feature, the ``bins`` - 1 inner quantiles of all rows, as ``np.quantile`` has them (between two values, linear)."""
+    place = (n_rows - 1) * np.linspace(0, 1, bins + 1)[1:-1]
+    below = np.floor(place).astype(np.int64)
+    above = np.minimum(below + 1, n_rows - 1)
+    ranks = F.array(*(F.lit(int(r)) for r in np.union1d(below, above)))
+    counts = rows.select(F.posexplode("x").alias("k", "v")).groupBy("k", "v").agg(F.count("*").alias("n"))
+    ranked = counts.select("k", "v", "n", F.sum("n").over(Window.partitionBy("k").orderBy("v")).alias("upto"))
+    asked = F.exists(ranks, lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+    found = ranked.filter(asked).select("k", "v", "upto").orderBy("k", "v").toArrow()  # two values a quantile at most
+    k, v, upto = (found[c].to_numpy() for c in ("k", "v", "upto"))
+    edges, share = [], place - below
+    for i in range(len(FEATURES)):
+        own, ends = v[k == i], upto[k == i]
+        lo, hi = (own[np.searchsorted(ends, r, side="right")] for r in (below, above))
+        edges.append(np.unique(np.where(share < 0.5, lo + (hi - lo) * share, hi - (hi - lo) * (1 - share))))
+    return edges
 
 
 def binned_rows(rows: DataFrame, trees: BoostedTrees, n_rows: int) -> DataFrame:
@@ -393,7 +400,7 @@ def fit_selector(docs: DataFrame, precision: float = PRECISION) -> Selector | No
         return None
     n_train = counts[False, True] + counts[False, False]
     trees = BoostedTrees()
-    trees.edges = quantile_edges(rows.filter("not held"), trees.bins)
+    trees.edges = quantile_edges(rows.filter("not held"), trees.bins, n_train)
     binned = materialise(binned_rows(rows, trees, sum(counts.values())), "pii_binned")
     boosted(binned.filter("not held").select("bins", "n", "positive"), trees, counts[False, True] / n_train, n_train)
     told = score_counts(binned.filter("held").select("bins", "n", "positive"), trees)
