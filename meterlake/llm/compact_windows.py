@@ -41,10 +41,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
+from meterlake.llm.common import SLICE_BYTES, gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
 from meterlake.llm.graph import components
 from meterlake.sources.files import remove
 
@@ -55,49 +56,54 @@ FUNCTIONS = 8
 ENOUGH = 2
 SHARED = 2
 TURNS = 2
+SHIFTS = 4
 
 RESULT = "doc_id long, n_words long, n_passages long, passage_words long, passages string, class_id long"
 
 
 def cartesian_windows(values: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(l, c, r) of the Cartesian-tree nodes of every sequence that span at least ``least`` places, r exclusive.
+    """(place, start, stretches): the Cartesian-tree nodes of every sequence that span at least ``least`` places.
 
-    All trees grow at once: a round finds the lowest place of every open span
-    and opens the spans on both sides that are long enough. Equal values: the
-    left one is lower.
+    A node spans that many places if and only if it is the lowest of a stretch
+    of that length, so the nodes are the minima of a sliding stretch. A node is
+    told with the stretches it is the lowest of: the first one's start and how
+    many follow each other. Equal values: the left one is lower, and stretches
+    in a row with an equal minimum are one node.
     """
+    none = np.zeros(0, np.int64)
+    if len(values) < least:
+        return none, none, none
     place_bits = np.uint64(24)
     mask = (np.uint64(1) << place_bits) - np.uint64(1)
-    lo, hi = first[:-1], first[1:]
-    wide = hi - lo >= least
-    lo, hi = lo[wide], hi[wide]
-    found = []
-    keys = values & ~mask | np.arange(len(values), dtype=np.uint64) & mask
-    keys = np.append(keys, np.uint64(0))
-    while len(lo):
-        lowest = np.minimum.reduceat(keys, np.stack([lo, hi], 1).ravel())[::2] & mask
-        c = lo + ((lowest.astype(np.int64) - lo) & int(mask))
-        found.append((lo, c, hi))
-        lo, hi = np.concatenate([lo, c + 1]), np.concatenate([c, hi])
-        wide = hi - lo >= least
-        lo, hi = lo[wide], hi[wide]
-        order = np.argsort(lo)
-        lo, hi = lo[order], hi[order]
-    if not found:
-        none = np.zeros(0, np.int64)
+    low = values & ~mask | np.arange(len(values), dtype=np.uint64) & mask
+    step = 1
+    while 2 * step <= least:
+        low = np.minimum(low[:-step], low[step:])
+        step *= 2
+    if step < least:
+        low = np.minimum(low[:step - least], low[least - step:])
+    count = np.maximum(np.diff(first) - least + 1, 0)
+    starts = gather_ragged(first[:-1], count)
+    if not len(starts):
         return none, none, none
-    return tuple(np.concatenate(x) for x in zip(*found))
+    low = low[starts]
+    new = np.append(True, low[1:] >> place_bits != low[:-1] >> place_bits)
+    new[(np.cumsum(count) - count)[count > 0]] = True
+    new = np.flatnonzero(new)
+    start = starts[new]
+    place = start + (((low[new] & mask).astype(np.int64) - start) & int(mask))
+    return place, start, np.diff(np.append(new, len(starts)))
 
 
 def signature_windows(h: np.ndarray, first: np.ndarray, functions: int, least: int) -> tuple[np.ndarray, ...]:
-    """(function, l, c, r, signature) of all compact windows of all sequences."""
+    """(function, place, start, stretches, signature) of all compact windows of all sequences."""
     out = []
     for f in range(functions):
         with np.errstate(over="ignore"):
             values = mix(h + np.uint64(0x632BE59BD9B4E019) * np.uint64(2 * f + 1))
-        lo, c, hi = cartesian_windows(values, first, least)
+        c, start, stretches = cartesian_windows(values, first, least)
         with np.errstate(over="ignore"):
-            out.append((np.full(len(c), f), lo, c, hi, mix(values[c] + np.uint64(f))))
+            out.append((np.full(len(c), f), c, start, stretches, mix(values[c] + np.uint64(f))))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -108,16 +114,9 @@ def shingles(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return h, bounds, np.diff(first)
 
 
-def covered(lo: np.ndarray, hi: np.ndarray, function: np.ndarray, n: int, enough: int) -> np.ndarray:
-    """Places 0..n-1 that windows of at least ``enough`` functions cover."""
-    count = np.zeros(n, np.int64)
-    for f in np.unique(function):
-        mine = function == f
-        step = np.zeros(n + 1, np.int64)
-        np.add.at(step, lo[mine], 1)
-        np.add.at(step, hi[mine], -1)
-        count += np.cumsum(step)[:-1] > 0
-    return count >= enough
+def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """How many of the ranges hold each place 0..n-1."""
+    return np.cumsum(np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1))[:n]
 
 
 def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -143,6 +142,27 @@ def distinct_in_windows(before: np.ndarray, flags: np.ndarray, width: int) -> np
     return np.cumsum(step)[:-1]
 
 
+def aligned(x: np.ndarray, y: np.ndarray, before_x: np.ndarray, size_x: np.ndarray, size_y: np.ndarray, width: int,
+            similarity: float) -> np.ndarray:
+    """Starts in x whose stretch is near the one of y at one of the most frequent shifts; a value counts at its first places."""
+    near = np.zeros(len(size_x), bool)
+    place_y = np.full(max(x.max(), y.max()) + 1, -1)
+    place_y[y[::-1]] = np.arange(len(y))[::-1]
+    i = np.flatnonzero((before_x < 0) & (place_y[x] >= 0))
+    shifts, count = np.unique(place_y[x[i]] - i, return_counts=True)
+    for d in shifts[np.argsort(-count, kind="stable")[:SHIFTS]].tolist():
+        a, b = max(0, -d), min(len(size_x), len(size_y) - d)
+        if a >= b:
+            continue
+        j = place_y[x[i]] - d
+        lo, hi = np.maximum(np.maximum(i, j) - width + 1, a), np.minimum(np.minimum(i, j) + 1, b)
+        real = lo < hi
+        step = np.bincount(lo[real], minlength=b + 1) - np.bincount(hi[real], minlength=b + 1)
+        both = np.cumsum(step)[a:b]
+        near[a:b] |= both >= similarity * (size_x[a:b] + size_y[a + d:b + d] - both) - 1e-9
+    return near
+
+
 def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float) -> np.ndarray:
     """Places of p inside a stretch of ``width`` shingles that has the similarity to any stretch of that length of q."""
     flags = np.zeros(len(p), bool)
@@ -156,8 +176,11 @@ def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float)
     size_x = distinct_in_windows(before_x, np.ones(len(x), bool), width)
     size_y = distinct_in_windows(before_y, np.ones(len(y), bool), width)
     known = distinct_in_windows(before_x, in_q[x], width)
-    starts = np.flatnonzero(known >= similarity * size_x - 1e-9)
-    mark, told = np.zeros(len(values), bool), {}
+    # no partner stretch has fewer distinct shingles than the least, nor than those shared
+    least = np.maximum(similarity * size_x, similarity / (1 + similarity) * (size_x + size_y.min()))
+    starts = np.flatnonzero(known >= least - 1e-9)
+    sure = aligned(x, y, before_x, size_x, size_y, width, similarity)[starts]
+    mark, told = np.zeros(len(values), bool), dict.fromkeys(np.flatnonzero(sure).tolist(), True)
 
     def near(k: int) -> bool:
         if k not in told:
@@ -182,6 +205,59 @@ def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float)
     return flags
 
 
+def widened(runs: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """The places of stretches of ``width`` places that start in the runs, as few ranges."""
+    out: list[tuple[int, int]] = []
+    for a, b in runs:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], b + width - 1)
+        else:
+            out.append((a, b + width - 1))
+    return out
+
+
+def packed(start: np.ndarray, stretches: np.ndarray, function: np.ndarray) -> np.ndarray:
+    """A window's stretches and function (under 32) as one number."""
+    return start << 32 | stretches << 5 | function
+
+
+def unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first stretch, the last one's follower, function) of ``packed`` windows."""
+    start = at >> 32
+    return start, start + ((at & 0xFFFFFFFF) >> 5), at & 31
+
+
+def shared(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows whose key several nodes have, those keys)."""
+    if not len(keys):
+        return np.zeros(0, bool), keys
+    order = np.argsort(keys)
+    heads = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
+    several = np.minimum.reduceat(nodes[order], heads) != np.maximum.reduceat(nodes[order], heads)
+    known = np.zeros(len(keys), bool)
+    known[order] = np.repeat(several, np.diff(np.append(heads, len(keys))))
+    return known, keys[order][heads[several]]
+
+
+def pieces(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of at most ``max_bytes`` of shingles, or one row."""
+    for batch in batches:
+        total = np.cumsum(pc.binary_length(batch.column("shingles")).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(total):
+            base = total[first - 1] if first else 0
+            end = max(int(np.searchsorted(total, base + max_bytes, side="right")), first + 1)
+            # a copy, so that offsets begin at 0
+            yield batch.take(pa.array(np.arange(first, end)))
+            first = end
+
+
+def numbers(blobs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the 64-bit numbers of all blobs, the first of each blob)."""
+    first = np.concatenate([[0], np.cumsum(pc.binary_length(blobs).to_numpy(zero_copy_only=False).astype(np.int64) // 8)])
+    return np.frombuffer(b"".join(blobs.to_pylist()), np.uint64), first
+
+
 def discard(written: DataFrame) -> None:
     """Delete a table of ``materialise`` that nothing reads any more."""
     for folder in {f.rpartition("/")[0] for f in written.inputFiles()}:
@@ -196,113 +272,199 @@ class NearPassages:
         self.similarity, self.functions, self.enough, self.shingle = similarity, functions, enough, shingle
         self.width = max(1, passage - shingle + 1)
         self.docs = docs.withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
-        self.texts = self.docs.select("node", "text").dropDuplicates(["node"])
+        self.texts = self.docs.select("node", "text")
 
     def signatures(self) -> DataFrame:
-        """(node, signature, known) of every compact window; known: another text of the slice has the signature.
+        """(key, node, signature, at) of every compact window; at: its stretches and function.
 
-        For each signature a slice knows, one row without a node tells the rest of the table.
+        The key is the signature; if another text of the slice has it, the
+        signature is told apart, the key is one for the text, and a row without a
+        node, one for each such signature and slice, tells the rest of the table.
         """
         functions, width, words = self.functions, self.width, self.shingle
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for nodes, texts in slices(batches):
                 h, first, _ = shingles(texts, words)
-                _, _, c, _, signature = signature_windows(h, first, functions, width)
+                f, c, start, stretches, signature = signature_windows(h, first, functions, width)
+                order = np.argsort(c)  # rows of a text lie together, so that they are written small
+                f, c, start, stretches, signature = (v[order] for v in (f, c, start, stretches, signature))
                 doc = np.searchsorted(first, c, side="right") - 1
-                order = np.lexsort((doc, signature))
-                doc, signature = doc[order], signature[order]
-                other = np.append(True, signature[1:] != signature[:-1])[:len(doc)]
-                new = other | np.append(True, doc[1:] != doc[:-1])[:len(doc)]
-                doc, signature, other = doc[new], signature[new], other[new]
-                heads = np.flatnonzero(other)
-                again = np.diff(np.append(heads, len(doc))) > 1
-                known = np.repeat(again, np.diff(np.append(heads, len(doc))))
-                told = signature[heads[again]]
+                node = nodes.to_numpy()[doc]
+                known, told = shared(signature, node)
+                with np.errstate(over="ignore"):
+                    key = np.where(known, mix(signature ^ mix(node.view(np.uint64))), signature)
+                n = len(told)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([nodes.take(pa.array(doc)), pa.nulls(len(told), pa.int64())]),
-                     pa.array(np.concatenate([signature, told]).view(np.int64)),
-                     pa.array(np.concatenate([known, np.ones(len(told), bool)]))],
-                    names=["node", "signature", "known"])
+                    [pa.array(np.concatenate([key, told]).view(np.int64)),
+                     pa.concat_arrays([pa.array(node), pa.nulls(n, pa.int64())]),
+                     pa.concat_arrays([pa.array(signature.view(np.int64), mask=~known), pa.nulls(n, pa.int64())]),
+                     pa.concat_arrays([pa.array(packed(start - first[doc], stretches, f)), pa.nulls(n, pa.int64())])],
+                    names=["key", "node", "signature", "at"])
 
-        return self.texts.mapInArrow(run, "node long, signature long, known boolean")
+        return self.texts.mapInArrow(run, "key long, node long, signature long, at long")
 
     def recurring(self, windows: DataFrame) -> DataFrame:
-        """(node, signature) of the signatures that several texts have.
+        """(node, signature, at) of the windows whose signature several texts have.
 
         One exchange: a window known to recur goes anywhere, so a signature's
-        group holds at most one row of each slice that has it once, or twice
-        and more.
+        group holds at most one text of each slice, and a row if it has more.
         """
-        home = F.when(F.col("known") & F.col("node").isNotNull(), F.xxhash64("node", "signature")).otherwise(F.col("signature"))
-        rows = F.sum(F.when(F.col("known"), 2).otherwise(1)).over(Window.partitionBy("home", "signature"))
-        return (windows.withColumn("home", home).withColumn("rows", rows)
-                .filter("rows > 1 and node is not null").select("node", "signature"))
+        group = Window.partitionBy("key")
+        return (windows.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group))
+                .withColumn("rows", F.count("*").over(group)).withColumn("own", F.count("node").over(group))
+                .filter("node is not null and (signature is not null or lo != hi or rows > own)")
+                .select("node", F.coalesce("signature", "key").alias("signature"), "at"))
 
-    def candidates(self, kept: DataFrame) -> DataFrame:
-        """(passage, node, start, shingles, signatures, places): stretches covered by kept windows of enough functions."""
-        functions, width, words, enough = self.functions, self.width, self.shingle, self.enough
-        lists = kept.groupBy("node").agg(F.collect_set("signature").alias("kept"))
-        texts = self.texts.join(lists, "node")
+    def stretched(self, kept: DataFrame) -> DataFrame:
+        """(node, windows, spans): texts with stretches in which kept windows of enough functions are lowest."""
+        width, enough = self.width, self.enough
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for nodes, texts, lists in slices(batches):
+            for batch in batches:
+                lists = batch.column("windows")
+                cuts = lists.offsets.to_numpy().tolist()
+                start, end, f = unpacked(lists.values.field("at").to_numpy())
+                spans = []
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    # a function's windows share no stretch, so a count of windows is one of functions
+                    own, stop = np.unique(np.stack([f[a:b], start[a:b], end[a:b]], 1), axis=0)[:, 1:].T
+                    runs = runs_of(covered(own, stop, int(stop.max())) >= enough)
+                    spans.append([{"start": s, "end": e} for s, e in widened(runs, width)])
+                some = pa.array([len(x) > 0 for x in spans], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node"), lists, pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                    names=["node", "windows", "spans"]).filter(some)
+
+        lists = kept.groupBy("node").agg(F.collect_list(F.struct("signature", "at")).alias("windows"))
+        return lists.mapInArrow(run, "node long, windows array<struct<signature:long,at:long>>, "
+                                     "spans array<struct<start:long,end:long>>")
+
+    def candidates(self, found: DataFrame) -> DataFrame:
+        """(node, windows, spans, shingles): the stretched texts with the shingles of their spans, one after the other."""
+        words = self.shingle
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for nodes, texts, windows, spans in slices(batches):
                 h, first, _ = shingles(texts, words)
-                f, lo, c, hi, signature = signature_windows(h, first, functions, width)
-                doc = np.searchsorted(first, c, side="right") - 1
-                order = np.argsort(doc, kind="stable")
-                cuts = np.searchsorted(doc[order], np.arange(len(texts) + 1))
-                out = {k: [] for k in ("node", "start", "shingles", "signatures", "places")}
-                for d, (node, known) in enumerate(zip(nodes.to_pylist(), lists)):
-                    mine = order[cuts[d]:cuts[d + 1]]
-                    mine = mine[np.isin(signature[mine].view(np.int64), known.values.to_numpy())]
-                    base = first[d]
-                    a, b = lo[mine] - base, hi[mine] - base
-                    flags = covered(a, b, f[mine], int(first[d + 1] - base), enough)
-                    for s, e in runs_of(flags):
-                        if e - s < width:
-                            continue
-                        inside = (c[mine] - base >= s) & (c[mine] - base < e)
-                        out["node"].append(node)
-                        out["start"].append(s)
-                        out["shingles"].append(h[base + s:base + e].tobytes())
-                        out["signatures"].append(signature[mine][inside].view(np.int64).tolist())
-                        out["places"].append((c[mine] - base)[inside].tolist())
+                parts = [b"".join(h[base + s["start"]:base + s["end"]].tobytes() for s in own)
+                         for base, own in zip(first.tolist(), spans.to_pylist())]
+                yield pa.RecordBatch.from_arrays([nodes, windows, spans, pa.array(parts, pa.binary())],
+                                                 names=["node", "windows", "spans", "shingles"])
+
+        texts = self.texts.join(found.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        return (texts.join(found, "node").select("node", "text", "windows", "spans")
+                .mapInArrow(run, ", ".join(["node long", *(f"{c} {found.schema[c].dataType.simpleString()}"
+                                                           for c in ("windows", "spans")), "shingles binary"])))
+
+    def single(self, stretched: DataFrame) -> DataFrame:
+        """(node, place) of the shingles that one text's spans have only; places count over the text's spans."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches):
+                h, first = numbers(batch.column("shingles"))
+                size = np.diff(first)
+                node = np.repeat(batch.column("node").to_numpy(), size)
+                known, told = shared(h, node)
+                place, n = gather_ragged(np.zeros(len(size), np.int64), size), len(told)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.array(node[~known]), pa.nulls(n, pa.int64())]),
+                     pa.array(np.concatenate([h[~known], told]).view(np.int64)),
+                     pa.array(np.concatenate([place[~known], np.zeros(n, np.int64)]).astype(np.int32))],
+                    names=["node", "shingle", "place"])
+
+        group = Window.partitionBy("shingle")
+        return (stretched.select("node", "shingles").mapInArrow(run, "node long, shingle long, place int")
+                .withColumn("single", (F.min("node").over(group) == F.max("node").over(group))
+                            & (F.count("*").over(group) == F.count("node").over(group)))
+                .filter("single").select("node", "place"))
+
+    def passages(self, stretched: DataFrame, single: DataFrame) -> DataFrame:
+        """(passage, node, start, shingles, signatures, from, to): stretches that have what a near duplicate has.
+
+        Windows of enough functions are lowest there, and so many of its
+        distinct shingles also lie in another text's spans as the similarity asks for.
+        from, to: the places of all stretches a window is lowest in.
+        """
+        width, enough, similarity = self.width, self.enough, self.similarity
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches):
+                h, first = numbers(batch.column("shingles"))
+                lists = batch.column("windows")
+                cuts, flat = lists.offsets.to_numpy().astype(np.int64), lists.values
+                w_start, w_end, w_f = unpacked(flat.field("at").to_numpy())
+                signature = flat.field("signature").to_numpy()
+                out = {k: [] for k in ("node", "start", "shingles", "signatures", "from", "to")}
+                for d, (node, spans, own) in enumerate(zip(batch.column("node").to_pylist(), batch.column("spans").to_pylist(),
+                                                           batch.column("single"))):
+                    values = h[first[d]:first[d + 1]]
+                    in_other = np.ones(len(values), bool)
+                    if own.is_valid:
+                        in_other[own.values.to_numpy()] = False
+                    mine = slice(cuts[d], cuts[d + 1])
+                    at, end, told = w_start[mine], w_end[mine], signature[mine]
+                    functions = np.unique(np.stack([w_f[mine], at, end], 1), axis=0)
+                    enough_here = covered(functions[:, 1], functions[:, 2], int(end.max()) + 1) >= enough
+                    base = 0
+                    for s in spans:
+                        n = s["end"] - s["start"]
+                        x, there = values[base:base + n], in_other[base:base + n]
+                        base += n
+                        before = places_before(np.unique(x, return_inverse=True)[1])
+                        size = distinct_in_windows(before, np.ones(n, bool), width)
+                        good = distinct_in_windows(before, there, width) >= similarity * size - 1e-9
+                        good &= np.resize(enough_here[s["start"]:s["start"] + len(good)], len(good))
+                        for a, b in widened(runs_of(good), width):
+                            lo, hi = s["start"] + a, s["start"] + b
+                            inside = np.flatnonzero((at < hi - width + 1) & (end > lo))
+                            out["node"].append(node)
+                            out["start"].append(lo)
+                            out["shingles"].append(x[a:b].tobytes())
+                            out["signatures"].append(told[inside])
+                            out["from"].append(np.maximum(at[inside], lo))
+                            out["to"].append(np.minimum(end[inside] + width - 1, hi))
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                     [("node", pa.int64()), ("start", pa.int64()), ("shingles", pa.binary()),
-                     ("signatures", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))]))
+                     *((k, pa.list_(pa.int64())) for k in ("signatures", "from", "to"))]))
 
-        found = texts.select("node", "text", "kept").mapInArrow(
-            run, "node long, start long, shingles binary, signatures array<long>, places array<long>")
+        lists = single.groupBy("node").agg(F.collect_list("place").alias("single"))
+        found = stretched.join(lists, "node", "left").mapInArrow(
+            run, "node long, start long, shingles binary, signatures array<long>, from array<long>, to array<long>")
         return found.select(F.xxhash64("node", "start").alias("passage"), "*")
 
     def members(self, passages: DataFrame, found: DataFrame) -> DataFrame:
         """(passage, node, label, rank, signature, open): a signature is open with a place in no confirmed stretch."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                out = {k: [] for k in ("passage", "node", "label", "rank", "signature", "open")}
-                for r in batch.to_pylist():
-                    is_open: dict[int, bool] = {}
-                    spans = sorted((x["start"], x["end"]) for x in r["spans"] or ())
-                    ends = np.maximum.accumulate(np.array([e for _, e in spans], np.int64)) if spans else None
-                    at = np.searchsorted([a for a, _ in spans], r["places"], side="right") - 1
-                    for signature, place, k in zip(r["signatures"], r["places"], at.tolist()):
-                        outside = k < 0 or place >= ends[k]
-                        is_open[signature] = is_open.get(signature, False) or bool(outside)
-                    n = len(is_open)
-                    for name, value in (("passage", r["passage"]), ("node", r["node"]), ("label", r["label"]), ("rank", n)):
-                        out[name] += [value] * n
-                    out["signature"] += is_open.keys()
-                    out["open"] += is_open.values()
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                    [(k, pa.int64()) for k in ("passage", "node", "label", "rank", "signature")] + [("open", pa.bool_())]))
+                lists = batch.column("signatures")
+                n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                signature = lists.flatten().to_numpy()
+                row = np.repeat(np.arange(len(n)), n)
+                lo, hi = (batch.column(k).flatten().to_numpy() + (row << 32) for k in ("from", "to"))
+                spans = pc.fill_null(batch.column("spans"), [])
+                at = np.repeat(np.arange(len(n)), pc.list_value_length(spans).to_numpy(zero_copy_only=False)) << 32
+                begin, end = (spans.flatten().field(k).to_numpy() + at for k in ("start", "end"))
+                order = np.argsort(begin)
+                begin, end = begin[order], np.maximum.accumulate(end[order])
+                heads = np.flatnonzero(np.append(True, begin[1:] > end[:-1])[:len(begin)])
+                begin, end = np.append(-1, begin[heads]), np.append(-1, end[np.append(heads[1:], len(end)) - 1] if len(heads) else end)
+                is_open = end[np.searchsorted(begin, lo, side="right") - 1] < hi
+                order = np.lexsort((signature, row))
+                signature, row, is_open = signature[order], row[order], is_open[order]
+                heads = np.flatnonzero(np.append(True, (signature[1:] != signature[:-1]) | (row[1:] != row[:-1]))[:len(row)])
+                rank = np.bincount(row[heads], minlength=len(n))
+                at = row[heads]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).take(pa.array(at)) for k in ("passage", "node", "label")), pa.array(rank[at]),
+                     pa.array(signature[heads]), pa.array(np.maximum.reduceat(is_open, heads) if len(heads) else is_open)],
+                    names=["passage", "node", "label", "rank", "signature", "open"])
 
         spans = found.groupBy("passage").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
         links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         labels = components(links).withColumnRenamed("node", "of_node")
-        return (passages.select("passage", "node", "signatures", "places").join(spans, "passage", "left")
+        return (passages.select("passage", "node", "signatures", "from", "to").join(spans, "passage", "left")
                 .join(labels, F.col("node") == F.col("of_node"), "left")
-                .select("passage", "node", F.coalesce("label", "node").alias("label"), "signatures", "places", "spans")
+                .select("passage", "node", F.coalesce("label", "node").alias("label"), "signatures", "from", "to", "spans")
                 .mapInArrow(run, "passage long, node long, label long, rank long, signature long, open boolean"))
 
     def unsettled(self, members: DataFrame) -> DataFrame:
@@ -313,36 +475,52 @@ class NearPassages:
                 .filter("one != two and (lo != hi or any)").select("signature"))
         return members.join(some, "signature", "left_semi")
 
+    def merged(self, members: DataFrame) -> DataFrame:
+        """The members with signatures of the same passages as one, which is open with any of them."""
+        same = members.groupBy("signature").agg(F.xxhash64(
+            F.count("*"), F.bit_xor(F.xxhash64("passage")), F.bit_xor(F.xxhash64("passage", F.lit(1)))).alias("of_all"))
+        return (members.join(same, "signature").groupBy("passage", "node", "label", "rank", F.col("of_all").alias("signature"))
+                .agg(F.max("open").alias("open")))
+
     def double(self, members: DataFrame, passages: DataFrame) -> DataFrame:
         """The members' signatures joined to pairs of different functions that one stretch can hold, as members."""
         functions, width = self.functions, self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for r in batch.to_pylist():
-                    own = {x["signature"]: x["open"] for x in r["own"]}
-                    h = np.frombuffer(r["shingles"], np.uint64)
-                    f, lo, c, hi, signature = signature_windows(h, np.array([0, len(h)]), functions, width)
-                    mine = np.flatnonzero(np.isin(signature.view(np.int64), np.fromiter(own, np.int64, len(own))))
-                    mine = mine[np.argsort(c[mine], kind="stable")]
-                    f, lo, c, hi, signature = (v[mine] for v in (f, lo, c, hi, signature))
-                    after = np.searchsorted(c, c + width) - np.arange(len(c)) - 1  # places of one stretch, the later ones
-                    x = np.repeat(np.arange(len(c)), after)
-                    y = gather_ragged(np.arange(len(c)) + 1, after)
-                    left, right = np.maximum(lo[x], lo[y]), np.minimum(hi[x], hi[y])
-                    real = (f[x] != f[y]) & (right - left >= width) & (left <= c[x]) & (c[y] < right)
-                    x, y = x[real], y[real]
-                    is_open = np.array([own[k] for k in signature.view(np.int64).tolist()], bool)
-                    is_open = is_open[x] | is_open[y]
-                    low, high = np.minimum(signature[x], signature[y]), np.maximum(signature[x], signature[y])
-                    with np.errstate(over="ignore"):
-                        keys = mix(mix(low) + high).view(np.int64)
-                    keys, at = np.unique(keys, return_inverse=True)
-                    n = len(keys)
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array([r[k]] * n, pa.int64()) for k in ("passage", "node", "label", "rank")),
-                         pa.array(keys), pa.array(np.bincount(at, is_open, n) > 0)],
-                        names=["passage", "node", "label", "rank", "signature", "open"])
+            for batch in pieces(batches):
+                h, first = numbers(batch.column("shingles"))
+                lists = batch.column("own")
+                n_own = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                own, own_open = (lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("signature", "open"))
+                f, c, start, stretches, signature = signature_windows(h, first, functions, width)
+                row = np.searchsorted(first, start, side="right") - 1
+                # a passage's windows are those of its members
+                codes = np.unique(np.concatenate([own, signature.view(np.int64)]), return_inverse=True)[1].reshape(-1)
+                codes = codes * len(n_own) + np.concatenate([np.repeat(np.arange(len(n_own)), n_own), row])
+                order = np.argsort(codes[:len(own)])
+                at = np.searchsorted(codes[order], codes[len(own):])
+                at = order[np.minimum(at, max(len(order) - 1, 0))] if len(order) else at
+                mine = np.flatnonzero(codes[at] == codes[len(own):])
+                mine = mine[np.argsort(start[mine], kind="stable")]
+                f, start, stretches, signature, row = (v[mine] for v in (f, start, stretches, signature, row))
+                is_open = own_open[at[mine]].astype(bool)
+                after = np.searchsorted(start, start + stretches) - np.arange(len(start)) - 1  # lowest of one stretch
+                x = np.repeat(np.arange(len(start)), after)
+                y = gather_ragged(np.arange(len(start)) + 1, after)
+                real = f[x] != f[y]
+                x, y = x[real], y[real]
+                low, high = np.minimum(signature[x], signature[y]), np.maximum(signature[x], signature[y])
+                with np.errstate(over="ignore"):
+                    keys = mix(mix(low) + high)
+                order = np.lexsort((keys, row[x]))
+                keys, at, is_open = keys[order], row[x][order], (is_open[x] & is_open[y])[order]
+                heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (at[1:] != at[:-1]))[:len(keys)])
+                any_open = np.maximum.reduceat(is_open, heads) if len(heads) else is_open
+                at = pa.array(at[heads])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).take(at) for k in ("passage", "node", "label", "rank")),
+                     pa.array(keys[heads].view(np.int64)), pa.array(any_open)],
+                    names=["passage", "node", "label", "rank", "signature", "open"])
 
         own = members.groupBy("passage", "node", "label", "rank").agg(
             F.collect_list(F.struct("signature", "open")).alias("own"))
@@ -400,7 +578,10 @@ class NearPassages:
 
     def stretches(self) -> DataFrame:
         """(node, other, start, end) of all confirmed near-duplicate stretches."""
-        passages = materialise(self.candidates(self.recurring(self.signatures())), "passages")
+        found = self.stretched(self.recurring(self.signatures()))
+        stretched = materialise(self.candidates(materialise(found, "spans")), "stretched")
+        passages = materialise(self.passages(stretched, self.single(stretched)), "passages")
+        discard(stretched)
         found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
         tried = members = doubles = None
         for turn in range(TURNS + 2):
@@ -415,7 +596,7 @@ class NearPassages:
                 discard(whole)
             if turn >= TURNS and doubles is None:
                 whole = materialise(self.double(members, passages), "doubles")
-                doubles = materialise(self.unsettled(whole), "open-doubles")
+                doubles = materialise(self.merged(self.unsettled(whole)), "open-doubles")
                 discard(whole)
             if turn <= TURNS:
                 pairs = self.leader_pairs(members if turn < TURNS else doubles, turn, 1 if turn == TURNS else SHARED)
@@ -444,13 +625,17 @@ class NearPassages:
         of_node = copies.join(named, "label").join(lists, "node", "left").select("node", "copies", "class_id", "spans")
         passage = self.width + tail
 
+        def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                text = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
+                n = pc.count_substring_regex(text, r"[^\x20\x09-\x0D]+")
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), n.cast(pa.int64())],
+                                                 names=["doc_id", "node", "n_words"])
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for keys, texts, copies, classes, spans in slices(batches):
-                _, _, first = split_words(texts, lower=True)
-                size = np.diff(first)
+            for batch in batches:
                 told, counts, words, class_ids = [], [], [], []
-                for n, k, label, own, doc in zip(size.tolist(), copies.to_pylist(), classes.to_pylist(),
-                                                 spans.to_pylist(), keys.to_pylist()):
+                for doc, n, k, label, own in zip(*(c.to_pylist() for c in batch.columns)):
                     whole = (k or 0) > 1 and n >= passage
                     merged: list[list[int]] = [[0, n]] if whole else []
                     for s in () if whole else own or ():
@@ -463,12 +648,12 @@ class NearPassages:
                     words.append(sum(b - a for a, b in merged))
                     class_ids.append(label if merged else doc)
                 yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(size), pa.array(counts, pa.int64()), pa.array(words, pa.int64()),
+                    [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(words, pa.int64()),
                      pa.array(told, pa.string()), pa.array(class_ids, pa.int64())],
                     names=[c.split()[0] for c in RESULT.split(", ")])
 
-        return (self.docs.join(of_node, "node", "left").select("doc_id", "text", "copies", "class_id", "spans")
-                .mapInArrow(run, RESULT))
+        return (self.docs.select("doc_id", "node", "text").mapInArrow(sizes, "doc_id long, node long, n_words long")
+                .join(of_node, "node", "left").select("doc_id", "n_words", "copies", "class_id", "spans").mapInArrow(run, RESULT))
 
 
 def near_duplicate_passages(df: DataFrame, passage: int = PASSAGE, similarity: float = SIMILARITY, key: str = "doc_id",
