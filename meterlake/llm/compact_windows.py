@@ -5,23 +5,25 @@ Cartesian tree of a sequence's hashes groups all its subsequences by their
 least hash: a node with place c, spanning l to r, is a compact window, and every
 subsequence of l..r that holds c has the signature of c. Windows shorter than a
 passage cannot hold one and are left out, so a document yields few windows per
-function. Equal texts are one document from there on.
+function; the others are the minima of a sliding stretch.
 
-Windows of ``FUNCTIONS`` hash functions are kept where their signature occurs
-again. In a document an interval join finds the stretches that kept windows of
-enough functions cover (``ENOUGH``); these are candidate passages. Two stretches
-of the similarity agree in fewer than two of the eight functions with
-probability 0.2^8 + 8 * 0.8 * 0.2^7 = 8.4e-5; only those are never candidates.
+Windows of ``FUNCTIONS`` hash functions are kept where another text has their
+signature. Stretches of a passage's length in which windows of enough functions
+are lowest (``ENOUGH``) are spans. Two stretches of the similarity agree in fewer
+than two of the eight functions with probability 0.2^8 + 8 * 0.8 * 0.2^7 =
+8.4e-5; only those are never spans. Of these, candidate passages are the
+stretches so many of whose shingles lie in another text's spans as the
+similarity asks for; so a common line in unlike documents is no candidate.
 
 Candidates are compared with leaders of their signatures first, the leader
 being the candidate with the most signatures; so a passage in thousands of
 documents costs a few comparisons for each. A signature stays open while its
-candidates lie in several components or one of its places lies in no
-confirmed stretch. Open signatures are joined to pairs that one stretch can
-hold: two windows of different functions that both hold a whole passage with
-both places. Candidates that share such a pair are compared with its leader,
-and at last all with each other where the pair is still open; no two
-candidates are compared twice.
+candidates lie in several components or a place of its stretches lies in no
+confirmed one. Open signatures are joined to pairs that one stretch can
+hold: windows of different functions that are lowest in the same stretch.
+Candidates that share such a pair are compared with its leader, and at last all
+with each other where the pair is still open; no two candidates are compared
+twice.
 
 Comparison is exact: shingles are matched, and a stretch of ``PASSAGE`` words
 counts if it and any stretch of equal length of the partner have the
@@ -57,6 +59,9 @@ ENOUGH = 2
 SHARED = 2
 TURNS = 2
 SHIFTS = 4
+MEMBER = ["passage", "node", "label", "rank", "loose", "repeats", "signature", "open"]
+MEMBER_TYPES = "passage long, node long, label long, rank long, loose boolean, repeats boolean, signature long, open boolean"
+RANGES = ("from", "to", "plain_from", "plain_to")
 
 RESULT = "doc_id long, n_words long, n_passages long, passage_words long, passages string, class_id long"
 
@@ -379,11 +384,14 @@ class NearPassages:
                 .filter("single").select("node", "place"))
 
     def passages(self, stretched: DataFrame, single: DataFrame) -> DataFrame:
-        """(passage, node, start, shingles, signatures, from, to): stretches that have what a near duplicate has.
+        """(passage, node, start, shingles, repeats, signatures, ranges): stretches that have what a near duplicate has.
 
         Windows of enough functions are lowest there, and so many of its
         distinct shingles also lie in another text's spans as the similarity asks for.
-        from, to: the places of all stretches a window is lowest in.
+        A partner stretch without a shingle twice must have more of them, as it
+        has no fewer distinct ones. Ranges: the places of such stretches in
+        which a window is lowest, for any partner and for one without repeats;
+        -1: none. repeats: some stretch of the passage has a shingle twice.
         """
         width, enough, similarity = self.width, self.enough, self.similarity
 
@@ -394,7 +402,7 @@ class NearPassages:
                 cuts, flat = lists.offsets.to_numpy().astype(np.int64), lists.values
                 w_start, w_end, w_f = unpacked(flat.field("at").to_numpy())
                 signature = flat.field("signature").to_numpy()
-                out = {k: [] for k in ("node", "start", "shingles", "signatures", "from", "to")}
+                out = {k: [] for k in ("node", "start", "shingles", "repeats", "signatures", *RANGES)}
                 for d, (node, spans, own) in enumerate(zip(batch.column("node").to_pylist(), batch.column("spans").to_pylist(),
                                                            batch.column("single"))):
                     values = h[first[d]:first[d + 1]]
@@ -412,35 +420,55 @@ class NearPassages:
                         base += n
                         before = places_before(np.unique(x, return_inverse=True)[1])
                         size = distinct_in_windows(before, np.ones(n, bool), width)
-                        good = distinct_in_windows(before, there, width) >= similarity * size - 1e-9
+                        known = distinct_in_windows(before, there, width)
+                        good = known >= similarity * size - 1e-9
                         good &= np.resize(enough_here[s["start"]:s["start"] + len(good)], len(good))
+                        plain = good & (known >= similarity / (1 + similarity) * (size + width) - 1e-9)
                         for a, b in widened(runs_of(good), width):
                             lo, hi = s["start"] + a, s["start"] + b
                             inside = np.flatnonzero((at < hi - width + 1) & (end > lo))
                             out["node"].append(node)
                             out["start"].append(lo)
                             out["shingles"].append(x[a:b].tobytes())
+                            out["repeats"].append(bool(size[a:b - width + 1].min() < width))
                             out["signatures"].append(told[inside])
-                            out["from"].append(np.maximum(at[inside], lo))
-                            out["to"].append(np.minimum(end[inside] + width - 1, hi))
+                            for names, starts in ((RANGES[:2], good), (RANGES[2:], plain)):
+                                starts = np.flatnonzero(starts[a:b - width + 1]) + lo
+                                starts = np.concatenate([[-width], starts])
+                                k = np.searchsorted(starts, at[inside])
+                                last = np.searchsorted(starts, end[inside]) - 1
+                                none = k > last
+                                k, last = np.minimum(k, len(starts) - 1), np.maximum(last, 0)
+                                out[names[0]].append(np.where(none, -1, starts[k]))
+                                out[names[1]].append(np.where(none, -1, starts[last] + width))
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                    [("node", pa.int64()), ("start", pa.int64()), ("shingles", pa.binary()),
-                     *((k, pa.list_(pa.int64())) for k in ("signatures", "from", "to"))]))
+                    [("node", pa.int64()), ("start", pa.int64()), ("shingles", pa.binary()), ("repeats", pa.bool_()),
+                     *((k, pa.list_(pa.int64())) for k in ("signatures", *RANGES))]))
 
         lists = single.groupBy("node").agg(F.collect_list("place").alias("single"))
         found = stretched.join(lists, "node", "left").mapInArrow(
-            run, "node long, start long, shingles binary, signatures array<long>, from array<long>, to array<long>")
+            run, "node long, start long, shingles binary, repeats boolean, signatures array<long>, "
+                 + ", ".join(f"{k} array<long>" for k in RANGES))
         return found.select(F.xxhash64("node", "start").alias("passage"), "*")
 
     def members(self, passages: DataFrame, found: DataFrame) -> DataFrame:
-        """(passage, node, label, rank, signature, open): a signature is open with a place in no confirmed stretch."""
+        """(passage, node, label, rank, loose, repeats, signature, open): a signature is open with a place in no confirmed stretch.
+
+        Loose members are for partners with repeats; the others are told where a partner without them can be near.
+        """
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 lists = batch.column("signatures")
                 n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
                 signature = lists.flatten().to_numpy()
                 row = np.repeat(np.arange(len(n)), n)
-                lo, hi = (batch.column(k).flatten().to_numpy() + (row << 32) for k in ("from", "to"))
+                ranges = [batch.column(k).flatten().to_numpy() for k in RANGES]
+                loose = np.repeat([True, False], len(row))
+                row, signature = np.tile(row, 2), np.tile(signature, 2)
+                lo, hi = np.concatenate(ranges[::2]), np.concatenate(ranges[1::2])
+                real = lo >= 0
+                loose, row, signature, lo, hi = (v[real] for v in (loose, row, signature, lo, hi))
+                lo, hi = lo + (row << 32), hi + (row << 32)
                 spans = pc.fill_null(batch.column("spans"), [])
                 at = np.repeat(np.arange(len(n)), pc.list_value_length(spans).to_numpy(zero_copy_only=False)) << 32
                 begin, end = (spans.flatten().field(k).to_numpy() + at for k in ("start", "end"))
@@ -449,37 +477,40 @@ class NearPassages:
                 heads = np.flatnonzero(np.append(True, begin[1:] > end[:-1])[:len(begin)])
                 begin, end = np.append(-1, begin[heads]), np.append(-1, end[np.append(heads[1:], len(end)) - 1] if len(heads) else end)
                 is_open = end[np.searchsorted(begin, lo, side="right") - 1] < hi
-                order = np.lexsort((signature, row))
-                signature, row, is_open = signature[order], row[order], is_open[order]
-                heads = np.flatnonzero(np.append(True, (signature[1:] != signature[:-1]) | (row[1:] != row[:-1]))[:len(row)])
+                order = np.lexsort((signature, loose, row))
+                loose, signature, row, is_open = (v[order] for v in (loose, signature, row, is_open))
+                heads = np.flatnonzero(np.append(True, (signature[1:] != signature[:-1]) | (row[1:] != row[:-1])
+                                                 | (loose[1:] != loose[:-1]))[:len(row)])
                 rank = np.bincount(row[heads], minlength=len(n))
                 at = row[heads]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).take(pa.array(at)) for k in ("passage", "node", "label")), pa.array(rank[at]),
+                     pa.array(loose[heads]), batch.column("repeats").take(pa.array(at)),
                      pa.array(signature[heads]), pa.array(np.maximum.reduceat(is_open, heads) if len(heads) else is_open)],
-                    names=["passage", "node", "label", "rank", "signature", "open"])
+                    names=MEMBER)
 
         spans = found.groupBy("passage").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
         links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         labels = components(links).withColumnRenamed("node", "of_node")
-        return (passages.select("passage", "node", "signatures", "from", "to").join(spans, "passage", "left")
+        return (passages.select("passage", "node", "repeats", "signatures", *RANGES).join(spans, "passage", "left")
                 .join(labels, F.col("node") == F.col("of_node"), "left")
-                .select("passage", "node", F.coalesce("label", "node").alias("label"), "signatures", "from", "to", "spans")
-                .mapInArrow(run, "passage long, node long, label long, rank long, signature long, open boolean"))
+                .select("passage", "node", F.coalesce("label", "node").alias("label"), "repeats", "signatures", *RANGES, "spans")
+                .mapInArrow(run, MEMBER_TYPES))
 
     def unsettled(self, members: DataFrame) -> DataFrame:
         """Members of the signatures of several documents that hold several components or an open member."""
-        some = (members.groupBy("signature")
+        some = (members.groupBy("signature", "loose")
                 .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("one"),
-                     F.max("node").alias("two"), F.max("open").alias("any"))
-                .filter("one != two and (lo != hi or any)").select("signature"))
-        return members.join(some, "signature", "left_semi")
+                     F.max("node").alias("two"), F.max("open").alias("any"), F.max("repeats").alias("repeats"))
+                .filter("one != two and (lo != hi or any) and (repeats or not loose)").select("signature", "loose"))
+        return members.join(some, ["signature", "loose"], "left_semi")
 
     def merged(self, members: DataFrame) -> DataFrame:
         """The members with signatures of the same passages as one, which is open with any of them."""
-        same = members.groupBy("signature").agg(F.xxhash64(
-            F.count("*"), F.bit_xor(F.xxhash64("passage")), F.bit_xor(F.xxhash64("passage", F.lit(1)))).alias("of_all"))
-        return (members.join(same, "signature").groupBy("passage", "node", "label", "rank", F.col("of_all").alias("signature"))
+        same = members.groupBy("signature", "loose").agg(F.xxhash64(
+            "loose", F.count("*"), F.bit_xor(F.xxhash64("passage")), F.bit_xor(F.xxhash64("passage", F.lit(1)))).alias("of_all"))
+        return (members.join(same, ["signature", "loose"])
+                .groupBy("passage", "node", "label", "rank", "loose", "repeats", F.col("of_all").alias("signature"))
                 .agg(F.max("open").alias("open")))
 
     def double(self, members: DataFrame, passages: DataFrame) -> DataFrame:
@@ -518,21 +549,21 @@ class NearPassages:
                 any_open = np.maximum.reduceat(is_open, heads) if len(heads) else is_open
                 at = pa.array(at[heads])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(at) for k in ("passage", "node", "label", "rank")),
+                    [*(batch.column(k).take(at) for k in MEMBER[:6]),
                      pa.array(keys[heads].view(np.int64)), pa.array(any_open)],
-                    names=["passage", "node", "label", "rank", "signature", "open"])
+                    names=MEMBER)
 
-        own = members.groupBy("passage", "node", "label", "rank").agg(
+        own = members.groupBy(*MEMBER[:6]).agg(
             F.collect_list(F.struct("signature", "open")).alias("own"))
         return own.join(passages.select("passage", "shingles"), "passage").mapInArrow(
-            run, "passage long, node long, label long, rank long, signature long, open boolean")
+            run, MEMBER_TYPES)
 
     def leader_pairs(self, members: DataFrame, turn: int, shared: int) -> DataFrame:
         """(a, b): passages with a leading passage of another document and enough signatures they share."""
         rank = F.col("rank") if turn % 2 == 0 else F.xxhash64("passage", F.lit(turn))
-        lead = (members.groupBy("signature").agg(F.max(F.struct(rank.alias("rank"), "passage", "open")).alias("lead"))
-                .select("signature", F.col("lead.passage").alias("lead"), F.col("lead.open").alias("lead_open")))
-        pairs = (members.select("signature", "passage", "open").join(lead, "signature").filter("passage != lead")
+        lead = (members.groupBy("signature", "loose").agg(F.max(F.struct(rank.alias("rank"), "passage", "open")).alias("lead"))
+                .select("signature", "loose", F.col("lead.passage").alias("lead"), F.col("lead.open").alias("lead_open")))
+        pairs = (members.select("signature", "loose", "passage", "open").join(lead, ["signature", "loose"]).filter("passage != lead")
                  .select(F.least("passage", "lead").alias("a"), F.greatest("passage", "lead").alias("b"),
                          (F.col("open") | F.col("lead_open")).cast("int").alias("open"))
                  .groupBy("a", "b").agg(F.count("*").alias("all"), F.sum("open").alias("open"))
@@ -547,6 +578,8 @@ class NearPassages:
     def all_pairs(self, members: DataFrame) -> DataFrame:
         """(a, b): passages of different documents that share an open signature, or one of different components."""
         return (members.alias("x").join(members.alias("y"), (F.col("x.signature") == F.col("y.signature"))
+                                        & (F.col("x.loose") == F.col("y.loose"))
+                                        & (~F.col("x.loose") | F.col("x.repeats") | F.col("y.repeats"))
                                         & (F.col("x.passage") < F.col("y.passage")) & (F.col("x.node") != F.col("y.node"))
                                         & ((F.col("x.label") != F.col("y.label")) | F.col("x.open") | F.col("y.open")))
                 .select(F.col("x.passage").alias("a"), F.col("y.passage").alias("b")).distinct())
@@ -585,11 +618,6 @@ class NearPassages:
         found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
         tried = members = doubles = None
         for turn in range(TURNS + 2):
-            if members is None and turn == 0:  # nothing is confirmed: every signature is open
-                members = passages.select("passage", "node", F.col("node").alias("label"),
-                                          F.explode(F.array_distinct("signatures")).alias("signature"),
-                                          F.size(F.array_distinct("signatures")).cast("long").alias("rank"),
-                                          F.lit(True).alias("open"))
             if members is None:  # each is written before it is used twice, and again only after new stretches
                 whole = materialise(self.members(passages, found), "members")
                 members, doubles = materialise(self.unsettled(whole), "open-members"), None
