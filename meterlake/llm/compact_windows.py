@@ -15,15 +15,16 @@ than two of the eight functions with probability 0.2^8 + 8 * 0.8 * 0.2^7 =
 stretches so many of whose shingles lie in another text's spans as the
 similarity asks for; so a common line in unlike documents is no candidate.
 
-Candidates are compared with leaders of their signatures first, the leader
-being the candidate with the most signatures; so a passage in thousands of
-documents costs a few comparisons for each. A signature stays open while its
-candidates lie in several components or a place of its stretches lies in no
-confirmed one. Open signatures are joined to pairs that one stretch can
-hold: windows of different functions that are lowest in the same stretch.
-Candidates that share such a pair are compared with its leader, and at last all
-with each other where the pair is still open; no two candidates are compared
-twice.
+Two near stretches share some of the rarest shingles of each: of those, by the
+number of texts, a candidate has its keys (``prefix_entries``), and candidates that
+share enough keys can be near. A stretch whose rarest shingles are its own
+shares none, and a key of a frequent shingle tells a second one of the same
+stretch; so keys few of whose candidates are near are rare. Candidates are
+compared with the leader of each key first, the candidate with the most keys; so a
+passage in thousands of documents costs a few comparisons for each. Then
+stretches with a place in no confirmed one are compared with all that share
+enough of their keys, and so are candidates of different components; no two candidates
+are compared twice.
 
 Comparison is exact: shingles are matched, and a stretch of ``PASSAGE`` words
 counts if it and any stretch of equal length of the partner have the
@@ -44,11 +45,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import SLICE_BYTES, gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
-from meterlake.llm.graph import components
+from meterlake.llm.graph import checked_broadcast, components
+from meterlake.session import conf_scope
 from meterlake.sources.files import remove
 
 SHINGLE = 5
@@ -57,11 +59,15 @@ SIMILARITY = 0.8
 FUNCTIONS = 8
 ENOUGH = 2
 SHARED = 2
-TURNS = 2
 SHIFTS = 4
-MEMBER = ["passage", "node", "label", "rank", "loose", "repeats", "signature", "open"]
-MEMBER_TYPES = "passage long, node long, label long, rank long, loose boolean, repeats boolean, signature long, open boolean"
-RANGES = ("from", "to", "plain_from", "plain_to")
+BUCKET_BITS = 10
+STARTS = 8192
+BLOCK = 1 << 15
+PAIR_BYTES = 1 << 20
+LONG_WORD = 64
+HOT = 16
+ENTRY = "passage long, node long, rank long, key long, kind int, side boolean"
+FOUND = "passage long, node long, other long, start long, end long"
 
 RESULT = "doc_id long, n_words long, n_passages long, passage_words long, passages string, class_id long"
 
@@ -101,27 +107,68 @@ def cartesian_windows(values: np.ndarray, first: np.ndarray, least: int) -> tupl
 
 
 def signature_windows(h: np.ndarray, first: np.ndarray, functions: int, least: int) -> tuple[np.ndarray, ...]:
-    """(function, place, start, stretches, signature) of all compact windows of all sequences."""
+    """(function, place, start, stretches, signature) of all compact windows of all sequences, some sequences at a time."""
     out = []
-    for f in range(functions):
-        with np.errstate(over="ignore"):
-            values = mix(h + np.uint64(0x632BE59BD9B4E019) * np.uint64(2 * f + 1))
-        c, start, stretches = cartesian_windows(values, first, least)
-        with np.errstate(over="ignore"):
-            out.append((np.full(len(c), f), c, start, stretches, mix(values[c] + np.uint64(f))))
+    cuts = np.unique(np.append(np.searchsorted(first, np.arange(0, int(first[-1]), BLOCK)), len(first) - 1))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        base = int(first[a])
+        for f in range(functions):
+            with np.errstate(over="ignore"):
+                values = mix(h[base:first[b]] + np.uint64(0x632BE59BD9B4E019) * np.uint64(2 * f + 1))
+            c, start, stretches = cartesian_windows(values, first[a:b + 1] - base, least)
+            with np.errstate(over="ignore"):
+                out.append((np.full(len(c), f), c + base, start + base, stretches, mix(values[c] + np.uint64(f))))
+    if not out:
+        return (*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint64))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words by their UTF-8 bytes, eight at a time; of long ones by ``hash_words``."""
+    n = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros(len(n), np.uint64)
+    if not len(n):
+        return out
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(n)].astype(np.int64)
+    text = np.frombuffer(words.buffers()[2], np.uint8)[:at[-1] + n[-1]].tobytes() + bytes(8)
+    eight = np.ndarray(len(text) - 7, "<u8", text, 0, (1,))
+    here = np.flatnonzero(n <= LONG_WORD)
+    for k in range(0, LONG_WORD, 8):
+        here = here[n[here] > k]
+        if not len(here):
+            break
+        spare = np.maximum(k + 8 - n[here], 0).astype(np.uint64) * np.uint64(8)
+        with np.errstate(over="ignore"):
+            out[here] = mix(out[here] * np.uint64(0x9E3779B97F4A7C15) + (eight[at[here] + k] << spare) + np.uint64(1))
+    with np.errstate(over="ignore"):
+        out = mix(out + n.astype(np.uint64))
+    long = np.flatnonzero(n > LONG_WORD)
+    if len(long):
+        out[long] = hash_words(words.take(pa.array(long)))
+    return out
+
+
 def shingles(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shingle hashes, first shingle of each text, words of each text)."""
     codes, vocabulary, first = split_words(texts, lower=True)
-    h, bounds = shingle_hashes(hash_words(vocabulary)[codes], first, words)
+    h, bounds = shingle_hashes(word_hashes(vocabulary)[codes], first, words)
     return h, bounds, np.diff(first)
 
 
-def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-    """How many of the ranges hold each place 0..n-1."""
-    return np.cumsum(np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1))[:n]
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of every text without nulls."""
+    cuts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    if data is None or not len(texts):
+        return np.zeros(len(texts), np.int64)
+    text = np.frombuffer(data, np.uint8)[cuts[0]:cuts[-1]]
+    cuts = cuts - cuts[0]
+    real = (text != 32) & ((text < 9) | (text > 13))
+    new = real.copy()
+    new[1:] &= ~real[:-1]
+    heads = cuts[:-1][np.diff(cuts) > 0]
+    new[heads] = real[heads]
+    return np.diff(np.concatenate([[0], np.cumsum(new)])[cuts])
 
 
 def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -147,78 +194,152 @@ def distinct_in_windows(before: np.ndarray, flags: np.ndarray, width: int) -> np
     return np.cumsum(step)[:-1]
 
 
-def aligned(x: np.ndarray, y: np.ndarray, before_x: np.ndarray, size_x: np.ndarray, size_y: np.ndarray, width: int,
-            similarity: float) -> np.ndarray:
+class Side:
+    """One sequence of each of many pairs, one after the other: common codes, last earlier places, distinct values of each stretch."""
+
+    def __init__(self, codes: np.ndarray, before: np.ndarray, first: np.ndarray, width: int):
+        self.codes, self.before, self.first = codes, before, first
+        self.pair = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        self.start = np.arange(len(codes)) + width <= first[1:][self.pair]
+        self.size = self.padded(distinct_in_windows(before, np.ones(len(codes), bool), width), width)
+        self.size[~self.start] = width
+        self.least = np.minimum.reduceat(self.size, first[:-1])
+        self.starts = np.diff(first) - width + 1
+
+    def padded(self, values: np.ndarray, fill: int) -> np.ndarray:
+        return np.concatenate([values, np.full(len(self.codes) - len(values), fill)])
+
+
+def sides(p: np.ndarray, first_p: np.ndarray, q: np.ndarray, first_q: np.ndarray, width: int) -> tuple[Side, Side]:
+    """The two sides of pairs of sequences; a pair's values have codes of their own."""
+    pair = np.concatenate([np.repeat(np.arange(len(f) - 1), np.diff(f)) for f in (first_p, first_q)])
+    both = mix(np.concatenate([p, q]) ^ mix(pair.astype(np.uint64)))
+    order = np.argsort(both, kind="stable")
+    same = both[order[1:]] == both[order[:-1]]
+    codes, before = np.zeros(len(both), np.int64), np.full(len(both), -1)
+    codes[order[1:]] = np.cumsum(~same)
+    a, b = order[:-1][same], order[1:][same]
+    own = (a < len(p)) == (b < len(p))
+    before[b[own]] = a[own]
+    return (Side(codes[:len(p)], before[:len(p)], first_p, width),
+            Side(codes[len(p):], np.maximum(before[len(p):] - len(p), -1), first_q, width))
+
+
+def aligned(x: Side, y: Side, place: np.ndarray, width: int, similarity: float) -> np.ndarray:
     """Starts in x whose stretch is near the one of y at one of the most frequent shifts; a value counts at its first places."""
-    near = np.zeros(len(size_x), bool)
-    place_y = np.full(max(x.max(), y.max()) + 1, -1)
-    place_y[y[::-1]] = np.arange(len(y))[::-1]
-    i = np.flatnonzero((before_x < 0) & (place_y[x] >= 0))
-    shifts, count = np.unique(place_y[x[i]] - i, return_counts=True)
-    for d in shifts[np.argsort(-count, kind="stable")[:SHIFTS]].tolist():
-        a, b = max(0, -d), min(len(size_x), len(size_y) - d)
-        if a >= b:
-            continue
-        j = place_y[x[i]] - d
-        lo, hi = np.maximum(np.maximum(i, j) - width + 1, a), np.minimum(np.minimum(i, j) + 1, b)
-        real = lo < hi
-        step = np.bincount(lo[real], minlength=b + 1) - np.bincount(hi[real], minlength=b + 1)
-        both = np.cumsum(step)[a:b]
-        near[a:b] |= both >= similarity * (size_x[a:b] + size_y[a + d:b + d] - both) - 1e-9
+    near = np.zeros(len(x.codes), bool)
+    i = np.flatnonzero((place[x.codes] >= 0) & (x.before < 0))
+    of = x.pair[i]
+    j = place[x.codes[i]] - y.first[of]
+    i = i - x.first[of]
+    shifts, count = np.unique(of << 33 | j - i + (1 << 31), return_counts=True)
+    pair, shifts = shifts >> 33, (shifts & (1 << 33) - 1) - (1 << 31)
+    # a near stretch shares no fewer
+    few = similarity / (1 + similarity) * (x.least + y.least)
+    order = np.flatnonzero(count >= few[pair] - 1e-9)
+    order = order[np.lexsort((-count[order], pair[order]))]
+    pair, shifts = pair[order], shifts[order]
+    rank = np.arange(len(pair)) - np.searchsorted(pair, pair)
+    for turn in range(SHIFTS):
+        mine = rank == turn
+        if not mine.any():
+            break
+        d, real = np.zeros(len(x.starts), np.int64), np.zeros(len(x.starts), bool)
+        d[pair[mine]], real[pair[mine]] = shifts[mine], True
+        a, b = np.maximum(0, -d), np.minimum(x.starts, y.starts - d)
+        real &= a < b
+        own = np.flatnonzero(real[of])
+        k, l, m = of[own], i[own], j[own]
+        m = m - d[k]
+        lo, hi = np.maximum(np.maximum(l, m) - width + 1, a[k]), np.minimum(np.minimum(l, m) + 1, b[k])
+        some = lo < hi
+        lo, hi = (lo + x.first[k])[some], (hi + x.first[k])[some]
+        both = np.cumsum(np.bincount(lo, minlength=len(near) + 1) - np.bincount(hi, minlength=len(near) + 1))[:-1]
+        at = np.flatnonzero(both)
+        k, both = x.pair[at], both[at]
+        near[at] |= both >= similarity * (x.size[at] + y.size[at - x.first[k] + d[k] + y.first[k]] - both) - 1e-9
     return near
 
 
-def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float) -> np.ndarray:
-    """Places of p inside a stretch of ``width`` shingles that has the similarity to any stretch of that length of q."""
-    flags = np.zeros(len(p), bool)
-    if len(p) < width or len(q) < width:
-        return flags
-    values, codes = np.unique(np.concatenate([p, q]), return_inverse=True)
-    x, y = codes[:len(p)], codes[len(p):]
-    in_q = np.zeros(len(values), bool)
-    in_q[y] = True
-    before_x, before_y = places_before(x), places_before(y)
-    size_x = distinct_in_windows(before_x, np.ones(len(x), bool), width)
-    size_y = distinct_in_windows(before_y, np.ones(len(y), bool), width)
-    known = distinct_in_windows(before_x, in_q[x], width)
+def near_places(x: Side, y: Side, width: int, similarity: float) -> np.ndarray:
+    """Places of x inside a stretch of ``width`` places that has the similarity to any stretch of that length of its partner."""
+    place = np.full(max(x.codes.max(), y.codes.max()) + 1, -1)
+    place[y.codes[::-1]] = np.arange(len(y.codes))[::-1]
+    known = x.padded(distinct_in_windows(x.before, place[x.codes] >= 0, width), 0)
     # no partner stretch has fewer distinct shingles than the least, nor than those shared
-    least = np.maximum(similarity * size_x, similarity / (1 + similarity) * (size_x + size_y.min()))
-    starts = np.flatnonzero(known >= least - 1e-9)
-    sure = aligned(x, y, before_x, size_x, size_y, width, similarity)[starts]
-    mark, told = np.zeros(len(values), bool), dict.fromkeys(np.flatnonzero(sure).tolist(), True)
+    least = np.maximum(similarity * x.size, similarity / (1 + similarity) * (x.size + y.least[x.pair]))
+    starts = x.start & (known >= least - 1e-9)
+    sure = aligned(x, y, place, width, similarity)
+    at, n = np.flatnonzero(sure), len(x.codes) + 1
+    flags = np.cumsum(np.bincount(at, minlength=n) - np.bincount(at + width, minlength=n))[:-1] > 0
+    left = np.concatenate([[0], np.cumsum(~flags)])
+    at = np.flatnonzero(starts & ~sure)
+    at = at[left[at + width] > left[at]]
+    pair, mark = x.pair[at], np.zeros(len(place), bool)
+    for k in np.unique(pair).tolist():
+        a, b = y.first[k], y.first[k + 1]
+        settle(x, at[pair == k], flags, y.codes[a:b], np.maximum(y.before[a:b] - a, -1), mark, width, similarity)
+    return flags
+
+
+def settle(x: Side, starts: np.ndarray, flags: np.ndarray, y: np.ndarray, before: np.ndarray, mark: np.ndarray, width: int,
+           similarity: float) -> None:
+    """Flag the places of the stretches at ``starts`` that have the similarity to any stretch of y."""
+    told: dict[int, bool] = {}
 
     def near(k: int) -> bool:
         if k not in told:
             a = int(starts[k])
-            mark[x[a:a + width]] = True
-            both = distinct_in_windows(before_y, mark[y], width)
-            mark[x[a:a + width]] = False
-            told[k] = bool((both >= similarity * (size_x[a] + size_y - both) - 1e-9).any())
+            mark[x.codes[a:a + width]] = True
+            both = distinct_in_windows(before, mark[y], width)
+            mark[x.codes[a:a + width]] = False
+            told[k] = bool((both >= similarity * (x.size[a] + sizes - both) - 1e-9).any())
         return told[k]
 
+    sizes = distinct_in_windows(before, np.ones(len(y), bool), width)
     k = 0
     while k < len(starts):
-        if not near(k):
+        a = int(starts[k])
+        if flags[a:a + width].all() or not near(k):
             k += 1
             continue
-        a = int(starts[k])
-        flags[a:a + width] = True
-        # the furthest start that leaves no gap is next
-        last = int(np.searchsorted(starts, a + width, side="right")) - 1
-        after = next((j for j in range(last, k, -1) if near(j)), None)
-        k = last + 1 if after is None else after
-    return flags
+        while True:
+            flags[a:a + width] = True
+            # the furthest start that leaves no gap is next
+            last = int(np.searchsorted(starts, a + width, side="right")) - 1
+            after = next((j for j in range(last, k, -1) if near(j)), None)
+            if after is None:
+                k = last + 1
+                break
+            k, a = after, int(starts[after])
 
 
-def widened(runs: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
-    """The places of stretches of ``width`` places that start in the runs, as few ranges."""
-    out: list[tuple[int, int]] = []
-    for a, b in runs:
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b + width - 1)
-        else:
-            out.append((a, b + width - 1))
-    return out
+def near_stretches(p: np.ndarray, q: np.ndarray, width: int, similarity: float) -> np.ndarray:
+    """Places of p inside a stretch of ``width`` shingles that has the similarity to any stretch of that length of q."""
+    if len(p) < width or len(q) < width:
+        return np.zeros(len(p), bool)
+    return near_places(*sides(p, np.array([0, len(p)]), q, np.array([0, len(q)]), width), width, similarity)
+
+
+def covered_ranges(start: np.ndarray, end: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal ranges whose places so many of the given ranges hold."""
+    places, codes = np.unique(np.concatenate([start, end]), return_inverse=True)
+    depth = np.cumsum(np.bincount(codes[:len(start)], minlength=len(places)) - np.bincount(codes[len(start):], minlength=len(places)))
+    edge = np.diff(np.concatenate([[0], (depth >= enough).astype(np.int8)]))
+    return places[edge > 0], places[edge < 0]
+
+
+def ranges_of(row: np.ndarray, start: np.ndarray, end: np.ndarray, rows: int) -> pa.Array:
+    """A list of {start, end} for each row, from ranges in the order of their rows."""
+    first = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(first), pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"]))
+
+
+def flat_ranges(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the ranges in ``ranges_of`` rows."""
+    n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    return np.repeat(np.arange(len(n)), n), *(flat.field(k).to_numpy() for k in ("start", "end"))
 
 
 def packed(start: np.ndarray, stretches: np.ndarray, function: np.ndarray) -> np.ndarray:
@@ -244,23 +365,118 @@ def shared(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return known, keys[order][heads[several]]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into pieces of at most ``max_bytes`` of shingles, or one row."""
-    for batch in batches:
-        total = np.cumsum(pc.binary_length(batch.column("shingles")).to_numpy(zero_copy_only=False).astype(np.int64))
-        first = 0
-        while first < len(total):
-            base = total[first - 1] if first else 0
-            end = max(int(np.searchsorted(total, base + max_bytes, side="right")), first + 1)
-            # a copy, so that offsets begin at 0
-            yield batch.take(pa.array(np.arange(first, end)))
-            first = end
+def blobs_of(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Binary values of the ranges that begin at ``first``, which ends with the length."""
+    at = (first * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def dealt(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[pa.Array, list[pa.Array]]:
+    """(bucket, its part of each column) by the leading bits of the keys, so that rows travel as few blobs."""
+    bucket = (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
+    first = np.append(heads, len(bucket))
+    return pa.array(bucket[heads].astype(np.int32)), [blobs_of(c[order], first) for c in columns]
+
+
+def numbers(blobs: pa.Array | pa.ChunkedArray, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers of all blobs, the first of each blob)."""
+    n = pc.binary_length(blobs).to_numpy(zero_copy_only=False) if isinstance(blobs, pa.Array) else pc.binary_length(blobs).to_numpy()
+    first = np.concatenate([[0], np.cumsum(n.astype(np.int64) // np.dtype(kind).itemsize)])
+    return np.frombuffer(b"".join(blobs.to_pylist()), kind), first
 
 
-def numbers(blobs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(the 64-bit numbers of all blobs, the first of each blob)."""
-    first = np.concatenate([[0], np.cumsum(pc.binary_length(blobs).to_numpy(zero_copy_only=False).astype(np.int64) // 8)])
-    return np.frombuffer(b"".join(blobs.to_pylist()), np.uint64), first
+def ceiling(x: np.ndarray) -> np.ndarray:
+    return np.ceil(x - 1e-9).astype(np.int64)
+
+
+def highest(values: np.ndarray, width: int) -> np.ndarray:
+    """The highest of each place's value and the ``width`` - 1 before it."""
+    step = 1
+    while 2 * step <= width:
+        values = np.concatenate([values[:step], np.maximum(values[step:], values[:-step])])
+        step *= 2
+    rest = width - step
+    return np.concatenate([values[:rest], np.maximum(values[rest:], values[:-rest])]) if rest else values
+
+
+def distinct(row: np.ndarray, key: np.ndarray, kind: int, side: bool) -> tuple[np.ndarray, ...]:
+    """The different rows and keys, with their kind and side."""
+    order = np.lexsort((key, row))
+    key, row = key[order], row[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[:len(key)]
+    return row[new], key[new], np.full(new.sum(), kind), np.full(new.sum(), side)
+
+
+def prefix_entries(weight: np.ndarray, first: np.ndarray, good: np.ndarray, width: int,
+                   similarity: float) -> tuple[np.ndarray, ...]:
+    """(sequence, key, kind, side) of the rarest distinct values of the good stretches, of which near stretches share SHARED.
+
+    ``weight``: each place's value, told by its rarity first; ``good``: the starts
+    that count. Of two near stretches of s and t distinct values that share c,
+    the SHARED rarest common ones are among the s - c + SHARED rarest of the
+    first, and c is at least the similarity times s, or more if the partner has
+    no value twice. Kind 0 is for two stretches without repeats, 2 for two with
+    repeats, 1 for one of each; there, the side tells those with repeats. Stretches
+    that may share fewer than SHARED values have a second key for each. Kind 3 is
+    for two stretches without repeats too: two values that one stretch has among
+    its rarest, if HOT texts have one of them; such a value has no key of kind 0.
+    """
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((weight, row))
+    before = np.full(len(weight), -1)
+    same = (weight[order[1:]] == weight[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+    before[order[1:][same]] = order[:-1][same]
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    columns = min(width, int(width - ceiling(similarity * width)) + SHARED)
+    specs = [(0, False), (1, False), (1, True), (2, False)]
+    least: dict[tuple[int, int], np.ndarray] = {}
+    starts, twos = np.flatnonzero(good), []
+    rare, hot = np.uint64(2 << 48), np.uint64(HOT << 48)
+    for part in range(0, len(starts), STARTS):
+        a = starts[part:part + STARTS]
+        at = a[:, None] + np.arange(width)
+        own = np.where(before[at] >= a[:, None], none, weight[at])
+        size = (own != none).sum(1)
+        own = np.sort(np.partition(own, columns - 1, axis=1)[:, :columns], axis=1)
+        plain = size == width
+        any_partner = ceiling(similarity * size)
+        plain_partner = ceiling(similarity / (1 + similarity) * (size + width))
+        real = plain_partner <= size
+        for k, (of, c) in enumerate(((plain, plain_partner), (plain, any_partner), (~plain & real, plain_partner),
+                                     (~plain, any_partner))):
+            c = np.maximum(c, 1)
+            n = size - c + SHARED
+            last = np.where(n > columns, none, own[np.arange(len(a)), np.clip(n, 1, columns) - 1])
+            for second, some in enumerate((of, of & (c < SHARED))):
+                if some.any():
+                    least.setdefault((k, second), np.zeros(len(weight), np.uint64))[a[some]] = last[some]
+        lists = own[:, :min(columns, max(int(width - ceiling(similarity / (1 + similarity) * 2 * width)) + SHARED, 1))]
+        of = plain & (own[:, 0] != none) & (lists[:, -1] >= hot)
+        of &= np.append(True, (lists[1:] != lists[:-1]).any(1) | (row[a[1:]] != row[a[:-1]]) | ~of[:-1])
+        lists, at = lists[of], row[a[of]]
+        pairs = []
+        for i in range(lists.shape[1] - 1):
+            for j in range(i + 1, lists.shape[1]):
+                real = np.flatnonzero((lists[:, j] >= hot) & (lists[:, i] >= rare) & (lists[:, j] != none))
+                with np.errstate(over="ignore"):
+                    pairs.append((at[real], mix(mix(lists[real, i]) + lists[real, j])))
+        if pairs:
+            twos.append(distinct(*(np.concatenate(x) for x in zip(*pairs)), 3, False)[:2])
+    out = []
+    common = weight >> np.uint64(48) >= 2
+    for (k, second), lowest in least.items():
+        kind, side = specs[k]
+        at = np.flatnonzero((weight <= highest(lowest, width)) & common & ((weight < hot) | (kind > 0) | ((0, 1) in least)))
+        key = mix(weight[at]) if second else weight[at]
+        out.append(distinct(row[at], key, kind, side))
+    if twos:
+        out.append(distinct(*(np.concatenate(x) for x in zip(*twos)), 3, False))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def discard(written: DataFrame) -> None:
@@ -280,11 +496,11 @@ class NearPassages:
         self.texts = self.docs.select("node", "text")
 
     def signatures(self) -> DataFrame:
-        """(key, node, signature, at) of every compact window; at: its stretches and function.
+        """(bucket, signature, node, at, known) of every compact window, as blobs; at: its stretches and function.
 
-        The key is the signature; if another text of the slice has it, the
-        signature is told apart, the key is one for the text, and a row without a
-        node, one for each such signature and slice, tells the rest of the table.
+        known: 0, or 1 if another text of the slice has the signature; such a row
+        goes to any bucket. Rows of known 2 and no node, one for each such signature and
+        slice, tell the rest of the table.
         """
         functions, width, words = self.functions, self.width, self.shingle
 
@@ -299,307 +515,235 @@ class NearPassages:
                 known, told = shared(signature, node)
                 with np.errstate(over="ignore"):
                     key = np.where(known, mix(signature ^ mix(node.view(np.uint64))), signature)
-                n = len(told)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([key, told]).view(np.int64)),
-                     pa.concat_arrays([pa.array(node), pa.nulls(n, pa.int64())]),
-                     pa.concat_arrays([pa.array(signature.view(np.int64), mask=~known), pa.nulls(n, pa.int64())]),
-                     pa.concat_arrays([pa.array(packed(start - first[doc], stretches, f)), pa.nulls(n, pa.int64())])],
-                    names=["key", "node", "signature", "at"])
+                none = np.zeros(len(told), np.int64)
+                bucket, blobs = dealt(np.concatenate([key, told]), [
+                    np.concatenate([signature, told]), np.concatenate([node, none]),
+                    np.concatenate([packed(start - first[doc], stretches, f), none]),
+                    np.concatenate([known.astype(np.uint8), np.full(len(told), 2, np.uint8)])])
+                yield pa.RecordBatch.from_arrays([bucket, *blobs], names=["bucket", "signature", "node", "at", "known"])
 
-        return self.texts.mapInArrow(run, "key long, node long, signature long, at long")
+        return self.texts.mapInArrow(run, "bucket int, signature binary, node binary, at binary, known binary")
 
     def recurring(self, windows: DataFrame) -> DataFrame:
         """(node, signature, at) of the windows whose signature several texts have.
 
-        One exchange: a window known to recur goes anywhere, so a signature's
-        group holds at most one text of each slice, and a row if it has more.
+        One exchange: a window known to recur goes anywhere, so a bucket holds of
+        a signature at most one text of each slice, and a row if it has more.
         """
-        group = Window.partitionBy("key")
-        return (windows.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group))
-                .withColumn("rows", F.count("*").over(group)).withColumn("own", F.count("node").over(group))
-                .filter("node is not null and (signature is not null or lo != hi or rows > own)")
-                .select("node", F.coalesce("signature", "key").alias("signature"), "at"))
+        def run(table: pa.Table) -> pa.Table:
+            signature, node, at, known = (numbers(table.column(c), kind)[0] for c, kind in (
+                ("signature", np.uint64), ("node", np.int64), ("at", np.int64), ("known", np.uint8)))
+            told = np.unique(signature[known == 2])
+            keep = known == 1
+            new = np.flatnonzero(known == 0)
+            keep[new] = shared(signature[new], node[new])[0]
+            if len(told):
+                keep[new] |= told[np.minimum(np.searchsorted(told, signature[new]), len(told) - 1)] == signature[new]
+            return pa.table({"node": node[keep], "signature": signature[keep].view(np.int64), "at": at[keep]})
+
+        return windows.groupBy("bucket").applyInArrow(run, "node long, signature long, at long")
 
     def stretched(self, kept: DataFrame) -> DataFrame:
-        """(node, windows, spans): texts with stretches in which kept windows of enough functions are lowest."""
+        """(node, spans, starts): texts with stretches in which kept windows of enough functions are lowest, and their starts."""
         width, enough = self.width, self.enough
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 lists = batch.column("windows")
-                cuts = lists.offsets.to_numpy().tolist()
-                start, end, f = unpacked(lists.values.field("at").to_numpy())
-                spans = []
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    # a function's windows share no stretch, so a count of windows is one of functions
-                    own, stop = np.unique(np.stack([f[a:b], start[a:b], end[a:b]], 1), axis=0)[:, 1:].T
-                    runs = runs_of(covered(own, stop, int(stop.max())) >= enough)
-                    spans.append([{"start": s, "end": e} for s, e in widened(runs, width)])
-                some = pa.array([len(x) > 0 for x in spans], pa.bool_())
+                n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.arange(len(n)), n)
+                at = lists.flatten().to_numpy()
+                order = np.lexsort((at, row))
+                at, row = at[order], row[order]
+                new = np.append(True, (at[1:] != at[:-1]) | (row[1:] != row[:-1]))[:len(at)]
+                # a function's windows share no stretch, so a count of windows is one of functions
+                start, end, _ = unpacked(at[new])
+                own = row[new] << 32
+                a, b = covered_ranges(own + start, own + end, enough)
+                row, a, b = a >> 32, a & 0xFFFFFFFF, b & 0xFFFFFFFF
+                head = np.append(True, (row[1:] != row[:-1]) | (a[1:] > b[:-1] + width - 1))[:len(row)]
+                last = np.append(head[1:], True)[:len(row)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node"), lists, pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                    names=["node", "windows", "spans"]).filter(some)
+                    [batch.column("node"), ranges_of(row[head], a[head], b[last] + width - 1, len(n)), ranges_of(row, a, b, len(n))],
+                    names=["node", "spans", "starts"]).filter(pa.array(np.bincount(row, minlength=len(n)) > 0))
 
-        lists = kept.groupBy("node").agg(F.collect_list(F.struct("signature", "at")).alias("windows"))
-        return lists.mapInArrow(run, "node long, windows array<struct<signature:long,at:long>>, "
-                                     "spans array<struct<start:long,end:long>>")
+        lists = kept.groupBy("node").agg(F.collect_list("at").alias("windows"))
+        ranges = "array<struct<start:long,end:long>>"
+        return lists.mapInArrow(run, f"node long, spans {ranges}, starts {ranges}")
 
     def candidates(self, found: DataFrame) -> DataFrame:
-        """(node, windows, spans, shingles): the stretched texts with the shingles of their spans, one after the other."""
+        """(piece, node, spans, starts, shingles): the stretched texts with the shingles of their spans, one after the other.
+
+        A piece is the texts of a slice, told by the first.
+        """
         words = self.shingle
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for nodes, texts, windows, spans in slices(batches):
+            for nodes, texts, spans, starts in slices(batches):
                 h, first, _ = shingles(texts, words)
-                parts = [b"".join(h[base + s["start"]:base + s["end"]].tobytes() for s in own)
-                         for base, own in zip(first.tolist(), spans.to_pylist())]
-                yield pa.RecordBatch.from_arrays([nodes, windows, spans, pa.array(parts, pa.binary())],
-                                                 names=["node", "windows", "spans", "shingles"])
+                row, start, end = flat_ranges(spans)
+                size = np.bincount(row, end - start, minlength=len(nodes)).astype(np.int64)
+                parts = blobs_of(h[gather_ragged(first[row] + start, end - start)], np.append(0, np.cumsum(size)))
+                piece = pa.array(np.full(len(nodes), nodes[0].as_py()))
+                yield pa.RecordBatch.from_arrays([piece, nodes, spans, starts, parts],
+                                                 names=["piece", "node", "spans", "starts", "shingles"])
 
         texts = self.texts.join(found.select("node"), "node", "left_semi").dropDuplicates(["node"])
-        return (texts.join(found, "node").select("node", "text", "windows", "spans")
-                .mapInArrow(run, ", ".join(["node long", *(f"{c} {found.schema[c].dataType.simpleString()}"
-                                                           for c in ("windows", "spans")), "shingles binary"])))
-
-    def single(self, stretched: DataFrame) -> DataFrame:
-        """(node, place) of the shingles that one text's spans have only; places count over the text's spans."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches):
-                h, first = numbers(batch.column("shingles"))
-                size = np.diff(first)
-                node = np.repeat(batch.column("node").to_numpy(), size)
-                known, told = shared(h, node)
-                place, n = gather_ragged(np.zeros(len(size), np.int64), size), len(told)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([pa.array(node[~known]), pa.nulls(n, pa.int64())]),
-                     pa.array(np.concatenate([h[~known], told]).view(np.int64)),
-                     pa.array(np.concatenate([place[~known], np.zeros(n, np.int64)]).astype(np.int32))],
-                    names=["node", "shingle", "place"])
-
-        group = Window.partitionBy("shingle")
-        return (stretched.select("node", "shingles").mapInArrow(run, "node long, shingle long, place int")
-                .withColumn("single", (F.min("node").over(group) == F.max("node").over(group))
-                            & (F.count("*").over(group) == F.count("node").over(group)))
-                .filter("single").select("node", "place"))
-
-    def passages(self, stretched: DataFrame, single: DataFrame) -> DataFrame:
-        """(passage, node, start, shingles, repeats, signatures, ranges): stretches that have what a near duplicate has.
+        return (texts.join(found, "node").select("node", "text", "spans", "starts")
+                .mapInArrow(run, ", ".join(["piece long, node long", *(f"{c} {found.schema[c].dataType.simpleString()}"
+                                                                       for c in ("spans", "starts")), "shingles binary"])))
+
+    def tally(self, stretched: DataFrame) -> DataFrame:
+        """(piece, bucket, count): how many texts' spans have each distinct shingle of a piece's bucket, in order, as 16-bit numbers."""
+        def ask(key: tuple, table: pa.Table) -> pa.Table:
+            h, first = numbers(table.column("shingles"))
+            values, codes = np.unique(h, return_inverse=True)
+            n = len(first) - 1
+            each = np.unique(codes.reshape(-1).astype(np.int64) * n + np.repeat(np.arange(n), np.diff(first))) // n
+            bucket, blobs = dealt(values, [values, np.bincount(each, minlength=len(values)).astype(np.uint32)])
+            return pa.table([pa.array(np.full(len(bucket), key[0].as_py())), bucket, *blobs],
+                            names=["piece", "bucket", "shingle", "texts"])
+
+        def answer(table: pa.Table) -> pa.Table:
+            h, first = numbers(table.column("shingle"))
+            codes = np.unique(h, return_inverse=True)[1].reshape(-1)
+            sums = np.bincount(codes, numbers(table.column("texts"), np.uint32)[0])
+            return pa.table([table.column("piece").combine_chunks(), table.column("bucket").combine_chunks(),
+                             blobs_of(np.minimum(sums, 65535).astype(np.uint16)[codes], first)], names=["piece", "bucket", "count"])
+
+        asked = stretched.select("piece", "shingles").groupBy("piece").applyInArrow(
+            ask, "piece long, bucket int, shingle binary, texts binary")
+        return asked.groupBy("bucket").applyInArrow(answer, "piece long, bucket int, count binary")
+
+    def passages(self, stretched: DataFrame, tally: DataFrame) -> DataFrame:
+        """(passage, node, start, shingles, weights, good): stretches that have what a near duplicate has.
 
         Windows of enough functions are lowest there, and so many of its
-        distinct shingles also lie in another text's spans as the similarity asks for.
-        A partner stretch without a shingle twice must have more of them, as it
-        has no fewer distinct ones. Ranges: the places of such stretches in
-        which a window is lowest, for any partner and for one without repeats;
-        -1: none. repeats: some stretch of the passage has a shingle twice.
+        distinct shingles also lie in another text's spans as the similarity asks for; good
+        tells, for each place, if such a stretch starts there. Weights: the
+        shingles told by the number of texts first.
         """
-        width, enough, similarity = self.width, self.enough, self.similarity
+        width, similarity = self.width, self.similarity
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches):
-                h, first = numbers(batch.column("shingles"))
-                lists = batch.column("windows")
-                cuts, flat = lists.offsets.to_numpy().astype(np.int64), lists.values
-                w_start, w_end, w_f = unpacked(flat.field("at").to_numpy())
-                signature = flat.field("signature").to_numpy()
-                out = {k: [] for k in ("node", "start", "shingles", "repeats", "signatures", *RANGES)}
-                for d, (node, spans, own) in enumerate(zip(batch.column("node").to_pylist(), batch.column("spans").to_pylist(),
-                                                           batch.column("single"))):
-                    values = h[first[d]:first[d + 1]]
-                    in_other = np.ones(len(values), bool)
-                    if own.is_valid:
-                        in_other[own.values.to_numpy()] = False
-                    mine = slice(cuts[d], cuts[d + 1])
-                    at, end, told = w_start[mine], w_end[mine], signature[mine]
-                    functions = np.unique(np.stack([w_f[mine], at, end], 1), axis=0)
-                    enough_here = covered(functions[:, 1], functions[:, 2], int(end.max()) + 1) >= enough
-                    base = 0
-                    for s in spans:
-                        n = s["end"] - s["start"]
-                        x, there = values[base:base + n], in_other[base:base + n]
-                        base += n
-                        before = places_before(np.unique(x, return_inverse=True)[1])
-                        size = distinct_in_windows(before, np.ones(n, bool), width)
-                        known = distinct_in_windows(before, there, width)
-                        good = known >= similarity * size - 1e-9
-                        good &= np.resize(enough_here[s["start"]:s["start"] + len(good)], len(good))
-                        plain = good & (known >= similarity / (1 + similarity) * (size + width) - 1e-9)
-                        for a, b in widened(runs_of(good), width):
-                            lo, hi = s["start"] + a, s["start"] + b
-                            inside = np.flatnonzero((at < hi - width + 1) & (end > lo))
-                            out["node"].append(node)
-                            out["start"].append(lo)
-                            out["shingles"].append(x[a:b].tobytes())
-                            out["repeats"].append(bool(size[a:b - width + 1].min() < width))
-                            out["signatures"].append(told[inside])
-                            for names, starts in ((RANGES[:2], good), (RANGES[2:], plain)):
-                                starts = np.flatnonzero(starts[a:b - width + 1]) + lo
-                                starts = np.concatenate([[-width], starts])
-                                k = np.searchsorted(starts, at[inside])
-                                last = np.searchsorted(starts, end[inside]) - 1
-                                none = k > last
-                                k, last = np.minimum(k, len(starts) - 1), np.maximum(last, 0)
-                                out[names[0]].append(np.where(none, -1, starts[k]))
-                                out[names[1]].append(np.where(none, -1, starts[last] + width))
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                    [("node", pa.int64()), ("start", pa.int64()), ("shingles", pa.binary()), ("repeats", pa.bool_()),
-                     *((k, pa.list_(pa.int64())) for k in ("signatures", *RANGES))]))
-
-        lists = single.groupBy("node").agg(F.collect_list("place").alias("single"))
-        found = stretched.join(lists, "node", "left").mapInArrow(
-            run, "node long, start long, shingles binary, repeats boolean, signatures array<long>, "
-                 + ", ".join(f"{k} array<long>" for k in RANGES))
+        def run(table: pa.Table, counted: pa.Table) -> pa.Table:
+            h, first = numbers(table.column("shingles"))
+            codes = np.unique(h, return_inverse=True)[1].reshape(-1)
+            texts = numbers(counted.sort_by("bucket").column("count"), np.uint16)[0][codes]
+            weight = texts.astype(np.uint64) << np.uint64(48) | mix(h) >> np.uint64(16)
+            row, start, end = flat_ranges(table.column("spans").combine_chunks())
+            place = np.cumsum(end - start) - (end - start)
+            size = distinct_in_windows(before := places_before(codes), np.ones(len(codes), bool), width)
+            known = distinct_in_windows(before, texts > 1, width)
+            # spans come one after the other; starts lie in a span each
+            own, a, b = flat_ranges(table.column("starts").combine_chunks())
+            of = np.searchsorted(row << 32 | start, own << 32 | a, side="right") - 1
+            a, b = place[of] + a - start[of], place[of] + b - start[of]
+            good = np.zeros(len(codes), bool)
+            at = gather_ragged(a, b - a)
+            good[at[known[at] >= similarity * size[at] - 1e-9]] = True
+            at = np.flatnonzero(good)
+            of = np.searchsorted(place, at, side="right") - 1
+            head = np.append(True, (of[1:] != of[:-1]) | (at[1:] > at[:-1] + width))[:len(at)]
+            last = np.append(head[1:], True)[:len(at)]
+            of, at, n = of[head], at[head], at[last] + width - at[head]
+            within, first = gather_ragged(at, n), np.append(0, np.cumsum(n))
+            return pa.table([table.column("node").combine_chunks().take(pa.array(row[of])), pa.array(start[of] + at - place[of]),
+                             *(blobs_of(v[within], first) for v in (h, weight, good))],
+                            names=["node", "start", "shingles", "weights", "good"])
+
+        found = stretched.groupBy("piece").cogroup(tally.groupBy("piece")).applyInArrow(
+            run, "node long, start long, shingles binary, weights binary, good binary")
         return found.select(F.xxhash64("node", "start").alias("passage"), "*")
 
-    def members(self, passages: DataFrame, found: DataFrame) -> DataFrame:
-        """(passage, node, label, rank, loose, repeats, signature, open): a signature is open with a place in no confirmed stretch.
+    def entries(self, passages: DataFrame, found: DataFrame | None = None) -> DataFrame:
+        """ENTRY: the ``prefix_entries`` of each passage; with ``found``, of its stretches with a place in no confirmed one only."""
+        width, similarity, only_open = self.width, self.similarity, found is not None
 
-        Loose members are for partners with repeats; the others are told where a partner without them can be near.
-        """
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                lists = batch.column("signatures")
-                n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-                signature = lists.flatten().to_numpy()
-                row = np.repeat(np.arange(len(n)), n)
-                ranges = [batch.column(k).flatten().to_numpy() for k in RANGES]
-                loose = np.repeat([True, False], len(row))
-                row, signature = np.tile(row, 2), np.tile(signature, 2)
-                lo, hi = np.concatenate(ranges[::2]), np.concatenate(ranges[1::2])
-                real = lo >= 0
-                loose, row, signature, lo, hi = (v[real] for v in (loose, row, signature, lo, hi))
-                lo, hi = lo + (row << 32), hi + (row << 32)
-                spans = pc.fill_null(batch.column("spans"), [])
-                at = np.repeat(np.arange(len(n)), pc.list_value_length(spans).to_numpy(zero_copy_only=False)) << 32
-                begin, end = (spans.flatten().field(k).to_numpy() + at for k in ("start", "end"))
-                order = np.argsort(begin)
-                begin, end = begin[order], np.maximum.accumulate(end[order])
-                heads = np.flatnonzero(np.append(True, begin[1:] > end[:-1])[:len(begin)])
-                begin, end = np.append(-1, begin[heads]), np.append(-1, end[np.append(heads[1:], len(end)) - 1] if len(heads) else end)
-                is_open = end[np.searchsorted(begin, lo, side="right") - 1] < hi
-                order = np.lexsort((signature, loose, row))
-                loose, signature, row, is_open = (v[order] for v in (loose, signature, row, is_open))
-                heads = np.flatnonzero(np.append(True, (signature[1:] != signature[:-1]) | (row[1:] != row[:-1])
-                                                 | (loose[1:] != loose[:-1]))[:len(row)])
-                rank = np.bincount(row[heads], minlength=len(n))
-                at = row[heads]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(pa.array(at)) for k in ("passage", "node", "label")), pa.array(rank[at]),
-                     pa.array(loose[heads]), batch.column("repeats").take(pa.array(at)),
-                     pa.array(signature[heads]), pa.array(np.maximum.reduceat(is_open, heads) if len(heads) else is_open)],
-                    names=MEMBER)
-
+            for whole in batches:
+                total = np.cumsum(pc.binary_length(whole.column("weights")).to_numpy(zero_copy_only=False).astype(np.int64))
+                cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, int(total[-1]) if len(total) else 0, SLICE_BYTES),
+                                                           side="right"), len(total)))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    batch = whole.slice(a, b - a)
+                    weight, first = numbers(batch.column("weights"))
+                    good = numbers(batch.column("good"), np.uint8)[0].astype(bool)
+                    if only_open:
+                        done = np.zeros(len(weight), bool)
+                        for base, start, spans in zip(first.tolist(), batch.column("start").to_pylist(), batch.column("spans").to_pylist()):
+                            for s in spans or ():
+                                done[base + s["start"] - start:base + s["end"] - start] = True
+                        left = np.concatenate([[0], np.cumsum(~done)])
+                        at = np.flatnonzero(good)
+                        good[at[left[at + width] == left[at]]] = False
+                    row, key, kind, side = prefix_entries(weight, first, good, width, similarity)
+                    rank, at = np.bincount(row, minlength=len(first)), pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("passage").take(at), batch.column("node").take(at), pa.array(rank[row]), pa.array(key.view(np.int64)),
+                         pa.array(kind.astype(np.int32)), pa.array(side)], names=[c.split()[0] for c in ENTRY.split(", ")])
+
+        columns = ["passage", "node", "start", "weights", "good"]
+        if found is None:
+            return passages.select(*columns).mapInArrow(run, ENTRY)
         spans = found.groupBy("passage").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        return passages.select(*columns).join(spans, "passage", "left").mapInArrow(run, ENTRY)
+
+    def partnered(self, entries: DataFrame) -> DataFrame:
+        """The entries whose key has what they can be paired with: of kind 1, both sides."""
+        sided = materialise(entries.filter("kind = 1 and side").select("key").distinct(), "sided")
+        lone = entries.filter("kind = 1 and not side").join(checked_broadcast(sided), "key", "left_semi")
+        return entries.filter("kind != 1 or side").unionByName(lone)
+
+    def split(self, entries: DataFrame, found: DataFrame) -> DataFrame:
+        """The entries of keys that several components have, with their label."""
         links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         labels = components(links).withColumnRenamed("node", "of_node")
-        return (passages.select("passage", "node", "repeats", "signatures", *RANGES).join(spans, "passage", "left")
-                .join(labels, F.col("node") == F.col("of_node"), "left")
-                .select("passage", "node", F.coalesce("label", "node").alias("label"), "repeats", "signatures", *RANGES, "spans")
-                .mapInArrow(run, MEMBER_TYPES))
-
-    def unsettled(self, members: DataFrame) -> DataFrame:
-        """Members of the signatures of several documents that hold several components or an open member."""
-        some = (members.groupBy("signature", "loose")
-                .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("one"),
-                     F.max("node").alias("two"), F.max("open").alias("any"), F.max("repeats").alias("repeats"))
-                .filter("one != two and (lo != hi or any) and (repeats or not loose)").select("signature", "loose"))
-        return members.join(some, ["signature", "loose"], "left_semi")
-
-    def merged(self, members: DataFrame) -> DataFrame:
-        """The members with signatures of the same passages as one, which is open with any of them."""
-        same = members.groupBy("signature", "loose").agg(F.xxhash64(
-            "loose", F.count("*"), F.bit_xor(F.xxhash64("passage")), F.bit_xor(F.xxhash64("passage", F.lit(1)))).alias("of_all"))
-        return (members.join(same, ["signature", "loose"])
-                .groupBy("passage", "node", "label", "rank", "loose", "repeats", F.col("of_all").alias("signature"))
-                .agg(F.max("open").alias("open")))
-
-    def double(self, members: DataFrame, passages: DataFrame) -> DataFrame:
-        """The members' signatures joined to pairs of different functions that one stretch can hold, as members."""
-        functions, width = self.functions, self.width
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches):
-                h, first = numbers(batch.column("shingles"))
-                lists = batch.column("own")
-                n_own = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-                own, own_open = (lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("signature", "open"))
-                f, c, start, stretches, signature = signature_windows(h, first, functions, width)
-                row = np.searchsorted(first, start, side="right") - 1
-                # a passage's windows are those of its members
-                codes = np.unique(np.concatenate([own, signature.view(np.int64)]), return_inverse=True)[1].reshape(-1)
-                codes = codes * len(n_own) + np.concatenate([np.repeat(np.arange(len(n_own)), n_own), row])
-                order = np.argsort(codes[:len(own)])
-                at = np.searchsorted(codes[order], codes[len(own):])
-                at = order[np.minimum(at, max(len(order) - 1, 0))] if len(order) else at
-                mine = np.flatnonzero(codes[at] == codes[len(own):])
-                mine = mine[np.argsort(start[mine], kind="stable")]
-                f, start, stretches, signature, row = (v[mine] for v in (f, start, stretches, signature, row))
-                is_open = own_open[at[mine]].astype(bool)
-                after = np.searchsorted(start, start + stretches) - np.arange(len(start)) - 1  # lowest of one stretch
-                x = np.repeat(np.arange(len(start)), after)
-                y = gather_ragged(np.arange(len(start)) + 1, after)
-                real = f[x] != f[y]
-                x, y = x[real], y[real]
-                low, high = np.minimum(signature[x], signature[y]), np.maximum(signature[x], signature[y])
-                with np.errstate(over="ignore"):
-                    keys = mix(mix(low) + high)
-                order = np.lexsort((keys, row[x]))
-                keys, at, is_open = keys[order], row[x][order], (is_open[x] & is_open[y])[order]
-                heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (at[1:] != at[:-1]))[:len(keys)])
-                any_open = np.maximum.reduceat(is_open, heads) if len(heads) else is_open
-                at = pa.array(at[heads])
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(at) for k in MEMBER[:6]),
-                     pa.array(keys[heads].view(np.int64)), pa.array(any_open)],
-                    names=MEMBER)
-
-        own = members.groupBy(*MEMBER[:6]).agg(
-            F.collect_list(F.struct("signature", "open")).alias("own"))
-        return own.join(passages.select("passage", "shingles"), "passage").mapInArrow(
-            run, MEMBER_TYPES)
-
-    def leader_pairs(self, members: DataFrame, turn: int, shared: int) -> DataFrame:
-        """(a, b): passages with a leading passage of another document and enough signatures they share."""
-        rank = F.col("rank") if turn % 2 == 0 else F.xxhash64("passage", F.lit(turn))
-        lead = (members.groupBy("signature", "loose").agg(F.max(F.struct(rank.alias("rank"), "passage", "open")).alias("lead"))
-                .select("signature", "loose", F.col("lead.passage").alias("lead"), F.col("lead.open").alias("lead_open")))
-        pairs = (members.select("signature", "loose", "passage", "open").join(lead, ["signature", "loose"]).filter("passage != lead")
-                 .select(F.least("passage", "lead").alias("a"), F.greatest("passage", "lead").alias("b"),
-                         (F.col("open") | F.col("lead_open")).cast("int").alias("open"))
-                 .groupBy("a", "b").agg(F.count("*").alias("all"), F.sum("open").alias("open"))
-                 .filter(F.col("all") >= shared))
-        # documents and components are the passages', so the rows by signature need not carry them
-        who = members.select("passage", "node", "label").distinct()
-        return (pairs.join(who.toDF("a", "node_a", "label_a"), "a").join(who.toDF("b", "node_b", "label_b"), "b")
-                .filter((F.col("node_a") != F.col("node_b"))
-                        & ((F.col("label_a") != F.col("label_b")) | (F.col("open") >= shared)))
-                .select("a", "b"))
-
-    def all_pairs(self, members: DataFrame) -> DataFrame:
-        """(a, b): passages of different documents that share an open signature, or one of different components."""
-        return (members.alias("x").join(members.alias("y"), (F.col("x.signature") == F.col("y.signature"))
-                                        & (F.col("x.loose") == F.col("y.loose"))
-                                        & (~F.col("x.loose") | F.col("x.repeats") | F.col("y.repeats"))
-                                        & (F.col("x.passage") < F.col("y.passage")) & (F.col("x.node") != F.col("y.node"))
-                                        & ((F.col("x.label") != F.col("y.label")) | F.col("x.open") | F.col("y.open")))
-                .select(F.col("x.passage").alias("a"), F.col("y.passage").alias("b")).distinct())
+        labelled = (entries.join(labels, F.col("node") == F.col("of_node"), "left")
+                    .withColumn("label", F.coalesce("label", "node")).drop("of_node"))
+        several = labelled.groupBy("key", "kind").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
+        return labelled.join(several.select("key", "kind"), ["key", "kind"], "left_semi")
+
+    def paired(self, x: DataFrame, y: DataFrame, other: str = "true") -> DataFrame:
+        """(a, b): passages of different documents that share enough keys, x.* and y.* told apart by ``other`` too."""
+        both = x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.kind") == F.col("y.kind"))
+                                 & (F.col("x.node") != F.col("y.node"))
+                                 & ((F.col("x.kind") != 1) | (F.col("x.side") != F.col("y.side"))) & F.expr(other))
+        return (both.select(F.least("x.passage", "y.passage").alias("a"), F.greatest("x.passage", "y.passage").alias("b"), "x.key", "x.kind")
+                .groupBy("a", "b").agg(F.count_distinct("key").alias("n"), F.max("kind").alias("kind"))
+                .filter((F.col("n") >= SHARED) | (F.col("kind") == 3)).select("a", "b"))
+
+    def leaders(self, entries: DataFrame) -> DataFrame:
+        """An entry of each key: of the passage with the most entries; of kind 1, one with repeats."""
+        columns = ["side", "rank", "passage", "node"]
+        return (entries.groupBy("key", "kind").agg(F.max(F.struct(*columns)).alias("lead"))
+                .select("key", "kind", *(F.col(f"lead.{c}").alias(c) for c in columns)))
 
     def confirmed(self, passages: DataFrame, pairs: DataFrame) -> DataFrame:
         """(passage, node, other, start, end) of near-duplicate stretches, told for both sides of each pair."""
         width, similarity = self.width, self.similarity
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = []
-                ids = [batch.column(c).to_pylist() for c in range(6)]
-                for k, (x, y) in enumerate(zip(batch.column(6), batch.column(7))):
-                    p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                    for mine, other, at, s, t in ((p, q, 0, 0, 1), (q, p, 1, 1, 0)):
-                        for a, b in runs_of(near_stretches(mine, other, width, similarity)):
-                            out.append((ids[at][k], ids[2 + s][k], ids[2 + t][k], ids[4 + s][k] + a, ids[4 + s][k] + b))
-                columns = list(zip(*out)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns],
-                                                 names=["passage", "node", "other", "start", "end"])
+            for whole in batches:
+                total = np.cumsum(sum(pc.binary_length(whole.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in (6, 7)))
+                first = 0
+                while first < len(total):
+                    end = max(int(np.searchsorted(total, (total[first - 1] if first else 0) + PAIR_BYTES, side="right")), first + 1)
+                    batch = whole.slice(first, end - first)
+                    first = end
+                    passage, node, start = ([batch.column(c + k).to_numpy() for k in (0, 1)] for c in (0, 2, 4))
+                    both = sides(*numbers(batch.column(6)), *numbers(batch.column(7)), width)
+                    for s, t in ((0, 1), (1, 0)):
+                        x = both[s]
+                        flags = np.concatenate([near_places(x, both[t], width, similarity), [False]])
+                        heads = np.zeros(len(flags), bool)
+                        heads[x.first] = True
+                        a = np.flatnonzero(flags & (heads | ~np.append(False, flags[:-1])))
+                        b = np.flatnonzero((heads | ~flags) & np.append(False, flags[:-1]))
+                        k = x.pair[a]
+                        at = start[s][k] - x.first[k]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(v) for v in (passage[s][k], node[s][k], node[t][k], a + at, b + at)],
+                            names=["passage", "node", "other", "start", "end"])
 
         x = passages.select(F.col("passage").alias("a"), F.col("node").alias("node_a"), F.col("start").alias("start_a"),
                             F.col("shingles").alias("x"))
@@ -607,42 +751,32 @@ class NearPassages:
                             F.col("shingles").alias("y"))
         return (pairs.join(x, "a").join(y, "b")
                 .select("a", "b", "node_a", "node_b", "start_a", "start_b", "x", "y")
-                .mapInArrow(run, "passage long, node long, other long, start long, end long"))
+                .mapInArrow(run, FOUND))
 
     def stretches(self) -> DataFrame:
         """(node, other, start, end) of all confirmed near-duplicate stretches."""
-        found = self.stretched(self.recurring(self.signatures()))
-        stretched = materialise(self.candidates(materialise(found, "spans")), "stretched")
-        passages = materialise(self.passages(stretched, self.single(stretched)), "passages")
+        found = materialise(self.stretched(self.recurring(self.signatures())), "spans")
+        stretched = materialise(self.candidates(found), "stretched")
+        passages = materialise(self.passages(stretched, self.tally(stretched)), "passages")
         discard(stretched)
-        found = passages.sparkSession.createDataFrame([], "passage long, node long, other long, start long, end long")
-        tried = members = doubles = None
-        for turn in range(TURNS + 2):
-            if members is None:  # each is written before it is used twice, and again only after new stretches
-                whole = materialise(self.members(passages, found), "members")
-                members, doubles = materialise(self.unsettled(whole), "open-members"), None
-                discard(whole)
-            if turn >= TURNS and doubles is None:
-                whole = materialise(self.double(members, passages), "doubles")
-                doubles = materialise(self.merged(self.unsettled(whole)), "open-doubles")
-                discard(whole)
-            if turn <= TURNS:
-                pairs = self.leader_pairs(members if turn < TURNS else doubles, turn, 1 if turn == TURNS else SHARED)
-            else:
-                pairs = self.all_pairs(doubles)
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = materialise(pairs, "pairs")
-            new = materialise(self.confirmed(passages, pairs), "stretches")
-            if new.limit(1).count():
-                found, members = found.union(new), None
-            tried = pairs if tried is None else tried.union(pairs)
-        return found
+        whole = materialise(self.entries(passages), "all-entries")
+        entries = materialise(self.partnered(whole), "entries")
+        discard(whole)
+        tried = materialise(self.paired(entries, self.leaders(entries)), "pairs")
+        found = materialise(self.confirmed(passages, tried), "stretches")
+        still = materialise(self.entries(passages, found), "open-entries")
+        split = materialise(self.split(entries, found), "split-entries")
+        keys = still.select("key", "kind").distinct()
+        pairs = (self.paired(still, entries.join(keys, ["key", "kind"], "left_semi")).union(self.paired(split, split, "x.label < y.label"))
+                 .distinct().join(tried, ["a", "b"], "left_anti"))
+        return found.union(materialise(self.confirmed(passages, materialise(pairs, "pairs")), "stretches"))
 
     def classes(self) -> DataFrame:
         """One row per document: its near-duplicate passages in words, and its class."""
         tail = self.shingle - 1
-        found = materialise(self.stretches(), "found")
+        # files of an exchange go when its rows are written, or they add up over the rounds
+        with conf_scope(self.docs.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+            found = materialise(self.stretches(), "found")
         links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         labels = components(links)
         spans = found.select("node", "start", (F.col("end") + tail).alias("end")).distinct()
@@ -656,8 +790,7 @@ class NearPassages:
         def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 text = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
-                n = pc.count_substring_regex(text, r"[^\x20\x09-\x0D]+")
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), n.cast(pa.int64())],
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(word_counts(text))],
                                                  names=["doc_id", "node", "n_words"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
