@@ -22,9 +22,9 @@ shares none, and a key of a frequent shingle tells a second one of the same
 stretch; so keys few of whose candidates are near are rare. Candidates are
 compared with the leader of each key first, the candidate with the most keys; so a
 passage in thousands of documents costs a few comparisons for each. Then
-stretches with a place in no confirmed one are compared with all that share
-enough of their keys, and so are candidates of different components; no two candidates
-are compared twice.
+stretches with a place in no confirmed one are compared with two leaders that have most
+frequent shingles around, and the rest with all that share enough of their keys; so
+are candidates of different components. No two candidates are compared twice.
 
 Comparison is exact: shingles are matched, and a stretch of ``PASSAGE`` words
 counts if it and any stretch of equal length of the partner have the
@@ -45,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import SLICE_BYTES, gather_ragged, hash_words, materialise, mix, shingle_hashes, slices, split_words, two_columns
@@ -66,7 +66,7 @@ BLOCK = 1 << 15
 PAIR_BYTES = 1 << 20
 LONG_WORD = 64
 HOT = 16
-ENTRY = "passage long, node long, rank long, key long, kind int, side boolean"
+ENTRY = "passage long, node long, rank long, key long, clean int, kind int, side boolean"
 FOUND = "passage long, node long, other long, start long, end long"
 
 RESULT = "doc_id long, n_words long, n_passages long, passage_words long, passages string, class_id long"
@@ -402,17 +402,17 @@ def highest(values: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate([values[:rest], np.maximum(values[rest:], values[:-rest])]) if rest else values
 
 
-def distinct(row: np.ndarray, key: np.ndarray, kind: int, side: bool) -> tuple[np.ndarray, ...]:
-    """The different rows and keys, with their kind and side."""
-    order = np.lexsort((key, row))
-    key, row = key[order], row[order]
+def distinct(row: np.ndarray, key: np.ndarray, clean: np.ndarray, kind: int, side: bool) -> tuple[np.ndarray, ...]:
+    """The different rows and keys with the highest ``clean``, and with their kind and side."""
+    order = np.lexsort((-clean, key, row))
+    row, key, clean = row[order], key[order], clean[order]
     new = np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[:len(key)]
-    return row[new], key[new], np.full(new.sum(), kind), np.full(new.sum(), side)
+    return row[new], key[new], clean[new], np.full(new.sum(), kind), np.full(new.sum(), side)
 
 
 def prefix_entries(weight: np.ndarray, first: np.ndarray, good: np.ndarray, width: int,
                    similarity: float) -> tuple[np.ndarray, ...]:
-    """(sequence, key, kind, side) of the rarest distinct values of the good stretches, of which near stretches share SHARED.
+    """(sequence, key, clean, kind, side) of the rarest distinct values of the good stretches, of which near stretches share SHARED.
 
     ``weight``: each place's value, told by its rarity first; ``good``: the starts
     that count. Of two near stretches of s and t distinct values that share c,
@@ -423,6 +423,7 @@ def prefix_entries(weight: np.ndarray, first: np.ndarray, good: np.ndarray, widt
     that may share fewer than SHARED values have a second key for each. Kind 3 is
     for two stretches without repeats too: two values that one stretch has among
     its rarest, if HOT texts have one of them; such a value has no key of kind 0.
+    Clean: how many such values lie in the stretch and around it.
     """
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     order = np.lexsort((weight, row))
@@ -435,6 +436,7 @@ def prefix_entries(weight: np.ndarray, first: np.ndarray, good: np.ndarray, widt
     least: dict[tuple[int, int], np.ndarray] = {}
     starts, twos = np.flatnonzero(good), []
     rare, hot = np.uint64(2 << 48), np.uint64(HOT << 48)
+    hots = np.concatenate([[0], np.cumsum(weight >= hot)])
     for part in range(0, len(starts), STARTS):
         a = starts[part:part + STARTS]
         at = a[:, None] + np.arange(width)
@@ -457,25 +459,26 @@ def prefix_entries(weight: np.ndarray, first: np.ndarray, good: np.ndarray, widt
         of = plain & (own[:, 0] != none) & (lists[:, -1] >= hot)
         of &= np.append(True, (lists[1:] != lists[:-1]).any(1) | (row[a[1:]] != row[a[:-1]]) | ~of[:-1])
         lists, at = lists[of], row[a[of]]
+        around = hots[np.minimum(a[of] + 2 * width - 1, first[at + 1])] - hots[np.maximum(a[of] - width + 1, first[at])]
         pairs = []
         for i in range(lists.shape[1] - 1):
             for j in range(i + 1, lists.shape[1]):
                 real = np.flatnonzero((lists[:, j] >= hot) & (lists[:, i] >= rare) & (lists[:, j] != none))
                 with np.errstate(over="ignore"):
-                    pairs.append((at[real], mix(mix(lists[real, i]) + lists[real, j])))
+                    pairs.append((at[real], mix(mix(lists[real, i]) + lists[real, j]), around[real]))
         if pairs:
-            twos.append(distinct(*(np.concatenate(x) for x in zip(*pairs)), 3, False)[:2])
+            twos.append(distinct(*(np.concatenate(x) for x in zip(*pairs)), 3, False)[:3])
     out = []
     common = weight >> np.uint64(48) >= 2
     for (k, second), lowest in least.items():
         kind, side = specs[k]
         at = np.flatnonzero((weight <= highest(lowest, width)) & common & ((weight < hot) | (kind > 0) | ((0, 1) in least)))
         key = mix(weight[at]) if second else weight[at]
-        out.append(distinct(row[at], key, kind, side))
+        out.append(distinct(row[at], key, np.zeros(len(at), np.int64), kind, side))
     if twos:
         out.append(distinct(*(np.concatenate(x) for x in zip(*twos)), 3, False))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, bool))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -676,11 +679,11 @@ class NearPassages:
                         left = np.concatenate([[0], np.cumsum(~done)])
                         at = np.flatnonzero(good)
                         good[at[left[at + width] == left[at]]] = False
-                    row, key, kind, side = prefix_entries(weight, first, good, width, similarity)
+                    row, key, clean, kind, side = prefix_entries(weight, first, good, width, similarity)
                     rank, at = np.bincount(row, minlength=len(first)), pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("passage").take(at), batch.column("node").take(at), pa.array(rank[row]), pa.array(key.view(np.int64)),
-                         pa.array(kind.astype(np.int32)), pa.array(side)], names=[c.split()[0] for c in ENTRY.split(", ")])
+                         pa.array(clean.astype(np.int32)), pa.array(kind.astype(np.int32)), pa.array(side)], names=[c.split()[0] for c in ENTRY.split(", ")])
 
         columns = ["passage", "node", "start", "weights", "good"]
         if found is None:
@@ -694,10 +697,9 @@ class NearPassages:
         lone = entries.filter("kind = 1 and not side").join(checked_broadcast(sided), "key", "left_semi")
         return entries.filter("kind != 1 or side").unionByName(lone)
 
-    def split(self, entries: DataFrame, found: DataFrame) -> DataFrame:
+    def split(self, entries: DataFrame, labels: DataFrame) -> DataFrame:
         """The entries of keys that several components have, with their label."""
-        links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        labels = components(links).withColumnRenamed("node", "of_node")
+        labels = labels.withColumnRenamed("node", "of_node")
         labelled = (entries.join(labels, F.col("node") == F.col("of_node"), "left")
                     .withColumn("label", F.coalesce("label", "node")).drop("of_node"))
         several = labelled.groupBy("key", "kind").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
@@ -712,11 +714,11 @@ class NearPassages:
                 .groupBy("a", "b").agg(F.count_distinct("key").alias("n"), F.max("kind").alias("kind"))
                 .filter((F.col("n") >= SHARED) | (F.col("kind") == 3)).select("a", "b"))
 
-    def leaders(self, entries: DataFrame) -> DataFrame:
-        """An entry of each key: of the passage with the most entries; of kind 1, one with repeats."""
-        columns = ["side", "rank", "passage", "node"]
-        return (entries.groupBy("key", "kind").agg(F.max(F.struct(*columns)).alias("lead"))
-                .select("key", "kind", *(F.col(f"lead.{c}").alias(c) for c in columns)))
+    def leaders(self, entries: DataFrame, *by: Column) -> DataFrame:
+        """Entries of each key, the highest by each column; of kind 1, those with repeats."""
+        lead = F.array(*(F.max(F.struct("side", c.cast("double").alias("by"), "rank", "passage", "node")) for c in by))
+        return (entries.groupBy("key", "kind").agg(lead.alias("lead")).select("key", "kind", F.explode("lead").alias("lead"))
+                .select("key", "kind", *(F.col(f"lead.{c}").alias(c) for c in ("side", "passage", "node"))))
 
     def confirmed(self, passages: DataFrame, pairs: DataFrame) -> DataFrame:
         """(passage, node, other, start, end) of near-duplicate stretches, told for both sides of each pair."""
@@ -753,8 +755,8 @@ class NearPassages:
                 .select("a", "b", "node_a", "node_b", "start_a", "start_b", "x", "y")
                 .mapInArrow(run, FOUND))
 
-    def stretches(self) -> DataFrame:
-        """(node, other, start, end) of all confirmed near-duplicate stretches."""
+    def stretches(self) -> tuple[DataFrame, DataFrame]:
+        """((node, other, start, end) of all confirmed near-duplicate stretches, (a, b) links of the same components)."""
         found = materialise(self.stretched(self.recurring(self.signatures())), "spans")
         stretched = materialise(self.candidates(found), "stretched")
         passages = materialise(self.passages(stretched, self.tally(stretched)), "passages")
@@ -762,24 +764,43 @@ class NearPassages:
         whole = materialise(self.entries(passages), "all-entries")
         entries = materialise(self.partnered(whole), "entries")
         discard(whole)
-        tried = materialise(self.paired(entries, self.leaders(entries)), "pairs")
+        tried = materialise(self.paired(entries, self.leaders(entries, F.col("rank"))), "pairs")
         found = materialise(self.confirmed(passages, tried), "stretches")
+        # what the first leaders leave open is compared with candidates that have most frequent shingles around: the first, and any
+        still = materialise(self.entries(passages, found), "open-entries").filter("kind != 0")
+        spread = F.pmod(F.xxhash64("passage"), F.lit(100)) / 1000
+        pairs = self.paired(still, self.leaders(self.of_keys(entries, still), F.col("clean"), F.col("clean") * (1 - spread)))
+        pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found, tried = found.union(materialise(self.confirmed(passages, pairs), "stretches")), tried.union(pairs)
         still = materialise(self.entries(passages, found), "open-entries")
-        split = materialise(self.split(entries, found), "split-entries")
-        keys = still.select("key", "kind").distinct()
-        pairs = (self.paired(still, entries.join(keys, ["key", "kind"], "left_semi")).union(self.paired(split, split, "x.label < y.label"))
+        labels = components(self.links(found))
+        split = materialise(self.split(entries, labels), "split-entries")
+        pairs = (self.paired(still, self.of_keys(entries, still)).union(self.paired(split, split, "x.label < y.label"))
                  .distinct().join(tried, ["a", "b"], "left_anti"))
-        return found.union(materialise(self.confirmed(passages, materialise(pairs, "pairs")), "stretches"))
+        new = materialise(self.confirmed(passages, materialise(pairs, "pairs")), "stretches")
+        # the last links count between components only
+        apart = self.links(new)
+        for c in ("a", "b"):
+            apart = (apart.join(labels.select(F.col("node").alias(c), F.col("label").alias("of")), c, "left")
+                     .withColumn(c, F.coalesce("of", c)).drop("of"))
+        links = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(apart.select("a", "b")).filter("a != b")
+        return found.union(new), links
+
+    def links(self, found: DataFrame) -> DataFrame:
+        return found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+    def of_keys(self, entries: DataFrame, some: DataFrame) -> DataFrame:
+        return entries.join(some.select("key", "kind").distinct(), ["key", "kind"], "left_semi")
 
     def classes(self) -> DataFrame:
         """One row per document: its near-duplicate passages in words, and its class."""
         tail = self.shingle - 1
         # files of an exchange go when its rows are written, or they add up over the rounds
         with conf_scope(self.docs.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-            found = materialise(self.stretches(), "found")
-        links = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        labels = components(links)
-        spans = found.select("node", "start", (F.col("end") + tail).alias("end")).distinct()
+            found, links = self.stretches()
+            found = materialise(found.select("node", "start", "end").distinct(), "found")
+            labels = components(links)
+        spans = found.select("node", "start", (F.col("end") + tail).alias("end"))
         lists = spans.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
         copies = (self.docs.groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"))
                   .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
